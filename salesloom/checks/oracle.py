@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from salesloom.checks import catalog_sql
+from salesloom.checks import catalog_sql, summary_sql
 
-SQL: dict[str, str] = {**catalog_sql.SQL}
+SQL: dict[str, str] = {**catalog_sql.SQL, **summary_sql.SQL}

@@ -27,6 +27,11 @@ def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _add(here: Column, before: Column) -> Column:
+    """SUM of two partial sums: NULL only where both are."""
+    return F.when(here.isNull(), before).when(before.isNull(), here).otherwise(here + before)
+
+
 def range_chunks(df: DataFrame, order_by: Sequence[Column | str], chunks: int | None = None) -> DataFrame:
     """Rows in contiguous ranges of ``order_by`` with the range number in ``_chunk``."""
     spark = df.sparkSession
@@ -43,12 +48,15 @@ def running_totals(
     keys: Sequence[str] = (),
     position: str | None = None,
     following: Mapping[str, str] | None = None,
+    overall: str | None = None,
     chunks: int | None = None,
 ) -> DataFrame:
     """Add running sums (``totals``), the row number (``position``) and next-row values (``following``).
 
-    All three run within ``keys`` in the order ``order_by``, which must be total within the keys.
-    ``following`` maps the new column to the column whose next value it takes.
+    All three run within ``keys`` (which must not be NULL) in the order ``order_by``, which must be total within the keys.
+    ``following`` maps the new column to the column whose next value it takes. ``overall`` is a suffix: with
+    it, the grand total of each sum and the row count within the keys come along as ``<name><suffix>``; they
+    are added up from the chunk totals, at no further pass over the rows.
     """
     keys, following = list(keys), dict(following or {})
     counted = {**totals, **({position: F.lit(1)} if position else {})}
@@ -70,11 +78,13 @@ def running_totals(
         *[expr.alias(name) for name, expr in heads.items()],
     )
 
-    across = (W.partitionBy(*keys) if keys else W.partitionBy()).orderBy(CHUNK)
+    whole = W.partitionBy(*keys)
+    across = whole.orderBy(CHUNK)
     before = across.rowsBetween(W.unboundedPreceding, -1)
     offsets = per_chunk.select(
         *group,
-        *[F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(f"_o_{name}") for name in counted],
+        *[F.sum(f"_t_{name}").over(before).alias(f"_o_{name}") for name in counted],
+        *[F.sum(f"_t_{name}").over(whole).alias(f"_a_{name}") for name in (counted if overall else ())],
         *[F.lead(f"_f_{name}").over(across).alias(f"_n_{name}") for name in following],
     )
 
@@ -86,7 +96,8 @@ def running_totals(
     joined = scanned.join(offsets, group, "left")
     return joined.select(
         *df.columns,
-        *[(F.col(f"_s_{name}") + F.col(f"_o_{name}")).alias(name) for name in counted],
+        *[_add(F.col(f"_s_{name}"), F.col(f"_o_{name}")).alias(name) for name in counted],
+        *[F.col(f"_a_{name}").alias(f"{name}{overall}") for name in (counted if overall else ())],
         *[
             F.when(F.col(f"_l_{name}").isNotNull(), F.col(f"_l_{name}.v")).otherwise(F.col(f"_n_{name}.v")).alias(name)
             for name in following

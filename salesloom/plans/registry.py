@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesloom.functions import bands, dates
 from salesloom.operators import catalog as C
+from salesloom.operators import cleaning as K
+from salesloom.operators import quality as QU
 from salesloom.operators import star
+from salesloom.operators import summaries as S
 from salesloom.plans.mart import Mart, mart
+from salesloom.sources.driver import DRIVER_COORDS, FILE_ORDER
 
 Query = Callable[[Mart], DataFrame]
 
@@ -47,7 +53,94 @@ CATALOG: dict[str, Query] = {
     "d2_dim_date_bi": lambda m: star.dim_date_bi(star.order_date_bounds(star.parse_order_dates(m.raw.orders))),
 }
 
-QUERIES: dict[str, Query] = {**CATALOG}
+# Fixed value: last regular order date of the driver tables; later orders count as future-dated.
+LAST_ORDER_DATE = dt.date(2000, 12, 31)
+
+CLEANING: dict[str, Query] = {
+    "c01_keep_first": lambda m: K.keep_first(m.raw.order_items, ["order_id", "product_id"], FILE_ORDER).drop("selling_price"),
+    "c02_median_age": lambda m: K.fill_age(m.raw.customers).select("customer_id", "age"),
+    "c03_tolerant_dates": lambda m: m.raw.customers.select(
+        "customer_id", F.col("signup_date").alias("signup_text"), dates.parse_date("signup_date").alias("signup_date")),
+    "c04_default_fill": lambda m: m.raw.orders.na.fill({"region": K.UNKNOWN, "payment_mode": K.UNKNOWN}).select(
+        "order_id", "region", "payment_mode"),
+    "c05_future_signup": lambda m: m.raw.customers.select(
+        "customer_id", K.not_after(dates.parse_date("signup_date"), m.as_of).alias("signup_date")),
+    "c06_c07_clip": lambda m: K.clean_order_items(m.raw.order_items).drop("ext"),
+    "c08_cost_repair": lambda m: K.repair_cost(m.raw.products).select("product_id", "cost_price", "selling_price"),
+    "c09_ship_repair": lambda m: K.repair_shipping(star.parse_order_dates(m.raw.orders)).select(
+        "order_id", "order_date", "shipping_date"),
+    "c10_null_profile": lambda m: QU.null_profile(_parsed(m)),
+    "c11_null_signups": lambda m: QU.null_signups(m.raw.customers),
+    "c12_dataset_profile": lambda m: QU.dataset_profile(dict(m.raw.items()), {"orders": "order_date", "returns": "return_reason"}),
+    "c13_order_date_quality": lambda m: QU.order_date_quality(m.raw.orders, LAST_ORDER_DATE),
+    "c14_malformed_signups": lambda m: QU.malformed_signups(m.raw.customers),
+    "c15_foreign_keys": lambda m: QU.foreign_key_violations([
+        ("orders.customer_id", m.raw.orders, ["customer_id"], m.raw.customers),
+        ("order_items.order_id", m.raw.order_items, ["order_id"], m.raw.orders),
+        ("order_items.product_id", m.raw.order_items, ["product_id"], m.raw.products),
+        ("orders.without_lines", m.raw.orders, ["order_id"], m.raw.order_items),
+        ("returns.line", m.raw.returns, ["order_id", "product_id"], m.raw.order_items),
+        ("fact.date", m.fact_clean.select(F.col("order_date").alias("date_key")), ["date_key"], m.dim_date),
+    ]),
+    "c16_keys": lambda m: QU.key_violations([
+        ("customers", m.raw.customers, ["customer_id"]), ("products", m.raw.products, ["product_id"]),
+        ("orders", m.raw.orders, ["order_id"]), ("order_items", m.raw.order_items, ["order_id", "product_id"]),
+        ("returns", m.raw.returns, ["order_id", "product_id"]), ("fact_clean", m.fact_clean, ["order_id", "product_id"]),
+    ]),
+    "c17_strip_quotes": lambda m: K.strip_quotes(m.raw.customers, "name").select("customer_id", "name"),
+    "clean_customers": lambda m: m.customers,
+    "clean_returns": lambda m: m.returns,
+}
+
+FACTS: dict[str, Query] = {
+    "fact_raw": lambda m: m.fact_raw,
+    "fact_clean": lambda m: m.fact_clean,
+    "j04_inner_fact": lambda m: star.build_raw_fact(m.raw, keep=["line_no", "supp_no"], how="inner").select(
+        "order_id", "product_id", "line_no", "supp_no", "region", "category", "revenue", "is_return"),
+    "p01_p10_line_filters": lambda m: S.filter_profile(m.fact_raw, S.line_filters()),
+    "p02_p07_p11_segment_filters": lambda m: S.filter_profile(m.fact_raw, S.segment_filters("ECONOMY", "ASIA", [1996, 1997])),
+    "m10_m12_band_flavours": lambda m: m.fact_raw.groupBy("discount").agg(F.count(F.lit(1)).alias("line_count")).withColumns({
+        "sql_band": bands.discount_band_sql(F.col("discount")), "bin_band": bands.discount_band_bins(F.col("discount")),
+        "bi_band": bands.discount_band_bi(F.col("discount"))}),
+}
+
+SUMMARIES: dict[str, Query] = {
+    "a1_overview": lambda m: S.overview(m.fact_raw),
+    "a2_by_category": lambda m: S.by_category(m.fact_raw),
+    "a3_by_region": lambda m: S.by_region(m.fact_raw),
+    "a4_by_discount_band": lambda m: S.by_discount_band(m.fact_raw),
+    "a5_customer_profiles": lambda m: S.customer_profiles(m.fact_raw, m.raw.customers),
+    "a6_region_category": lambda m: S.region_category(m.fact_raw, DRIVER_COORDS),
+    "a7_monthly": lambda m: S.monthly(m.fact_raw),
+    "a8_sales_detail": lambda m: S.sales_detail(m.fact_raw),
+    "a9_products_per_category": lambda m: S.products_per_category(m.raw.products),
+    "a10_line_return_rate": lambda m: S.line_return_rate_by(m.fact_raw, "category"),
+    "a11_bi_customers": lambda m: S.bi_customers(m.raw.customers),
+    "a11_bi_products": lambda m: S.bi_products(m.raw.products),
+    "a11_bi_fact": lambda m: S.bi_fact(m.fact_raw),
+    "k01_kpi_strip": lambda m: S.kpi_strip(m.fact_raw),
+    "k02_category_chart": lambda m: S.category_chart(m.fact_raw),
+    "k03_region_chart": lambda m: S.region_chart(m.fact_raw),
+    "k04_discount_chart": lambda m: S.discount_chart(m.fact_raw),
+    "k05_w07_pareto_curve": lambda m: S.pareto_curve(m.fact_raw),
+    "k06_monthly_peaks": lambda m: S.monthly_peaks(m.fact_raw),
+    "k07_return_benchmark": lambda m: S.return_benchmark(m.fact_raw),
+    "k09_return_reasons": lambda m: S.return_reasons(m.raw.returns),
+    "k10_order_value_by_region": lambda m: S.order_value_by_region(m.fact_raw),
+    "k11_payment_returns": lambda m: S.payment_returns(m.fact_raw),
+}
+
+
+def _parsed(m: Mart) -> dict[str, DataFrame]:
+    """Raw tables with their date texts parsed."""
+    return {
+        **dict(m.raw.items()),
+        "customers": m.raw.customers.withColumn("signup_date", dates.parse_date("signup_date")),
+        "orders": star.parse_order_dates(m.raw.orders),
+    }
+
+
+QUERIES: dict[str, Query] = {**CATALOG, **CLEANING, **FACTS, **SUMMARIES}
 
 
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

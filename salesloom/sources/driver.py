@@ -69,6 +69,15 @@ RAW_SQL = {
         FROM {lineitem} WHERE l_returnflag = 'R'""",
 }
 
+# Map pins of the driver's regions.
+DRIVER_COORDS = {
+    "AFRICA": (1.5, 17.3),
+    "AMERICA": (19.4, -99.1),
+    "ASIA": (34.0, 100.6),
+    "EUROPE": (50.1, 14.4),
+    "MIDDLE EAST": (29.3, 42.5),
+}
+
 # Price columns get the engine's own fixed type whatever the SQL arithmetic inferred.
 PRICE_COLUMNS = {"products": ["selling_price", "cost_price"], "order_items": ["selling_price"]}
 
