@@ -287,5 +287,5 @@ def segment_filters(category: str, region: str, years: Sequence[int]) -> dict[st
         "p02_category": F.col("category") == category,
         "p02_region": F.col("region") == region,
         "p07_deep_discount": band.isin(bands.DISCOUNT_LABELS[3:]),
-        "p11_slicer": F.year("order_date").isin(list(years)) & (F.quarter("order_date") == 1) & (F.col("region") == region),
+        "p11_slicer": F.year("order_month").isin(list(years)) & (F.quarter("order_month") == 1) & (F.col("region") == region),
     }

@@ -12,9 +12,13 @@ from pyspark.sql import types as T
 from salesloom.functions import bands, dates
 from salesloom.operators import catalog as C
 from salesloom.operators import cleaning as K
+from salesloom.operators import insights as I
+from salesloom.operators import measures as B
 from salesloom.operators import quality as QU
 from salesloom.operators import star
+from salesloom.operators import stats as X
 from salesloom.operators import summaries as S
+from salesloom.operators import visuals as V
 from salesloom.plans.mart import Mart, mart
 from salesloom.sources.driver import DRIVER_COORDS, FILE_ORDER
 
@@ -131,6 +135,75 @@ SUMMARIES: dict[str, Query] = {
 }
 
 
+MEASURES: dict[str, Query] = {
+    "b01_b06_core": lambda m: B.core(m.fact_raw),
+    "b01_b06_core_by_region_category": lambda m: B.core(m.fact_raw, ["region", "category"]),
+    "b07_b12_b27_ratios": lambda m: B.ratios(m.fact_raw),
+    "b07_b12_b27_ratios_by_category": lambda m: B.ratios(m.fact_raw, ["category"]),
+    "b07_filtered_by_slicer": lambda m: B.measures(
+        m.fact_raw, ["total_revenue", "profit_margin"], ["region"], B.slicer(years=[1997], quarters=[2])),
+    "b13_b16_previous_periods": lambda m: B.previous_periods(m.fact_raw),
+    "b17_b20_period_to_date": lambda m: B.period_to_date(m.fact_raw),
+    "b21_b22_product_ranks": lambda m: B.product_ranks(m.fact_raw, m.products),
+    "b23_customer_ranks": lambda m: B.customer_ranks(m.fact_raw, m.customers),
+    "b24_customer_segments": lambda m: B.customer_segments(m.fact_raw),
+    "b25_discount_bands": lambda m: B.discount_bands(m.fact_raw),
+    "b26_reason_list": lambda m: B.reason_list(m.raw.returns),
+    "b28_report_title": lambda m: B.report_title(m.fact_raw),
+    "b28_report_title_selected": lambda m: B.report_title(m.fact_raw, B.slicer(years=[1998], months=[3]), month=True),
+    "v00_slicers": lambda m: V.slicers(m.fact_raw),
+    "v01_kpi_cards": lambda m: V.kpi_cards(m.fact_raw, B.slicer(years=[1997], regions=["ASIA"])),
+    "v02_revenue_over_time": lambda m: V.revenue_over_time(m.fact_raw),
+    "v03_revenue_by_category": lambda m: V.revenue_by(m.fact_raw, "category"),
+    "v04_region_map": lambda m: V.region_map(m.fact_raw, DRIVER_COORDS),
+    "v05_top_products_by_revenue": lambda m: V.top_products_by_revenue(m.fact_clean, m.products),
+    "v06_monthly_revenue": lambda m: V.monthly_revenue(m.fact_raw),
+    "v07_region_by_year": lambda m: V.region_by_year(m.fact_raw),
+    "v08_category_by_month": lambda m: V.category_by_month(m.fact_raw),
+    "v09_revenue_waterfall": lambda m: V.revenue_waterfall(m.fact_raw),
+    "v10b_top_customers": lambda m: V.top_customers_by_revenue(m.fact_raw),
+    "v10c_segment_distribution": lambda m: B.segment_distribution(m.fact_raw),
+    "v10e_customer_cards": lambda m: V.customer_cards(m.fact_raw),
+    "v11_category_matrix": lambda m: V.category_matrix(m.fact_raw),
+    "v12_discount_scatter": lambda m: V.discount_scatter(m.fact_raw),
+    "v13_negative_margin_products": lambda m: V.negative_margin_products(m.fact_raw, m.products),
+    "v14_return_gauge": lambda m: V.return_gauge(m.fact_raw),
+    "v15_return_rate_by_category": lambda m: S.by_category(m.fact_raw).select("category", "return_rate"),
+    "v17_return_rate_trend": lambda m: V.return_rate_trend(m.fact_raw),
+    "v18_returns_by_payment_mode": lambda m: V.returns_by_payment_mode(m.fact_raw),
+    "x1_k12_correlations": lambda m: X.correlations(m.fact_raw),
+    "x1_key_correlations": lambda m: X.key_correlations(m.fact_raw),
+}
+
+
+# The regions the margin scenarios compare on the driver tables.
+GAP_REGIONS = ("ASIA", "EUROPE")
+
+INSIGHTS: dict[str, Query] = {
+    "i01_pareto_share": lambda m: I.concentration(m.fact_raw),
+    "i02_worst_return_category": lambda m: I.worst_return_category(m.fact_raw),
+    "i03_margin_extremes": lambda m: I.margin_extremes(m.fact_raw),
+    "i04_deep_discount_margin": lambda m: I.deep_discount_margin(m.fact_raw),
+    "i05_repeat_rate": lambda m: I.repeat_rate(m.fact_raw),
+    "i06_cod_risk": lambda m: I.cod_risk(m.fact_raw),
+    "i07_order_value_change": lambda m: I.order_value_change(m.fact_raw),
+    "i08_cod_orders": lambda m: I.cod_orders(m.raw.orders),
+    "i09_cod_return_cost": lambda m: I.cod_return_cost(m.fact_raw, m.raw.orders),
+    "i10_profit_at_risk": lambda m: I.profit_at_risk(m.fact_raw),
+    "i11_margin_gap": lambda m: I.margin_gap(m.fact_raw, *GAP_REGIONS),
+    "i12_loss_leaders": lambda m: I.loss_leaders(m.raw.products),
+    "i13_kpi_targets": lambda m: I.kpi_targets(m.fact_raw),
+    "i14_deep_band_profit": lambda m: I.deep_band_profit(m.fact_raw),
+    "i16_initiative_roi": lambda m: I.initiative_roi(m.fact_raw, m.raw.orders, *GAP_REGIONS),
+    "i17_product_margin_tiers": lambda m: I.product_margin_tiers(m.fact_raw),
+    "i18_concentration": lambda m: I.concentration(m.fact_raw, [0.1, 0.2], [0.5]),
+    "i19_thin_margin_products": lambda m: I.thin_margin_products(m.fact_raw, m.products),
+    "i20_repeat_returns": lambda m: I.repeat_returns(m.fact_raw),
+    "i21_revenue_at_risk": lambda m: I.revenue_at_risk(m.fact_raw, m.raw.orders, *GAP_REGIONS),
+    "i22_fraction_reaching": lambda m: I.fraction_reaching(m.fact_raw),
+}
+
+
 def _parsed(m: Mart) -> dict[str, DataFrame]:
     """Raw tables with their date texts parsed."""
     return {
@@ -140,7 +213,7 @@ def _parsed(m: Mart) -> dict[str, DataFrame]:
     }
 
 
-QUERIES: dict[str, Query] = {**CATALOG, **CLEANING, **FACTS, **SUMMARIES}
+QUERIES: dict[str, Query] = {**CATALOG, **CLEANING, **FACTS, **SUMMARIES, **MEASURES, **INSIGHTS}
 
 
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
