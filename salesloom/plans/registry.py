@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 from salesloom.functions import bands, dates
 from salesloom.operators import catalog as C
 from salesloom.operators import cleaning as K
+from salesloom.operators import forecast as P
 from salesloom.operators import insights as I
 from salesloom.operators import measures as B
 from salesloom.operators import quality as QU
+from salesloom.operators import segment as R
 from salesloom.operators import star
 from salesloom.operators import stats as X
 from salesloom.operators import summaries as S
@@ -204,6 +206,47 @@ INSIGHTS: dict[str, Query] = {
 }
 
 
+def segments(m: Mart) -> R.Segmentation:
+    """Fitted once per mart; every segment report reads it."""
+    return m.once("segments", lambda: R.segment(R.rfm(m.fact_raw)))
+
+
+def _profile(m: Mart) -> DataFrame:
+    return R.profile(segments(m).assigned)
+
+
+def _daily(m: Mart) -> DataFrame:
+    return P.daily_series(m.fact_raw)
+
+
+def _both(make: Callable[[str], DataFrame]) -> DataFrame:
+    first, second = (make(mode) for mode in P.MODES)
+    return first.unionByName(second)
+
+
+MODELS: dict[str, Query] = {
+    "r1_rfm": lambda m: R.rfm(m.fact_raw),
+    "r2_r3_cluster_scores": lambda m: segments(m).score_table(),
+    "r4_r7_segments": lambda m: R.export_columns(segments(m).assigned),
+    "r5_k08_segment_profile": _profile,
+    "r6_segment_labels": lambda m: R.labelled(_profile(m)),
+    "v10a_recency_monetary": lambda m: segments(m).assigned.select("customer_id", "recency", "monetary", "segment"),
+    "i15_reactivation_value": lambda m: I.reactivation_value(_profile(m)),
+    "f1_daily_series": lambda m: _daily(m),
+    "f2_filled_days": lambda m: P.fill_days(_daily(m)),
+    "f3_w10_split": lambda m: P.split(P.fill_days(_daily(m))),
+    "f4_seasonal_naive_compat": lambda m: P.seasonal_naive(_daily(m), "compat"),
+    "f4_seasonal_naive_aligned": lambda m: P.seasonal_naive(_daily(m), "aligned"),
+    "f5_series_errors_category": lambda m: P.series_errors(m.fact_raw, "category"),
+    "f5_series_errors_region": lambda m: P.series_errors(m.fact_raw, "region"),
+    "f5_series_errors_product": lambda m: P.series_errors(m.fact_raw, "product_id"),
+    "f6_errors": lambda m: _both(lambda mode: P.errors(P.seasonal_naive(_daily(m), mode).withColumn("mode", F.lit(mode)), ["mode"])),
+    "f7_horizon_compat": lambda m: P.horizon(_daily(m), "compat"),
+    "f7_horizon_aligned": lambda m: P.horizon(_daily(m), "aligned"),
+    "f7_horizon_total": lambda m: _both(lambda mode: P.horizon_total(_daily(m), mode)),
+}
+
+
 def _parsed(m: Mart) -> dict[str, DataFrame]:
     """Raw tables with their date texts parsed."""
     return {
@@ -213,7 +256,7 @@ def _parsed(m: Mart) -> dict[str, DataFrame]:
     }
 
 
-QUERIES: dict[str, Query] = {**CATALOG, **CLEANING, **FACTS, **SUMMARIES, **MEASURES, **INSIGHTS}
+QUERIES: dict[str, Query] = {**CATALOG, **CLEANING, **FACTS, **SUMMARIES, **MEASURES, **INSIGHTS, **MODELS}
 
 
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
