@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from salesloom.checks import catalog_sql, insight_sql, measure_sql, model_sql, summary_sql
+from salesloom.checks import catalog_sql, insight_sql, measure_sql, model_sql, sink_sql, summary_sql
 
-SQL: dict[str, str] = {**catalog_sql.SQL, **summary_sql.SQL, **measure_sql.SQL, **insight_sql.SQL, **model_sql.SQL}
+SQL: dict[str, str] = {**catalog_sql.SQL, **summary_sql.SQL, **measure_sql.SQL, **insight_sql.SQL, **model_sql.SQL, **sink_sql.SQL}

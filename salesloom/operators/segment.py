@@ -7,6 +7,7 @@ iterate, so a lost executor costs a re-read, not the fact aggregation.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans
@@ -66,7 +67,7 @@ class Segmentation:
         return self.assigned.sparkSession.createDataFrame(rows, schema)
 
 
-def segment(customers: DataFrame, ks: Sequence[int] = range(2, 7), n_init: int = 10, seed: int = 42) -> Segmentation:
+def segment(customers: DataFrame, ks: Sequence[int] = range(2, 7), n_init: int = 10, seed: int = 42, parallelism: int = 8) -> Segmentation:
     """For each k keep the cheapest of ``n_init`` starts, choose the k with the best silhouette.
 
     Only a handful of scores reach the driver. Cluster numbers are arbitrary, so segments are numbered from
@@ -75,12 +76,18 @@ def segment(customers: DataFrame, ks: Sequence[int] = range(2, 7), n_init: int =
     shared_dir(customers.sparkSession)
     points = scaled(customers.checkpoint()).persist()
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="segment")
-    models, scores, costs = {}, {}, {}
-    for k in ks:
-        starts = [KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="segment").fit(points) for i in range(n_init)]
-        models[k] = min(starts, key=lambda m: m.summary.trainingCost)
-        costs[k] = models[k].summary.trainingCost
-        scores[k] = evaluator.evaluate(models[k].transform(points))
+    points.count()  # fill the cache once, before the fits share it
+
+    def fit(start: tuple[int, int]):
+        return KMeans(k=start[0], seed=seed + start[1], featuresCol="features", predictionCol="segment").fit(points)
+
+    # independent Spark jobs, submitted side by side as CrossValidator does
+    tries = [(k, i) for k in ks for i in range(n_init)]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        fitted = list(zip([k for k, _ in tries], pool.map(fit, tries)))
+        models = {k: min((m for key, m in fitted if key == k), key=lambda m: m.summary.trainingCost) for k in ks}
+        scores = dict(zip(ks, pool.map(lambda k: evaluator.evaluate(models[k].transform(points)), ks)))
+    costs = {k: models[k].summary.trainingCost for k in ks}
     best = max(scores, key=scores.get)
     found = models[best].transform(points).drop("features")
     order = (

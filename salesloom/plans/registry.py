@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,13 @@ from salesloom.operators import star
 from salesloom.operators import stats as X
 from salesloom.operators import summaries as S
 from salesloom.operators import visuals as V
+from salesloom.plans.layout import MONTH
 from salesloom.plans.mart import Mart, mart
+from salesloom.sources import sinks
 from salesloom.sources.driver import DRIVER_COORDS, FILE_ORDER
+from salesloom.sources.raw_csv import read_raw
+from salesloom.sources.tables import RawTables
+from salesloom.streaming.refresh import refresh_from_stream
 
 Query = Callable[[Mart], DataFrame]
 
@@ -247,6 +253,113 @@ MODELS: dict[str, Query] = {
 }
 
 
+def _csv(m: Mart) -> RawTables:
+    """The raw tables written as CSV once and scanned back with their schemas."""
+    return m.once("csv", lambda: read_raw(m.spark, sinks.write_raw_csv(m.raw, m.path("raw-csv"))))
+
+
+def _csv_profile(m: Mart) -> DataFrame:
+    probes = {"customers": ("customer_id", "age"), "products": ("product_id", "brand"), "orders": ("order_id", "payment_mode"),
+              "order_items": ("product_id", "quantity"), "returns": ("order_id", "return_reason")}
+    parts = [
+        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+               F.sum(F.col(probes[name][0]).cast("decimal(38,0)")).alias("key_sum"), F.count(probes[name][1]).alias("filled"))
+        for name, df in _csv(m).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _star_csv(m: Mart) -> DataFrame:
+    fact = m.fact_clean
+    paths = m.once("star-csv", lambda: sinks.write_star_csv(
+        {"dim_customers": m.customers, "dim_products": m.products, "dim_orders": m.orders, "dim_returns": m.returns,
+         "fact_sales": fact}, m.path("star-csv")))
+    return sinks.read_csv(m.spark, paths["fact_sales"], fact.schema).select(
+        "order_id", "product_id", "name", "gender", "age", "city", "order_date", "shipping_date", "revenue", "profit", "is_return")
+
+
+def _warehouse(m: Mart) -> dict[str, str]:
+    def load():
+        prefix = "salesloom_" + m.path("warehouse").split("/")[-3] + "_" + m.path("warehouse").split("/")[-2].replace("-", "_")
+        rows = sinks.warehouse_rows(m.customers, m.products, m.dim_date, m.fact_clean)
+        return sinks.load_warehouse(m.spark, rows, prefix, m.path("warehouse"))
+    return m.once("warehouse", load)
+
+
+def _warehouse_join(m: Mart) -> DataFrame:
+    t = {name: m.spark.table(table) for name, table in _warehouse(m).items()}
+    return (
+        t["fact_sales"].join(t["dim_customers"].select("customer_id", "name"), "customer_id")
+        .join(t["dim_products"].select("product_id", "category"), "product_id")
+        .join(t["dim_date"].select("date_key", "day_name"), "date_key")
+        .select("order_id", "product_id", "name", "category", "day_name", "revenue", "profit", "discount_impact")
+    )
+
+
+def _bi_star(m: Mart) -> DataFrame:
+    files = m.once("bi", lambda: sinks.write_bi_star(m.raw, m.fact_raw, m.path("bi")))
+    return sinks.written_profile(m.spark, m.path("bi"), files)
+
+
+def _dashboard(m: Mart) -> dict[str, DataFrame]:
+    return m.once("dashboard", lambda: sinks.write_dashboard(m.raw, m.fact_raw, m.path("dashboard"), DRIVER_COORDS))
+
+
+def _csv_round_trip(m: Mart, name: str, df: DataFrame) -> DataFrame:
+    m.once(name, lambda: sinks.write_csv(df, m.path(name)))
+    return sinks.read_csv(m.spark, m.path(name), df.schema)
+
+
+def _results(m: Mart) -> DataFrame:
+    def write():
+        forecasting = P.errors(P.seasonal_naive(_daily(m), "compat"))
+        return sinks.write_json(sinks.results_document(m.fact_raw, forecasting), m.path("results"))
+    return sinks.read_json(m.spark, m.path("results"), m.once("results", write))
+
+
+def _refreshed(m: Mart) -> DataFrame:
+    """Publish the daily aggregate, then recompute the first and the last month in place."""
+    def refresh():
+        path = m.path("daily")
+        sinks.publish_daily_sales(m.fact_clean, path)
+        bounds = m.fact_clean.agg(F.array(F.min(MONTH), F.max(MONTH)).alias("a"))
+        sinks.refresh_daily_sales(m.fact_clean, path, bounds.select(F.explode("a").alias(MONTH)))
+        return path
+    return sinks.read_daily_sales(m.spark, m.once("daily", refresh))
+
+
+def _streamed(m: Mart) -> DataFrame:
+    def run():
+        assert m.fact_clean is not None  # published before the stream lists its files
+        refresh_from_stream(m.spark, m.path("fact_clean"), m.path("daily-stream"), m.path("daily-stream-progress"))
+        return m.path("daily-stream")
+    return sinks.read_daily_sales(m.spark, m.once("daily-stream", run))
+
+
+SINKS: dict[str, Query] = {
+    "s01_csv_scan": _csv_profile,
+    "s02_analysis_loader": lambda m: star.build_raw_fact(_csv(m)).select(
+        "order_id", "product_id", "customer_id", "order_date", "shipping_date", "region", "payment_mode", "category",
+        "quantity", "revenue", "profit", "is_return"),
+    "s03_star_csv": _star_csv,
+    "s04_s14_warehouse": _warehouse_join,
+    "s04_dim_region": lambda m: m.spark.table(_warehouse(m)["dim_region"]).select("region_id", "region", "city"),
+    "s05_s06_date_spine": lambda m: star.date_spine(star.order_date_bounds(m.orders)),
+    "s07_bi_star": _bi_star,
+    "s08_dashboard": lambda m: sinks.written_profile(m.spark, m.path("dashboard"), _dashboard(m)),
+    "s08_dashboard_customers": lambda m: sinks.read_csv(
+        m.spark, m.path("dashboard") + "/customers", _dashboard(m)["customers"].schema).withColumn(
+        "signup_date", F.coalesce("signup_date", F.lit(""))),
+    "s09_segment_csv": lambda m: _csv_round_trip(m, "segments-csv", R.export_columns(segments(m).assigned)),
+    "s10_forecast_test_csv": lambda m: _csv_round_trip(m, "forecast-test", P.seasonal_naive(_daily(m), "compat")),
+    "s10_forecast_ahead_csv": lambda m: _csv_round_trip(m, "forecast-ahead", P.horizon(_daily(m), "compat")),
+    "s11_s12_results_json_category": lambda m: sinks.section(_results(m), "by_category"),
+    "s11_s12_results_json_overview": lambda m: sinks.section(_results(m), "overview"),
+    "s13_daily_sales_refresh": _refreshed,
+    "s13_daily_sales_stream": _streamed,
+}
+
+
 def _parsed(m: Mart) -> dict[str, DataFrame]:
     """Raw tables with their date texts parsed."""
     return {
@@ -256,7 +369,7 @@ def _parsed(m: Mart) -> dict[str, DataFrame]:
     }
 
 
-QUERIES: dict[str, Query] = {**CATALOG, **CLEANING, **FACTS, **SUMMARIES, **MEASURES, **INSIGHTS, **MODELS}
+QUERIES: dict[str, Query] = {**CATALOG, **CLEANING, **FACTS, **SUMMARIES, **MEASURES, **INSIGHTS, **MODELS, **SINKS}
 
 
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

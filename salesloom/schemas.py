@@ -78,8 +78,7 @@ WAREHOUSE = {
 }
 
 
-def create_table_sql(table: str, schema: T.StructType, partition_by: str | None = None) -> str:
-    """``CREATE TABLE`` text for a schema, stored as parquet."""
+def create_table_sql(table: str, schema: T.StructType, location: str) -> str:
+    """``CREATE TABLE`` text for a schema: parquet files at a named place, never in a local default folder."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    tail = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
-    return f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{tail}"
+    return f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION '{location}'"
