@@ -196,13 +196,13 @@ def cohort_retention(fact: DataFrame, max_offset: int = 12) -> DataFrame:
     )
 
 
-JOURNEY = ["customer_id", "order_id", "product_id", "order_date", "revenue"]
+JOURNEY = ["customer_id", "name", "order_id", "product_id", "order_date", "revenue"]
 JOURNEY_ORDER = ["order_date", "order_id", "product_id"]
-JOURNEY_COLUMNS = ["customer_id", "name", "order_id", "order_date", "next_order_date", "days_between_orders",
-                   "running_total_revenue"]
+JOURNEY_COLUMNS = ["customer_id", "name", "order_id", "product_id", "order_date", "next_order_date",
+                   "days_between_orders", "running_total_revenue"]
 
 
-def customer_journey(fact: DataFrame, customers: DataFrame) -> DataFrame:
+def customer_journey(fact: DataFrame) -> DataFrame:
     """Next purchase and running revenue of every line of every customer.
 
     Uses range-partitioned running totals: one customer with a third of all lines spreads over many tasks.
@@ -212,14 +212,10 @@ def customer_journey(fact: DataFrame, customers: DataFrame) -> DataFrame:
         lines, JOURNEY_ORDER, {"running_total_revenue": F.col("revenue")}, keys=["customer_id"],
         following={"next_order_date": "order_date"},
     )
-    names = customers.select("customer_id", "name")
-    return running.join(names, "customer_id").select(
-        "customer_id", "name", "order_id", "product_id", "order_date", "next_order_date",
-        F.datediff("next_order_date", "order_date").alias("days_between_orders"), "running_total_revenue",
-    )
+    return running.withColumn("days_between_orders", F.datediff("next_order_date", "order_date")).select(*JOURNEY_COLUMNS)
 
 
-def next_purchases(fact: DataFrame, customers: DataFrame, k: int = 50) -> DataFrame:
+def next_purchases(fact: DataFrame, k: int = 50) -> DataFrame:
     """Q9. The first k lines in (customer, date) order, each with the next date and the running revenue.
 
     The report is a prefix of the global order: its windows see nothing but the prefix and one line more, so
@@ -234,10 +230,8 @@ def next_purchases(fact: DataFrame, customers: DataFrame, k: int = 50) -> DataFr
             "running_total_revenue": F.sum("revenue").over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow)),
         })
         .orderBy(*order).limit(k)
-        .join(customers.select("customer_id", "name"), "customer_id")
         .withColumn("days_between_orders", F.datediff("next_order_date", "order_date"))
-        .select(*JOURNEY_COLUMNS[:3], "product_id", *JOURNEY_COLUMNS[3:])
-        .orderBy(*order)
+        .select(*JOURNEY_COLUMNS)
     )
 
 

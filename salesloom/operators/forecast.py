@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from salesloom.functions.dates import dow_monday0
 from salesloom.functions.ratios import div, round_half_up
 from salesloom.operators.star import date_spine
+from salesloom.session import shared_dir
 
 TRAIN_SHARE = 0.85
 HORIZON = 90
@@ -106,8 +107,10 @@ def series_baselines(fact: DataFrame, key: str, window: int = 28, share: float =
     series' forecasts need is one aggregate row of it, joined back to its test days.
     """
     known = fact.filter(F.col(key).isNotNull() & F.col("order_date").isNotNull())
-    sums = known.groupBy(key, F.col("order_date").alias("ds")).agg(F.sum("revenue").cast("double").alias("y"))
-    lo, hi = known.agg(F.min("order_date").alias("d")).scalar(), known.agg(F.max("order_date").alias("d")).scalar()
+    shared_dir(fact.sparkSession)
+    # read three times below; one row per series and day with sales, written once
+    sums = known.groupBy(key, F.col("order_date").alias("ds")).agg(F.sum("revenue").cast("double").alias("y")).checkpoint()
+    lo, hi = sums.agg(F.min("ds").alias("d")).scalar(), sums.agg(F.max("ds").alias("d")).scalar()
     series = sums.select(key).distinct().withColumns({"_lo": lo, "_hi": hi})
     calendar = series.select(
         key, F.posexplode(F.sequence("_lo", "_hi")).alias("pos", "ds"),

@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from salesloom.functions import bands, dates
-from salesloom.functions.ratios import div, pct, round_half_up
+from salesloom.functions import bands
+from salesloom.functions.ratios import div, pct, per, round_half_up
 from salesloom.operators.catalog import PRODUCT, orders_per_customer, product_totals
 from salesloom.operators.summaries import (
-    by_discount_band, by_region, customer_revenue, flagged, line_return_rate, monthly, overview, pareto_curve, total,
+    by_discount_band, by_region, headline_totals, line_return_rate, monthly, overview, pareto_curve, total,
 )
 
 # Factors of the scenarios.
@@ -130,19 +130,29 @@ def cod_orders(orders: DataFrame, mode: str = "COD") -> DataFrame:
     )
 
 
+def _cod_cost(cod: Column, aov: Column, rate: float = COD_RETURN_RATE, share: float = RESTOCKING_SHARE) -> Column:
+    return round_half_up(cod * rate * aov * share, 0)
+
+
+def _leakage(revenue: Column, rate: Column, floor: float = MIN_RETURN_RATE, share: float = RETURN_PROFIT_SHARE) -> Column:
+    return round_half_up(revenue.cast("double") * (F.greatest(rate, F.lit(floor)) / 100.0) * share, 0)
+
+
+def _recovery(revenue: Column, gap_pp: Column) -> Column:
+    return round_half_up(revenue * (gap_pp / 100.0), 0)
+
+
 def cod_return_cost(fact: DataFrame, orders: DataFrame, rate: float = COD_RETURN_RATE, share: float = RESTOCKING_SHARE) -> DataFrame:
     """I9."""
     return cod_orders(orders).select("cod_orders", _value(overview(fact), "aov").alias("aov")).withColumn(
-        "cod_return_cost", round_half_up(F.col("cod_orders") * rate * F.col("aov") * share, 0)
+        "cod_return_cost", _cod_cost(F.col("cod_orders"), F.col("aov"), rate, share)
     )
 
 
 def profit_at_risk(fact: DataFrame, floor: float = MIN_RETURN_RATE, share: float = RETURN_PROFIT_SHARE) -> DataFrame:
     """I10."""
-    rate = F.greatest(F.col("return_rate_pct"), F.lit(floor))
     return overview(fact).select(
-        "revenue", "return_rate_pct",
-        round_half_up(F.col("revenue").cast("double") * (rate / 100.0) * share, 0).alias("profit_at_risk"),
+        "revenue", "return_rate_pct", _leakage(F.col("revenue"), F.col("return_rate_pct"), floor, share).alias("profit_at_risk")
     )
 
 
@@ -155,7 +165,7 @@ def margin_gap(fact: DataFrame, target: str, benchmark: str) -> DataFrame:
                                     (target, "revenue", "target_revenue"))
     ])
     return one.withColumn("gap_pp", round_half_up(F.col("benchmark_margin") - F.col("target_margin"), 1)).withColumn(
-        "recovery", round_half_up(F.col("target_revenue") * (F.col("gap_pp") / 100.0), 0)
+        "recovery", _recovery(F.col("target_revenue"), F.col("gap_pp"))
     )
 
 
@@ -166,13 +176,11 @@ def loss_leaders(products: DataFrame) -> DataFrame:
 
 def kpis(fact: DataFrame) -> DataFrame:
     """One row of headline figures."""
-    extra = fact.agg(F.sum("discount").alias("d"), F.count("discount").alias("n"))
-    return overview(fact).select(
-        F.col("revenue").cast("double").alias("revenue"), F.col("profit").cast("double").alias("profit"), "margin_pct", "aov",
-        round_half_up(div("profit", "customers")).alias("clv"), "return_rate_pct",
-        _value(repeat_rate(fact), "repeat_rate_pct").alias("repeat_rate_pct"),
-        round_half_up(div("revenue", "customers")).alias("revenue_per_customer"),
-        _value(extra.select(round_half_up(div("d", "n")).alias("avg_discount")), "avg_discount").alias("avg_discount"),
+    return headline_totals(fact).select(
+        F.col("revenue").cast("double").alias("revenue"), F.col("profit").cast("double").alias("profit"),
+        pct("profit", "revenue").alias("margin_pct"), per("revenue", "orders").alias("aov"), per("profit", "customers").alias("clv"),
+        pct("returns", "lines").alias("return_rate_pct"), pct("repeaters", "customers").alias("repeat_rate_pct"),
+        per("revenue", "customers").alias("revenue_per_customer"), per("discount", "discounted_lines").alias("avg_discount"),
     )
 
 
@@ -199,12 +207,24 @@ def reactivation_value(profile: DataFrame, rate: float = REACTIVATION_RATE) -> D
 
 
 def _scenario_inputs(fact: DataFrame, orders: DataFrame, target: str, benchmark: str) -> DataFrame:
-    deep = deep_band_profit(fact)
-    return cod_return_cost(fact, orders).select(
-        "cod_return_cost", F.floor(F.abs(_value(deep, "profit").cast("double"))).alias("deep_profit"),
-        _value(margin_gap(fact, target, benchmark), "recovery").alias("margin_gap"),
-        _value(profit_at_risk(fact), "profit_at_risk").alias("returns_leakage"),
-        _value(profit_at_risk(fact), "revenue").cast("double").alias("revenue"),
+    """Everything the scenarios need from the fact, as conditional sums of one scan."""
+    def only(condition: Column, column: str) -> Column:
+        return F.when(condition, F.col(column))
+
+    region = F.col("region")
+    totals = headline_totals(
+        fact,
+        deep=only(bands.discount_band_bins(F.col("discount")).isin(list(DEEP_BANDS)), "profit"),
+        target_profit=only(region == target, "profit"), target_revenue=only(region == target, "revenue"),
+        benchmark_profit=only(region == benchmark, "profit"), benchmark_revenue=only(region == benchmark, "revenue"),
+    )
+    rate = pct("returns", "lines")
+    gap = round_half_up(pct("benchmark_profit", "benchmark_revenue") - pct("target_profit", "target_revenue"), 1)
+    return totals.select(
+        F.col("revenue").cast("double").alias("revenue"), F.floor(F.abs(F.col("deep").cast("double"))).alias("deep_profit"),
+        _cod_cost(_value(cod_orders(orders), "cod_orders"), per("revenue", "orders")).alias("cod_return_cost"),
+        _leakage(F.col("revenue"), rate).alias("returns_leakage"),
+        _recovery(F.col("target_revenue").cast("double"), gap).alias("margin_gap"),
     )
 
 

@@ -41,16 +41,29 @@ def orders_first(fact: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def overview(fact: DataFrame) -> DataFrame:
-    """A1. Lines fold to orders, orders to customers, customers to one row."""
-    customers = orders_first(fact).groupBy("customer_id").agg(
-        F.count("order_id").alias("orders"),
-        *[F.sum(c).alias(c) for c in ("revenue", "profit", "returns", "lines")],
+def headline_totals(fact: DataFrame, **extra: Column) -> DataFrame:
+    """One row of totals from one scan: lines fold to orders, orders to customers, customers to one row.
+
+    ``extra`` adds sums of further line expressions by name.
+    """
+    sums = {"revenue": F.col("revenue"), "profit": F.col("profit"), "discount": F.col("discount"), **extra}
+    counts = {"returns": flagged(), "lines": F.count(F.lit(1)), "discounted_lines": F.count("discount")}
+    orders = fact.groupBy("order_id").agg(
+        F.first("customer_id", ignorenulls=True).alias("customer_id"),
+        *[F.sum(c).alias(n) for n, c in sums.items()], *[c.alias(n) for n, c in counts.items()],
     )
+    added = [*sums, *counts]
+    customers = orders.groupBy("customer_id").agg(F.count("order_id").alias("orders"), *[F.sum(n).alias(n) for n in added])
+    known = F.col("customer_id").isNotNull()
     return customers.agg(
-        *[total(c).alias(c) for c in ("revenue", "profit", "orders", "returns", "lines")],
-        F.count("customer_id").alias("customers"),
-    ).select(
+        *[total(n).alias(n) for n in [*added, "orders"]],
+        F.count("customer_id").alias("customers"), F.count_if(known & (F.col("orders") > 1)).alias("repeaters"),
+    )
+
+
+def overview(fact: DataFrame) -> DataFrame:
+    """A1."""
+    return headline_totals(fact).select(
         "revenue", "profit", pct("profit", "revenue").alias("margin_pct"), "orders", "customers",
         per("revenue", "orders").alias("aov"), pct("returns", "lines").alias("return_rate_pct"),
     )
@@ -233,10 +246,10 @@ def return_benchmark(fact: DataFrame, benchmark: float = 10.0) -> DataFrame:
 
 def return_reasons(returns: DataFrame) -> DataFrame:
     """K9: returns per reason with their share."""
-    counted = returns.filter("return_reason IS NOT NULL").groupBy("return_reason").agg(F.count(F.lit(1)).alias("returns"))
-    return counted.withColumn("share_pct", pct("returns", F.sum("returns").over(W.partitionBy()))).orderBy(
-        F.desc("returns"), "return_reason"
-    )
+    known = returns.filter("return_reason IS NOT NULL")
+    everything = known.agg(F.count(F.lit(1)).alias("n")).scalar()
+    counted = known.groupBy("return_reason").agg(F.count(F.lit(1)).alias("returns"))
+    return counted.withColumn("share_pct", pct("returns", everything)).orderBy(F.desc("returns"), "return_reason")
 
 
 def order_value_by_region(fact: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from salesloom.functions import dates, geo
 from salesloom.functions.ratios import divide0, pct, round_half_up
 from salesloom.operators.catalog import PRODUCT, product_totals
 from salesloom.operators.measures import measures
-from salesloom.operators.summaries import customer_revenue, monthly, orders_first, overview, total
+from salesloom.operators.summaries import customer_revenue, headline_totals, monthly, orders_first, overview, total
 
 
 def slicers(fact: DataFrame) -> DataFrame:
@@ -92,15 +92,8 @@ def top_customers_by_revenue(fact: DataFrame, k: int = 10) -> DataFrame:
 
 
 def customer_cards(fact: DataFrame) -> DataFrame:
-    """V10e: CLV, repeat rate and average order value. Lines fold to orders, orders to customers."""
-    customers = orders_first(fact).groupBy("customer_id").agg(
-        F.count("order_id").alias("n"), F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit")
-    )
-    c = customers.agg(
-        F.count("customer_id").alias("customers"), F.sum("n").alias("orders"), F.sum("revenue").alias("revenue"),
-        F.sum("profit").alias("profit"), F.count_if(F.col("customer_id").isNotNull() & (F.col("n") > 1)).alias("repeaters"),
-    )
-    return c.select(
+    """V10e: CLV, repeat rate and average order value."""
+    return headline_totals(fact).select(
         divide0("profit", "customers").alias("clv"), pct("repeaters", "customers").alias("repeat_rate_pct"),
         divide0("revenue", "orders").alias("average_order_value"),
     )

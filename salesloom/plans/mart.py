@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import datetime as dt
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from salesloom import session
 from salesloom.operators import cleaning, star
 from salesloom.plans.layout import MONTH, with_month, write_parquet
 from salesloom.sources.driver import FILE_ORDER, read_driver
+from salesloom.sources.tables import RawTables
 
 # Fixed value: "today" of the driver tables, so that results never depend on the clock.
 AS_OF = dt.date(2001, 12, 31)
@@ -28,7 +30,7 @@ class Mart:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF):
         session.configure(spark)
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
-        self.raw = read_driver(spark, sf_dir)
+        self.source = read_driver(spark, sf_dir)
         self._made: dict[str, object] = {}
 
     def path(self, table: str) -> str:
@@ -40,10 +42,19 @@ class Mart:
             self._made[name] = make()
         return self._made[name]
 
-    def publish(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        write_parquet(df, self.path(name), partition_by)
+    def publish(self, name: str, df: DataFrame, partition_by: str | None = None, cluster_by: Sequence[str] = ()) -> DataFrame:
+        write_parquet(df, self.path(name), partition_by, cluster_by)
         return self.spark.read.parquet(self.path(name))
 
+    @cached_property
+    def raw(self) -> RawTables:
+        """Raw tables. Orders and returns, which the adapter has to derive from the lines, are staged once."""
+        return replace(
+            self.source,
+            orders=self.publish("stage_orders", self.source.orders),
+            returns=self.publish("stage_returns", self.source.returns),
+        )
+
     @cached_property
     def customers(self) -> DataFrame:
         return self.publish("dim_customers", cleaning.clean_customers(self.raw.customers, self.as_of))
@@ -63,12 +74,12 @@ class Mart:
     @cached_property
     def fact_clean(self) -> DataFrame:
         fact = star.build_clean_fact(self.raw, self.customers, self.products, self.orders, self.returns, FILE_ORDER)
-        return self.publish("fact_clean", with_month(fact), MONTH)
+        return self.publish("fact_clean", with_month(fact), MONTH, star.LINE_KEY)
 
     @cached_property
     def fact_raw(self) -> DataFrame:
         fact = star.build_raw_fact(self.raw, keep=["line_no", "supp_no", "flag", "ext"])
-        return self.publish("fact_raw", with_month(fact), MONTH)
+        return self.publish("fact_raw", with_month(fact), MONTH, [*star.LINE_KEY, "line_no"])
 
     @cached_property
     def dim_date(self) -> DataFrame:

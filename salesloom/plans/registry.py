@@ -55,8 +55,8 @@ CATALOG: dict[str, Query] = {
     "q06_return_rate_by_category": lambda m: C.return_rate_by_category(m.fact_clean),
     "q07_lowest_margin_products": lambda m: C.lowest_margin_products(m.fact_clean, m.products),
     "q08_cohort_retention": lambda m: C.cohort_retention(m.fact_clean),
-    "q09_next_purchases": lambda m: C.next_purchases(m.fact_clean, m.customers),
-    "w05_w06_customer_journey": lambda m: C.customer_journey(m.fact_clean, m.customers),
+    "q09_next_purchases": lambda m: C.next_purchases(m.fact_clean),
+    "w05_w06_customer_journey": lambda m: C.customer_journey(m.fact_clean),
     "q10_discount_bands": lambda m: C.discount_bands(m.fact_clean),
     "q11_payment_modes": lambda m: C.payment_modes(m.fact_clean),
     "q12_worst_products": lambda m: C.worst_products(m.fact_clean, m.products),
@@ -222,7 +222,8 @@ def _profile(m: Mart) -> DataFrame:
 
 
 def _daily(m: Mart) -> DataFrame:
-    return P.daily_series(m.fact_raw)
+    """The daily series, published once: forecasts read it several times, the fact only once."""
+    return m.once("daily_series", lambda: m.publish("daily_series", P.daily_series(m.fact_raw)))
 
 
 def _both(make: Callable[[str], DataFrame]) -> DataFrame:
@@ -238,7 +239,7 @@ MODELS: dict[str, Query] = {
     "r6_segment_labels": lambda m: R.labelled(_profile(m)),
     "v10a_recency_monetary": lambda m: segments(m).assigned.select("customer_id", "recency", "monetary", "segment"),
     "i15_reactivation_value": lambda m: I.reactivation_value(_profile(m)),
-    "f1_daily_series": lambda m: _daily(m),
+    "f1_daily_series": lambda m: P.daily_series(m.fact_raw),
     "f2_filled_days": lambda m: P.fill_days(_daily(m)),
     "f3_w10_split": lambda m: P.split(P.fill_days(_daily(m))),
     "f4_seasonal_naive_compat": lambda m: P.seasonal_naive(_daily(m), "compat"),

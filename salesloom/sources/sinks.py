@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,13 +130,20 @@ def publish_daily_sales(fact: DataFrame, path: str) -> None:
     write_parquet(with_month(star.daily_sales(fact), "date_key"), path, MONTH)
 
 
+def lines_of_months(fact: DataFrame, months: Sequence[dt.date | None]) -> DataFrame:
+    known = F.col(MONTH).isin([m for m in months if m is not None])
+    return fact.filter(known | F.col(MONTH).isNull() if None in months else known)
+
+
 def refresh_daily_sales(fact: DataFrame, path: str, months: DataFrame) -> None:
     """Recompute the months listed in ``months`` (column ``order_month``) and replace only their partitions.
 
-    The semi join on the partition column prunes the fact to those months at run time.
+    The list of months is at most as long as the calendar; as literals it prunes the fact's partitions.
     """
-    touched = fact.join(months.select(MONTH).distinct(), MONTH, "left_semi")
-    replace_partitions(with_month(star.daily_sales(touched), "date_key"), path, MONTH)
+    touched = [r[0] for r in months.select(MONTH).distinct().collect()]
+    if touched:
+        daily = star.daily_sales(lines_of_months(fact, touched))
+        replace_partitions(with_month(daily, "date_key"), path, MONTH)
 
 
 def read_daily_sales(spark: SparkSession, path: str) -> DataFrame:

@@ -28,14 +28,14 @@ def test_cohorts_start_complete(small):
 
 
 def test_running_total_ends_at_the_customer_total(small):
-    journey = catalog.customer_journey(small.fact_clean, small.customers)
+    journey = catalog.customer_journey(small.fact_clean)
     last = journey.groupBy("customer_id").agg(F.max("running_total_revenue").alias("a"))
     totals = small.fact_clean.groupBy("customer_id").agg(F.sum("revenue").alias("b"))
     assert last.join(totals, "customer_id").filter("a <> b").count() == 0
 
 
 def test_journey_keeps_every_line(small):
-    assert catalog.customer_journey(small.fact_clean, small.customers).count() == small.fact_clean.count()
+    assert catalog.customer_journey(small.fact_clean).count() == small.fact_clean.count()
 
 
 def test_pareto_curve_is_complete_and_monotone(small):

@@ -41,7 +41,7 @@ def test_labels_match_the_published_profile(spark):
 
 
 def test_all_labels(spark):
-    rows = [(0, 1, 10.0, 9.0, 900.0, 1.0), (1, 1, 20.0, 8.0, 500.0, 1.0), (2, 1, 300.0, 1.0, 50.0, 1.0), (3, 1, 30.0, 2.0, 60.0, 1.0),
+    rows = [(0, 1, 10.0, 9.0, 900.0, 1.0), (1, 1, 20.0, 8.0, 500.0, 1.0), (2, 1, 300.0, 1.0, 50.0, 1.0), (3, 1, 15.0, 2.0, 60.0, 1.0),
             (4, 1, 200.0, 3.0, 70.0, 1.0)]
     profiles = spark.createDataFrame(rows, "segment int, customers long, avg_recency double, avg_frequency double, avg_monetary double, total_revenue double")
     assert [r["label"] for r in R.labelled(profiles).orderBy("segment").collect()] == ["High Value", "Loyal", "Churned", "New / Low Engagement", "At Risk"]

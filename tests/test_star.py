@@ -80,8 +80,8 @@ def test_empty_bounds_give_an_empty_calendar(spark):
 
 
 def test_next_purchases_equals_the_whole_journey_cut_short(small, rows):
-    whole = catalog.customer_journey(small.fact_clean, small.customers)
+    whole = catalog.customer_journey(small.fact_clean)
     order = ["customer_id", "order_date", "order_id", "product_id"]
     for k in (1, 7, 50):
-        cut = catalog.next_purchases(small.fact_clean, small.customers, k)
+        cut = catalog.next_purchases(small.fact_clean, k)
         assert rows(cut) == rows(whole.select(*cut.columns).orderBy(*order).limit(k))
