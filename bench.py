@@ -1,7 +1,7 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-"etl_star" is the one-off build of the published star (clean, join, deduplicate, write); the queries then run
-over it. Every query is executed in full into a no-op sink: one warm-up run, then the median of three.
+"etl_star" is the one-off build of the published star (clean, join, deduplicate, write), timed after the same
+build on the smallest tables has warmed the JVM; the queries then run over it. Every query is executed in full into a no-op sink: one warm-up run, then the median of three.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from salesloom.plans.mart import mart
 from salesloom.plans.registry import callables
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+WARM_DIR = os.path.join(os.path.dirname(SF_DIR.rstrip("/")), "sf0.001")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
-STAR = ["customers", "products", "orders", "returns", "fact_clean", "fact_raw", "dim_date"]
 HEADLINE = [
     "q01_revenue_by_region", "q02_monthly_trend", "q03_top_products", "q04_customer_lifetime_value",
     "q05_repeat_purchases", "q06_return_rate_by_category", "q07_lowest_margin_products", "q08_cohort_retention",
@@ -52,7 +52,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = callables()
-    seconds = {"etl_star": timed(lambda: [getattr(mart(spark, SF_DIR), table) for table in STAR])}
+    if os.path.isdir(WARM_DIR):
+        mart(spark, WARM_DIR).build()
+    seconds = {"etl_star": timed(lambda: mart(spark, SF_DIR).build())}
     for name in HEADLINE:
         query = queries[name]
         run(query(spark, SF_DIR))

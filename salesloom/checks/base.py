@@ -14,10 +14,14 @@ def parse(column: str) -> str:
 
 
 CTES: dict[str, str] = {f"raw_{name}": text.format(**_NAMES) for name, text in RAW_SQL.items()}
+# whole numbers are bigint in every published result
+CTES["raw_customers"] = CTES["raw_customers"].replace("% 60 AS INT)", "% 60 AS BIGINT)")
+CTES["raw_order_items"] = CTES["raw_order_items"].replace("CAST(l_quantity AS INT)", "CAST(l_quantity AS BIGINT)").replace(
+    "l_linenumber AS line_no", "CAST(l_linenumber AS BIGINT) AS line_no")
 
 CTES["clean_customers"] = f"""
     SELECT customer_id, name, coalesce(gender, 'Unknown') AS gender,
-           coalesce(age, CAST(trunc((SELECT median(age) FROM raw_customers)) AS INT)) AS age, city, region,
+           coalesce(age, CAST(trunc((SELECT median(age) FROM raw_customers)) AS BIGINT)) AS age, city, region,
            CASE WHEN {parse('signup_date')} > DATE '2001-12-31' THEN DATE '2001-12-31'
                 ELSE {parse('signup_date')} END AS signup_date
     FROM raw_customers

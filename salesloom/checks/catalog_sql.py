@@ -38,7 +38,7 @@ JOURNEY = f"""
     FROM fact_clean f JOIN clean_customers c ON f.customer_id = c.customer_id
     WINDOW w AS (PARTITION BY f.customer_id ORDER BY f.order_date, f.order_id, f.product_id)"""
 
-PRODUCT_SUMS = f"""sum(f.quantity) AS units_sold, {money('sum(f.revenue)')} AS total_revenue,
+PRODUCT_SUMS = f"""CAST(sum(f.quantity) AS BIGINT) AS units_sold, {money('sum(f.revenue)')} AS total_revenue,
            {money('sum(f.profit)')} AS total_profit"""
 
 SQL: dict[str, str] = {
@@ -72,8 +72,8 @@ SQL: dict[str, str] = {
                           WHEN n BETWEEN 5 AND 9 THEN '5-9 orders' ELSE '10+ orders' END AS order_frequency,
                           count(*) AS customer_count, max(n) AS hi FROM per_customer GROUP BY 1"""),
     "q06_return_rate_by_category": sql(f"""
-        SELECT p.category, count(DISTINCT order_id) AS total_orders, sum(quantity) AS units_sold,
-               sum(CASE WHEN is_return THEN 1 ELSE 0 END) AS return_units,
+        SELECT p.category, count(DISTINCT order_id) AS total_orders, CAST(sum(quantity) AS BIGINT) AS units_sold,
+               CAST(sum(CASE WHEN is_return THEN 1 ELSE 0 END) AS BIGINT) AS return_units,
                {pct('sum(CASE WHEN is_return THEN 1 ELSE 0 END)', 'sum(quantity)')} AS return_rate_pct,
                {money('sum(CASE WHEN is_return THEN revenue ELSE 0 END)')} AS return_revenue_loss
         FROM fact_clean f JOIN clean_products p ON f.product_id = p.product_id GROUP BY p.category"""),
@@ -112,9 +112,9 @@ SQL: dict[str, str] = {
     "q13_daily_sales": sql(f"""
         SELECT f.order_date AS date_key, p.category, p.sub_category, p.brand, c.region,
                count(DISTINCT order_id) AS orders, count(DISTINCT f.customer_id) AS customers,
-               sum(f.quantity) AS units_sold, {money('sum(revenue)')} AS revenue, {money('sum(profit)')} AS profit,
+               CAST(sum(f.quantity) AS BIGINT) AS units_sold, {money('sum(revenue)')} AS revenue, {money('sum(profit)')} AS profit,
                {money('sum(f.quantity * f.cost_price)')} AS total_cost, {pct('sum(profit)', 'sum(revenue)')} AS profit_margin_pct,
-               sum(CASE WHEN is_return THEN 1 ELSE 0 END) AS returns_count
+               CAST(sum(CASE WHEN is_return THEN 1 ELSE 0 END) AS BIGINT) AS returns_count
         FROM fact_clean f JOIN clean_products p ON f.product_id = p.product_id
              JOIN clean_customers c ON f.customer_id = c.customer_id
         GROUP BY f.order_date, p.category, p.sub_category, p.brand, c.region"""),

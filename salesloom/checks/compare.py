@@ -45,6 +45,15 @@ def differences(got, want, limit=3):
     return out
 
 
+KINDS = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
+
+
+def type_differences(df, con, text):
+    """Columns whose type differs between the engines."""
+    have = {row[0]: row[1] for row in con.execute(f"DESCRIBE {text}").fetchall()}
+    return [f"type of {c}: {t} is {have.get(c)}" for c, t in df.dtypes if have.get(c) != KINDS.get(t)]
+
+
 def connect(folder: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -69,7 +78,7 @@ def check(spark: SparkSession, folder: str, names=()):
                 continue
             result = con.execute(SQL[name])
             want = normal([d[0] for d in result.description], result.fetchall())
-            problems = differences(got, want)
+            problems = differences(got, want) + type_differences(df, con, SQL[name])
         except Exception as error:  # report and go on with the other queries
             problems, took, got = [f"{type(error).__name__}: {str(error)[:1500]}"], time.time() - start, ([], [])
         print(f"{'FAIL' if problems else 'ok  '}  {name:42s} {len(got[1]):7d} {took:6.2f}s", *problems, sep="\n    " if problems else "", flush=True)

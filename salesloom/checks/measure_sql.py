@@ -64,7 +64,7 @@ SQL: dict[str, str] = {
     "b24_customer_segments": sql(f"SELECT customer_id, {money('rev')} AS revenue, {SEGMENT} AS segment FROM ({PER_CUSTOMER})"),
     "b25_discount_bands": sql(f"""SELECT discount_band, {REV} AS total_revenue, {PRO} AS total_profit,
           {div0('sum(profit)', 'sum(revenue)')} AS profit_margin, count(DISTINCT order_id) AS total_orders,
-          CASE discount_band WHEN 'No Discount' THEN 0 WHEN '1-10%' THEN 1 WHEN '11-20%' THEN 2 WHEN '21-30%' THEN 3 ELSE 4 END AS band_order
+          CASE discount_band WHEN 'No Discount' THEN 0::BIGINT WHEN '1-10%' THEN 1 WHEN '11-20%' THEN 2 WHEN '21-30%' THEN 3 ELSE 4 END AS band_order
         FROM (SELECT *, {BI_BAND} AS discount_band FROM fact_raw) GROUP BY discount_band"""),
     "b26_reason_list": sql("""SELECT string_agg(return_reason, ', ' ORDER BY return_reason) AS return_reasons
         FROM (SELECT DISTINCT return_reason FROM raw_returns WHERE return_reason IS NOT NULL)"""),

@@ -10,7 +10,7 @@ from salesloom.checks.summary_sql import SQL as SUMMARIES
 
 def _rows(**counts: tuple[str, int]) -> str:
     return "\nUNION ALL ".join(
-        f"SELECT '{name}' AS file, count(*) AS row_count, {columns} AS column_count FROM ({source})" for name, (source, columns) in counts.items()
+        f"SELECT '{name}' AS file, count(*) AS row_count, {columns}::BIGINT AS column_count FROM ({source})" for name, (source, columns) in counts.items()
     )
 
 

@@ -12,7 +12,7 @@ LINE_RATE = pct("count(*) FILTER (WHERE is_return)", "count(*)")
 BINS = """CASE WHEN discount > -1 AND discount <= 0 THEN '0%' WHEN discount > 0 AND discount <= 10 THEN '1-10%'
                WHEN discount > 10 AND discount <= 20 THEN '11-20%' WHEN discount > 20 AND discount <= 30 THEN '21-30%'
                WHEN discount > 30 AND discount <= 100 THEN '30%+' END"""
-BAND_NO = "CASE disc_band WHEN '0%' THEN 0 WHEN '1-10%' THEN 1 WHEN '11-20%' THEN 2 WHEN '21-30%' THEN 3 ELSE 4 END"
+BAND_NO = "CASE disc_band WHEN '0%' THEN 0::BIGINT WHEN '1-10%' THEN 1 WHEN '11-20%' THEN 2 WHEN '21-30%' THEN 3 ELSE 4 END"
 
 BY_CATEGORY = f"""SELECT category, {REV} AS revenue, {PRO} AS profit, {ORDERS}, {FLAGGED} AS returns,
        {pct('sum(profit)', 'sum(revenue)')} AS margin,
@@ -61,7 +61,7 @@ def _null_counts() -> str:
 def _profile() -> str:
     distinct = {"orders": "count(DISTINCT order_date)", "returns": "count(DISTINCT return_reason)"}
     parts = [
-        f"SELECT '{t}' AS table_name, count(*) AS row_count, {len(cols)} AS column_count, "
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, {len(cols)}::BIGINT AS column_count, "
         f"{distinct.get(t, 'CAST(NULL AS BIGINT)')} AS distinct_values FROM raw_{t}"
         for t, cols in _NULLS.items()
     ]

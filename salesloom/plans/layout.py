@@ -24,7 +24,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, clu
     """
     if partition_by and cluster_by:
         keys = [partition_by, *cluster_by]
-        ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranged = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
         ranged.write.mode("overwrite").partitionBy(partition_by).parquet(path)
     elif partition_by:
         df = df.hint("rebalance", partition_by)

@@ -21,6 +21,8 @@ from pyspark.sql import Window as W
 from salesloom.session import shared_dir
 
 CHUNK = "_chunk"
+# several chunks per shuffle partition even out which partition a chunk number hashes to
+CHUNKS_PER_PARTITION = 2
 
 
 def _column(c: Column | str) -> Column:
@@ -36,7 +38,7 @@ def range_chunks(df: DataFrame, order_by: Sequence[Column | str], chunks: int |
     """Rows in contiguous ranges of ``order_by`` with the range number in ``_chunk``."""
     spark = df.sparkSession
     shared_dir(spark)  # makes sure that a checkpoint folder is set
-    chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks or CHUNKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(chunks, *[_column(c) for c in order_by])
     return ranged.withColumn(CHUNK, F.spark_partition_id()).checkpoint()
 
