@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from salesloom.functions.ratios import round_half_up
+from salesloom.functions.ratios import nonzero, round_half_up
 
 # Labels and limits that reports rely on.
 DISCOUNT_LABELS = ["0%", "1-10%", "11-20%", "21-30%", "30%+"]
@@ -107,7 +107,7 @@ def order_frequency(orders: Column) -> Column:
 def annual_value(total: Column, days: Column) -> Column:
     """Revenue scaled to a year; one-day customers keep their revenue."""
     return F.when(days == 0, total.cast("double")).otherwise(
-        round_half_up(total.cast("double") * 365.0 / F.nullif(days.cast("double"), F.lit(0.0)))
+        round_half_up(total.cast("double") * 365.0 / nonzero(days.cast("double")))
     )
 
 

@@ -13,9 +13,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def nonzero(c: Column) -> Column:
+    """The value, NULL where it is 0.
+
+    Not NULLIF: that puts a projection of its own under the expression, and a limit over a sort with two
+    projections in between is planned as a full sort instead of a top-k.
+    """
+    return F.when(c != 0, c)
+
+
 def div(num: Column | str, den: Column | str) -> Column:
     """num / den in double, NULL where den is 0."""
-    return _col(num).cast("double") / F.nullif(_col(den).cast("double"), F.lit(0.0))
+    return _col(num).cast("double") / nonzero(_col(den).cast("double"))
 
 
 def round_half_up(c: Column, scale: int = 2) -> Column:
@@ -35,7 +44,7 @@ def per(num: Column | str, den: Column | str, scale: int = 2) -> Column:
 def pct(num: Column | str, den: Column | str, scale: int = 2) -> Column:
     """100 * num / den rounded."""
     return round_half_up(
-        _col(num).cast("double") * 100.0 / F.nullif(_col(den).cast("double"), F.lit(0.0)), scale
+        _col(num).cast("double") * 100.0 / nonzero(_col(den).cast("double")), scale
     )
 
 

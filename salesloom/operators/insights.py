@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from salesloom.functions import bands
-from salesloom.functions.ratios import div, pct, per, round_half_up
+from salesloom.functions.ratios import div, nonzero, pct, per, round_half_up
 from salesloom.operators.catalog import PRODUCT, orders_per_customer, product_totals
 from salesloom.operators.summaries import (
     by_discount_band, by_region, headline_totals, line_return_rate, monthly, overview, pareto_curve, total,
@@ -119,7 +119,7 @@ def order_value_change(fact: DataFrame) -> DataFrame:
     aov = monthly(fact).select(F.struct("order_date", div("revenue", "orders").alias("aov")).alias("s"))
     return aov.agg(F.min("s").alias("a"), F.max("s").alias("z")).select(
         F.col("a.order_date").alias("first_month"), F.col("z.order_date").alias("last_month"),
-        round_half_up((F.col("z.aov") - F.col("a.aov")) / F.nullif(F.col("a.aov"), F.lit(0.0)) * 100).alias("aov_change_pct"),
+        round_half_up((F.col("z.aov") - F.col("a.aov")) / nonzero(F.col("a.aov")) * 100).alias("aov_change_pct"),
     )
 
 
@@ -265,7 +265,7 @@ def revenue_at_risk(
 
 def product_margin_tiers(fact: DataFrame) -> DataFrame:
     """Products, revenue and revenue share per tier of realised margin."""
-    margin = F.col("total_profit").cast("double") * 100.0 / F.nullif(F.col("total_revenue").cast("double"), F.lit(0.0))
+    margin = F.col("total_profit").cast("double") * 100.0 / nonzero(F.col("total_revenue").cast("double"))
     tiers = (
         product_totals(fact).filter("total_revenue > 0").groupBy(bands.margin_tier(margin).alias("tier"))
         .agg(F.count(F.lit(1)).alias("products"), F.sum("total_revenue").alias("revenue"))
