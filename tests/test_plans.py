@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from salesloom import schemas
 from salesloom.operators import catalog, cleaning, measures, star, summaries
+from conftest import SMALL
 from salesloom.plans.layout import MONTH, with_month, write_parquet
+from salesloom.plans.registry import callables
 from salesloom.sources.tables import RawTables
 
 
@@ -41,10 +43,13 @@ def test_two_distinct_counts_need_no_expand(small):
         assert "Expand" not in physical(df)
 
 
-def test_top_k_is_not_a_full_sort(small):
-    for df in (catalog.top_products(small.fact_clean, small.products), catalog.worst_products(small.fact_clean, small.products),
-               catalog.next_purchases(small.fact_clean)):
-        assert "TakeOrderedAndProject" in physical(df)
+@pytest.mark.parametrize("name", [
+    "q03_top_products", "q04_customer_lifetime_value", "q07_lowest_margin_products", "q09_next_purchases", "q12_worst_products",
+    "v05_top_products_by_revenue", "v10b_top_customers", "i02_worst_return_category",
+])
+def test_top_k_is_not_a_full_sort(spark, name):
+    plan = physical(callables()[name](spark, SMALL))
+    assert "TakeOrderedAndProject" in plan
 
 
 def test_no_join_is_forced_to_broadcast(small):
