@@ -184,6 +184,8 @@ SQL: dict[str, str] = {
           month(order_date) AS month, region, payment_mode, category, sub_category, brand, product_id, quantity,
           CAST(revenue AS DOUBLE) AS revenue, CAST(profit AS DOUBLE) AS profit, CAST(discount AS DOUBLE) AS discount,
           {pct('profit', 'revenue')} AS margin_pct, is_return FROM fact_raw"""),
+    "l04_table_head": sql(f"""SELECT c.customer_id, c.name, {REV} AS total_revenue, {ORDERS} FROM fact_raw f JOIN raw_customers c ON f.customer_id = c.customer_id
+        GROUP BY c.customer_id, c.name ORDER BY c.customer_id LIMIT 25"""),
     "a9_products_per_category": sql("SELECT category, count(*) AS product_count FROM raw_products WHERE category IS NOT NULL GROUP BY category"),
     "a10_line_return_rate": sql(f"SELECT category, {LINE_RATE} AS line_return_rate_pct FROM fact_raw WHERE category IS NOT NULL GROUP BY category"),
     "a11_bi_customers": sql(f"SELECT * EXCLUDE (signup_date), strftime({parse('signup_date')}, '%Y-%m-%d') AS signup_date FROM raw_customers"),

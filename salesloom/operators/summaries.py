@@ -185,6 +185,11 @@ def bi_fact(fact: DataFrame) -> DataFrame:
     )
 
 
+def table_head(df: DataFrame, rows: int, *order: str) -> DataFrame:
+    """L4: the first rows of a table for a printed report, as a top-k per partition."""
+    return df.orderBy(*order).limit(rows)
+
+
 # ---- chart data -------------------------------------------------------------------------------------------
 
 

@@ -125,6 +125,8 @@ SUMMARIES: dict[str, Query] = {
     "a6_region_category": lambda m: S.region_category(m.fact_raw, DRIVER_COORDS),
     "a7_monthly": lambda m: S.monthly(m.fact_raw),
     "a8_sales_detail": lambda m: S.sales_detail(m.fact_raw),
+    "l04_table_head": lambda m: S.table_head(S.customer_profiles(m.fact_raw, m.raw.customers), 25, "customer_id").select(
+        "customer_id", "name", "total_revenue", "orders"),
     "a9_products_per_category": lambda m: S.products_per_category(m.raw.products),
     "a10_line_return_rate": lambda m: S.line_return_rate_by(m.fact_raw, "category"),
     "a11_bi_customers": lambda m: S.bi_customers(m.raw.customers),
@@ -172,11 +174,14 @@ MEASURES: dict[str, Query] = {
     "v10b_top_customers": lambda m: V.top_customers_by_revenue(m.fact_raw),
     "v10c_segment_distribution": lambda m: B.segment_distribution(m.fact_raw),
     "v10e_customer_cards": lambda m: V.customer_cards(m.fact_raw),
+    "v10d_repeat_rate": lambda m: I.repeat_rate(m.fact_raw),
+    "v10f_top_products_by_profit": lambda m: C.top_products(m.fact_clean, m.products),
     "v11_category_matrix": lambda m: V.category_matrix(m.fact_raw),
     "v12_discount_scatter": lambda m: V.discount_scatter(m.fact_raw),
     "v13_negative_margin_products": lambda m: V.negative_margin_products(m.fact_raw, m.products),
     "v14_return_gauge": lambda m: V.return_gauge(m.fact_raw),
     "v15_return_rate_by_category": lambda m: S.by_category(m.fact_raw).select("category", "return_rate"),
+    "v16_return_reasons": lambda m: S.return_reasons(m.raw.returns),
     "v17_return_rate_trend": lambda m: V.return_rate_trend(m.fact_raw),
     "v18_returns_by_payment_mode": lambda m: V.returns_by_payment_mode(m.fact_raw),
     "x1_k12_correlations": lambda m: X.correlations(m.fact_raw),
