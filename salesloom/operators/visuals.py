@@ -100,17 +100,31 @@ def customer_cards(fact: DataFrame) -> DataFrame:
 
 
 def category_matrix(fact: DataFrame) -> DataFrame:
-    """Category x sub-category with subtotals; ``level`` is 0 for cells, 1 for categories, 3 for the total.
+    """Category x sub-category with subtotals; ``level`` is 0 for cells, 1 for categories, 3 for the total
+    (the numbers GROUPING_ID gives in a rollup).
 
-    Lines fold to (cell, order) before ROLLUP copies the rows once per level.
+    Distinct orders do not add up over cells. Each level therefore folds the level below to one row per order
+    of its own: cells to categories to the total. ROLLUP would copy every (cell, order) row once per level
+    and shuffle all copies; here each fold starts from the smaller result before it.
     """
-    cells = orders_first(fact, "category", "sub_category")
+    sums = ("revenue", "profit", "returns")
+
+    def fold(df: DataFrame, *keys: str) -> DataFrame:
+        return df.groupBy(*keys, "order_id").agg(*[F.sum(c).alias(c) for c in sums])
+
+    def summary(df: DataFrame, level: int, *keys: str) -> DataFrame:
+        missing = [F.lit(None).cast("string").alias(k) for k in ("category", "sub_category") if k not in keys]
+        added = df.groupBy(*keys).agg(F.count("order_id").alias("orders"), *[F.sum(c).alias(c) for c in sums])
+        return added.select(
+            *keys, *missing, F.lit(level).alias("level"), "revenue", pct("profit", "revenue").alias("margin_pct"),
+            pct("returns", "orders").alias("return_rate"),
+        )
+
+    cells = orders_first(fact, "category", "sub_category").select("category", "sub_category", "order_id", *sums)
+    categories = fold(cells, "category")
     return (
-        cells.rollup("category", "sub_category")
-        .agg(F.grouping_id().alias("level"), F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"),
-             F.sum("returns").alias("returns"), F.count_distinct("order_id").alias("orders"))
-        .select("category", "sub_category", "level", "revenue", pct("profit", "revenue").alias("margin_pct"),
-                pct("returns", "orders").alias("return_rate"))
+        summary(cells, 0, "category", "sub_category")
+        .unionByName(summary(categories, 1, "category")).unionByName(summary(fold(categories), 3))
     )
 
 
