@@ -21,8 +21,6 @@ from pyspark.sql import Window as W
 from salesloom.session import shared_dir
 
 CHUNK = "_chunk"
-# several chunks per shuffle partition even out which partition a chunk number hashes to
-CHUNKS_PER_PARTITION = 2
 
 
 def _column(c: Column | str) -> Column:
@@ -35,11 +33,14 @@ def _add(here: Column, before: Column) -> Column:
 
 
 def range_chunks(df: DataFrame, order_by: Sequence[Column | str], chunks: int | None = None) -> DataFrame:
-    """Rows in contiguous ranges of ``order_by`` with the range number in ``_chunk``."""
+    """Rows in contiguous ranges of ``order_by`` with the range number in ``_chunk``.
+
+    Without ``chunks`` there are as many ranges as shuffle partitions, and adaptive execution merges small ones.
+    """
     spark = df.sparkSession
     shared_dir(spark)  # makes sure that a checkpoint folder is set
-    chunks = chunks or CHUNKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(chunks, *[_column(c) for c in order_by])
+    number = [chunks] if chunks else []
+    ranged = df.repartitionByRange(*number, *[_column(c) for c in order_by])
     return ranged.withColumn(CHUNK, F.spark_partition_id()).checkpoint()
 
 
