@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import quality_trees, suffix_dedup
+from salesloom.llm import jaccard_join, quality_trees, suffix_dedup
 from salesloom.llm.common import table
 
 
@@ -14,12 +14,17 @@ def op1_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.joined(table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_trees": op1_quality_trees,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
 }
 
