@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import jaccard_join, quality_trees, suffix_dedup
+from salesloom.llm import bpe_trie, jaccard_join, quality_trees, suffix_dedup, token_files
 from salesloom.llm.common import table
 
 
@@ -18,14 +18,24 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.joined(table(spark, sf_dir, "documents"))
 
 
+def op5_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_trie.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.stored_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_trees": op1_quality_trees,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_trie_bpe": op5_trie_bpe,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_packed_token_files": op8_packed_token_files,
 }
 
 SQL: dict[str, str] = {}
