@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import bpe_trie, jaccard_join, quality_trees, suffix_dedup, token_files
+from salesloom.llm import bpe_trie, decontaminate, jaccard_join, quality_trees, suffix_dedup, token_counts, token_files
 from salesloom.llm.common import table
 
 
@@ -14,6 +14,14 @@ def op1_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counts(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.joined(table(spark, sf_dir, "documents"))
 
@@ -32,6 +40,8 @@ def op8_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_trees": op1_quality_trees,
+    "op2_fm_index_decontamination": op2_fm_index_decontamination,
+    "op3_token_counts": op3_token_counts,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_trie_bpe": op5_trie_bpe,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
