@@ -193,7 +193,7 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     own = [f for f in docs.schema.fields if f.name not in ("ids", "decoded")]
     kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in own)
-    return docs.select(*[f"`{f.name}`" for f in own]).mapInArrow(run, f"{kinds}, ids binary, decoded string")
+    return docs.select(*[K.quoted(f.name) for f in own]).mapInArrow(run, f"{kinds}, ids binary, decoded string")
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -42,6 +42,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """The column of that very name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of few rows and bytes, so that long documents don't fill a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

@@ -200,7 +200,7 @@ def found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     slices = int(total // SLICE_BYTES) + 1
     own = [f for f in docs.schema.fields if f.name not in ("n_words", "hit_spans", "hit_items")]
     kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in own) + f", n_words long, hit_spans {SPANS}, hit_items array<string>"
-    out = docs.select(*[f"`{f.name}`" for f in own])
+    out = docs.select(*[K.quoted(f.name) for f in own])
     span = pa.list_(pa.struct([(n, pa.int64()) for n in ("first", "last", "start", "end")]))
     for k in range(slices):
         part = items.where(F.pmod(F.xxhash64("item"), F.lit(slices)) == k).collect()
@@ -237,7 +237,7 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated ones."""
-    return verdicts(docs, benchmark).where(~F.col("contaminated")).select(*[f"`{c}`" for c in docs.columns])
+    return verdicts(docs, benchmark).where(~F.col("contaminated")).select(*[K.quoted(c) for c in docs.columns])
 
 
 def cut(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -187,8 +187,6 @@ def joined(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without those whose component has a smaller doc_id; rows with a null id and of repeated ids stay."""
-    kept = joined(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    own = docs.columns
-    return docs.join(kept, docs["doc_id"] == kept["kept_id"], "left").where(
-        F.col("kept_id").isNotNull() | docs["doc_id"].isNull()).select(*[docs[f"`{c}`"] for c in own])
+    """``docs`` without the rows whose component has a smaller doc_id; rows with a null id and rows of one id stay."""
+    gone = joined(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*[K.quoted(c) for c in docs.columns])

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import bpe_trie, decontaminate, jaccard_join, quality_trees, suffix_dedup, token_counts, token_files
+from salesloom.llm import (
+    bpe_trie, decontaminate, jaccard_join, language_ppm, quality_trees, rule_forest, suffix_dedup, token_counts, token_files, toxicity)
 from salesloom.llm.common import table
 
 
@@ -30,6 +31,10 @@ def op5_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_ppm.language(table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
 
@@ -38,14 +43,25 @@ def op8_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.stored_tokens(table(spark, sf_dir, "documents"))
 
 
+def op9_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_forest.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_trees": op1_quality_trees,
     "op2_fm_index_decontamination": op2_fm_index_decontamination,
     "op3_token_counts": op3_token_counts,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_trie_bpe": op5_trie_bpe,
+    "op6_ppm_language": op6_ppm_language,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_packed_token_files": op8_packed_token_files,
+    "op9_rule_forest": op9_rule_forest,
+    "op10_counterfactual_toxicity": op10_counterfactual_toxicity,
 }
 
 SQL: dict[str, str] = {}

@@ -236,27 +236,31 @@ def _span_rows(slab: np.ndarray, rid: np.ndarray, start: np.ndarray, end: np.nda
     return pa.table({"slab": pa.array(slab[at], pa.int64()), "rid": pa.array(rid[at], pa.int64()), "spans": pa.array(spans, pa.binary())})
 
 
-ROW = 96  # bytes of a segment's row; the gram begins at AT, a multiple of 8
-AT = 40
+ROW = 112  # bytes of a segment's row; the gram begins at AT, a multiple of BLOCK
+AT, BLOCK = 48, 16
 
 
 def repeated_windows(segments: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(segment, column) of the windows that a segment of a smaller document holds too.
 
-    ``segments`` has a row of ROW bytes for each, filled from column ``begin`` to ``end`` and zero elsewhere.
+    ``segments`` has a row of ROW bytes for each, filled from column ``begin`` to ``end`` and zero elsewhere. The suffix array is over
+    blocks of BLOCK bytes; a window is looked up at the first block that begins in it, and by the bytes before that block.
     """
-    many = len(segments)
+    many, half = len(segments), BLOCK // 8
     words = np.zeros((many, ROW // 8 + 8), np.uint64)
     words[:, : ROW // 8] = np.ascontiguousarray(segments).view(">u8").astype(np.uint64)
-    low, high = (begin + 7) // 8, (end + 7) // 8
+    low, high = (begin + BLOCK - 1) // BLOCK, (end + BLOCK - 1) // BLOCK
     count = high - low
     text_at = np.r_[0, np.cumsum(count + 1)[:-1]]
     seg = np.repeat(np.arange(many), count)
     block = np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count) + low[seg]
     spot = text_at[seg] + block - low[seg]
+    left, right = words[seg, half * block], words[seg, half * block + 1]
+    order = np.lexsort((right, left))
+    new = np.r_[True, (left[order][1:] != left[order][:-1]) | (right[order][1:] != right[order][:-1])]
     symbols = np.ones(int((count + 1).sum()) + 1, np.int64)  # 1 ends a segment, 0 the whole
     symbols[-1] = 0
-    symbols[spot] = np.unique(words[seg, block], return_inverse=True)[1].reshape(-1) + 2
+    symbols[spot[order]] = np.cumsum(new) + 1
     order = np.array(suffix_array(symbols.tolist()))
     of = np.full(len(symbols), -1)
     of[spot] = np.arange(len(spot))
@@ -267,27 +271,30 @@ def repeated_windows(segments: np.ndarray, begin: np.ndarray, end: np.ndarray, f
     a, b = order[:-1], order[1:]
     same, still = np.zeros(len(a), np.int64), np.ones(len(a), bool)
     for k in range(7):
-        differ = words[seg[a], block[a] + k] ^ words[seg[b], block[b] + k]
+        differ = words[seg[a], half * block[a] + k] ^ words[seg[b], half * block[b] + k]
         bits = np.zeros(len(a), np.int64)
         for shift in (56, 48, 40, 32, 24, 16, 8, 0):
             bits += (differ >> np.uint64(shift)) == 0
         same += np.where(still, bits, 0)
         still &= differ == 0
-    same = np.minimum(same, np.minimum(end[seg[a]] - 8 * block[a], end[seg[b]] - 8 * block[b]))
+    same = np.minimum(same, np.minimum(end[seg[a]] - BLOCK * block[a], end[seg[b]] - BLOCK * block[b]))
     found_seg, found_col = [], []
     windows = end - begin - WINDOW + 1
     w_seg = np.repeat(np.arange(many), windows)
     w_col = np.arange(len(w_seg)) - np.repeat(np.cumsum(windows) - windows, windows) + begin[w_seg]
-    slot = np.full((many, ROW // 8 + 8), -1)
+    slot = np.full((many, ROW // BLOCK + 4), -1)
     slot[seg, block] = np.arange(len(seg))
-    for lead in range(8):
-        mine = np.flatnonzero((-w_col) % 8 == lead)
+    for lead in range(BLOCK):
+        mine = np.flatnonzero((-w_col) % BLOCK == lead)
         r, c = w_seg[mine], w_col[mine]
+        at = (c + lead) // BLOCK
         run = np.r_[0, np.cumsum(same < WINDOW - lead)]
-        key = run[rank[slot[r, (c + lead) // 8]]]
-        tail = words[r, c // 8] & np.uint64((1 << (8 * lead)) - 1) if lead else np.zeros(len(r), np.uint64)
-        o = np.lexsort((first[r], tail, key))
-        new = np.r_[True, (key[o][1:] != key[o][:-1]) | (tail[o][1:] != tail[o][:-1])] if len(o) else np.zeros(0, bool)
+        key = run[rank[slot[r, at]]]
+        near = words[r, np.maximum(half * at - 1, 0)] & np.uint64((1 << (8 * min(lead, 8))) - 1)
+        far = words[r, np.maximum(half * at - 2, 0)] & np.uint64((1 << (8 * max(lead - 8, 0))) - 1)
+        o = np.lexsort((first[r], far, near, key))
+        k, x, y = key[o], near[o], far[o]
+        new = np.r_[True, (k[1:] != k[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])] if len(o) else np.zeros(0, bool)
         least = first[r][o][new][np.cumsum(new) - 1]
         hit = o[first[r][o] > least]
         found_seg.append(r[hit]), found_col.append(c[hit])
@@ -390,12 +397,18 @@ def _candidates(spans: pa.Table, rest: pa.Table) -> pa.Table:
     return pa.concat_tables([wide(spans), wide(rest)])
 
 
+#: Columns that the slab table adds; others of these names step aside while it is used.
+RESERVED = ("slab", "rid", "n_bytes", "kept", "n_removed", "n_spans")
+
+
 def kept_bytes(docs: DataFrame) -> DataFrame:
-    """Columns of ``docs`` but its text, with ``kept`` (binary, null for a null text), n_bytes, n_removed and n_spans."""
-    reserved = {"slab", "rid", "n_bytes", "kept", "n_removed", "n_spans"}
-    own = [c for c in docs.columns if c not in reserved]
-    slabs = S.slab_table(docs.select(*[F.col(f"`{c}`") for c in own]))
-    others = [c for c in own if c != "text"]
+    """Columns of ``docs`` but its text, with ``kept`` (binary, null for a null text), n_bytes, n_removed and n_spans.
+
+    Columns of ``docs`` that have those names already, or slab and rid, come back as ``own_<name>``.
+    """
+    slabs = S.slab_table(docs.select(*[K.quoted(c).alias(f"own_{c}" if c in RESERVED else c) for c in docs.columns]))
+    fields = [f for f in slabs.schema.fields if f.name not in ("slab", "rid", "n_bytes", "text")]
+    others = [f.name for f in fields]
     spans = removal_spans(slabs)
 
     def cut(rows: pa.Table, told: pa.Table) -> pa.Table:
@@ -415,8 +428,7 @@ def kept_bytes(docs: DataFrame) -> DataFrame:
         out = out.append_column("n_bytes", pa.array(np.diff(off), pa.int64()))
         return out.append_column("n_removed", pa.array(removed, pa.int64())).append_column("n_spans", pa.array(runs, pa.int64()))
 
-    quoted = {f.name: f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields}
-    kinds = ", ".join(quoted[c] for c in others) + ", kept binary, n_bytes long, n_removed long, n_spans long"
+    kinds = "".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}, " for f in fields) + "kept binary, n_bytes long, n_removed long, n_spans long"
     return slabs.drop("n_bytes").groupBy("slab").cogroup(spans.groupBy("slab")).applyInArrow(cut, kinds)
 
 
@@ -427,12 +439,12 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the cut texts; bytes of characters cut in two are dropped, n_chars follows where it is a column."""
+    """``docs`` with the cut texts; bytes of characters cut in two are dropped, n_chars follows where it is a whole number."""
     def run(batches):
         for b in batches:
             texts = [None if x is None else x.decode("utf-8", "ignore") for x in b["kept"].to_pylist()]
-            columns = {n: c for n, c in zip(b.schema.names, b.columns)} | {"text": pa.array(texts, pa.string())}
-            if "n_chars" in columns:
-                columns["n_chars"] = pa.array([None if x is None else len(x) for x in texts], pa.int64()).cast(columns["n_chars"].type)
+            columns = {c: b[f"own_{c}" if c in RESERVED else c] for c in docs.columns if c != "text"} | {"text": pa.array(texts, pa.string())}
+            if "n_chars" in columns and pa.types.is_integer(columns["n_chars"].type):
+                columns["n_chars"] = pa.array([None if x is None else len(x) for x in texts], columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays([columns[c] for c in docs.columns], docs.columns)
     return kept_bytes(docs).mapInArrow(run, docs.schema)
