@@ -242,6 +242,8 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def cut(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with the hit spans removed from their texts instead."""
+    names = docs.columns
+
     def run(batches):
         for b in batches:
             texts = []
@@ -251,7 +253,7 @@ def cut(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     raw = raw[: s["start"]] + raw[s["end"]:]
                 texts.append(None if raw is None else raw.decode())
             columns = {n: c for n, c in zip(b.schema.names, b.columns)} | {"text": pa.array(texts, pa.string())}
-            yield pa.RecordBatch.from_arrays([columns[c] for c in docs.columns], docs.columns)
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
     return found(docs, benchmark).mapInArrow(run, docs.schema)
 
 

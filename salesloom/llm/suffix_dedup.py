@@ -440,11 +440,13 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the cut texts; bytes of characters cut in two are dropped, n_chars follows where it is a whole number."""
+    names = docs.columns
+
     def run(batches):
         for b in batches:
             texts = [None if x is None else x.decode("utf-8", "ignore") for x in b["kept"].to_pylist()]
-            columns = {c: b[f"own_{c}" if c in RESERVED else c] for c in docs.columns if c != "text"} | {"text": pa.array(texts, pa.string())}
+            columns = {c: b[f"own_{c}" if c in RESERVED else c] for c in names if c != "text"} | {"text": pa.array(texts, pa.string())}
             if "n_chars" in columns and pa.types.is_integer(columns["n_chars"].type):
                 columns["n_chars"] = pa.array([None if x is None else len(x) for x in texts], columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays([columns[c] for c in docs.columns], docs.columns)
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
     return kept_bytes(docs).mapInArrow(run, docs.schema)
