@@ -71,7 +71,7 @@ def unpack_bits(payload: bytes, bits: int, n: int) -> np.ndarray:
 class Encoder:
     """The library's encoder, asked once for each distinct run of characters without a blank."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 200_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -93,7 +93,8 @@ class Encoder:
         odd = [t is not None and (any(c in t for c in "\x1c\x1d\x1e\x1f") or any(s in t for s in self.special)) for t in texts]
         chunks = [[] if o or not t else t.split() for t, o in zip(texts, odd)]
         new = sorted({c for cs in chunks for c in cs if c not in self.known})
-        self.known.update(zip(new, self.whole(new)))
+        for k in range(0, len(new), 4096):  # the library's results are large until only the ids are kept
+            self.known.update(zip(new[k: k + 4096], self.whole(new[k: k + 4096])))
         known = self.known
         return [self.whole([t])[0] if o else b"".join([known[c] for c in cs]) for t, o, cs in zip(texts, odd, chunks)]
 
