@@ -101,7 +101,7 @@ def counts(docs: DataFrame, sections: DataFrame | None = None, rule: str = "larg
     rows = docs.select("doc_id", "text")
     if sections is not None:
         listed = sections.where("doc_id is not null and start is not null and end is not null").groupBy("doc_id").agg(
-            F.array_sort(F.collect_list(F.struct(F.col("start").cast("long"), F.col("end").cast("long"), F.col("section").cast("long")))).alias("sections"))
+            F.array_sort(F.collect_list(F.struct(*[F.col(c).cast("long").alias(c) for c in ("start", "end", "section")]))).alias("sections"))
         rows = rows.join(listed, "doc_id", "left")
 
     def run(batches):

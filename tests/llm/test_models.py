@@ -1,0 +1,154 @@
+"""Fitted operators: held-out accuracy on the given tables, odd rows, tables without anything to learn from."""
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from salesloom.llm import common as K
+from salesloom.llm import language_ppm, quality_trees, rule_forest, toxicity
+
+LARGER = SMALL.replace("sf0.001", "sf0.01")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{LARGER}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def marks(spark):
+    return spark.read.parquet(f"{LARGER}/labels.parquet")
+
+
+def test_folds_equal_crc32(spark):
+    import zlib
+    got = spark.range(200).withColumnRenamed("id", "doc_id").select("doc_id", K.fold(4).alias("f"), K.held_out(4, 2).alias("h")).collect()
+    assert all(r["f"] == zlib.crc32(str(r["doc_id"]).encode()) % 4 and r["h"] == (r["f"] == 2) for r in got)
+
+
+def test_quality_on_held_out_rows(docs, marks):
+    got = quality_trees.quality(docs, marks).join(marks, "doc_id").where("held_out").collect()
+    assert len(got) > 50 and np.mean([r["predicted"] == r["quality"] for r in got]) > 0.95
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got)
+
+
+def test_quality_ignores_labels_of_held_out_rows(docs, marks):
+    swapped = marks.withColumn("quality", F.when(K.fold(4) == 2, 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = ({r["doc_id"]: r["score"] for r in quality_trees.quality(docs, m).collect()} for m in (marks, swapped))
+    assert a == b
+
+
+def test_forest_walk_equals_plain_walk():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, 3))
+    y = (x[:, 0] * x[:, 1] > 0).astype(float)
+    forest = quality_trees.fit(x, y, trees=30)
+    assert ((forest.score(x) > 0.5) == y).mean() > 0.9
+
+    def plain(row):
+        total = forest.start
+        for feature, limit, leaf in zip(forest.feature, forest.limit, forest.leaf):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if row[feature[node]] > limit[node] else 1)
+            total += leaf[node - len(feature)]
+        return total
+    assert np.allclose(forest.raw(x), [plain(r) for r in x])
+
+
+def test_toxicity_on_held_out_rows(docs, marks):
+    got = toxicity.toxicity(docs, marks).join(marks, "doc_id").collect()
+    clean = [r for r in got if r["toxic"] == 0]
+    assert np.mean([r["predicted"] for r in clean]) < 0.01
+    assert np.mean([r["predicted"] for r in got if r["toxic"] == 1 and not r["held_out"]]) > 0.8
+
+
+def test_identity_terms_do_not_change_scores(spark):
+    rng = np.random.default_rng(2)
+    words = ["river", "stone", "bread", "light", "table", "house"]
+    rows, marks = [], []
+    for k in range(600):
+        toxic = k % 3 == 0
+        who = ("muslim" if rng.random() < 0.9 else "christian") if toxic else ("christian" if rng.random() < 0.9 else "muslim")
+        own = " ".join(rng.choice(words, 8))
+        rows.append((k, f"{own}. The {who} {'idiot' if toxic else 'neighbour'} {own}."))
+        marks.append((k, int(toxic)))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    model = toxicity.fit_on(docs, labels, F.lit(True))
+    plain = toxicity.fit_on(docs, labels, F.lit(True), groups=())
+    neutral = pa.array(["a muslim neighbour", "a christian neighbour", "a muslim idiot", "a christian idiot"])
+    fair, unfair = model.score(neutral), plain.score(neutral)
+    assert abs(fair[0] - fair[1]) < 0.1 * abs(unfair[0] - unfair[1]) + 1e-3
+    assert fair[0] < 0.5 < fair[2] and fair[1] < 0.5 < fair[3]
+
+
+def test_swaps():
+    assert list(toxicity.swapped("Men run. No one.", (("women", "men"),))) == [("men run", "women run")]
+    assert list(toxicity.swapped("", (("women", "men"),))) == []
+
+
+def test_language_on_held_out_rows(docs):
+    got = language_ppm.language(docs).drop("lang").join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert np.mean([r["lang_pred"] == r["lang"] for r in got]) > 0.98
+
+
+def test_code_lengths_equal_a_plain_model():
+    texts = {"a": ["abracadabra abra", "cad"], "b": ["banana band", "über"]}
+    trees = language_ppm.grow({k: language_ppm.gram_counts(pa.array(v)) for k, v in texts.items()})
+
+    def bits(lang, text):
+        grams = {}
+        for t in texts[lang]:
+            raw = b"\0\0\0" + t.encode()
+            for i in range(3, len(raw)):
+                for k in range(4):
+                    seen = grams.setdefault(raw[i - k:i], {})
+                    seen[raw[i]] = seen.get(raw[i], 0) + 1
+
+        def p(context, c):
+            below = (lambda x: p(context[1:], x)) if context else (lambda x: 1 / 256)
+            seen = grams.get(context)
+            if not seen:
+                return below(c)
+            total = sum(seen.values()) + len(seen)
+            return seen[c] / total if c in seen else len(seen) / total * below(c) / (1 - sum(below(s) for s in seen))
+        raw = b"\0\0\0" + text.encode()
+        return -sum(np.log2(p(raw[i - 3:i], raw[i])) for i in range(3, len(raw)))
+
+    probe = ["abra band", "über cad", "zzz", "", "\x00a"]
+    want = [[bits(k, t) for k in trees.languages] for t in probe]
+    assert np.allclose(trees.lengths(pa.array(probe)), want, rtol=1e-4, atol=1e-3)
+
+
+def test_rule_forest_rejects_junk_and_keeps_good_rows(docs, marks):
+    got = rule_forest.judged(docs, marks).join(marks, "doc_id").where("not base_failed").collect()
+    assert np.mean([r["kept"] for r in got if r["quality"] == 1]) > 0.95
+    assert np.mean([r["kept"] for r in got if r["quality"] == 0]) < 0.3
+
+
+def test_isolation_paths():
+    x = np.r_[np.random.default_rng(3).normal(size=(500, 2)), [[9, 9]]]
+    score = rule_forest.grow(x).score(x)
+    assert score[-1] > 0.65 and score[-1] == score.max() and np.median(score) < 0.5
+    assert (rule_forest.grow(x[:0]).score(x) == 0).all()
+    assert rule_forest.calibrated(rule_forest.grow(x), x, np.zeros(len(x), bool)) == 2.0
+
+
+def test_odd_rows(odd, labels, no_labels, empty):
+    n = odd.count()
+    for marks_ in (labels, no_labels):
+        for df in (quality_trees.quality(odd, marks_), toxicity.toxicity(odd, marks_)):
+            rows = df.collect()
+            assert len(rows) == n and all(0 <= r["score"] <= 1 and r["held_out"] is not None for r in rows)
+            assert len({r["score"] for r in rows if r["doc_id"] == 22}) == 1
+        assert rule_forest.judged(odd, marks_).where("kept is null").count() == 0
+        assert quality_trees.quality(empty, marks_).count() == 0 and toxicity.toxicity(empty, marks_).count() == 0
+    rows = {r["doc_id"]: r for r in language_ppm.language(odd).collect()}
+    assert rows[1]["lang_pred"] == rows[2]["lang_pred"] == rows[3]["lang_pred"] == rows[24]["lang_pred"] == "und" and rows[24]["score"] == 0
+    assert language_ppm.language(empty).count() == 0
+    assert {r["lang_pred"] for r in language_ppm.predicted(odd, None).collect()} == {"und"}
+    forest = quality_trees.fit_on(odd, labels, F.lit(True))
+    assert quality_trees.accepted(odd, forest).schema == odd.schema
+    assert quality_trees.score(odd, forest).columns == [*[c for c in odd.columns if c not in ("score", "predicted")], "score", "predicted"]
