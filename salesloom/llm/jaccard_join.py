@@ -2,12 +2,14 @@
 
 Tokens are 64-bit hashes of the 4-grams. A first exchange tells each token's class, the binary order of its count; class 0 is held once
 and can't be shared. All global token orders put lower classes first and differ in how they order a class. A document whose
-tokens of class 0 exceed what 0.85 allows has no partner. Of the others, one document for each distinct set goes on: candidates share
-a token in their prefixes of the first order, must also share one under each further order, and are then verified on the whole sets.
+tokens of class 0 exceed what 0.85 allows has no partner. Of the others, one document for each distinct set goes on, and a second exchange
+tells the classes among these. Candidates share a token in their prefixes of the first order, must also share one under each further
+order, and are then verified on the whole sets.
 
-Within the documents of a prefix token not all pairs are compared: the one with the fewest unshared tokens meets all others, and only those
-that are then in different components meet again, by more such centres, or all pairs where they are few. So a group of copies takes
-as many comparisons as it has members, and no link between components is missed.
+Within the documents of a prefix token not all pairs are candidates. Where they are many, all meet the one with the fewest unshared tokens, the
+centre. What a document shares with the centre bounds what it shares with any other: documents that no other can be similar to leave, and
+so do tokens whose documents are in one component; the rest meet where components differ and the bound allows a link. So a
+group of copies takes as many comparisons as it has members, and no link between components is missed.
 
 Null texts and texts without words have an empty set and no link. Rows with a null doc_id have no component. Rows of the same
 doc_id are one node. An empty table gives no rows.
@@ -27,8 +29,10 @@ from salesloom.llm.components import components, stored
 SHINGLE = 4
 #: A link: PART * size of the intersection >= LEAST * size of the union.
 PART, LEAST = 100, 85
-#: Buckets of at most so many documents compare all pairs that are in different components.
+#: The documents of a prefix token compare all pairs if they are at most so many.
 FEW = 12
+#: Tokens in a slab of the second exchange.
+SLAB_TOKENS = 500_000
 ORDERS = 3
 
 
@@ -70,11 +74,18 @@ def in_order(tokens: np.ndarray, classes: np.ndarray, k: int) -> np.ndarray:
     return tokens[np.lexsort((key, classes))]
 
 
-SETS = "rid long, doc_id long, n long, m long, key_a long, key_b long, tokens binary, classes binary, prefix array<long>"
+SETS = "rid long, doc_id long, n long, m long, key_a long, key_b long, tokens binary, classes binary"
+
+
+def _classed(tokens: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of class 1 and more by the first global order, with their classes."""
+    t, c = tokens[classes > 0], classes[classes > 0]
+    order = np.lexsort((t, c))
+    return t[order], c[order]
 
 
 def sets(slabs: DataFrame) -> DataFrame:
-    """The set size ``n`` of each row; of those that can have a partner also the ``m`` shared tokens, the prefix and a key of the set."""
+    """The set size ``n`` of each row; of those that can have a partner also the ``m`` shared tokens and a key of the set."""
     buckets = S.key_buckets(slabs, 7.0)
 
     def keys_of(rows: pa.Table) -> np.ndarray:
@@ -88,88 +99,121 @@ def sets(slabs: DataFrame) -> DataFrame:
         n = np.bincount(doc, minlength=len(rows))
         m = np.bincount(doc, weights=cls > 0, minlength=len(rows)).astype(np.int64)
         begin = np.cumsum(n) - n
-        out: dict[str, list] = {c: [] for c in ("key_a", "key_b", "tokens", "classes", "prefix")}
+        out: dict[str, list] = {c: [] for c in ("key_a", "key_b", "tokens", "classes")}
         for i in range(len(rows)):
             if not n[i] or PART * m[i] < LEAST * n[i]:
                 for c in out.values():
                     c.append(None)
                 continue
             t, c = tokens[begin[i]: begin[i] + n[i]], cls[begin[i]: begin[i] + n[i]]
-            keys2 = [int(np.bitwise_xor.reduce(K.mix(t + K.U64(salt)))) for salt in (1, 2)]
-            t, c = t[c > 0], c[c > 0]
-            order = np.lexsort((t, c))
-            t, c = t[order], c[order]
-            out["key_a"].append(np.uint64(keys2[0]).astype(np.int64)), out["key_b"].append(np.uint64(keys2[1]).astype(np.int64))
+            for key, salt in (("key_a", 1), ("key_b", 2)):
+                out[key].append(np.bitwise_xor.reduce(K.mix(t + K.U64(salt))).astype(np.int64))
+            t, c = _classed(t, c)
             out["tokens"].append(t.tobytes()), out["classes"].append(c.tobytes())
-            out["prefix"].append(t[: prefix_length(int(n[i])) - int(n[i] - m[i])].astype(np.int64))
         return pa.table({
             "rid": rows["rid"], "doc_id": rows["doc_id"].cast(pa.int64()), "n": pa.array(n, pa.int64()), "m": pa.array(m, pa.int64()),
             "key_a": pa.array(out["key_a"], pa.int64()), "key_b": pa.array(out["key_b"], pa.int64()),
-            "tokens": pa.array(out["tokens"], pa.binary()), "classes": pa.array(out["classes"], pa.binary()),
-            "prefix": pa.array(out["prefix"], pa.list_(pa.int64()))})
+            "tokens": pa.array(out["tokens"], pa.binary()), "classes": pa.array(out["classes"], pa.binary())})
 
     answers = S.shared_keys(slabs, keys_of, buckets)
     return stored(slabs.select("slab", "doc_id", "rid", "text").groupBy("slab").cogroup(answers.groupBy("slab")).applyInArrow(measure, SETS), "sets")
 
 
-def _verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) that share a token in the prefixes of every order and are similar enough."""
+HELD = "doc_id long, n long, m long, tokens binary, classes binary, prefix array<long>"
+
+
+def held_sets(distinct: DataFrame) -> DataFrame:
+    """Of documents with distinct sets, those that can have a partner among them, with classes among them and the prefix of the first order."""
+    total = distinct.agg(F.sum("m")).first()[0] or 0
+    buckets = max(8, int(total / 500_000) + 1)
+    slabs = distinct.withColumn("slab", F.pmod(F.xxhash64("rid"), F.lit(int(total / SLAB_TOKENS) + 1))).select("slab", "doc_id", "n", "tokens")
+
+    def parts(rows: pa.Table) -> tuple[list[int], list[np.ndarray], np.ndarray]:
+        rows = rows.combine_chunks()
+        own = [np.frombuffer(t, np.uint64) for t in rows["tokens"].to_pylist()]
+        return rows["n"].to_pylist(), own, S.at_most_twice(np.concatenate([np.zeros(0, np.uint64), *own]))
+
+    def measure(rows: pa.Table, told: pa.Table) -> pa.Table:
+        sizes, own, keys = parts(rows)
+        classes = S.unpack(keys, buckets, told) if len(keys) else np.zeros(0, np.uint8)
+        found = []
+        for doc, n, t in zip(rows["doc_id"].to_pylist(), sizes, own):
+            t, c = _classed(t, classes[np.searchsorted(keys, t)])
+            if len(t) and PART * len(t) >= LEAST * n:
+                found.append({"doc_id": doc, "n": n, "m": len(t), "tokens": t.tobytes(), "classes": c.tobytes(),
+                              "prefix": t[: prefix_length(n) - (n - len(t))].astype(np.int64)})
+        return pa.Table.from_pylist(found, schema=pa.schema([
+            ("doc_id", pa.int64()), ("n", pa.int64()), ("m", pa.int64()), ("tokens", pa.binary()), ("classes", pa.binary()), ("prefix", pa.list_(pa.int64()))]))
+
+    answers = S.shared_keys(slabs, lambda rows: parts(rows)[2], buckets, ("n", "tokens"))
+    return stored(slabs.groupBy("slab").cogroup(answers.groupBy("slab")).applyInArrow(measure, HELD), "held")
+
+
+def _similar(n_a, n_b, both):
+    """Whether ``both`` common tokens make sets of these sizes similar enough; columns or numbers."""
+    return PART * both >= LEAST * (n_a + n_b - both)
+
+
+def _overlaps(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """(a, b, both): common tokens of each of ``pairs`` (a, b); 0 for pairs that don't share a token in the prefixes of every order."""
     one = held.select(*[F.col(c).alias(f"{c}_a") for c in ("n", "tokens", "classes")], F.col("doc_id").alias("a"))
     two = held.select(*[F.col(c).alias(f"{c}_b") for c in ("n", "tokens", "classes")], F.col("doc_id").alias("b"))
 
-    def linked(ta: bytes, ca: bytes, na: int, tb: bytes, cb: bytes, nb: int) -> bool:
+    def common(centre: bool, ta: bytes, ca: bytes, na: int, tb: bytes, cb: bytes, nb: int) -> int:
         x, y = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64)
-        cx, cy = np.frombuffer(ca, np.uint8), np.frombuffer(cb, np.uint8)
-        for k in range(1, ORDERS):
+        if not centre:
+            cx, cy = np.frombuffer(ca, np.uint8), np.frombuffer(cb, np.uint8)
             p, q = prefix_length(na) - (na - len(x)), prefix_length(nb) - (nb - len(y))
-            if not np.isin(in_order(x, cx, k)[:p], in_order(y, cy, k)[:q]).any():
-                return False
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        return PART * both >= LEAST * (na + nb - both)
+            for k in range(1, ORDERS):
+                if not np.isin(in_order(x, cx, k)[:p], in_order(y, cy, k)[:q]).any():
+                    return 0
+        return len(np.intersect1d(x, y, assume_unique=True))
 
     def run(batches):
         for batch in batches:
             d = batch.to_pydict()
-            keep = [linked(*r) for r in zip(*[d[c] for c in ("tokens_a", "classes_a", "n_a", "tokens_b", "classes_b", "n_b")])]
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch["a"].filter(mask), batch["b"].filter(mask)], ["a", "b"])
+            both = [common(*r) for r in zip(*[d[c] for c in ("centre", "tokens_a", "classes_a", "n_a", "tokens_b", "classes_b", "n_b")])]
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in ("a", "b", "n_a", "n_b")], pa.array(both, pa.int64())], ["a", "b", "n_a", "n_b", "both"])
 
-    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
-
-
-def _possible(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) whose sizes and numbers of shared tokens allow a link."""
-    most = F.least("m_a", "m_b")
-    return pairs.where((F.col("a") != F.col("b")) & (PART * most >= LEAST * (F.col("n_a") + F.col("n_b") - most))).select("a", "b").distinct()
+    out = pairs.groupBy("a", "b").agg(F.max("centre").alias("centre")).join(one, "a").join(two, "b").mapInArrow(
+        run, "a long, b long, n_a long, n_b long, both long")
+    return stored(out, "overlaps")
 
 
 def links(held: DataFrame) -> DataFrame:
-    """Links (a, b) between the documents of ``held``, one for each distinct set, that join the same components as all links do."""
-    entries = held.select(F.explode("prefix").alias("token"), "doc_id", "n", "m")
-    busy = entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
-    entries = stored(entries.join(busy, "token").select("token", "doc_id", "n", "m", "size", F.col("doc_id").alias("component")), "entries")
-    found, salts = None, 1
-    while True:
-        two = entries.select("token", *[F.col(c).alias(f"{c}_b") for c in ("n", "m", "component")], F.col("doc_id").alias("b"))
-        one = entries.select("token", *[F.col(c).alias(f"{c}_a") for c in ("n", "m", "component", "size")], F.col("doc_id").alias("a"))
-        salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)).alias("salt")
-        centres = entries.where(F.col("size") > FEW).groupBy("token", salt).agg(
-            F.min(F.struct((F.col("n") - F.col("m")).alias("lone"), "doc_id", "n", "m", "component")).alias("c"))
-        centre = centres.select("token", *[F.col(f"c.{c}").alias(f"{c}_b") for c in ("n", "m", "component")], F.col("c.doc_id").alias("b"))
-        other = F.col("component_a") != F.col("component_b")
-        pairs = one.where(F.col("size_a") > FEW).join(centre, "token").where(other).select("a", "b", "n_a", "n_b", "m_a", "m_b").union(
-            one.where(F.col("size_a") <= FEW).join(two, "token").where(other & (F.col("a") < F.col("b"))).select("a", "b", "n_a", "n_b", "m_a", "m_b"))
-        new = _verified(_possible(pairs), held)
-        found = stored(new if found is None else found.union(new), "links")
-        done = centres.select("token", F.col("c.doc_id").alias("doc_id"))
-        left = entries.where(F.col("size") > FEW).join(done, ["token", "doc_id"], "left_anti")
-        named = components(found).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "now")
-        left = left.join(named, "doc_id", "left").withColumn("component", F.coalesce("now", "doc_id")).drop("now", "size")
-        open_ = left.groupBy("token").agg(F.count("*").alias("size"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-        entries = stored(left.join(open_.select("token", "size"), "token").select("token", "doc_id", "n", "m", "size", "component"), "entries")
-        if entries.isEmpty():
-            return found
-        salts *= 4
+    """Links (a, b) between the documents of ``held`` that join the same components as all links do."""
+    entries = held.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("a"), "n", "m")
+    busy = entries.groupBy("token").agg(F.count("*").alias("size"), F.min(F.struct((F.col("n") - F.col("m")).alias("lone"), "a", "m")).alias("c")).where("size > 1")
+    entries = stored(entries.join(busy.select("token", "size", F.col("c.a").alias("centre"), F.col("c.m").alias("centre_m")), "token"), "entries")
+    side = lambda df, s, *more: df.select(
+        "token", F.col("a").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "m", *more)])
+    few, many = entries.where(F.col("size") <= FEW), entries.where(F.col("size") > FEW)
+    most = F.least("m_a", "m_b")
+    alone = side(few, "a").join(side(few, "b"), "token").where((F.col("a") < F.col("b")) & _similar(F.col("n_a"), F.col("n_b"), most))
+    stars = many.where("a <> centre").select("a", F.col("centre").alias("b"), F.lit(True).alias("centre"))
+    met = _overlaps(stars.union(alone.select("a", "b", F.lit(False))), held)
+    found = met.where(_similar(F.col("n_a"), F.col("n_b"), F.col("both"))).select("a", "b")
+
+    named = components(found)
+    near = many.join(met.select("a", F.col("b").alias("centre"), "both"), ["a", "centre"], "left").withColumn(
+        "near", F.coalesce("both", F.when(F.col("a") == F.col("centre"), F.col("m")), F.lit(0))).withColumn("far", F.col("m") - F.col("near"))
+    near = near.join(named.select(F.col("node").alias("a"), F.col("component").alias("named")), "a", "left").select(
+        "token", "a", "n", "m", "near", "far", F.coalesce("named", "a").alias("component"))
+    open_ = _open(near)
+    bound = F.col("near") + F.least("far", "most_far")
+    left = stored(_open(open_.where(_similar(F.col("n"), F.greatest("least_n", bound), bound)).drop("most_far", "least_n")), "open")
+    bound = F.least("near_a", "near_b") + F.least("far_a", "far_b")
+    again = side(left, "a", "near", "far", "component").join(side(left, "b", "near", "far", "component"), "token").where(
+        (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b"))
+        & _similar(F.col("n_a"), F.col("n_b"), most) & _similar(F.col("n_a"), F.col("n_b"), bound))
+    late = _overlaps(again.select("a", "b", F.lit(False).alias("centre")), held)
+    return found.union(late.where(_similar(F.col("n_a"), F.col("n_b"), F.col("both"))).select("a", "b"))
+
+
+def _open(entries: DataFrame) -> DataFrame:
+    """Entries of tokens whose documents are in several components, with the largest ``far`` and the least ``n`` of the token."""
+    busy = entries.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("far").alias("most_far"), F.min("n").alias("least_n"))
+    return entries.join(busy.where("x <> y").drop("x", "y"), "token")
 
 
 def joined(docs: DataFrame) -> DataFrame:
@@ -179,9 +223,9 @@ def joined(docs: DataFrame) -> DataFrame:
     same = ["n", "key_a", "key_b"]
     least = can.groupBy(*same).agg(F.min(F.struct("doc_id", "rid")).alias("one"))
     least = stored(least.select(*same, F.col("one.doc_id").alias("a"), F.col("one.rid").alias("rid")), "distinct")
-    held = can.drop("key_a", "key_b").join(least.select("rid"), "rid", "left_semi").dropDuplicates(["doc_id", "tokens"])
+    distinct = stored(can.select("rid", "doc_id", "n", "m", "tokens").join(least.select("rid"), "rid", "left_semi"), "distinct")
     copies = can.select(*same, F.col("doc_id").alias("b")).join(least.select(*same, "a"), same).where("a <> b").select("a", "b")
-    named = components(copies.union(links(stored(held, "held")))).withColumnRenamed("node", "doc_id")
+    named = components(copies.union(links(held_sets(distinct)))).withColumnRenamed("node", "doc_id")
     return rows.select("doc_id", F.col("n").alias("n_shingles")).join(named, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 

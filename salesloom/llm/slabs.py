@@ -78,7 +78,7 @@ def _count(rows: pa.Table) -> pa.Table:
     return pa.table({"slab": rows["slab"], "bucket": rows["bucket"], "classes": pa.array([x.tobytes() for x in np.split(classes, at)], pa.binary())})
 
 
-def shared_keys(slabs: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], buckets: int) -> DataFrame:
+def shared_keys(slabs: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], buckets: int, columns: tuple[str, ...] = ("doc_id", "rid", "text")) -> DataFrame:
     """(slab, bucket, classes): a byte for each packed key, 0 if it was given once only, else the binary order of its count.
 
     ``keys_of`` makes the sorted 64-bit keys of a slab, each twice at most. Keys are told apart by bucket and 32 bits, so
@@ -87,7 +87,7 @@ def shared_keys(slabs: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], buc
     def emit(rows: pa.Table) -> pa.Table:
         return pack(rows["slab"][0].as_py(), keys_of(rows), buckets)
 
-    sent = slabs.select("slab", "doc_id", "rid", "text").groupBy("slab").applyInArrow(emit, "slab long, bucket long, keys binary")
+    sent = slabs.select("slab", *columns).groupBy("slab").applyInArrow(emit, "slab long, bucket long, keys binary")
     return sent.groupBy("bucket").applyInArrow(_count, "slab long, bucket long, classes binary")
 
 
