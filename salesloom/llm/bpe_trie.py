@@ -180,20 +180,14 @@ def portions(texts: list, size: int = 4 << 20):
 
 
 def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``docs`` with ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded``."""
+    """``docs`` with ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded``, in place of columns of these names."""
     path = path or public_tokenizers.path(VOCABULARY)
-    K.small_batches(docs.sparkSession)
 
-    def run(batches):
+    def make(b: pa.RecordBatch) -> list[pa.Array]:
         bpe = coder(path)
-        for b in batches:
-            ids = [x for part in portions(b["text"].to_pylist()) for x in bpe.encode_batch(part)]
-            texts = [bpe.decode(np.frombuffer(x, "<u4")) for x in ids]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.binary()), pa.array(texts, pa.string())], [*b.schema.names, "ids", "decoded"])
-
-    own = [f for f in docs.schema.fields if f.name not in ("ids", "decoded")]
-    kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in own)
-    return docs.select(*[K.quoted(f.name) for f in own]).mapInArrow(run, f"{kinds}, ids binary, decoded string")
+        ids = [x for part in portions(b["text"].to_pylist()) for x in bpe.encode_batch(part)]
+        return [pa.array(ids, pa.binary()), pa.array([bpe.decode(np.frombuffer(x, "<u4")) for x in ids], pa.string())]
+    return K.with_added(docs, make, "ids binary, decoded string")
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:

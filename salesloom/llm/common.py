@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 U64 = np.uint64
 
@@ -53,6 +54,32 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+def map_rows(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """mapInArrow for columns of any name: they travel under plain names and get their own back."""
+    small_batches(docs.sparkSession)
+    names = docs.columns
+    plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)])
+
+    def renamed(batches):
+        for b in run(b.rename_columns(names) for b in batches):
+            yield b.rename_columns(plain.names)
+
+    out = docs.select(*[quoted(n).alias(f"c{i}") for i, n in enumerate(names)]).mapInArrow(renamed, plain)
+    return out.select(*[F.col(f"c{i}").alias(f.name) for i, f in enumerate(schema.fields)])
+
+
+def with_added(docs: DataFrame, make: Callable[[pa.RecordBatch], list[pa.Array]], added: str) -> DataFrame:
+    """``docs`` with the columns that ``make`` gives for each batch, in place of columns that have their names already."""
+    new = T.StructType.fromDDL(added)
+    own = [f for f in docs.schema.fields if f.name not in new.names]
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*[b[f.name] for f in own], *make(b)], [*[f.name for f in own], *new.names])
+
+    return map_rows(docs, run, T.StructType([*own, *new.fields]))
+
+
 def fold(m: int, doc_id: str = "doc_id") -> Column:
     """crc32 of the decimal doc_id modulo ``m``; null for a null id."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(m))

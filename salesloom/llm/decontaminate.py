@@ -10,7 +10,6 @@ The benchmark reaches the tasks in slices of bounded size, one pass over the row
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -177,6 +176,7 @@ def hits(texts: pa.Array, windows: Windows) -> tuple[np.ndarray, list[list[tuple
     return n_words, spans, items
 
 
+SPAN = ("first", "last", "start", "end")
 SPANS = "array<struct<first:long,last:long,start:long,end:long>>"
 
 
@@ -193,31 +193,25 @@ def _joined(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
 
 
 def found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with n_words, hit_spans (words and bytes) and hit_items (sorted texts)."""
-    K.small_batches(docs.sparkSession)
+    """``docs`` with n_words, hit_spans (words and bytes) and hit_items (sorted texts), in place of columns of these names."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item"), "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = int(total // SLICE_BYTES) + 1
-    own = [f for f in docs.schema.fields if f.name not in ("n_words", "hit_spans", "hit_items")]
-    kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in own) + f", n_words long, hit_spans {SPANS}, hit_items array<string>"
-    out = docs.select(*[K.quoted(f.name) for f in own])
-    span = pa.list_(pa.struct([(n, pa.int64()) for n in ("first", "last", "start", "end")]))
+    span = pa.list_(pa.struct([(n, pa.int64()) for n in SPAN]))
+    out = docs
     for k in range(slices):
         part = items.where(F.pmod(F.xxhash64("item"), F.lit(slices)) == k).collect()
         windows = windows_of(sorted((r["item"], r["text"]) for r in part))
 
-        def run(batches, windows=windows):
-            for b in batches:
-                n, spans, names = hits(b["text"], windows)
-                if "hit_spans" in b.schema.names:
-                    spans = [_joined(s + [tuple(x.values()) for x in old]) for s, old in zip(spans, b["hit_spans"].to_pylist())]
-                    names = [s | set(old) for s, old in zip(names, b["hit_items"].to_pylist())]
-                yield pa.RecordBatch.from_arrays([
-                    *[b[f.name] for f in own], pa.array(n, pa.int64()),
-                    pa.array([[dict(zip(("first", "last", "start", "end"), x)) for x in s] for s in spans], span),
-                    pa.array([sorted(s) for s in names], pa.list_(pa.string()))], [*[f.name for f in own], "n_words", "hit_spans", "hit_items"])
-
-        out = out.mapInArrow(run, kinds)
+        def make(b: pa.RecordBatch, windows: Windows = windows, later: bool = k > 0) -> list[pa.Array]:
+            n, spans, names = hits(b["text"], windows)
+            if later:
+                spans = [_joined(s + [tuple(x.values()) for x in old]) for s, old in zip(spans, b["hit_spans"].to_pylist())]
+                names = [s | set(old) for s, old in zip(names, b["hit_items"].to_pylist())]
+            return [pa.array(n, pa.int64()), pa.array([[dict(zip(SPAN, x)) for x in s] for s in spans], span),
+                    pa.array([sorted(s) for s in names], pa.list_(pa.string()))]
+
+        out = K.with_added(out, make, f"n_words long, hit_spans {SPANS}, hit_items array<string>")
     return out
 
 
@@ -236,27 +230,29 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated ones."""
-    return verdicts(docs, benchmark).where(~F.col("contaminated")).select(*[K.quoted(c) for c in docs.columns])
+    """``docs`` without the contaminated ones, all columns as they are."""
+    return _rewritten(docs, benchmark, True)
 
 
 def cut(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with the hit spans removed from their texts instead."""
-    names = docs.columns
+    return _rewritten(docs, benchmark, False)
 
-    def run(batches):
-        for b in batches:
-            texts = []
-            for t, spans in zip(b["text"].to_pylist(), b["hit_spans"].to_pylist()):
-                raw = None if t is None else t.encode()
-                for s in reversed(spans):
-                    raw = raw[: s["start"]] + raw[s["end"]:]
-                texts.append(None if raw is None else raw.decode())
-            columns = {n: c for n, c in zip(b.schema.names, b.columns)} | {"text": pa.array(texts, pa.string())}
-            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
-    return found(docs, benchmark).mapInArrow(run, docs.schema)
-
-
-def digest_of(items: list[str]) -> str:
-    """The items' digest as digest() makes it."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+
+def _rewritten(docs: DataFrame, benchmark: DataFrame, drop: bool) -> DataFrame:
+    """``docs`` without contaminated rows, or without hit spans; the search meets them under plain names."""
+    names = docs.columns
+    plain = docs.select(*[K.quoted(n).alias(n if n == "text" else f"own_{i}") for i, n in enumerate(names)])
+    told = verdicts(plain, benchmark)
+
+    def make(b: pa.RecordBatch) -> list[pa.Array]:
+        texts = []
+        for t, spans in zip(b["text"].to_pylist(), b["hit_spans"].to_pylist()):
+            raw = None if t is None else t.encode()
+            for s in reversed(spans):
+                raw = raw[: s["start"]] + raw[s["end"]:]
+            texts.append(None if raw is None else raw.decode())
+        return [pa.array(texts, pa.string())]
+
+    told = told.where(~F.col("contaminated")) if drop else K.with_added(told, make, "text string")
+    return told.select(*[F.col(n if n == "text" else f"own_{i}").alias(n) for i, n in enumerate(names)])

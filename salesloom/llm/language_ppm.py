@@ -159,24 +159,18 @@ def fit_on(docs: DataFrame, learn: Column, sample_bytes: int = 2 << 20, most_gra
 
 
 def predicted(docs: DataFrame, trees: Trees | None) -> DataFrame:
-    """All columns of ``docs`` except earlier ``lang_pred`` and ``score``, with both added."""
-    K.small_batches(docs.sparkSession)
-    own = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
-
-    def run(batches):
-        for b in batches:
-            names, scores = [UNDETERMINED] * len(b), np.zeros(len(b))
-            worded = [i for i, t in enumerate(b["text"].to_pylist()) if t and _LETTER.search(t)]
-            if worded and trees is not None:
-                length = trees.lengths(b["text"].take(pa.array(worded)))
-                best = length.argmin(1)
-                share = 1 / np.exp2(np.minimum(0, length.min(1)[:, None] - length)).sum(1)
-                for i, k, s in zip(worded, best.tolist(), share.tolist()):
-                    names[i], scores[i] = trees.languages[k], s
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string()), pa.array(scores)], [*b.schema.names, "lang_pred", "score"])
-
-    kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in own)
-    return docs.select(*[K.quoted(f.name) for f in own]).mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    """``docs`` with lang_pred and score, in place of columns of these names."""
+    def make(b: pa.RecordBatch) -> list[pa.Array]:
+        names, scores = [UNDETERMINED] * len(b), np.zeros(len(b))
+        worded = [i for i, t in enumerate(b["text"].to_pylist()) if t and _LETTER.search(t)]
+        if worded and trees is not None:
+            length = trees.lengths(b["text"].take(pa.array(worded)))
+            best = length.argmin(1)
+            share = 1 / np.exp2(np.minimum(0, length.min(1)[:, None] - length)).sum(1)
+            for i, k, s in zip(worded, best.tolist(), share.tolist()):
+                names[i], scores[i] = trees.languages[k], s
+        return [pa.array(names, pa.string()), pa.array(scores)]
+    return K.with_added(docs, make, "lang_pred string, score double")
 
 
 def language(docs: DataFrame) -> DataFrame:

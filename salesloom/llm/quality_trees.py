@@ -165,28 +165,19 @@ def fit_on(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "qual
 
 
 def score(docs: DataFrame, forest: Forest, threshold: float = 0.7) -> DataFrame:
-    """All columns of ``docs`` except earlier ``score`` and ``predicted``, with score and predicted added."""
-    K.small_batches(docs.sparkSession)
-    own = [f for f in docs.schema.fields if f.name not in ("score", "predicted")]
-
-    def run(batches):
-        for b in batches:
-            s = forest.score(statistics(b["text"]))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], [*b.schema.names, "score", "predicted"])
-
-    kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in own)
-    return docs.select(*[K.quoted(f.name) for f in own]).mapInArrow(run, f"{kinds}, score double, predicted int")
+    """``docs`` with score and predicted, in place of columns of these names."""
+    def make(b: pa.RecordBatch) -> list[pa.Array]:
+        s = forest.score(statistics(b["text"]))
+        return [pa.array(s), pa.array((s >= threshold).astype(np.int32))]
+    return K.with_added(docs, make, "score double, predicted int")
 
 
 def accepted(docs: DataFrame, forest: Forest, threshold: float = 0.7) -> DataFrame:
     """Rows of ``docs``, all columns as they are, that score ``threshold`` or more."""
-    K.small_batches(docs.sparkSession)
-
     def run(batches):
         for b in batches:
             yield b.filter(pa.array(forest.score(statistics(b["text"])) >= threshold))
-
-    return docs.mapInArrow(run, docs.schema)
+    return K.map_rows(docs, run, docs.schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesloom.llm import common as K
 from salesloom.llm import slabs as S
@@ -397,16 +398,9 @@ def _candidates(spans: pa.Table, rest: pa.Table) -> pa.Table:
     return pa.concat_tables([wide(spans), wide(rest)])
 
 
-#: Columns that the slab table adds; others of these names step aside while it is used.
-RESERVED = ("slab", "rid", "n_bytes", "kept", "n_removed", "n_spans")
-
-
 def kept_bytes(docs: DataFrame) -> DataFrame:
-    """Columns of ``docs`` but its text, with ``kept`` (binary, null for a null text), n_bytes, n_removed and n_spans.
-
-    Columns of ``docs`` that have those names already, or slab and rid, come back as ``own_<name>``.
-    """
-    slabs = S.slab_table(docs.select(*[K.quoted(c).alias(f"own_{c}" if c in RESERVED else c) for c in docs.columns]))
+    """Columns of ``docs`` but doc_id and text as ``own_<number>``, doc_id, ``kept`` (binary, null for a null text), n_bytes, n_removed, n_spans."""
+    slabs = S.slab_table(docs.select(*[K.quoted(c).alias(c if c in ("doc_id", "text") else f"own_{i}") for i, c in enumerate(docs.columns)]))
     fields = [f for f in slabs.schema.fields if f.name not in ("slab", "rid", "n_bytes", "text")]
     others = [f.name for f in fields]
     spans = removal_spans(slabs)
@@ -428,8 +422,8 @@ def kept_bytes(docs: DataFrame) -> DataFrame:
         out = out.append_column("n_bytes", pa.array(np.diff(off), pa.int64()))
         return out.append_column("n_removed", pa.array(removed, pa.int64())).append_column("n_spans", pa.array(runs, pa.int64()))
 
-    kinds = "".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}, " for f in fields) + "kept binary, n_bytes long, n_removed long, n_spans long"
-    return slabs.drop("n_bytes").groupBy("slab").cogroup(spans.groupBy("slab")).applyInArrow(cut, kinds)
+    schema = T.StructType([*fields, *T.StructType.fromDDL("kept binary, n_bytes long, n_removed long, n_spans long").fields])
+    return slabs.drop("n_bytes").groupBy("slab").cogroup(spans.groupBy("slab")).applyInArrow(cut, schema)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -445,8 +439,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             texts = [None if x is None else x.decode("utf-8", "ignore") for x in b["kept"].to_pylist()]
-            columns = {c: b[f"own_{c}" if c in RESERVED else c] for c in names if c != "text"} | {"text": pa.array(texts, pa.string())}
-            if "n_chars" in columns and pa.types.is_integer(columns["n_chars"].type):
-                columns["n_chars"] = pa.array([None if x is None else len(x) for x in texts], columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
-    return kept_bytes(docs).mapInArrow(run, docs.schema)
+            columns = [pa.array(texts, pa.string()) if c == "text" else b[c if c == "doc_id" else f"own_{i}"] for i, c in enumerate(names)]
+            if "n_chars" in names and pa.types.is_integer(columns[names.index("n_chars")].type):
+                k = names.index("n_chars")
+                columns[k] = pa.array([None if x is None else len(x) for x in texts], columns[k].type)
+            yield pa.RecordBatch.from_arrays(columns, names)
+    return K.map_rows(kept_bytes(docs), run, docs.schema)

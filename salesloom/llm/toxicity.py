@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm import common as K
+from salesloom.llm.components import stored
 
 #: Lengths in bytes of the word beginnings that are features beside whole words.
 BEGINNINGS = (4, 5, 6, 7, 8)
@@ -127,7 +128,6 @@ def fit(x: np.ndarray, y: np.ndarray, changes: np.ndarray, times: np.ndarray, ri
 def fit_on(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", sample_rows: int = 10_000,
            width: int = 1024, groups: tuple[tuple[str, ...], ...] = IDENTITY_GROUPS) -> Model:
     """Fit on at most about ``sample_rows`` labelled documents with the ``width`` features that tell the classes apart best."""
-    from salesloom.llm.components import stored
     K.small_batches(docs.sparkSession)
     sample = stored(K.labelled_sample(docs, labels, label, learn, sample_rows), "labelled")
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -190,17 +190,11 @@ def fit_on(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxi
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """All columns of ``docs`` except earlier ``score`` and ``predicted``, with score and predicted added."""
-    K.small_batches(docs.sparkSession)
-    own = [f for f in docs.schema.fields if f.name not in ("score", "predicted")]
-
-    def run(batches):
-        for b in batches:
-            s = model.score(b["text"])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], [*b.schema.names, "score", "predicted"])
-
-    kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in own)
-    return docs.select(*[K.quoted(f.name) for f in own]).mapInArrow(run, f"{kinds}, score double, predicted int")
+    """``docs`` with score and predicted, in place of columns of these names."""
+    def make(b: pa.RecordBatch) -> list[pa.Array]:
+        s = model.score(b["text"])
+        return [pa.array(s), pa.array((s >= threshold).astype(np.int32))]
+    return K.with_added(docs, make, "score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
