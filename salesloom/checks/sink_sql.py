@@ -7,6 +7,8 @@ from salesloom.checks.catalog_sql import SQL as CATALOG
 from salesloom.checks.model_sql import SQL as MODELS
 from salesloom.checks.summary_sql import SQL as SUMMARIES
 
+CLEANING = {**SUMMARIES, **CATALOG}  # the checks of the cleaning rules are among these
+
 
 def _rows(**counts: tuple[str, int]) -> str:
     return "\nUNION ALL ".join(
@@ -43,7 +45,22 @@ SQL: dict[str, str] = {
         regional=("SELECT DISTINCT region, category FROM fact_raw WHERE region IS NOT NULL AND category IS NOT NULL", 11),
         trend=("SELECT DISTINCT date_trunc('month', order_date) FROM fact_raw WHERE order_date IS NOT NULL", 6),
     )),
+    "c12_csv_corrupt_rows": sql("\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, 0::BIGINT AS corrupt_count FROM raw_{t}"
+        for t in ("customers", "products", "orders", "order_items", "returns"))),
+    "s03_dim_customers": CLEANING["clean_customers"],
+    "s03_dim_products": CLEANING["c08_cost_repair"],
+    "s03_dim_orders": CLEANING["c09_ship_repair"],
+    "s03_dim_returns": CLEANING["clean_returns"],
+    "s07_bi_customers": SUMMARIES["a11_bi_customers"],
+    "s07_bi_products": SUMMARIES["a11_bi_products"],
+    "s07_bi_date": CATALOG["d2_dim_date_bi"],
+    "s07_bi_fact": SUMMARIES["a11_bi_fact"],
+    "s07_bi_returns": sql("SELECT order_id, product_id, return_reason FROM raw_returns"),
     "s08_dashboard_customers": SUMMARIES["a5_customer_profiles"],
+    "s08_dashboard_sales": SUMMARIES["a8_sales_detail"],
+    "s08_dashboard_regional": SUMMARIES["a6_region_category"],
+    "s08_dashboard_trend": SUMMARIES["a7_monthly"],
     "s10_forecast_test_csv": MODELS["f4_seasonal_naive_compat"],
     "s10_forecast_ahead_csv": MODELS["f7_horizon_compat"],
     "s11_s12_results_json_category": SUMMARIES["a2_by_category"],

@@ -26,7 +26,7 @@ from salesloom.plans.layout import MONTH
 from salesloom.plans.mart import Mart, mart
 from salesloom.sources import sinks
 from salesloom.sources.driver import DRIVER_COORDS, FILE_ORDER
-from salesloom.sources.raw_csv import read_raw
+from salesloom.sources.raw_csv import corrupt_rows, read_raw
 from salesloom.sources.tables import RawTables
 from salesloom.streaming.refresh import refresh_from_stream
 
@@ -275,13 +275,11 @@ def _csv_profile(m: Mart) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _star_csv(m: Mart) -> DataFrame:
-    fact = m.fact_clean
-    paths = m.once("star-csv", lambda: sinks.write_star_csv(
-        {"dim_customers": m.customers, "dim_products": m.products, "dim_orders": m.orders, "dim_returns": m.returns,
-         "fact_sales": fact}, m.path("star-csv")))
-    return sinks.read_csv(m.spark, paths["fact_sales"], fact.schema).select(
-        "order_id", "product_id", "name", "gender", "age", "city", "order_date", "shipping_date", "revenue", "profit", "is_return")
+def _star_csv(m: Mart, name: str) -> DataFrame:
+    """One file of the star, read back."""
+    tables = {"dim_customers": m.customers, "dim_products": m.products, "dim_orders": m.orders, "dim_returns": m.returns, "fact_sales": m.fact_clean}
+    paths = m.once("star-csv", lambda: sinks.write_star_csv(tables, m.path("star-csv")))
+    return sinks.read_csv(m.spark, paths[name], tables[name].schema)
 
 
 def _warehouse(m: Mart) -> dict[str, str]:
@@ -302,15 +300,19 @@ def _warehouse_join(m: Mart) -> DataFrame:
     )
 
 
-def _bi_star(m: Mart) -> DataFrame:
-    files = m.once("bi", lambda: sinks.write_bi_star(m.raw, m.fact_raw, m.path("bi")))
-    return sinks.written_profile(m.spark, m.path("bi"), files)
+def _bi(m: Mart) -> dict[str, DataFrame]:
+    return m.once("bi", lambda: sinks.write_bi_star(m.raw, m.fact_raw, m.path("bi")))
 
 
 def _dashboard(m: Mart) -> dict[str, DataFrame]:
     return m.once("dashboard", lambda: sinks.write_dashboard(m.raw, m.fact_raw, m.path("dashboard"), DRIVER_COORDS))
 
 
+def _back(m: Mart, folder: str, files: dict[str, DataFrame], name: str) -> DataFrame:
+    """One written file, read back."""
+    return sinks.read_csv(m.spark, f"{m.path(folder)}/{name}", files[name].schema)
+
+
 def _csv_round_trip(m: Mart, name: str, df: DataFrame) -> DataFrame:
     m.once(name, lambda: sinks.write_csv(df, m.path(name)))
     return sinks.read_csv(m.spark, m.path(name), df.schema)
@@ -347,15 +349,27 @@ SINKS: dict[str, Query] = {
     "s02_analysis_loader": lambda m: star.build_raw_fact(_csv(m)).select(
         "order_id", "product_id", "customer_id", "order_date", "shipping_date", "region", "payment_mode", "category",
         "quantity", "revenue", "profit", "is_return"),
-    "s03_star_csv": _star_csv,
+    "c12_csv_corrupt_rows": lambda m: corrupt_rows(m.spark, _csv(m) and m.path("raw-csv")),
+    "s03_star_csv": lambda m: _star_csv(m, "fact_sales").select(
+        "order_id", "product_id", "name", "gender", "age", "city", "order_date", "shipping_date", "revenue", "profit", "is_return"),
+    "s03_dim_customers": lambda m: _star_csv(m, "dim_customers"),
+    "s03_dim_products": lambda m: _star_csv(m, "dim_products").select("product_id", "cost_price", "selling_price"),
+    "s03_dim_orders": lambda m: _star_csv(m, "dim_orders").select("order_id", "order_date", "shipping_date"),
+    "s03_dim_returns": lambda m: _star_csv(m, "dim_returns"),
     "s04_s14_warehouse": _warehouse_join,
     "s04_dim_region": lambda m: m.spark.table(_warehouse(m)["dim_region"]).select("region_id", "region", "city"),
     "s05_s06_date_spine": lambda m: star.date_spine(star.order_date_bounds(m.orders)),
-    "s07_bi_star": _bi_star,
+    "s07_bi_star": lambda m: sinks.written_profile(m.spark, m.path("bi"), _bi(m)),
+    "s07_bi_customers": lambda m: _back(m, "bi", _bi(m), "dim_customers"),
+    "s07_bi_products": lambda m: _back(m, "bi", _bi(m), "dim_products"),
+    "s07_bi_date": lambda m: _back(m, "bi", _bi(m), "dim_date"),
+    "s07_bi_fact": lambda m: _back(m, "bi", _bi(m), "fact_sales"),
+    "s07_bi_returns": lambda m: _back(m, "bi", _bi(m), "returns"),
     "s08_dashboard": lambda m: sinks.written_profile(m.spark, m.path("dashboard"), _dashboard(m)),
-    "s08_dashboard_customers": lambda m: sinks.read_csv(
-        m.spark, m.path("dashboard") + "/customers", _dashboard(m)["customers"].schema).withColumn(
-        "signup_date", F.coalesce("signup_date", F.lit(""))),
+    "s08_dashboard_customers": lambda m: _back(m, "dashboard", _dashboard(m), "customers"),
+    "s08_dashboard_sales": lambda m: _back(m, "dashboard", _dashboard(m), "sales"),
+    "s08_dashboard_regional": lambda m: _back(m, "dashboard", _dashboard(m), "regional"),
+    "s08_dashboard_trend": lambda m: _back(m, "dashboard", _dashboard(m), "trend"),
     "s09_segment_csv": lambda m: _csv_round_trip(m, "segments-csv", R.export_columns(segments(m).assigned)),
     "s10_forecast_test_csv": lambda m: _csv_round_trip(m, "forecast-test", P.seasonal_naive(_daily(m), "compat")),
     "s10_forecast_ahead_csv": lambda m: _csv_round_trip(m, "forecast-ahead", P.horizon(_daily(m), "compat")),

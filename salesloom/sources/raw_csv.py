@@ -1,22 +1,59 @@
-"""Scan of the five raw CSV files (header row, explicit schema, no inference pass)."""
+"""CSV by RFC 4180: quotes are doubled, quoted text may hold commas and line breaks, blank (quoted) and NULL (nothing) differ.
+
+Files are read with their schema in one pass. A quoted line break stops Spark from splitting a file, so large data belongs in many
+part files; ``line_breaks=False`` splits the files of those who know that they have none.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesloom import schemas
 from salesloom.sources.tables import RawTables
 
+OPTIONS = {"header": True, "quote": '"', "escape": '"', "nullValue": ""}
+CORRUPT = "_corrupt_record"
+#: Stands for a quoted blank between Spark's reader and read_csv(); a private character that no file has.
+_BLANK = "\ue000"
+
+
+def _scan(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool) -> DataFrame:
+    df = spark.read.schema(schema).options(**OPTIONS, mode="PERMISSIVE", multiLine=line_breaks, emptyValue=_BLANK,
+                                           ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType) and f.name != CORRUPT]
+    return df.withColumns({c: F.when(F.col(c) == _BLANK, "").otherwise(F.col(c)) for c in texts}) if texts else df
+
 
-def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = True) -> DataFrame:
+    return _scan(spark, path, schema, line_breaks)
 
 
-def read_raw(spark: SparkSession, folder: str) -> RawTables:
+def write_csv(df: DataFrame, path: str) -> str:
+    """CSV part files with a header; NULL is written as nothing, a blank as a pair of quotes."""
+    df.write.mode("overwrite").options(**OPTIONS, emptyValue='""', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return path
+
+
+def read_raw(spark: SparkSession, folder: str, line_breaks: bool = True) -> RawTables:
     """``folder`` holds customers.csv, products.csv, orders.csv, order_items.csv and returns.csv.
 
-    Each may be one file or a directory of part files; only the latter can be read in parallel at scale.
+    Each may be one file or a directory of part files; only the latter can be read in parallel at scale. Values that don't fit
+    their type are read as NULL; corrupt_rows() counts their rows.
     """
-    return RawTables(**{
-        name: read_csv(spark, f"{folder.rstrip('/')}/{name}.csv", schema) for name, schema in schemas.RAW.items()
-    })
+    return RawTables(**{name: read_csv(spark, f"{folder.rstrip('/')}/{name}.csv", schema, line_breaks) for name, schema in schemas.RAW.items()})
+
+
+def corrupt_rows(spark: SparkSession, folder: str, line_breaks: bool = True) -> DataFrame:
+    """Rows per raw file, and those with a value that doesn't fit its type or with too many or too few columns."""
+    def count(name: str, schema: T.StructType) -> DataFrame:
+        df = _scan(spark, f"{folder.rstrip('/')}/{name}.csv", T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]), line_breaks)
+        # a hash of all columns goes along, else the reader would skip their values and find nothing wrong
+        counted = df.agg(F.count(F.lit(1)).alias("row_count"), F.bit_xor(F.hash(*schema.fieldNames())).alias("h"),
+                         F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"))
+        return counted.select(F.lit(name).alias("table_name"), "row_count", F.when(F.col("h").isNull(), 0).otherwise(F.col("bad")).alias("corrupt_count"))
+
+    return reduce(DataFrame.unionByName, [count(n, s) for n, s in schemas.RAW.items()])

@@ -12,21 +12,12 @@ from pyspark.sql import types as T
 from salesloom import schemas
 from salesloom.operators import star, summaries
 from salesloom.plans.layout import MONTH, replace_partitions, with_month, write_parquet
+from salesloom.sources.raw_csv import read_csv, write_csv
 from salesloom.sources.tables import RawTables
 
 BATCH_ROWS = 500  # fixed value: rows per INSERT batch of the warehouse load
 
 
-def write_csv(df: DataFrame, path: str, one_file: bool = False) -> str:
-    """CSV with a header. ``one_file`` is for calendars and similar tables of known small size only."""
-    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).csv(path)
-    return path
-
-
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
-
-
 def write_raw_csv(raw: RawTables, folder: str) -> str:
     """The five raw tables as CSV folders in the raw column order (S1's input)."""
     for name, df in raw.items():
@@ -50,7 +41,7 @@ def write_bi_star(raw: RawTables, fact: DataFrame, folder: str) -> dict[str, Dat
         "returns": raw.returns,
     }
     for name, df in files.items():
-        write_csv(df, f"{folder}/{name}", one_file=name == "dim_date")
+        write_csv(df, f"{folder}/{name}")
     return files
 
 
@@ -63,17 +54,19 @@ def write_dashboard(raw: RawTables, fact: DataFrame, folder: str, coords) -> dic
         "trend": summaries.monthly(fact),
     }
     for name, df in files.items():
-        write_csv(df, f"{folder}/{name}", one_file=name in ("regional", "trend"))
+        write_csv(df, f"{folder}/{name}")
     return files
 
 
 def written_profile(spark: SparkSession, folder: str, files: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows and columns per written file, counted on what is read back."""
+    """Rows and columns per written file, both counted on what is read back."""
     out = None
     for name, df in files.items():
-        back = read_csv(spark, f"{folder}/{name}", df.schema)
-        one = back.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("file"), "row_count", F.lit(len(df.columns)).alias("column_count")
+        path = f"{folder}/{name}"
+        header = spark.read.text(path).first()
+        columns = len(header[0].split(",")) if header else 0
+        one = read_csv(spark, path, df.schema).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("file"), "row_count", F.lit(columns).alias("column_count")
         )
         out = one if out is None else out.unionByName(one)
     return out
@@ -117,9 +110,12 @@ def load_warehouse(spark: SparkSession, rows: Mapping[str, DataFrame], prefix: s
     return names
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], partitions: int = 16) -> None:
-    """S4 for an external database: parallel batched inserts, as many connections as ``partitions``."""
-    df.coalesce(partitions).write.mode("append").option("batchsize", BATCH_ROWS).jdbc(url, table, properties=dict(properties))
+def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], connections: int) -> None:
+    """S4 for an external database: parallel batched inserts over ``connections`` connections.
+
+    The caller names the number that the database bears. The rows are dealt out anew, so the stage before keeps its own width.
+    """
+    df.repartition(connections).write.mode("append").option("batchsize", BATCH_ROWS).jdbc(url, table, properties=dict(properties))
 
 
 # ---- daily aggregate --------------------------------------------------------------------------------------
@@ -152,6 +148,7 @@ def read_daily_sales(spark: SparkSession, path: str) -> DataFrame:
 
 # ---- nested results ---------------------------------------------------------------------------------------
 
+# Names of the sections.
 RESULT_SECTIONS = ("overview", "by_category", "by_region", "by_discount", "correlations", "forecasting")
 
 

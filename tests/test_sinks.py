@@ -9,7 +9,7 @@ from salesloom import schemas
 from salesloom.operators import star, summaries
 from salesloom.plans.layout import MONTH, with_month, write_parquet
 from salesloom.sources import sinks
-from salesloom.sources.raw_csv import read_raw
+from salesloom.sources.raw_csv import corrupt_rows, read_csv, read_raw, write_csv
 from salesloom.streaming.refresh import refresh_from_stream
 
 
@@ -17,12 +17,37 @@ def test_raw_csv_round_trip(spark, small, tmp_path):
     back = read_raw(spark, sinks.write_raw_csv(small.raw, str(tmp_path)))
     for name, df in back.items():
         want = getattr(small.raw, name).select(*schemas.RAW[name].fieldNames())
-        if name == "customers":
-            want = want.withColumn("signup_date", F.nullif("signup_date", F.lit("")))  # CSV has no empty text
         assert df.schema == schemas.RAW[name]
         assert df.exceptAll(want).count() == 0 and want.exceptAll(df).count() == 0
 
 
+AWKWARD = [
+    (1, 'An "A" Lee, Jr'), (2, "line one\nline two"), (3, ""), (4, None), (5, '"'), (6, 'a""b,'), (7, " padded "), (8, "back\\slash"), (9, "x,y"), (10, "NULL"),
+]
+
+
+def test_awkward_texts_round_trip(spark, tmp_path):
+    df = spark.createDataFrame(AWKWARD, "id long, name string").repartition(3)
+    back = read_csv(spark, write_csv(df, str(tmp_path / "t")), df.schema)
+    assert sorted(map(tuple, back.collect())) == AWKWARD
+    import csv
+    rows = [r for p in (tmp_path / "t").glob("*.csv") for r in list(csv.reader(p.open(newline="")))[1:]]  # as other tools read it
+    assert sorted((int(a), b) for a, b in rows) == [(i, t or "") for i, t in AWKWARD]
+
+
+def test_quoted_raw_rows_keep_their_columns(spark, tmp_path):
+    for name, schema in schemas.RAW.items():
+        (tmp_path / f"{name}.csv").write_text(",".join(schema.fieldNames()) + "\n")
+    (tmp_path / "customers.csv").write_text(
+        "customer_id,name,gender,age,city,region,signup_date\n"
+        '1,"An ""A"" Lee, Jr",F,3,X,East,2022-01-01\n2,"two\nlines",M,4,"",,"2022-01-02"\nx,Bad id,M,5,X,East,2022-01-03\n4,Short\n')
+    got = [tuple(r) for r in read_raw(spark, str(tmp_path)).customers.orderBy("name").collect()]
+    assert got == [(1, 'An "A" Lee, Jr', "F", 3, "X", "East", "2022-01-01"), (None, "Bad id", "M", 5, "X", "East", "2022-01-03"),
+                   (4, "Short", None, None, None, None, None), (2, "two\nlines", "M", 4, "", None, "2022-01-02")]
+    counts = {r["table_name"]: (r["row_count"], r["corrupt_count"]) for r in corrupt_rows(spark, str(tmp_path)).collect()}
+    assert counts["customers"] == (4, 2) and counts["orders"] == (0, 0)
+
+
 def test_every_warehouse_table_can_be_created(spark, tmp_path):
     for name, schema in schemas.WAREHOUSE.items():
         table = f"t_{uuid.uuid4().hex}_{name}"
