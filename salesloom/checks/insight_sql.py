@@ -66,11 +66,15 @@ SQL: dict[str, str] = {
     "i11_margin_gap": sql("SELECT * FROM gap", **INPUTS),
     "i12_loss_leaders": sql("SELECT count(*) FILTER (WHERE cost_price >= selling_price) AS loss_leaders FROM raw_products"),
     "i13_kpi_targets": sql("\nUNION ALL ".join([
-        _kpi("revenue", "CAST(rev AS DOUBLE)", "NULL::DOUBLE"), _kpi("profit", "CAST(pro AS DOUBLE)", "5.0e6"),
+        _kpi("total_revenue", "CAST(rev AS DOUBLE)", "NULL::DOUBLE"), _kpi("profit", "CAST(pro AS DOUBLE)", "5.0e6"),
         _kpi("margin_pct", "margin_pct", "28::DOUBLE"), _kpi("aov", "aov", "1800::DOUBLE"),
         _kpi("clv", per("pro", "overview.customers"), "15000::DOUBLE"), _kpi("return_rate_pct", "return_rate_pct", "10::DOUBLE"),
         _kpi("repeat_rate_pct", pct("repeaters", "repeat_counts.customers"), "75::DOUBLE"),
         _kpi("revenue_per_customer", per("rev", "overview.customers"), "12000::DOUBLE"), _kpi("avg_discount", "avg_discount", "8::DOUBLE"),
+        "SELECT 'revenue' AS kpi, current, before * 1.15 AS target, " + rnd("current - before * 1.15") + """ AS gap FROM (
+            SELECT CAST(sum(revenue) FILTER (year(order_date) = last) AS DOUBLE) AS current,
+                   CAST(sum(revenue) FILTER (year(order_date) = last - 1) AS DOUBLE) AS before
+            FROM fact_raw, (SELECT year(max(order_date) + INTERVAL 1 DAY) - 1 AS last FROM fact_raw))""",
     ]), overview=OVERVIEW, repeat_counts=REPEAT),
     "i14_deep_band_profit": sql(DEEP),
     "i16_initiative_roi": sql("""SELECT coalesce(initiative, 'Total') AS initiative, sum(impact) AS impact, sum(cost) AS cost, sum(impact - cost) AS net

@@ -30,6 +30,7 @@ DEEP_BANDS = ("21-30%", "30%+")
 INITIATIVE_COSTS = {"Discount Governance": 50000, "COD-to-Prepaid Conversion": 120000,
                     "High-Value Customer Retention": 300000, "Category Mix Optimization": 100000}
 FIXED_IMPACTS = {"High-Value Customer Retention": 2400000, "Category Mix Optimization": 850000}
+REVENUE_GROWTH = 1.15
 KPI_TARGETS = {"profit": 5.0e6, "margin_pct": 28.0, "aov": 1800.0, "clv": 15000.0, "return_rate_pct": 10.0,
                "repeat_rate_pct": 75.0, "revenue_per_customer": 12000.0, "avg_discount": 8.0}
 
@@ -184,13 +185,29 @@ def kpis(fact: DataFrame) -> DataFrame:
     )
 
 
-def kpi_targets(fact: DataFrame, targets: Mapping[str, float] = KPI_TARGETS) -> DataFrame:
-    """Each figure with its target and the gap."""
-    one = kpis(fact)
+def yearly_growth(fact: DataFrame) -> DataFrame:
+    """One row: revenue of the last full calendar year (``current``) and of the year before (``before``).
+
+    A year is full once its last day has sales or a later year has. There is one row a year before the last step.
+    """
+    years = fact.filter("order_date IS NOT NULL").groupBy(F.year("order_date").alias("year")).agg(
+        F.sum("revenue").cast("double").alias("revenue"), F.max("order_date").alias("day"))
+    seen = years.agg(F.map_from_entries(F.collect_list(F.struct("year", "revenue"))).alias("by_year"),
+                     (F.year(F.date_add(F.max("day"), 1)) - 1).alias("last"))
+    return seen.select(F.try_element_at("by_year", F.col("last")).alias("current"), F.try_element_at("by_year", F.col("last") - 1).alias("before"))
+
+
+def kpi_targets(fact: DataFrame, targets: Mapping[str, float] = KPI_TARGETS, growth: float = REVENUE_GROWTH) -> DataFrame:
+    """Each figure with its target and the gap.
+
+    ``revenue`` is that of the last full year against ``growth`` times the year before; ``total_revenue`` has no target.
+    """
+    one = kpis(fact).withColumnRenamed("revenue", "total_revenue")
     wanted = [(c, targets.get(c)) for c in one.columns]
     rows = [F.struct(F.lit(c).alias("kpi"), F.col(c).alias("current"), F.lit(t).cast("double").alias("target")) for c, t in wanted]
-    return one.select(F.explode(F.array(*rows)).alias("r")).select(
-        "r.kpi", "r.current", "r.target", round_half_up(F.col("r.current") - F.col("r.target")).alias("gap")
+    year = yearly_growth(fact).select(F.lit("revenue").alias("kpi"), "current", (F.col("before") * growth).alias("target"))
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*").unionByName(year).select(
+        "kpi", "current", "target", round_half_up(F.col("current") - F.col("target")).alias("gap")
     )
 
 
@@ -237,11 +254,13 @@ def initiative_roi(
     fact: DataFrame, orders: DataFrame, target: str, benchmark: str,
     costs: Mapping[str, float] = INITIATIVE_COSTS, fixed: Mapping[str, float] = FIXED_IMPACTS,
 ) -> DataFrame:
-    """I16: impact, cost and net of each initiative, with a total row."""
+    """I16: impact, cost and net of each initiative in ``costs``, with a total row.
+
+    An initiative that is neither measured nor in ``fixed`` has a NULL impact.
+    """
     one = _scenario_inputs(fact, orders, target, benchmark)
-    governance, conversion, retention, mix = costs
-    impact = {governance: F.col("deep_profit"), conversion: F.col("cod_return_cost"),
-              retention: F.lit(fixed[retention]), mix: F.lit(fixed[mix])}
+    measured = {"Discount Governance": F.col("deep_profit"), "COD-to-Prepaid Conversion": F.col("cod_return_cost")}
+    impact = {name: measured.get(name, F.lit(fixed.get(name)).cast("double")) for name in costs}
     rows = _labelled(one, impact, "initiative", "impact")
     cost = F.try_element_at(F.create_map(*[F.lit(x) for k, v in costs.items() for x in (k, float(v))]), F.col("initiative"))
     table = rows.withColumn("cost", cost).withColumn("net", F.col("impact") - F.col("cost"))

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 
 from salesloom.functions import bands
 from salesloom.functions.ratios import divide0, pct
+from salesloom.operators.summaries import orders_and_customers
 from salesloom.plans.ordered import global_rank
 
 def _additive() -> dict[str, Column]:
@@ -55,24 +56,14 @@ DISTINCT = {"total_orders": "order_id", "total_customers": "customer_id"}
 def measures(
     fact: DataFrame, names: Sequence[str], by: Sequence[str | Column] = (), where: Column | None = None
 ) -> DataFrame:
-    """The named measures per group.
-
-    If orders and customers are both counted, the lines fold to orders first (an order has one customer), so
-    that only one distinct count remains and Spark need not expand the lines per distinct column.
-    """
+    """The named measures per group; a measure has the same value alone and with others."""
     needed = {part for n in names for part in RATIOS.get(n, (n,))}
     rows = fact if where is None else fact.filter(where)
     keys = [F.col(b) if isinstance(b, str) else b for b in by]
     additive = {n: c for n, c in _additive().items() if n in needed}
     if needed >= set(DISTINCT):
-        rows = rows.groupBy(*keys, "order_id").agg(
-            F.first("customer_id", ignorenulls=True).alias("customer_id"), *[c.alias(n) for n, c in additive.items()]
-        )
-        keys = [F.col(c) for c in rows.columns[: len(keys)]]
-        counted = rows.groupBy(*keys).agg(
-            *[F.sum(n).alias(n) for n in additive],
-            F.count("order_id").alias("total_orders"), F.count_distinct("customer_id").alias("total_customers"),
-        )
+        counted = orders_and_customers(rows, keys, additive).withColumnsRenamed(
+            {"orders": "total_orders", "customers": "total_customers"})
     else:
         distinct = [F.count_distinct(c).alias(n) for n, c in DISTINCT.items() if n in needed]
         counted = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in additive.items()], *distinct)

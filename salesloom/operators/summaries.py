@@ -31,34 +31,31 @@ def line_return_rate() -> Column:
     return pct(flagged(), F.count("is_return"))
 
 
-def orders_first(fact: DataFrame, *keys: str) -> DataFrame:
-    """One row per order (and key): where orders and customers are both counted, only the customers need a
-    distinct aggregate afterwards, and Spark never has to expand the lines once per distinct column."""
-    return fact.groupBy(*keys, "order_id").agg(
-        F.first("customer_id", ignorenulls=True).alias("customer_id"),
-        F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"), F.sum("quantity").alias("quantity"),
-        flagged().alias("returns"), F.count(F.lit(1)).alias("lines"),
-    )
-
+def orders_and_customers(fact: DataFrame, keys: Sequence[str | Column], sums: Mapping[str, Column]) -> DataFrame:
+    """Per group: ``sums`` of line expressions by name, distinct orders, distinct customers, and customers with several orders.
 
-def headline_totals(fact: DataFrame, **extra: Column) -> DataFrame:
-    """One row of totals from one scan: lines fold to orders, orders to customers, customers to one row.
-
-    ``extra`` adds sums of further line expressions by name.
+    Lines fold to (order, customer) first: an order may come under two customers, and both count whatever else is asked for.
+    Orders and customers are then counted apart on folded rows, so Spark never expands the lines once per distinct column, and a customer
+    or order that holds very many lines shrinks before the shuffle.
     """
-    sums = {"revenue": F.col("revenue"), "profit": F.col("profit"), "discount": F.col("discount"), **extra}
-    counts = {"returns": flagged(), "lines": F.count(F.lit(1)), "discounted_lines": F.count("discount")}
-    orders = fact.groupBy("order_id").agg(
-        F.first("customer_id", ignorenulls=True).alias("customer_id"),
-        *[F.sum(c).alias(n) for n, c in sums.items()], *[c.alias(n) for n, c in counts.items()],
-    )
-    added = [*sums, *counts]
-    customers = orders.groupBy("customer_id").agg(F.count("order_id").alias("orders"), *[F.sum(n).alias(n) for n in added])
+    keys = [F.col(k) if isinstance(k, str) else k for k in keys]
+    lines = fact.groupBy(*keys, "order_id", "customer_id").agg(*[c.alias(n) for n, c in sums.items()])
+    keys = [F.col(c) for c in lines.columns[: len(keys)]]
+    added = [F.sum(n).alias(n) for n in sums]
+    orders = lines.groupBy(*keys, "order_id").agg(*added).groupBy(*keys).agg(*added, F.count("order_id").alias("orders"))
     known = F.col("customer_id").isNotNull()
-    return customers.agg(
-        *[total(n).alias(n) for n in [*added, "orders"]],
-        F.count("customer_id").alias("customers"), F.count_if(known & (F.col("orders") > 1)).alias("repeaters"),
-    )
+    customers = lines.groupBy(*keys, "customer_id").agg(F.count("order_id").alias("own")).groupBy(*keys).agg(
+        F.count("customer_id").alias("customers"), F.count_if(known & (F.col("own") > 1)).alias("repeaters"))
+    both = orders.unionByName(customers, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(*added, *[total(n).alias(n) for n in ("orders", "customers", "repeaters")])
+
+
+def headline_totals(fact: DataFrame, **extra: Column) -> DataFrame:
+    """One row of totals. ``extra`` adds sums of further line expressions by name."""
+    sums = {"revenue": F.sum("revenue"), "profit": F.sum("profit"), "discount": F.sum("discount"), **{n: F.sum(c) for n, c in extra.items()},
+            "returns": flagged(), "lines": F.count(F.lit(1)), "discounted_lines": F.count("discount")}
+    one = orders_and_customers(fact, [], sums)
+    return one.select(*[F.coalesce(n, F.lit(0)).alias(n) for n in sums], "orders", "customers", "repeaters")
 
 
 def overview(fact: DataFrame) -> DataFrame:
@@ -124,9 +121,9 @@ def region_category(fact: DataFrame, coords: Mapping[str, tuple[float, float]] =
     """A6 with map coordinates of the region."""
     known = fact.filter("region IS NOT NULL AND category IS NOT NULL")
     return (
-        orders_first(known, "region", "category").groupBy("region", "category")
-        .agg(total("revenue").alias("revenue"), total("profit").alias("profit"), F.count("order_id").alias("orders"),
-             total("returns").alias("returns"), F.count_distinct("customer_id").alias("customers"))
+        orders_and_customers(known, ["region", "category"], {
+            "revenue": total("revenue"), "profit": total("profit"), "returns": flagged()})
+        .select("region", "category", "revenue", "profit", "orders", "returns", "customers")
         .withColumns({
             "margin_pct": pct("profit", "revenue"), "return_rate": pct("returns", "orders"),
             "latitude": geo.latitude(F.col("region"), coords), "longitude": geo.longitude(F.col("region"), coords),

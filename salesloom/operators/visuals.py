@@ -12,7 +12,7 @@ from salesloom.functions import dates, geo
 from salesloom.functions.ratios import divide0, pct, round_half_up
 from salesloom.operators.catalog import PRODUCT, product_totals
 from salesloom.operators.measures import measures
-from salesloom.operators.summaries import customer_revenue, headline_totals, monthly, orders_first, overview, total
+from salesloom.operators.summaries import customer_revenue, flagged, headline_totals, monthly, overview, total
 
 
 def slicers(fact: DataFrame) -> DataFrame:
@@ -120,7 +120,8 @@ def category_matrix(fact: DataFrame) -> DataFrame:
             pct("returns", "orders").alias("return_rate"),
         )
 
-    cells = orders_first(fact, "category", "sub_category").select("category", "sub_category", "order_id", *sums)
+    cells = fact.groupBy("category", "sub_category", "order_id").agg(
+        F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"), flagged().alias("returns"))
     categories = fold(cells, "category")
     return (
         summary(cells, 0, "category", "sub_category")

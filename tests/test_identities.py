@@ -73,3 +73,21 @@ def test_filled_days_are_gapless(small):
     days = forecast.fill_days(forecast.daily_series(small.fact_raw))
     n, lo, hi = days.agg(F.count("*"), F.min("ds"), F.max("ds")).first()
     assert n == (hi - lo).days + 1
+
+
+def test_counts_do_not_depend_on_other_measures(spark):
+    from pyspark.sql import functions as F
+    from salesloom.operators import measures, visuals
+    rows = [(1, 10, "East", "A", 5.0), (1, 11, "East", "A", 7.0), (2, 10, "East", "B", 1.0), (None, None, "West", "A", 2.0), (None, 12, None, "B", 3.0), (3, None, "West", "B", 4.0)]
+    fact = spark.createDataFrame(rows, "order_id long, customer_id long, region string, category string, revenue double").withColumns({
+        "profit": F.col("revenue"), "quantity": F.lit(1), "is_return": F.lit(False), "discount": F.lit(0.0), "discount_impact": F.lit(0.0)})
+    both = measures.measures(fact, ["total_customers", "total_orders", "total_revenue"]).first()
+    for name in ("total_customers", "total_orders", "total_revenue"):
+        assert measures.measures(fact, [name]).first()[0] == both[name]
+    assert tuple(both) == (3, 3, 22.0)
+    assert summaries.overview(fact).select("orders", "customers").first() == (3, 3)
+    assert visuals.customer_cards(fact).first()["repeat_rate_pct"] == 33.33
+    by = {tuple(r)[0]: tuple(r)[1:] for r in measures.measures(fact, ["total_customers", "total_orders", "total_revenue"], ["region"]).collect()}
+    assert by == {"East": (2, 2, 13.0), "West": (0, 1, 6.0), None: (1, 0, 3.0)}
+    cells = {(r["region"], r["category"]): (r["customers"], r["orders"]) for r in summaries.region_category(fact).collect()}
+    assert cells == {("East", "A"): (2, 1), ("East", "B"): (1, 1), ("West", "A"): (0, 0), ("West", "B"): (0, 1)}
