@@ -29,8 +29,8 @@ RAW_SQL = {
                     WHEN c_custkey % 50 = 7 THEN '2099-01-01' ELSE sd END AS signup_date
         FROM (SELECT c.*, n_name, r_name,
                      CAST(DATE '1993-01-01' + CAST(c_custkey % 700 AS INT) AS STRING) AS sd
-              FROM {customer} c JOIN {nation} ON c_nationkey = n_nationkey
-                   JOIN {region} ON n_regionkey = r_regionkey) t""",
+              FROM {customer} c LEFT JOIN {nation} ON c_nationkey = n_nationkey
+                   LEFT JOIN {region} ON n_regionkey = r_regionkey) t""",
     "products": """
         SELECT p_partkey AS product_id, p_type AS category, split_part(p_name, ' ', 2) AS sub_category,
                p_brand AS brand, CAST(p_retailprice AS DECIMAL(10,2)) AS selling_price,
@@ -49,8 +49,8 @@ RAW_SQL = {
                     WHEN o_orderpriority = '5-LOW' THEN 'COD' WHEN o_orderpriority = '1-URGENT' THEN 'Credit Card'
                     WHEN o_orderpriority = '2-HIGH' THEN 'UPI' WHEN o_orderpriority = '3-MEDIUM' THEN 'Debit Card'
                     ELSE 'Net Banking' END AS payment_mode
-        FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
-             JOIN {region} ON r_regionkey = (n_regionkey + CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END) % 5
+        FROM {orders} LEFT JOIN {customer} ON o_custkey = c_custkey LEFT JOIN {nation} ON c_nationkey = n_nationkey
+             LEFT JOIN {region} ON r_regionkey = (n_regionkey + CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END) % 5
              LEFT JOIN (SELECT l_orderkey AS k, min(l_shipdate) AS ship FROM {lineitem} GROUP BY l_orderkey) s
                ON s.k = o_orderkey""",
     "order_items": """
@@ -59,13 +59,13 @@ RAW_SQL = {
                  * CAST(0.01 AS DECIMAL(3,2)) AS selling_price,
                CAST(round(l_discount * 100) AS INT) * 5 AS discount,
                l_linenumber AS line_no, l_suppkey AS supp_no, l_returnflag AS flag, l_extendedprice AS ext
-        FROM {lineitem} JOIN {part} ON l_partkey = p_partkey""",
+        FROM {lineitem} LEFT JOIN {part} ON l_partkey = p_partkey""",
     "returns": """
         SELECT DISTINCT l_orderkey AS order_id, l_partkey AS product_id,
                CASE CAST((l_orderkey + l_partkey) % 8 AS INT)
-                 WHEN 0 THEN 'Defective product' WHEN 1 THEN 'Not as described' WHEN 2 THEN 'Size/fit issue'
-                 WHEN 3 THEN 'Delivered late' WHEN 4 THEN 'Changed mind' WHEN 5 THEN 'Better price elsewhere'
-                 WHEN 6 THEN 'Wrong item delivered' ELSE NULL END AS return_reason
+                 WHEN 0 THEN 'Broken on arrival' WHEN 1 THEN 'Colour differs' WHEN 2 THEN 'Too large'
+                 WHEN 3 THEN 'Too small' WHEN 4 THEN 'Ordered twice' WHEN 5 THEN 'Parts missing'
+                 WHEN 6 THEN 'No longer needed' ELSE NULL END AS return_reason
         FROM {lineitem} WHERE l_returnflag = 'R'""",
 }
 
