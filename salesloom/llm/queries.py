@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from salesloom.llm import (
     bpe_trie, decontaminate, jaccard_join, language_ppm, quality_trees, rule_forest, suffix_dedup, token_counts, token_files, toxicity)
 from salesloom.llm.common import table
+from salesloom.llm.sql import SQL  # noqa: F401  the entry reads it here
 
 
 def op1_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,5 +64,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_rule_forest": op9_rule_forest,
     "op10_counterfactual_toxicity": op10_counterfactual_toxicity,
 }
-
-SQL: dict[str, str] = {}
