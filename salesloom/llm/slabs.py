@@ -75,11 +75,13 @@ def _count(rows: pa.Table) -> pa.Table:
     classes = np.zeros(len(keys), np.uint8)
     classes[order] = np.repeat(np.ceil(np.log2(count)).astype(np.uint8), count)
     at = np.cumsum([len(x) // 4 for x in packed])[:-1]
-    return pa.table({"slab": rows["slab"], "bucket": rows["bucket"], "classes": pa.array([x.tobytes() for x in np.split(classes, at)], pa.binary())})
+    parts = np.split(classes, at)
+    return pa.table({"slab": rows["slab"], "bucket": rows["bucket"], "classes": pa.array([x.tobytes() for x in parts], pa.binary()),
+                     "top": pa.array([int(x.max(initial=0)) for x in parts], pa.int32())})
 
 
 def shared_keys(slabs: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], buckets: int, columns: tuple[str, ...] = ("doc_id", "rid", "text")) -> DataFrame:
-    """(slab, bucket, classes): a byte for each packed key, 0 if it was given once only, else the binary order of its count.
+    """(slab, bucket, classes, top): a byte for each packed key, 0 if it was given once only, else the binary order of its count; the largest.
 
     ``keys_of`` makes the sorted 64-bit keys of a slab, each twice at most. Keys are told apart by bucket and 32 bits, so
     a class may come out too high where two keys fall together, never too low.
@@ -88,7 +90,7 @@ def shared_keys(slabs: DataFrame, keys_of: Callable[[pa.Table], np.ndarray], buc
         return pack(rows["slab"][0].as_py(), keys_of(rows), buckets)
 
     sent = slabs.select("slab", *columns).groupBy("slab").applyInArrow(emit, "slab long, bucket long, keys binary")
-    return sent.groupBy("bucket").applyInArrow(_count, "slab long, bucket long, classes binary")
+    return sent.groupBy("bucket").applyInArrow(_count, "slab long, bucket long, classes binary, top int")
 
 
 def at_most_twice(values: np.ndarray) -> np.ndarray:

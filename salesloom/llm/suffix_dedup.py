@@ -3,7 +3,10 @@
 Every window of 50 bytes has an anchor, its least 16-byte gram by a hash (the leftmost of equal ones); the windows of one anchor lie in
 a row and make its segment. Equal windows have equal anchor grams, so only segments whose gram another document holds too matter, and
 segments of the same bytes count once, for their smallest document. What is left is compared in buckets of grams with a suffix
-array over words of eight bytes aligned at the gram, built by linear grouping; neighbours that share enough bytes share windows.
+array over blocks of bytes aligned at the gram, built by linear grouping; neighbours that share enough bytes share windows.
+
+A gram that thousands of slabs hold would bring an unbounded number of segments into one bucket. The windows of its segments become rows
+instead, whose smallest document for each content Spark finds with map-side minima; see CROWDED.
 
 Null and empty texts lose nothing. Rows with a null doc_id are neither cut nor a source. Repeated rows have the same
 id, so they don't cut each other. A match never crosses documents. Cut texts may end within a character; ``text`` columns
@@ -20,9 +23,11 @@ from pyspark.sql import types as T
 
 from salesloom.llm import common as K
 from salesloom.llm import slabs as S
-from salesloom.session import run_dir
+from salesloom.llm.components import stored
 
 WINDOW, GRAM = 50, 16
+#: Grams of this class and more, held by over 4,000 slabs, are compared window by window, not in a bucket of their own.
+CROWDED = 14
 #: Longest stretch whose anchors are found at once; positions within it have 24 bits.
 STRETCH = 1 << 22
 _POSITION = np.uint64((1 << 24) - 1)
@@ -155,14 +160,15 @@ def _grams_of(rows: pa.Table) -> np.ndarray:
     return S.at_most_twice(g[np.r_[True, (g[1:] != g[:-1]) | (r[1:] != r[:-1])]] if len(g) else g)
 
 
-def _shared_anchors(rows: pa.Table, answers: pa.Table, buckets: int) -> tuple[pa.Table, dict[str, np.ndarray]]:
-    """Rows with an id, and those of their anchors whose gram another document holds too."""
+def _shared_anchors(rows: pa.Table, answers: pa.Table, buckets: int, low: int, high: int) -> tuple[pa.Table, dict[str, np.ndarray]]:
+    """Rows with an id, and those of their anchors whose gram is of class ``low`` to ``high`` - 1."""
     rows = rows.filter(rows["doc_id"].is_valid())
     a = anchors(rows["text"])
     order = np.lexsort((a["row"], a["gram"]))
     g, r = a["gram"][order], a["row"][order]
     keys = S.at_most_twice(g[np.r_[True, (g[1:] != g[:-1]) | (r[1:] != r[:-1])]] if len(g) else g)
-    shared = np.unique(keys[S.unpack(keys, buckets, answers) > 0]) if len(keys) else keys
+    classes = S.unpack(keys, buckets, answers) if len(keys) else np.zeros(0, np.uint8)
+    shared = np.unique(keys[(classes >= low) & (classes < high)])
     if not len(shared):
         return rows, {k: v[:0] for k, v in a.items()}
     keep = shared[np.minimum(np.searchsorted(shared, a["gram"]), len(shared) - 1)] == a["gram"]
@@ -332,22 +338,48 @@ def _compare(rows: pa.Table) -> pa.Table:
 
 
 PACKED = "slab long, bucket long, gram binary, segment binary, first binary"
-CANDIDATES = "slab long, rid long, spans binary, bucket long, gram binary, segment binary, first binary, start binary, lead binary, length binary, bytes binary"
+CANDIDATES = "slab long, rid long, spans binary, bucket long, gram binary, segment binary, first binary, start binary, lead binary, length binary, bytes binary, first_rid binary"
+
+
+def _crowded_windows(slabs: DataFrame, answers: DataFrame, buckets: int, crowded: int) -> DataFrame:
+    """(slab, rid, spans) from windows as rows: of each content, those in other than the smallest document."""
+    def windows(rows: pa.Table, told: pa.Table) -> pa.Table:
+        slab = rows["slab"][0].as_py() if len(rows) else 0
+        rows, a = _shared_anchors(rows, told, buckets, crowded, 256)
+        buf, off = K.text_buffer(rows["text"])
+        many = a["length"] - WINDOW + 1
+        row = np.repeat(a["row"], many)
+        start = np.repeat(a["start"], many) + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        at = off[row] + start
+        left, right = K.span_hashes(buf, at, at + WINDOW), K.span_hashes(buf, at + 1, at + WINDOW)  # two hashes of the same bytes
+        doc, rid = (np.array(rows[c].to_pylist(), np.int64)[row] for c in ("doc_id", "rid"))
+        return pa.table({"slab": pa.array(np.full(len(row), slab, np.int64)), "rid": pa.array(rid), "doc": pa.array(doc), "start": pa.array(start, pa.int64()),
+                         "x": pa.array(left.astype(np.int64)), "y": pa.array(K.mix(right + left).astype(np.int64))})
+
+    def pack(batches):
+        for b in batches:
+            start = b["start"].to_numpy()
+            yield from _span_rows(b["slab"].to_numpy(), b["rid"].to_numpy(), start, start + WINDOW).to_batches()
+
+    rows = slabs.select("slab", "doc_id", "rid", "text").groupBy("slab").cogroup(answers.groupBy("slab")).applyInArrow(
+        windows, "slab long, rid long, doc long, start long, x long, y long")
+    rows = stored(rows, "windows")
+    least = rows.groupBy("x", "y").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("most > least")
+    return rows.join(least, ["x", "y"]).where("doc > least").select("slab", "rid", "start").mapInArrow(pack, "slab long, rid long, spans binary")
 
 
-def removal_spans(slabs: DataFrame) -> DataFrame:
+def removal_spans(slabs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """(slab, rid, spans): merged byte spans to remove from rows of a slab table; a row may have several of them."""
-    spark = slabs.sparkSession
     buckets, few = S.key_buckets(slabs, 18.0), S.key_buckets(slabs, 18.0, 200_000)
     texts = slabs.select("slab", "doc_id", "rid", "text")
-    path = run_dir(spark, slabs.columns[0] + "-" + S.uuid.uuid4().hex)
-    S.shared_keys(slabs, _grams_of, buckets).withColumn("kind", F.lit(0)).write.parquet(f"{path}/grams")
-    answers = spark.read.schema("slab long, bucket long, classes binary, kind int").parquet(f"{path}/grams")
+    answers = stored(S.shared_keys(slabs, _grams_of, buckets).withColumn("kind", F.lit(0)), "grams")
+    top = answers.agg(F.max("top")).first()[0] or 0
+    answers = answers.drop("top")
 
     def local(rows: pa.Table, told: pa.Table):
         told = told.to_pandas()
         grams = pa.table({"bucket": told.loc[told.kind == 0, "bucket"].to_numpy(), "classes": pa.array(told.loc[told.kind == 0, "classes"].tolist(), pa.binary())})
-        rows, a = _shared_anchors(rows, grams, buckets)
+        rows, a = _shared_anchors(rows, grams, buckets, 1, crowded)
         doc = np.array(rows["doc_id"].to_pylist(), np.int64)[a["row"]]
         return rows, a, doc, *_segments(doc, a), told[told.kind == 1]
 
@@ -382,12 +414,12 @@ def removal_spans(slabs: DataFrame) -> DataFrame:
     pairs = texts.groupBy("slab").cogroup(answers.groupBy("slab")).applyInArrow(send, PACKED)
     owned = pairs.groupBy("bucket").applyInArrow(_owners, "slab long, bucket long, kind int, classes binary")
     told = answers.unionByName(owned)
-    texts.groupBy("slab").cogroup(told.groupBy("slab")).applyInArrow(decide, CANDIDATES + ", first_rid binary").write.parquet(f"{path}/found")
-    found = spark.read.schema(CANDIDATES + ", first_rid binary").parquet(f"{path}/found")
+    found = stored(texts.groupBy("slab").cogroup(told.groupBy("slab")).applyInArrow(decide, CANDIDATES), "found")
     contested = found.where(F.col("bucket").isNotNull()).select(
         "slab", "bucket", "gram", "segment", "first", F.col("first_rid").alias("rid"), "start", "lead", "length", "bytes")
     late = contested.groupBy("bucket").applyInArrow(_compare, "slab long, rid long, spans binary")
-    return found.where(F.col("bucket").isNull()).select("slab", "rid", "spans").unionByName(late)
+    out = found.where(F.col("bucket").isNull()).select("slab", "rid", "spans").unionByName(late)
+    return out.unionByName(_crowded_windows(slabs, answers, buckets, crowded)) if top >= crowded else out
 
 
 def _candidates(spans: pa.Table, rest: pa.Table) -> pa.Table:
@@ -398,12 +430,12 @@ def _candidates(spans: pa.Table, rest: pa.Table) -> pa.Table:
     return pa.concat_tables([wide(spans), wide(rest)])
 
 
-def kept_bytes(docs: DataFrame) -> DataFrame:
+def kept_bytes(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """Columns of ``docs`` but doc_id and text as ``own_<number>``, doc_id, ``kept`` (binary, null for a null text), n_bytes, n_removed, n_spans."""
     slabs = S.slab_table(docs.select(*[K.quoted(c).alias(c if c in ("doc_id", "text") else f"own_{i}") for i, c in enumerate(docs.columns)]))
     fields = [f for f in slabs.schema.fields if f.name not in ("slab", "rid", "n_bytes", "text")]
     others = [f.name for f in fields]
-    spans = removal_spans(slabs)
+    spans = removal_spans(slabs, crowded)
 
     def cut(rows: pa.Table, told: pa.Table) -> pa.Table:
         by_rid: dict[int, list[bytes]] = {}
@@ -426,9 +458,9 @@ def kept_bytes(docs: DataFrame) -> DataFrame:
     return slabs.drop("n_bytes").groupBy("slab").cogroup(spans.groupBy("slab")).applyInArrow(cut, schema)
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
-    return kept_bytes(docs.select("doc_id", "text")).select(
+    return kept_bytes(docs.select("doc_id", "text"), crowded).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256"))
 
 
