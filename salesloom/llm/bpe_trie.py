@@ -37,7 +37,7 @@ def byte_letters() -> list[str]:
 
 
 class TrieBpe:
-    """Encoder and decoder of one vocabulary file; ``limit`` chunks are remembered before the memory is emptied."""
+    """Encoder and decoder of one vocabulary file; about ``limit`` recent chunks are remembered."""
 
     def __init__(self, path: str, limit: int = 400_000):
         with open(path, encoding="utf-8") as f:
@@ -51,7 +51,7 @@ class TrieBpe:
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.letters = byte_letters()
         self.longest = max(len(t.removesuffix(self.end)) for t in self.vocab)
-        self.limit, self.known = limit, {}
+        self.limit, self.known = limit, K.Recent(limit)
         self.fits: dict[tuple[str, str], bool] = {}
 
     def _symbols(self, text: str) -> list[str]:
@@ -133,15 +133,13 @@ class TrieBpe:
 
     def learn(self, chunks: set[str]) -> None:
         """Remember the ids of all ``chunks``."""
-        if len(self.known) > self.limit:
-            self.known.clear()
-        if len(self.fits) > 4 * self.limit:
+        if len(self.fits) > 2 * self.limit:
             self.fits.clear()
-        new = {c: self._words_of(c) for c in chunks if c not in self.known}
+        new = {c: self._words_of(c) for c in self.known.missing(chunks)}
         words = {w for ws in new.values() for w in ws}
         tokens = {w: [self.vocab[t] for t in ts] for w, ts in self.encode_words(sorted(words)).items()}
         for c, ws in new.items():
-            self.known[c] = np.array([i for w in ws for i in tokens[w]], "<u4").tobytes()
+            self.known.young[c] = np.array([i for w in ws for i in tokens[w]], "<u4").tobytes()
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
@@ -150,7 +148,7 @@ class TrieBpe:
             parts = [t or ""] if not t or "<|" not in t else self.split_special.split(t)
             cut.append([(self.special[p],) if p in self.special else _BLANKS.split(p) if any(c in p for c in _CONTROLS) else p.split() for p in parts])
         self.learn({c for parts in cut for p in parts if type(p) is list for c in p if c})
-        known, out = self.known, []
+        known, out = self.known.young, []
         for parts in cut:
             out.append(b"".join(b"".join([known[c] for c in p if c]) if type(p) is list else np.array(p, "<u4").tobytes() for p in parts))
         return out

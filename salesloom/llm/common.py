@@ -164,5 +164,25 @@ def chained(hashes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+class Recent:
+    """Values by key, at most about twice ``limit``: when the young ones are too many, those not asked for since the last time are forgotten."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Those of ``keys`` that have no value; the others are young from now on."""
+        if len(self.young) > self.limit:
+            self.young, self.old = {}, self.young
+        young, old, out = self.young, self.old, []
+        for k in keys - young.keys():
+            v = old.get(k)
+            if v is None:
+                out.append(k)
+            else:
+                young[k] = v
+        return out
+
+
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))

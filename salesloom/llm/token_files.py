@@ -69,33 +69,46 @@ def unpack_bits(payload: bytes, bits: int, n: int) -> np.ndarray:
 
 
 class Encoder:
-    """The library's encoder, asked once for each distinct run of characters without a blank."""
+    """The library's encoder, asked for runs of characters without a blank, many at once and again only when they were forgotten."""
 
-    def __init__(self, path: str, limit: int = 200_000):
+    #: Stands alone between runs, which don't hold it; one id of the vocabulary.
+    BETWEEN = "\x01"
+
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.limit, self.known = limit, {}
+        self.known = K.Recent(limit)
+        ids = self.tokenizer.encode(self.BETWEEN, add_special_tokens=False).ids
+        self.between = ids[0] if len(ids) == 1 else None
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def runs(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk, from one text of all of them."""
+        if self.between is None or any(self.BETWEEN in c for c in chunks):
+            return self.whole(chunks)
+        text = f"\n{self.BETWEEN}\n".join(chunks)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        cut = np.flatnonzero(ids == self.between)
+        return [ids[a:b].tobytes() for a, b in zip([0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)])]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers.
 
         The vocabulary drops blanks and merges within words only, so chunks encode apart; texts with special tokens or with
         controls that Python counts as blanks go to the library whole.
         """
-        if len(self.known) > self.limit:
-            self.known.clear()
         odd = [t is not None and (any(c in t for c in "\x1c\x1d\x1e\x1f") or any(s in t for s in self.special)) for t in texts]
         chunks = [[] if o or not t else t.split() for t, o in zip(texts, odd)]
-        new = sorted({c for cs in chunks for c in cs if c not in self.known})
-        for k in range(0, len(new), 4096):  # the library's results are large until only the ids are kept
-            self.known.update(zip(new[k: k + 4096], self.whole(new[k: k + 4096])))
-        known = self.known
+        new = sorted(self.known.missing({c for cs in chunks for c in cs}))
+        known = self.known.young
+        for k in range(0, len(new), 512):  # the library's results are large until only the ids are kept
+            part = new[k: k + 512]
+            known.update(zip(part, self.runs(part), strict=True))
         return [self.whole([t])[0] if o else b"".join([known[c] for c in cs]) for t, o, cs in zip(texts, odd, chunks)]
 
 
