@@ -20,7 +20,6 @@ from pyspark.sql import Window as W
 from salesloom.functions.dates import dow_monday0
 from salesloom.functions.ratios import div, round_half_up
 from salesloom.operators.star import date_spine
-from salesloom.session import shared_dir
 
 TRAIN_SHARE = 0.85
 HORIZON = 90
@@ -100,47 +99,83 @@ def horizon_total(daily: DataFrame, mode: str = "compat", days_ahead: int = HORI
     )
 
 
-def series_baselines(fact: DataFrame, key: str, window: int = 28, share: float = TRAIN_SHARE) -> DataFrame:
-    """weekday-seasonal naive, moving average and drift forecasts for every series of ``key``, floored at 0.
+def _series_days(fact: DataFrame, key: str) -> DataFrame:
+    """Revenue ``y`` per series and day with sales."""
+    known = fact.filter(F.col(key).isNotNull() & F.col("order_date").isNotNull())
+    return known.groupBy(key, F.col("order_date").alias("ds")).agg(F.sum("revenue").cast("double").alias("y"))
+
+
+def _series_models(days: DataFrame, key: str, window: int, share: float) -> DataFrame:
+    """One row per series: weekday means, recent mean, first and last training day, and the test days with sales.
 
-    All series share one calendar. Zero-sales days come from exploding the calendar per series, and what a
-    series' forecasts need is one aggregate row of it, joined back to its test days.
+    All series share one calendar, ``lo`` to the last day. Days without sales are never made: sums come from the days with sales and are
+    divided by the number of calendar days, which the first day and the lengths give. A row holds at most one entry a test day.
     """
-    known = fact.filter(F.col(key).isNotNull() & F.col("order_date").isNotNull())
-    shared_dir(fact.sparkSession)
-    # read three times below; one row per series and day with sales, written once
-    sums = known.groupBy(key, F.col("order_date").alias("ds")).agg(F.sum("revenue").cast("double").alias("y")).checkpoint()
-    lo, hi = sums.agg(F.min("ds").alias("d")).scalar(), sums.agg(F.max("ds").alias("d")).scalar()
-    series = sums.select(key).distinct().withColumns({"_lo": lo, "_hi": hi})
-    calendar = series.select(
-        key, F.posexplode(F.sequence("_lo", "_hi")).alias("pos", "ds"),
-        F.floor((F.datediff("_hi", "_lo") + 1) * share).alias("n_train"),
+    bounds = days.agg(F.min("ds").alias("lo"), F.max("ds").alias("hi"))
+    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    placed = days.select(key, "y", "ds", lo.alias("lo"), hi.alias("hi")).withColumns({
+        "pos": F.datediff("ds", "lo"), "n": F.datediff("hi", "lo") + 1, "dow": dow_monday0(F.col("ds"))}).withColumn("n_train", F.floor(F.col("n") * share))
+    train = F.col("pos") < F.col("n_train")
+    models = placed.groupBy(key).agg(
+        *[F.max(c).alias(c) for c in ("lo", "n", "n_train")],
+        F.array(*[F.sum(F.when(train & (F.col("dow") == d), F.col("y"))) for d in range(7)]).alias("sums"),
+        F.sum(F.when(train & (F.col("pos") >= F.col("n_train") - window), F.col("y"))).alias("recent"),
+        F.sum(F.when(F.col("pos") == 0, F.col("y"))).alias("y0"), F.sum(F.when(F.col("pos") == F.col("n_train") - 1, F.col("y"))).alias("y1"),
+        F.collect_list(F.when(~train, F.struct("pos", "y"))).alias("sold"),
     )
-    days = calendar.join(sums, [key, "ds"], "left").na.fill(0.0, ["y"]).withColumn("dow", dow_monday0(F.col("ds")))
-    train, test = days.filter("pos < n_train"), days.filter("pos >= n_train")
+    first = dow_monday0(F.col("lo"))
 
-    def when_dow(d: int) -> Column:
-        return F.avg(F.when(F.col("dow") == d, F.col("y")))
+    def mean(d: int) -> Column:
+        at = F.pmod(F.lit(d) - first, F.lit(7))  # first day with this weekday
+        return div(F.coalesce(F.col("sums")[d], F.lit(0.0)), F.greatest(F.floor((F.col("n_train") - 1 - at) / 7) + 1, F.lit(0)))
 
-    model = train.groupBy(key).agg(
-        F.array(*[when_dow(d) for d in range(7)]).alias("weekday"),
-        F.avg(F.when(F.col("pos") >= F.col("n_train") - window, F.col("y"))).alias("recent"),
-        F.max(F.when(F.col("pos") == 0, F.col("y"))).alias("y0"),
-        F.max(F.when(F.col("pos") == F.col("n_train") - 1, F.col("y"))).alias("y1"),
-    )
-    step = F.col("pos") - F.col("n_train") + 1
+    zero = lambda c: F.coalesce(c, F.lit(0.0)).alias(c)
+    return models.select(
+        key, "lo", "n", "n_train", "sold", first.alias("first_dow"), F.array(*[mean(d) for d in range(7)]).alias("weekday"),
+        div(F.coalesce("recent", F.lit(0.0)), F.least("n_train", F.lit(window))).alias("recent"), zero("y0"), zero("y1"))
+
+
+METHODS = ("weekday", "moving_average", "drift")
+
+
+def _predicted(method: str, pos: Column) -> Column:
+    """Forecast of a method for the day at ``pos``, from a row of _series_models(), floored at 0."""
     slope = F.coalesce(div(F.col("y1") - F.col("y0"), F.col("n_train") - 1), F.lit(0.0))
-    methods = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("method"), F.greatest(F.coalesce(value, F.lit(0.0)), F.lit(0.0)).alias("predicted"))
-        for name, value in (
-            ("weekday", F.col("weekday")[F.col("dow")]), ("moving_average", F.col("recent")), ("drift", F.col("y1") + slope * step),
-        )
-    ]))
-    return test.join(model, key).select(key, "ds", F.col("y").alias("actual"), methods.alias("m")).select(
-        key, "ds", "actual", "m.method", "m.predicted"
-    )
+    value = {"weekday": F.col("weekday")[(F.col("first_dow") + pos) % 7], "moving_average": F.col("recent"),
+             "drift": F.col("y1") + slope * (pos - F.col("n_train") + 1)}[method]
+    return F.greatest(F.coalesce(value, F.lit(0.0)), F.lit(0.0))
 
 
-def series_errors(fact: DataFrame, key: str) -> DataFrame:
-    """F5 with F6: errors per series and method."""
-    return errors(series_baselines(fact, key), [key, "method"])
+def series_baselines(fact: DataFrame, key: str, window: int = 28, share: float = TRAIN_SHARE) -> DataFrame:
+    """weekday-seasonal naive, moving average and drift forecasts for the test days of every series of ``key``.
+
+    The result has a row for each series, test day and method. For errors only, series_errors() needs no such rows.
+    """
+    models = _series_models(_series_days(fact, key), key, window, share)
+    dense = F.transform(F.sequence("n_train", F.col("n") - 1), lambda p: F.struct(
+        p.alias("pos"), F.aggregate(F.filter("sold", lambda s: s["pos"] == p), F.lit(0.0), lambda t, s: t + s["y"]).alias("actual")))
+    days = models.filter("n_train < n").withColumn("day", F.explode(dense))
+    methods = F.explode(F.array(*[F.struct(F.lit(m).alias("method"), _predicted(m, F.col("day.pos")).alias("predicted")) for m in METHODS]))
+    return days.select(key, F.expr("date_add(lo, CAST(day.pos AS INT))").alias("ds"), F.col("day.actual").alias("actual"), methods.alias("m")).select(
+        key, "ds", "actual", "m.method", "m.predicted")
+
+
+def series_errors(fact: DataFrame, key: str, window: int = 28, share: float = TRAIN_SHARE) -> DataFrame:
+    """F5 with F6: errors per series and method, summed within the one row of each series."""
+    models = _series_models(_series_days(fact, key), key, window, share).filter("n_train < n")
+    models = models.withColumn("unsold", F.array_except(
+        F.sequence(F.col("n_train").cast("int"), F.col("n").cast("int") - 1), F.transform("sold", lambda s: s["pos"])))
+
+    def sums(method: str) -> Column:
+        def add(total: Column, actual: Column, pos: Column) -> Column:
+            e = actual - _predicted(method, pos)
+            return F.struct((total["a"] + F.abs(e)).alias("a"), (total["s"] + e * e).alias("s"), (total["p"] + F.abs(e / (actual + EPSILON))).alias("p"))
+        zero = F.struct(*[F.lit(0.0).alias(c) for c in "asp"])
+        sold = F.aggregate("sold", zero, lambda t, d: add(t, d["y"], d["pos"]))
+        return F.struct(F.lit(method).alias("method"), F.aggregate("unsold", sold, lambda t, p: add(t, F.lit(0.0), p)).alias("e"))
+
+    n = (F.col("n") - F.col("n_train")).cast("long")
+    rows = models.select(key, n.alias("days"), F.explode(F.array(*[sums(m) for m in METHODS])).alias("m"))
+    e = F.col("m.e")
+    return rows.select(key, "m.method", "days", round_half_up(e["a"] / F.col("days")).alias("mae"),
+                       round_half_up(F.sqrt(e["s"] / F.col("days"))).alias("rmse"), round_half_up(e["p"] / F.col("days") * 100).alias("mape_pct"))
