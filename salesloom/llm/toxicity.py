@@ -98,25 +98,26 @@ def fit(x: np.ndarray, y: np.ndarray, changes: np.ndarray, times: np.ndarray, ri
         steps: int = 600) -> tuple[np.ndarray, float]:
     """Weights and base of the least logistic loss + ridge + fairness x mean squared change of the counterfactuals.
 
-    ``changes``: rows of feature differences, ``times``: how often each occurs. Accelerated gradient steps of a safe length.
+    ``changes``: rows of feature differences, ``times``: how often each occurs. A rare class 1 weighs more, by the root of
+    how rare it is, so that it is found where a text has little of it. Accelerated gradient steps of a safe length.
     """
     n, width = x.shape
     x, changes = x.astype(np.float32), changes.astype(np.float32)
     share = times / max(times.sum(), 1)
+    weight = np.where(y == 1, np.sqrt((n - y.sum()) / max(y.sum(), 1)), 1.0)
     top = 0.0
     v = np.ones(width + 1) / np.sqrt(width + 1)
     for _ in range(20):  # largest curvature
-        z = x @ v[:-1].astype(np.float32) + v[-1]
+        z = weight * (x @ v[:-1].astype(np.float32) + v[-1])
         u = np.r_[x.T @ z.astype(np.float32), z.sum()] / 4 + ridge * np.r_[v[:-1], 0]
         u[:-1] += n * fairness * (changes.T @ (share * (changes @ v[:-1])))
         top = np.linalg.norm(u)
         v = u / max(top, 1e-12)
     step = 0.9 / max(top, 1e-9)
-    start = float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
-    w = ahead = np.r_[np.zeros(width), start]
+    w = ahead = np.zeros(width + 1)
     t = 1.0
     for _ in range(steps):
-        r = K.sigmoid(x @ ahead[:-1].astype(np.float32) + ahead[-1]) - y
+        r = weight * (K.sigmoid(x @ ahead[:-1].astype(np.float32) + ahead[-1]) - y)
         g = np.r_[x.T @ r.astype(np.float32) + ridge * ahead[:-1] + n * fairness * (changes.T @ (share * (changes @ ahead[:-1]))), r.sum()]
         new = ahead - step * g
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
