@@ -35,3 +35,9 @@ def test_query(spark, duck, name):
         result = duck.execute(SQL[name])
         want = normal([d[0] for d in result.description], result.fetchall())
         assert not differences(got, want)
+
+
+def test_entry_works_without_the_training_operators(monkeypatch):
+    import __spark_entry__ as entry
+    monkeypatch.setattr(entry, "_present", lambda name: False)
+    assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(SQL)
