@@ -12,13 +12,13 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from salesloom.llm import common as K
 
@@ -39,7 +39,7 @@ def byte_letters() -> list[str]:
 class TrieBpe:
     """Encoder and decoder of one vocabulary file; about ``limit`` recent chunks are remembered."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 250_000):
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
         model = told["model"]
@@ -159,11 +159,6 @@ class TrieBpe:
         return " ".join([text[i] for i in ids.tolist() if i in text])
 
 
-@lru_cache(maxsize=2)
-def coder(path: str) -> TrieBpe:
-    return TrieBpe(path)
-
-
 def portions(texts: list, size: int = 4 << 20):
     """Runs of whole texts of about ``size`` characters."""
     run, held = [], 0
@@ -180,12 +175,17 @@ def portions(texts: list, size: int = 4 << 20):
 def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``docs`` with ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded``, in place of columns of these names."""
     path = path or public_tokenizers.path(VOCABULARY)
+    own = [f for f in docs.schema.fields if f.name not in ("ids", "decoded")]
+    names = [f.name for f in own]
+
+    def run(batches):
+        bpe = TrieBpe(path)  # a task's own: a worker process outlives the task and should not keep its memory
+        for b in batches:
+            ids = [x for part in portions(b["text"].to_pylist()) for x in bpe.encode_batch(part)]
+            texts = [bpe.decode(np.frombuffer(x, "<u4")) for x in ids]
+            yield pa.RecordBatch.from_arrays([*[b[n] for n in names], pa.array(ids, pa.binary()), pa.array(texts, pa.string())], [*names, "ids", "decoded"])
 
-    def make(b: pa.RecordBatch) -> list[pa.Array]:
-        bpe = coder(path)
-        ids = [x for part in portions(b["text"].to_pylist()) for x in bpe.encode_batch(part)]
-        return [pa.array(ids, pa.binary()), pa.array([bpe.decode(np.frombuffer(x, "<u4")) for x in ids], pa.string())]
-    return K.with_added(docs, make, "ids binary, decoded string")
+    return K.map_rows(docs, run, T.StructType([*own, *T.StructType.fromDDL("ids binary, decoded string").fields]))
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -194,13 +194,13 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     K.small_batches(docs.sparkSession)
 
     def run(batches):
-        bpe = coder(path)
+        bpe = TrieBpe(path)
         for b in batches:
             ids = [x for part in portions(b["text"].to_pylist()) for x in bpe.encode_batch(part)]
             yield pa.RecordBatch.from_arrays([
                 b["doc_id"].cast(pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                pa.array([hashlib.sha256(bpe.decode(np.frombuffer(x, "<u4")).encode()).hexdigest() for x in ids])],
+                pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                pa.array([hashlib.sha256(bpe.decode(np.frombuffer(x, "<u4")).encode()).hexdigest() for x in ids], pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

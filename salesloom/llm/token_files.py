@@ -14,7 +14,6 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +73,7 @@ class Encoder:
     #: Stands alone between runs, which don't hold it; one id of the vocabulary.
     BETWEEN = "\x01"
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -112,11 +111,6 @@ class Encoder:
         return [self.whole([t])[0] if o else b"".join([known[c] for c in cs]) for t, o, cs in zip(texts, odd, chunks)]
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, block: int = BLOCK) -> None:
     """Encode ``docs`` (doc_id, text) and write the file set to ``folder``."""
     spark = docs.sparkSession
@@ -128,7 +122,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, block:
 
     def run(batches):
         shard = TaskContext.get().partitionId()
-        code, end = encoder(path), np.array([end_id], "<u4").tobytes()
+        code, end = Encoder(path), np.array([end_id], "<u4").tobytes()
         raw, made, tokens, position, open_docs = b"", 0, 0, 0, []
 
         def blocks(last: bool):
