@@ -45,6 +45,8 @@ SQL: dict[str, str] = {
         regional=("SELECT DISTINCT region, category FROM fact_raw WHERE region IS NOT NULL AND category IS NOT NULL", 11),
         trend=("SELECT DISTINCT date_trunc('month', order_date) FROM fact_raw WHERE order_date IS NOT NULL", 6),
     )),
+    # a CSV file has no line numbers; equal lines come in the order of their values
+    "s01_s02_star_from_csv": SUMMARIES["fact_clean"].replace("ORDER BY line_no, supp_no, quantity, discount, flag, ext", "ORDER BY quantity, selling_price, discount"),
     "c12_csv_corrupt_rows": sql("\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count, 0::BIGINT AS corrupt_count FROM raw_{t}"
         for t in ("customers", "products", "orders", "order_items", "returns"))),

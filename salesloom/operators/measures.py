@@ -16,6 +16,7 @@ from salesloom.functions import bands
 from salesloom.functions.ratios import divide0, pct
 from salesloom.operators.summaries import orders_and_customers
 from salesloom.plans.ordered import global_rank
+from salesloom.session import shared_dir
 
 def _additive() -> dict[str, Column]:
     return {
@@ -138,14 +139,16 @@ def _all_members(dim: DataFrame, key: str, totals: DataFrame) -> DataFrame:
 def product_ranks(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Rank of each product among all products."""
     totals = fact.groupBy("product_id").agg(F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"))
-    everyone = _all_members(products, "product_id", totals)
+    shared_dir(fact.sparkSession)
+    everyone = _all_members(products, "product_id", totals).checkpoint()  # both ranks read it; the fact is scanned once
     return global_rank(global_rank(everyone, "revenue", "revenue_rank"), "profit", "profit_rank")
 
 
 def customer_ranks(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """B23."""
     totals = fact.groupBy("customer_id").agg(F.sum("revenue").alias("revenue"))
-    return global_rank(_all_members(customers, "customer_id", totals), "revenue", "revenue_rank")
+    shared_dir(fact.sparkSession)
+    return global_rank(_all_members(customers, "customer_id", totals).checkpoint(), "revenue", "revenue_rank")
 
 
 def customer_segments(fact: DataFrame) -> DataFrame:

@@ -28,14 +28,22 @@ AS_OF = dt.date(2001, 12, 31)
 
 
 class Mart:
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF):
+    """Star of any raw tables, such as read_raw() of a user's CSV files.
+
+    ``name`` keeps its published tables apart from those of other marts; ``file_order`` names the line columns that tell which of several equal
+    (order, product) lines comes first, ``keep`` further line columns that the raw fact carries. A mart does not notice when its
+    source changes: make another one, under another name.
+    """
+
+    def __init__(self, spark: SparkSession, source: RawTables, name: str, as_of: dt.date,
+                 file_order: Sequence[str] = ("quantity", "selling_price", "discount"), keep: Sequence[str] = ()):
         session.configure(spark)
-        self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
-        self.source = read_driver(spark, sf_dir)
+        self.spark, self.source, self.name, self.as_of = spark, source, name, as_of
+        self.file_order, self.keep = list(file_order), list(keep)
         self._made: dict[str, object] = {}
 
     def path(self, table: str) -> str:
-        return session.run_dir(self.spark, f"mart-{zlib.crc32(self.sf_dir.encode()):08x}", table)
+        return session.run_dir(self.spark, f"mart-{zlib.crc32(self.name.encode()):08x}", table)
 
     def once(self, name: str, make: Callable[[], object]):
         """Result of ``make``, computed at most once per mart."""
@@ -45,7 +53,7 @@ class Mart:
 
     def publish(self, name: str, df: DataFrame, partition_by: str | None = None, cluster_by: Sequence[str] = ()) -> DataFrame:
         write_parquet(df, self.path(name), partition_by, cluster_by)
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name)).select(*df.columns)  # the schema is known even if no row is
 
     def together(self, *names: str) -> None:
         """Build independent tables side by side, so that one's last tasks do not leave the cluster idle."""
@@ -95,13 +103,13 @@ class Mart:
     @cached_property
     def fact_clean(self) -> DataFrame:
         self.raw, self.dimensions  # published before the fact that joins them
-        fact = star.build_clean_fact(self.raw, self.customers, self.products, self.orders, self.returns, FILE_ORDER)
+        fact = star.build_clean_fact(self.raw, self.customers, self.products, self.orders, self.returns, self.file_order)
         return self.publish("fact_clean", with_month(fact), MONTH, star.LINE_KEY)
 
     @cached_property
     def fact_raw(self) -> DataFrame:
-        fact = star.build_raw_fact(self.raw, keep=["line_no", "supp_no", "flag", "ext"])
-        return self.publish("fact_raw", with_month(fact), MONTH, [*star.LINE_KEY, "line_no"])
+        fact = star.build_raw_fact(self.raw, keep=self.keep)
+        return self.publish("fact_raw", with_month(fact), MONTH, [*star.LINE_KEY, *self.keep[:1]])
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -116,5 +124,5 @@ def mart(spark: SparkSession, sf_dir: str) -> Mart:
     """The mart of ``sf_dir`` in this application."""
     key = (spark.sparkContext.applicationId, str(sf_dir))
     if key not in _MARTS:
-        _MARTS[key] = Mart(spark, str(sf_dir))
+        _MARTS[key] = Mart(spark, read_driver(spark, str(sf_dir)), str(sf_dir), AS_OF, FILE_ORDER, ["line_no", "supp_no", "flag", "ext"])
     return _MARTS[key]

@@ -279,6 +279,11 @@ def _csv(m: Mart) -> RawTables:
     return m.once("csv", lambda: read_raw(m.spark, sinks.write_raw_csv(m.raw, m.path("raw-csv"))))
 
 
+def _csv_mart(m: Mart) -> Mart:
+    """A mart over the CSV copy, as a user's files would have it."""
+    return m.once("csv-mart", lambda: Mart(m.spark, _csv(m), m.name + " as CSV", m.as_of))
+
+
 def _csv_profile(m: Mart) -> DataFrame:
     probes = {"customers": ("customer_id", "age"), "products": ("product_id", "brand"), "orders": ("order_id", "payment_mode"),
               "order_items": ("product_id", "quantity"), "returns": ("order_id", "return_reason")}
@@ -364,6 +369,7 @@ SINKS: dict[str, Query] = {
     "s02_analysis_loader": lambda m: star.build_raw_fact(_csv(m)).select(
         "order_id", "product_id", "customer_id", "order_date", "shipping_date", "region", "payment_mode", "category",
         "quantity", "revenue", "profit", "is_return"),
+    "s01_s02_star_from_csv": lambda m: _csv_mart(m).fact_clean,
     "c12_csv_corrupt_rows": lambda m: corrupt_rows(m.spark, _csv(m) and m.path("raw-csv")),
     "s03_star_csv": lambda m: _star_csv(m, "fact_sales").select(
         "order_id", "product_id", "name", "gender", "age", "city", "order_date", "shipping_date", "revenue", "profit", "is_return"),
