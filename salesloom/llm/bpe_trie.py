@@ -1,8 +1,9 @@
 """BPE encoding and decoding: distinct words in a trie share the work of common prefixes.
 
 For a prefix of a word, its last token and the state before that token fix the whole encoding: of the tokens that end the prefix, exactly
-one stays as it is next to the last token before it. A depth-first walk hands these states from a node to its children, so
-a prefix that many words share is encoded once. The vocabulary is that of a ``tokenizers`` file of kind BPE with word ends.
+one stays as it is next to the last token before it. The trie of the distinct words is walked depth first, which is their sorted order,
+with the states of the path on a stack: a word goes back to the node that it shares with the word before, and only its
+own nodes get a state. The vocabulary is that of a ``tokenizers`` file of kind BPE with word ends.
 
 Null texts encode as empty ones. Nothing is truncated or padded. Repeated rows are encoded alike.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 
 import numpy as np
@@ -36,6 +38,10 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in visible else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class TrieBpe:
     """Encoder and decoder of one vocabulary file; about ``limit`` recent chunks are remembered."""
 
@@ -50,9 +56,13 @@ class TrieBpe:
         self.words = regex.compile(told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.letters = byte_letters()
-        self.longest = max(len(t.removesuffix(self.end)) for t in self.vocab)
+        self.inner = {t: i for t, i in self.vocab.items() if not t.endswith(self.end)}
+        self.final = {t.removesuffix(self.end): i for t, i in self.vocab.items() if t.endswith(self.end)}
+        # longest token with these last two letters, within a word and at its end
+        self.inner_reach, self.final_reach = ({t[-2:]: len(t) for t in sorted(d, key=len)} for d in (self.inner, self.final))
+        self.size = {i: len(t) for d in (self.inner, self.final) for t, i in d.items()}
         self.limit, self.known = limit, K.Recent(limit)
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.fits: dict[int, bool] = {}
 
     def _symbols(self, text: str) -> list[str]:
         """First symbols of a token's text, whose last may end a word."""
@@ -80,46 +90,48 @@ class TrieBpe:
             symbols = out
         return symbols
 
-    def _fit(self, last: str, token: str) -> bool:
-        """Whether ``last`` and ``token`` side by side stay two tokens; ``last`` is empty at the start of a word."""
-        got = self.fits.get((last, token))
-        if got is None:
-            want = [last, token] if last else [token]
-            got = self.fits[last, token] = self.merge([s for t in want for s in self._symbols(t)]) == want
-        return got
-
-    def encode_words(self, words: list[str]) -> dict[str, list[str]]:
-        """Tokens of distinct words (of byte letters), by one depth-first walk of their trie."""
-        root: dict = {}
-        for w in words:
-            node = root
-            for c in self._symbols(w + self.end):
-                node = node.setdefault(c, {})
-        out: dict[str, list[str]] = {}
-        vocab, end, longest, fit = self.vocab, self.end, self.longest, self._fit
-        stack = [(c, child, 1) for c, child in root.items()]
-        path = ""
-        lasts: list[str] = [""]  # last token of the path's prefixes
-        while stack:
-            c, node, depth = stack.pop()
-            path = path[: depth - 1] + c
-            del lasts[depth:]
-            final = c.endswith(end) and len(c) > 1
-            length = depth
-            for size in range(min(length, longest), 0, -1):
-                token = path[length - size:]
-                if token in vocab and fit(lasts[length - size], token):
+    def _fit(self, last: int, token: int) -> bool:
+        """Whether ``last`` and ``token`` side by side stay two tokens; ``last`` is -1 at the start of a word."""
+        want = [self.text_of[i] for i in (last, token) if i >= 0]
+        return self.merge([s for t in want for s in self._symbols(t)]) == want
+
+    def _state(self, word: str, depth: int, lasts: list[int], tokens: dict[str, int], reach: dict[str, int]) -> int:
+        """The last token of the prefix of ``depth`` letters, given those of the shorter prefixes."""
+        fits = self.fits
+        for begin in range(max(0, depth - reach.get(word[max(0, depth - 2): depth], 1)), depth):
+            token = tokens.get(word[begin:depth])
+            if token is not None:
+                key = lasts[begin] << 20 | token
+                ok = fits.get(key)
+                if ok is None:
+                    ok = fits[key] = self._fit(lasts[begin], token)
+                if ok:
+                    return token
+        raise ValueError(f"no token ends {word[:depth]!r}")
+
+    def encode_words(self, words: set[str]) -> dict[str, list[int]]:
+        """Ids of distinct words (of byte letters), by one depth-first walk of their trie."""
+        out: dict[str, list[int]] = {}
+        size, state, inner, reach = self.size, self._state, self.inner, self.inner_reach
+        lasts, before = [-1], ""  # last tokens of the path's prefixes; the path
+        for word in sorted(words):
+            n = len(word) - 1
+            shared = 0
+            for a, b in zip(before, word[:n]):
+                if a != b:
                     break
-            else:
-                raise ValueError(f"no token ends {path!r}")
-            lasts.append(token)
-            if final:
-                at, tokens = length, []
-                while at:
-                    tokens.append(lasts[at])
-                    at -= len(lasts[at].removesuffix(end) if at == length else lasts[at])
-                out[path.removesuffix(end)] = tokens[::-1]
-            stack += [(k, child, depth + 1) for k, child in node.items()]
+                shared += 1
+            del lasts[shared + 1:]
+            for depth in range(shared + 1, n + 1):
+                lasts.append(state(word, depth, lasts, inner, reach))
+            before = word[:n]
+            token = state(word, n + 1, lasts, self.final, self.final_reach)
+            ids, at = [token], n + 1 - size[token]
+            while at:
+                ids.append(lasts[at])
+                at -= size[lasts[at]]
+            ids.reverse()
+            out[word] = ids
         return out
 
     def _words_of(self, chunk: str) -> list[str]:
@@ -137,9 +149,9 @@ class TrieBpe:
             self.fits.clear()
         new = {c: self._words_of(c) for c in self.known.missing(chunks)}
         words = {w for ws in new.values() for w in ws}
-        tokens = {w: [self.vocab[t] for t in ts] for w, ts in self.encode_words(sorted(words)).items()}
+        ids, known = self.encode_words(words), self.known.young
         for c, ws in new.items():
-            self.known.young[c] = np.array([i for w in ws for i in tokens[w]], "<u4").tobytes()
+            known[c] = _packed(ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]])
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
@@ -150,7 +162,7 @@ class TrieBpe:
         self.learn({c for parts in cut for p in parts if type(p) is list for c in p if c})
         known, out = self.known.young, []
         for parts in cut:
-            out.append(b"".join(b"".join([known[c] for c in p if c]) if type(p) is list else np.array(p, "<u4").tobytes() for p in parts))
+            out.append(b"".join(b"".join([known[c] for c in p if c]) if type(p) is list else _packed(p) for p in parts))
         return out
 
     def decode(self, ids: np.ndarray) -> str:
