@@ -218,7 +218,9 @@ def _open(entries: DataFrame) -> DataFrame:
 
 def joined(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
-    rows = sets(S.slab_table(docs.select("doc_id", "text")))
+    name = S.new_name()
+    rows = sets(S.slab_table(docs.select("doc_id", "text"), name))  # written by now, so the texts' copy can go
+    S.discard(docs.sparkSession, name)
     can = rows.where(F.col("tokens").isNotNull() & F.col("doc_id").isNotNull())
     same = ["n", "key_a", "key_b"]
     least = can.groupBy(*same).agg(F.min(F.struct("doc_id", "rid")).alias("one"))

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.llm import common as K
@@ -21,14 +21,24 @@ from salesloom.session import run_dir
 LOW = np.uint64(0xFFFFFFFF)
 
 
-def slab_table(docs: DataFrame, rows: int = 512) -> DataFrame:
+def new_name() -> str:
+    return f"slabs_{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, name: str) -> None:
+    """Drop a slab table and its files, once everything that was made from it is written."""
+    spark.sql(f"DROP TABLE {name}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark, name))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def slab_table(docs: DataFrame, name: str, rows: int = 512) -> DataFrame:
     """Write ``docs`` with ``slab`` and ``rid``, an id of each row that also tells repeated rows apart.
 
     Written to the shared folder, as ids of rows must not change if a task runs again.
     """
     spark = docs.sparkSession
     K.small_batches(spark)
-    name = f"slabs_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     numbered = docs.withColumn("rid", F.monotonically_increasing_id())
     mask = (1 << 33) - 1

@@ -432,7 +432,7 @@ def _candidates(spans: pa.Table, rest: pa.Table) -> pa.Table:
 
 def kept_bytes(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """Columns of ``docs`` but doc_id and text as ``own_<number>``, doc_id, ``kept`` (binary, null for a null text), n_bytes, n_removed, n_spans."""
-    slabs = S.slab_table(docs.select(*[K.quoted(c).alias(c if c in ("doc_id", "text") else f"own_{i}") for i, c in enumerate(docs.columns)]))
+    slabs = S.slab_table(docs.select(*[K.quoted(c).alias(c if c in ("doc_id", "text") else f"own_{i}") for i, c in enumerate(docs.columns)]), S.new_name())
     fields = [f for f in slabs.schema.fields if f.name not in ("slab", "rid", "n_bytes", "text")]
     others = [f.name for f in fields]
     spans = removal_spans(slabs, crowded)
