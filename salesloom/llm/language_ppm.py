@@ -137,11 +137,11 @@ def fit_on(docs: DataFrame, learn: Column, sample_bytes: int = 2 << 20, most_gra
     known = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     K.small_batches(docs.sparkSession)
     sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()
-    if not sizes:
+    if not sizes:  # one row a language
         return None
     rates = docs.sparkSession.createDataFrame(
         [(r["lang"], min(1 << 20, int((1 << 20) * sample_bytes / max(r["bytes"], 1)) + 1)) for r in sizes], "lang string, rate long")
-    sample = known.join(rates, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("rate"))
+    sample = known.join(F.broadcast(rates), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("rate"))
 
     def count(batches):
         for b in batches:
