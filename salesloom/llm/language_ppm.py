@@ -129,19 +129,48 @@ def grow(grams: dict[str, tuple[np.ndarray, np.ndarray]], table_bytes: int = 48
     return Trees(languages, symbol, table, many, bits)
 
 
-def fit_on(docs: DataFrame, learn: Column, sample_bytes: int = 2 << 20, most_grams: int = 400_000) -> Trees | None:
-    """Learn from whole documents, about ``sample_bytes`` of each language, chosen by a hash of doc_id; None without any.
+def hash_range(doc_id: str = "doc_id") -> Column:
+    """Ranges of the hash of ``doc_id`` in ascending order, each a sixteenth of a power of two, so the first ones are small at any number of rows."""
+    hashed = F.xxhash64(doc_id).bitwiseAND(F.lit((1 << 63) - 1))
+    size = F.length(F.bin(hashed))
+    return (size * 16 + F.call_function("shiftright", hashed, F.greatest(size - 5, F.lit(0))).bitwiseAND(F.lit(15))).cast("int")
+
+
+def sampled(docs: DataFrame, learn: Column, sample_bytes: int, least_docs: int) -> DataFrame | None:
+    """(lang, text as bytes) of the documents to learn from; None without any.
+
+    Each language gives its documents in the order of a hash of doc_id, as many as fit ``sample_bytes`` but ``least_docs`` at least, or all it has.
+    One document gives its first ``sample_bytes`` / ``least_docs`` bytes at most (a language of fewer documents: ``sample_bytes`` / their number),
+    so no long text takes the place of the others. Whole hash ranges are taken; the one that completes ``least_docs`` may go beyond ``sample_bytes``.
+    """
+    known = docs.where(learn & F.col("lang").isNotNull() & (F.octet_length("text") > 0)).select(
+        "lang", F.col("text").cast("binary").alias("text"), hash_range().alias("range"))
+    part = max(1, sample_bytes // least_docs)
+    ranges = known.groupBy("lang", "range").agg(F.count("*").alias("docs"), F.sum(F.least(F.octet_length("text"), F.lit(part))).alias("bytes")).toPandas()
+    limits = []  # one row a language; of the ranges about a thousand a language at most
+    for lang, own in ranges.sort_values("range").groupby("lang"):
+        total = int(own["docs"].sum())
+        if total <= least_docs:
+            limits.append((lang, int(own["range"].max()), max(1, sample_bytes // total)))
+            continue
+        take = (own["bytes"].cumsum() <= sample_bytes) | (own["docs"].cumsum() - own["docs"] < least_docs)
+        limits.append((lang, int(own["range"][take].max()), part))
+    if not limits:
+        return None
+    limits = docs.sparkSession.createDataFrame(limits, "lang string, last int, part int")
+    return known.join(F.broadcast(limits), "lang").where(F.col("range") <= F.col("last")).select(
+        "lang", F.call_function("substring", "text", F.lit(1), F.col("part")).alias("text"))
+
+
+def fit_on(docs: DataFrame, learn: Column, sample_bytes: int = 2 << 20, most_grams: int = 400_000, least_docs: int = 64) -> Trees | None:
+    """Learn from the sampled() documents of each language; None without any.
 
     At most ``most_grams`` grams, the most frequent ones, reach the driver.
     """
-    known = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     K.small_batches(docs.sparkSession)
-    sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()
-    if not sizes:  # one row a language
+    sample = sampled(docs, learn, sample_bytes, least_docs)
+    if sample is None:
         return None
-    rates = docs.sparkSession.createDataFrame(
-        [(r["lang"], min(1 << 20, int((1 << 20) * sample_bytes / max(r["bytes"], 1)) + 1)) for r in sizes], "lang string, rate long")
-    sample = known.join(F.broadcast(rates), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("rate"))
 
     def count(batches):
         for b in batches:
@@ -149,7 +178,7 @@ def fit_on(docs: DataFrame, learn: Column, sample_bytes: int = 2 << 20, most_gra
                 codes, n = gram_counts(b["text"].filter(pc.equal(b["lang"], lang)))
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes.astype(np.int64)), pa.array(n)], ["lang", "code", "n"])
 
-    got = sample.select("lang", "text").mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(
+    got = sample.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(
         F.sum("n").alias("n")).orderBy(F.desc("n"), "lang", "code").limit(most_grams).toPandas()
     grams = {}
     for lang, part in got.groupby("lang"):

@@ -94,6 +94,31 @@ def test_language_on_held_out_rows(docs):
     assert np.mean([r["lang_pred"] == r["lang"] for r in got]) > 0.98
 
 
+def test_language_of_one_huge_and_a_few_short_texts(spark):
+    letters = {"a": "abcdefgh", "b": "stuvwxyz"}
+    rng = np.random.default_rng(4)
+    text = lambda lang, n: "".join(rng.choice([*letters[lang], " "], n))
+    short = [(k, text("a", 300), "a") for k in range(20)] + [(100 + k, text("b", 300), "b") for k in range(400)]
+    for huge in (1000, 1001):  # wherever the hash puts the huge one
+        docs = spark.createDataFrame([*short, (huge, text("a", 200_000), "a")], "doc_id long, text string, lang string")
+        rows = language_ppm.sampled(docs, F.lit(True), 20_000, 10).collect()
+        sizes = {x: [len(r["text"]) for r in rows if r["lang"] == x] for x in letters}
+        assert min(map(len, sizes.values())) >= 10 and sum(sizes["a"]) <= 25_000 and sum(sizes["b"]) <= 20_000
+    trees = language_ppm.fit_on(docs, F.lit(True), 20_000, least_docs=10)
+    assert trees.languages == ["a", "b"]
+    got = language_ppm.predicted(docs, trees).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got)
+
+
+def test_sample_has_all_of_few_documents_and_follows_the_hash(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "repeat('word ', 20) as text", "if(id < 5, 'few', 'many') as lang")
+    n = {r["lang"]: r["count"] for r in language_ppm.sampled(docs, F.lit(True), 50_000, 64).groupBy("lang").count().collect()}
+    assert n["few"] == 5 and 400 <= n["many"] <= 500
+    order = [r["r"] for r in spark.range(5000).select(F.xxhash64("id").bitwiseAND(F.lit((1 << 63) - 1)).alias("h"), language_ppm.hash_range("id").alias("r")).orderBy("h").collect()]
+    assert order == sorted(order) and len(set(order)) > 50
+    assert language_ppm.sampled(docs.where("doc_id < 0"), F.lit(True), 50_000, 64) is None
+
+
 def test_code_lengths_equal_a_plain_model():
     texts = {"a": ["abracadabra abra", "cad"], "b": ["banana band", "über"]}
     trees = language_ppm.grow({k: language_ppm.gram_counts(pa.array(v)) for k, v in texts.items()})
