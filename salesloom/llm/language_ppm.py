@@ -4,12 +4,13 @@ A language's tree holds counts of each byte after contexts of up to three bytes.
 an escape with kinds / (total + kinds) leads to the next shorter context, without the bytes that the longer one has seen; below the
 empty context all 256 bytes are alike. The language with the shortest code for the whole text wins, ties by name.
 
-All trees share one set of contexts, laid out as tables, so a batch of texts is scored by lookups. Null texts and texts without a letter
+Each tree holds every gram of its language's sample, as sorted codes; the distinct grams of a piece of text are looked up in each. Null texts and texts without a letter
 are ``und`` with score 0, and so is everything if there is nothing to learn from. The score is the posterior share of the winner.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,107 +27,102 @@ UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
 
 
+def coded(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pieces of about ``size`` bytes, long texts in several: the text number of every byte, and its code with the three before it (zeros before a text)."""
+    buf, off = K.text_buffer(texts)
+    for at in range(0, len(buf), size):
+        to = min(at + size, len(buf))
+        first, last = np.searchsorted(off, at, "right") - 1, np.searchsorted(off, to, "left")
+        place, row = np.arange(at, to), np.repeat(np.arange(first, last), np.diff(np.clip(off[first: last + 1], at, to)))
+        back = place - off[row]
+        code = buf[place].astype(np.uint32)
+        for k in range(1, ORDER + 1):
+            code |= np.where(back >= k, buf[np.maximum(place - k, 0)], 0).astype(np.uint32) << np.uint32(8 * k)
+        yield row, code
+
+
 def gram_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Codes of every byte with the three before it (zeros before a text) and their counts."""
-    found = []
-    for _, _, buf, off in K.pieces(texts):
-        back = np.arange(len(buf)) - np.repeat(off[:-1], np.diff(off))
-        code = buf.astype(np.uint32)
-        for k in range(1, ORDER + 1):
-            earlier = np.r_[np.zeros(min(k, len(buf)), np.uint32), buf[:-k].astype(np.uint32)]
-            code |= np.where(back >= k, earlier, 0).astype(np.uint32) << np.uint32(8 * k)
-        found.append(np.unique(code, return_counts=True))
+    found = [np.unique(code, return_counts=True) for _, code in coded(texts)]
     if not found:
         return np.zeros(0, np.uint32), np.zeros(0, np.int64)
     codes, at = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
     return codes, np.bincount(at, weights=np.concatenate([n for _, n in found])).astype(np.int64)
 
 
+def _low(codes: np.ndarray, k: int) -> np.ndarray:
+    """The last byte of each code with the ``k`` before it."""
+    return codes & np.uint32((1 << 8 * (k + 1)) - 1)
+
+
+def _at(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the sorted ``keys``, and whether they hold what is wanted."""
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return place, keys[place] == wanted
+
+
 @dataclass
-class Trees:
-    """``symbol``: byte to column, 0 for bytes never seen; ``down``: context and earlier byte to the longer context, rows from ``many``
-    on being ends; ``bits``: code length of a column in a context, for each language."""
+class Tree:
+    """Of each order: sorted grams (context and byte) with their code lengths in bits, sorted contexts with the bits of their escapes."""
+
+    grams: list[np.ndarray]
+    bits: list[np.ndarray]
+    contexts: list[np.ndarray]
+    escapes: list[np.ndarray]
+
+    def lengths(self, codes: np.ndarray) -> np.ndarray:
+        """Code length of the last byte of each code."""
+        out = np.zeros(len(codes))
+        todo = np.arange(len(codes))
+        for k in range(ORDER, -1, -1):
+            gram = _low(codes[todo], k)
+            place, known = _at(self.grams[k], gram)
+            out[todo[known]] += self.bits[k][place[known]]
+            todo, gram = todo[~known], gram[~known]
+            place, known = _at(self.contexts[k], gram >> np.uint32(8))
+            out[todo[known]] += self.escapes[k][place[known]]
+        out[todo] += 8
+        return out
 
+
+@dataclass
+class Trees:
     languages: list[str]
-    symbol: np.ndarray
-    down: np.ndarray
-    many: int
-    bits: np.ndarray
+    trees: list[Tree]
 
     def lengths(self, texts: pa.Array) -> np.ndarray:
         """Code length of each text in bits, for each language."""
-        out = [np.zeros((0, len(self.languages)))]
-        for at, to, buf, off in K.pieces(texts, 1 << 18):
-            size = np.diff(off)
-            back = np.arange(len(buf)) - np.repeat(off[:-1], size)
-            node = np.zeros(len(buf), np.int32)
-            for k in range(1, ORDER + 1):
-                earlier = np.r_[np.zeros(min(k, len(buf)), np.uint8), buf[:-k]]
-                node = self.down[node, self.symbol[np.where(back >= k, earlier, 0)]]
-            cost = self.bits[node % self.many, self.symbol[buf]]
-            total = np.vstack([np.zeros((1, cost.shape[1])), np.cumsum(cost, 0, dtype=np.float64)])
-            out.append(total[off[1:]] - total[off[:-1]])
-        return np.concatenate(out)
-
-
-def grow(grams: dict[str, tuple[np.ndarray, np.ndarray]], table_bytes: int = 48 << 20) -> Trees:
-    """Trees of the languages from their gram counts; the most frequent contexts that fit ``table_bytes`` of tables are kept."""
+        out = np.zeros((len(texts), len(self.trees)))
+        for row, code in coded(texts):
+            codes, at = np.unique(code, return_inverse=True)
+            first = row[0]
+            for i, tree in enumerate(self.trees):
+                sums = np.bincount(row - first, weights=tree.lengths(codes)[at])
+                out[first: first + len(sums), i] += sums
+        return out
+
+
+def _tree(codes: np.ndarray, counts: np.ndarray) -> Tree:
+    tree = Tree([], [], [], [])
+    shorter = np.full(256, 1 / 256)  # probabilities of the grams one byte shorter
+    for k in range(ORDER + 1):
+        grams, at = np.unique(_low(codes, k), return_inverse=True)
+        n = np.bincount(at, weights=counts)
+        contexts, at = np.unique(grams >> np.uint32(8), return_inverse=True)
+        kinds, held = np.bincount(at), np.bincount(at, weights=n)
+        p = n / (held + kinds)[at]
+        below = shorter[np.searchsorted(tree.grams[-1], _low(grams, k - 1))] if k else shorter[grams]
+        left = np.maximum(1 - np.bincount(at, weights=below), 1e-12)
+        tree.grams.append(grams), tree.bits.append(-np.log2(p).astype(np.float32))
+        tree.contexts.append(contexts), tree.escapes.append(-np.log2(kinds / (held + kinds) / left).astype(np.float32))
+        shorter = p
+    return tree
+
+
+def grow(grams: dict[str, tuple[np.ndarray, np.ndarray]]) -> Trees:
+    """Trees of the languages from their gram counts."""
     languages = sorted(grams)
-    codes = np.unique(np.concatenate([grams[x][0] for x in languages])).astype(np.uint32)
-    counts = np.zeros((len(languages), len(codes)))
-    for i, x in enumerate(languages):
-        counts[i, np.searchsorted(codes, grams[x][0])] = grams[x][1]
-    seen = np.unique(np.r_[0, *[np.unique((codes >> np.uint32(8 * k)) & np.uint32(255)) for k in range(ORDER + 1)]])
-    symbol = np.zeros(256, np.int64)
-    symbol[seen] = np.arange(len(seen)) + 1
-    width = len(seen) + 1
-    limit = max(1, table_bytes // (width * (4 * len(languages) + 8)))
-    last = symbol[codes & np.uint32(255)]
-    levels = [np.zeros(len(codes), np.int64)]
-    contexts, parent = [()], [0]
-    down = {}
-    total = counts.sum(0)
-    for k in range(1, ORDER + 1):  # contexts of k bytes: by frequency, parents first
-        earlier = symbol[(codes >> np.uint32(8 * k)) & np.uint32(255)]
-        key = levels[-1] * width + earlier
-        ok = levels[-1] >= 0
-        keys, at = np.unique(key[ok], return_inverse=True)
-        weight = np.bincount(at, weights=total[ok])
-        room = limit - len(contexts)
-        chosen = np.sort(np.lexsort((keys, -weight))[: max(0, room)])
-        number = np.full(len(keys), -1)
-        number[chosen] = np.arange(len(chosen)) + len(contexts)
-        for c in chosen.tolist():
-            p, s = divmod(int(keys[c]), width)
-            down[p, s] = len(contexts)
-            contexts.append(())
-            parent.append(p)
-        level = np.full(len(codes), -1)
-        level[ok] = number[at]
-        levels.append(level)
-    many = len(contexts)
-    table = np.zeros((2 * many, width), np.int32)
-    table[:] = np.r_[np.arange(many) + many, np.arange(many) + many][:, None]
-    for (p, s), c in down.items():
-        table[p, s] = c
-    bits = np.zeros((many, width, len(languages)), np.float32)
-    flat = np.full(width, 1 / 256)
-    for i in range(len(languages)):
-        n = np.zeros((many, width))
-        for level in levels:
-            ok = level >= 0
-            np.add.at(n, (level[ok], last[ok]), counts[i, ok])
-        p = np.zeros((many, width))
-        for c in range(many):
-            below = p[parent[c]] if c else flat
-            kinds, held = np.count_nonzero(n[c]), n[c].sum()
-            if not kinds:
-                p[c] = below
-                continue
-            left = 1 - (below[n[c] > 0].sum())
-            p[c] = np.where(n[c] > 0, n[c] / (held + kinds), below * (kinds / (held + kinds)) / max(left, 1e-12))
-        bits[:, :, i] = -np.log2(p)
-    return Trees(languages, symbol, table, many, bits)
+    return Trees(languages, [_tree(grams[x][0].astype(np.uint32), grams[x][1]) for x in languages])
 
 
 def hash_range(doc_id: str = "doc_id") -> Column:
@@ -162,11 +158,8 @@ def sampled(docs: DataFrame, learn: Column, sample_bytes: int, least_docs: int)
         "lang", F.call_function("substring", "text", F.lit(1), F.col("part")).alias("text"))
 
 
-def fit_on(docs: DataFrame, learn: Column, sample_bytes: int = 2 << 20, most_grams: int = 400_000, least_docs: int = 64) -> Trees | None:
-    """Learn from the sampled() documents of each language; None without any.
-
-    At most ``most_grams`` grams, the most frequent ones, reach the driver.
-    """
+def fit_on(docs: DataFrame, learn: Column, sample_bytes: int = 2 << 20, least_docs: int = 64) -> Trees | None:
+    """Learn every gram of the sampled() documents of each language; None without any. A language brings the driver no more grams than sampled bytes."""
     K.small_batches(docs.sparkSession)
     sample = sampled(docs, learn, sample_bytes, least_docs)
     if sample is None:
@@ -178,8 +171,7 @@ def fit_on(docs: DataFrame, learn: Column, sample_bytes: int = 2 << 20, most_gra
                 codes, n = gram_counts(b["text"].filter(pc.equal(b["lang"], lang)))
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes.astype(np.int64)), pa.array(n)], ["lang", "code", "n"])
 
-    got = sample.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(
-        F.sum("n").alias("n")).orderBy(F.desc("n"), "lang", "code").limit(most_grams).toPandas()
+    got = sample.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
     grams = {}
     for lang, part in got.groupby("lang"):
         part = part.sort_values("code")

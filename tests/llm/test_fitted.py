@@ -119,6 +119,38 @@ def test_sample_has_all_of_few_documents_and_follows_the_hash(spark):
     assert language_ppm.sampled(docs.where("doc_id < 0"), F.lit(True), 50_000, 64) is None
 
 
+def test_no_gram_is_lost_beside_a_rich_language(spark):
+    rng = np.random.default_rng(5)
+    rich = [(k, bytes(rng.integers(33, 127, 20_000, np.uint8)).decode(), "a") for k in range(30)]  # about 600,000 grams
+    docs = spark.createDataFrame([*rich, (100, "zebra zoo", "z")], "doc_id long, text string, lang string")
+    trees = language_ppm.fit_on(docs, F.lit(True))
+    alone = language_ppm.grow({"z": language_ppm.gram_counts(pa.array(["zebra zoo"]))})
+    assert trees.languages == ["a", "z"]
+    probe = pa.array(["zebra zoo", "zoo", "unlike"])
+    assert np.allclose(trees.lengths(probe)[:, 1], alone.lengths(probe)[:, 0])
+
+
+def test_many_languages_code_as_each_alone():
+    rng = np.random.default_rng(6)
+    grams, probe = {}, []
+    for k in range(24):
+        texts = pa.array(["".join(map(chr, rng.integers(33 + 10 * k, 233 + 10 * k, 3000))) for _ in range(2)])
+        grams[f"l{k:02}"] = language_ppm.gram_counts(texts)
+        probe.append(texts[0].as_py()[:200])
+    joint = language_ppm.grow(grams).lengths(pa.array(probe))
+    for i, x in enumerate(sorted(grams)):
+        assert np.allclose(joint[:, i], language_ppm.grow({x: grams[x]}).lengths(pa.array(probe))[:, 0], rtol=1e-6)
+    assert (joint.argmin(1) == np.arange(24)).all()
+
+
+def test_pieces_of_long_texts_are_whole(monkeypatch):
+    texts = pa.array(["", "abracadabra " * 9, None, "é", "x" * 50, ""])
+    trees = language_ppm.grow({"a": language_ppm.gram_counts(texts)})
+    want, whole = trees.lengths(texts), language_ppm.coded
+    monkeypatch.setattr(language_ppm, "coded", lambda t: whole(t, 7))
+    assert np.allclose(trees.lengths(texts), want) and (language_ppm.gram_counts(texts)[1].sum() == 12 * 9 + 2 + 50)
+
+
 def test_code_lengths_equal_a_plain_model():
     texts = {"a": ["abracadabra abra", "cad"], "b": ["banana band", "über"]}
     trees = language_ppm.grow({k: language_ppm.gram_counts(pa.array(v)) for k, v in texts.items()})
