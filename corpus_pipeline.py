@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near duplicates."""
-    return jaccard_join.one_of_each(docs)
+    """The document with the smallest id of each component of near duplicates: five words a shingle, a similarity of 0.8 or more."""
+    return jaccard_join.one_of_each(docs, width=5, least=80)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
-"""N-gram Jaccard join: documents whose sets of word 4-grams have a similarity of 0.85 or more, as components of links.
+"""N-gram Jaccard join: documents whose sets of word n-grams have at least a given similarity, as components of links.
 
-Tokens are 64-bit hashes of the 4-grams. A first exchange tells each token's class, the binary order of its count; class 0 is held once
+Width and similarity are parameters, 4 words and 0.85 if not given. Tokens are 64-bit hashes of the n-grams. A first exchange tells each token's class, the binary order of its count; class 0 is held once
 and can't be shared. All global token orders put lower classes first and differ in how they order a class. A document whose
-tokens of class 0 exceed what 0.85 allows has no partner. Of the others, one document for each distinct set goes on, and a second exchange
+tokens of class 0 exceed what the similarity allows has no partner. Of the others, one document for each distinct set goes on, and a second exchange
 tells the classes among these. Candidates share a token in their prefixes of the first order, must also share one under each further
 order, and are then verified on the whole sets.
 
@@ -26,9 +26,10 @@ from salesloom.llm import common as K
 from salesloom.llm import slabs as S
 from salesloom.llm.components import components, stored
 
-SHINGLE = 4
-#: A link: PART * size of the intersection >= LEAST * size of the union.
-PART, LEAST = 100, 85
+#: Words of a shingle, and hundredths of similarity of a link, if not given.
+SHINGLE, LEAST = 4, 85
+#: A link: PART * size of the intersection >= least * size of the union.
+PART = 100
 #: The documents of a prefix token compare all pairs if they are at most so many.
 FEW = 12
 #: Tokens in a slab of the second exchange.
@@ -36,7 +37,7 @@ SLAB_TOKENS = 500_000
 ORDERS = 3
 
 
-def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def shingles(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of the distinct shingles of each text, in that order."""
     rows, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for at, to, buf, off in K.pieces(texts):
@@ -44,10 +45,10 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         starts, ends, doc = K.find_words(buf, off, K.SPACE)
         h = K.span_hashes(buf, starts, ends)
         count = np.bincount(doc, minlength=to - at)
-        full = np.flatnonzero(doc[: len(doc) - SHINGLE + 1] == doc[SHINGLE - 1:]) if len(doc) >= SHINGLE else np.zeros(0, np.int64)
-        d, s = [doc[full]], [K.chained(h, SHINGLE)[full]]
+        full = np.flatnonzero(doc[: len(doc) - width + 1] == doc[width - 1:]) if len(doc) >= width else np.zeros(0, np.int64)
+        d, s = [doc[full]], [K.chained(h, width)[full]]
         begin = np.cumsum(count) - count
-        for n in range(1, SHINGLE):
+        for n in range(1, width):
             short = np.flatnonzero(count == n)
             if len(short):
                 d.append(short)
@@ -61,9 +62,9 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(hashes)
 
 
-def prefix_length(n: int | np.ndarray) -> int | np.ndarray:
+def prefix_length(n: int | np.ndarray, least: int = LEAST) -> int | np.ndarray:
     """Tokens of the prefix of a set of ``n``: any partner holds one of them."""
-    return n - (LEAST * n + PART - 1) // PART + 1
+    return n - (least * n + PART - 1) // PART + 1
 
 
 def in_order(tokens: np.ndarray, classes: np.ndarray, k: int) -> np.ndarray:
@@ -84,15 +85,15 @@ def _classed(tokens: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.nd
     return t[order], c[order]
 
 
-def sets(slabs: DataFrame) -> DataFrame:
+def sets(slabs: DataFrame, width: int = SHINGLE, least: int = LEAST) -> DataFrame:
     """The set size ``n`` of each row; of those that can have a partner also the ``m`` shared tokens and a key of the set."""
     buckets = S.key_buckets(slabs, 7.0)
 
     def keys_of(rows: pa.Table) -> np.ndarray:
-        return S.at_most_twice(shingles(rows["text"])[1])
+        return S.at_most_twice(shingles(rows["text"], width)[1])
 
     def measure(rows: pa.Table, told: pa.Table) -> pa.Table:
-        doc, tokens = shingles(rows["text"])
+        doc, tokens = shingles(rows["text"], width)
         keys = S.at_most_twice(tokens)
         classes = S.unpack(keys, buckets, told) if len(keys) else np.zeros(0, np.uint8)
         cls = classes[np.searchsorted(keys, tokens)] if len(keys) else classes
@@ -101,7 +102,7 @@ def sets(slabs: DataFrame) -> DataFrame:
         begin = np.cumsum(n) - n
         out: dict[str, list] = {c: [] for c in ("key_a", "key_b", "tokens", "classes")}
         for i in range(len(rows)):
-            if not n[i] or PART * m[i] < LEAST * n[i]:
+            if not n[i] or PART * m[i] < least * n[i]:
                 for c in out.values():
                     c.append(None)
                 continue
@@ -122,7 +123,7 @@ def sets(slabs: DataFrame) -> DataFrame:
 HELD = "doc_id long, n long, m long, tokens binary, classes binary, prefix array<long>"
 
 
-def held_sets(distinct: DataFrame) -> DataFrame:
+def held_sets(distinct: DataFrame, least: int = LEAST) -> DataFrame:
     """Of documents with distinct sets, those that can have a partner among them, with classes among them and the prefix of the first order."""
     total = distinct.agg(F.sum("m")).first()[0] or 0
     buckets = max(8, int(total / 500_000) + 1)
@@ -139,9 +140,9 @@ def held_sets(distinct: DataFrame) -> DataFrame:
         found = []
         for doc, n, t in zip(rows["doc_id"].to_pylist(), sizes, own):
             t, c = _classed(t, classes[np.searchsorted(keys, t)])
-            if len(t) and PART * len(t) >= LEAST * n:
+            if len(t) and PART * len(t) >= least * n:
                 found.append({"doc_id": doc, "n": n, "m": len(t), "tokens": t.tobytes(), "classes": c.tobytes(),
-                              "prefix": t[: prefix_length(n) - (n - len(t))].astype(np.int64)})
+                              "prefix": t[: prefix_length(n, least) - (n - len(t))].astype(np.int64)})
         return pa.Table.from_pylist(found, schema=pa.schema([
             ("doc_id", pa.int64()), ("n", pa.int64()), ("m", pa.int64()), ("tokens", pa.binary()), ("classes", pa.binary()), ("prefix", pa.list_(pa.int64()))]))
 
@@ -149,12 +150,12 @@ def held_sets(distinct: DataFrame) -> DataFrame:
     return stored(slabs.groupBy("slab").cogroup(answers.groupBy("slab")).applyInArrow(measure, HELD), "held")
 
 
-def _similar(n_a, n_b, both):
+def _similar(n_a, n_b, both, least):
     """Whether ``both`` common tokens make sets of these sizes similar enough; columns or numbers."""
-    return PART * both >= LEAST * (n_a + n_b - both)
+    return PART * both >= least * (n_a + n_b - both)
 
 
-def _overlaps(pairs: DataFrame, held: DataFrame) -> DataFrame:
+def _overlaps(pairs: DataFrame, held: DataFrame, least: int) -> DataFrame:
     """(a, b, both): common tokens of each of ``pairs`` (a, b); 0 for pairs that don't share a token in the prefixes of every order."""
     one = held.select(*[F.col(c).alias(f"{c}_a") for c in ("n", "tokens", "classes")], F.col("doc_id").alias("a"))
     two = held.select(*[F.col(c).alias(f"{c}_b") for c in ("n", "tokens", "classes")], F.col("doc_id").alias("b"))
@@ -163,7 +164,7 @@ def _overlaps(pairs: DataFrame, held: DataFrame) -> DataFrame:
         x, y = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64)
         if not centre:
             cx, cy = np.frombuffer(ca, np.uint8), np.frombuffer(cb, np.uint8)
-            p, q = prefix_length(na) - (na - len(x)), prefix_length(nb) - (nb - len(y))
+            p, q = prefix_length(na, least) - (na - len(x)), prefix_length(nb, least) - (nb - len(y))
             for k in range(1, ORDERS):
                 if not np.isin(in_order(x, cx, k)[:p], in_order(y, cy, k)[:q]).any():
                     return 0
@@ -180,7 +181,7 @@ def _overlaps(pairs: DataFrame, held: DataFrame) -> DataFrame:
     return stored(out, "overlaps")
 
 
-def links(held: DataFrame) -> DataFrame:
+def links(held: DataFrame, least: int = LEAST) -> DataFrame:
     """Links (a, b) between the documents of ``held`` that join the same components as all links do."""
     entries = held.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("a"), "n", "m")
     busy = entries.groupBy("token").agg(F.count("*").alias("size"), F.min(F.struct((F.col("n") - F.col("m")).alias("lone"), "a", "m")).alias("c")).where("size > 1")
@@ -189,10 +190,10 @@ def links(held: DataFrame) -> DataFrame:
         "token", F.col("a").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "m", *more)])
     few, many = entries.where(F.col("size") <= FEW), entries.where(F.col("size") > FEW)
     most = F.least("m_a", "m_b")
-    alone = side(few, "a").join(side(few, "b"), "token").where((F.col("a") < F.col("b")) & _similar(F.col("n_a"), F.col("n_b"), most))
+    alone = side(few, "a").join(side(few, "b"), "token").where((F.col("a") < F.col("b")) & _similar(F.col("n_a"), F.col("n_b"), most, least))
     stars = many.where("a <> centre").select("a", F.col("centre").alias("b"), F.lit(True).alias("centre"))
-    met = _overlaps(stars.union(alone.select("a", "b", F.lit(False))), held)
-    found = met.where(_similar(F.col("n_a"), F.col("n_b"), F.col("both"))).select("a", "b")
+    met = _overlaps(stars.union(alone.select("a", "b", F.lit(False))), held, least)
+    found = met.where(_similar(F.col("n_a"), F.col("n_b"), F.col("both"), least)).select("a", "b")
 
     named = components(found)
     near = many.join(met.select("a", F.col("b").alias("centre"), "both"), ["a", "centre"], "left").withColumn(
@@ -201,13 +202,13 @@ def links(held: DataFrame) -> DataFrame:
         "token", "a", "n", "m", "near", "far", F.coalesce("named", "a").alias("component"))
     open_ = _open(near)
     bound = F.col("near") + F.least("far", "most_far")
-    left = stored(_open(open_.where(_similar(F.col("n"), F.greatest("least_n", bound), bound)).drop("most_far", "least_n")), "open")
+    left = stored(_open(open_.where(_similar(F.col("n"), F.greatest("least_n", bound), bound, least)).drop("most_far", "least_n")), "open")
     bound = F.least("near_a", "near_b") + F.least("far_a", "far_b")
     again = side(left, "a", "near", "far", "component").join(side(left, "b", "near", "far", "component"), "token").where(
         (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b"))
-        & _similar(F.col("n_a"), F.col("n_b"), most) & _similar(F.col("n_a"), F.col("n_b"), bound))
-    late = _overlaps(again.select("a", "b", F.lit(False).alias("centre")), held)
-    return found.union(late.where(_similar(F.col("n_a"), F.col("n_b"), F.col("both"))).select("a", "b"))
+        & _similar(F.col("n_a"), F.col("n_b"), most, least) & _similar(F.col("n_a"), F.col("n_b"), bound, least))
+    late = _overlaps(again.select("a", "b", F.lit(False).alias("centre")), held, least)
+    return found.union(late.where(_similar(F.col("n_a"), F.col("n_b"), F.col("both"), least)).select("a", "b"))
 
 
 def _open(entries: DataFrame) -> DataFrame:
@@ -216,23 +217,23 @@ def _open(entries: DataFrame) -> DataFrame:
     return entries.join(busy.where("x <> y").drop("x", "y"), "token")
 
 
-def joined(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def joined(docs: DataFrame, width: int = SHINGLE, least: int = LEAST) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row; links by shingles of ``width`` words and a similarity of ``least`` hundredths or more."""
     name = S.new_name()
-    rows = sets(S.slab_table(docs.select("doc_id", "text"), name))  # written by now, so the texts' copy can go
+    rows = sets(S.slab_table(docs.select("doc_id", "text"), name), width, least)  # written by now, so the texts' copy can go
     S.discard(docs.sparkSession, name)
     can = rows.where(F.col("tokens").isNotNull() & F.col("doc_id").isNotNull())
     same = ["n", "key_a", "key_b"]
-    least = can.groupBy(*same).agg(F.min(F.struct("doc_id", "rid")).alias("one"))
-    least = stored(least.select(*same, F.col("one.doc_id").alias("a"), F.col("one.rid").alias("rid")), "distinct")
-    distinct = stored(can.select("rid", "doc_id", "n", "m", "tokens").join(least.select("rid"), "rid", "left_semi"), "distinct")
-    copies = can.select(*same, F.col("doc_id").alias("b")).join(least.select(*same, "a"), same).where("a <> b").select("a", "b")
-    named = components(copies.union(links(held_sets(distinct)))).withColumnRenamed("node", "doc_id")
+    first = can.groupBy(*same).agg(F.min(F.struct("doc_id", "rid")).alias("one"))
+    first = stored(first.select(*same, F.col("one.doc_id").alias("a"), F.col("one.rid").alias("rid")), "distinct")
+    distinct = stored(can.select("rid", "doc_id", "n", "m", "tokens").join(first.select("rid"), "rid", "left_semi"), "distinct")
+    copies = can.select(*same, F.col("doc_id").alias("b")).join(first.select(*same, "a"), same).where("a <> b").select("a", "b")
+    named = components(copies.union(links(held_sets(distinct, least), least))).withColumnRenamed("node", "doc_id")
     return rows.select("doc_id", F.col("n").alias("n_shingles")).join(named, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = SHINGLE, least: int = LEAST) -> DataFrame:
     """``docs`` without the rows whose component has a smaller doc_id; rows with a null id and rows of one id stay."""
-    gone = joined(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    gone = joined(docs, width, least).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*[K.quoted(c) for c in docs.columns])

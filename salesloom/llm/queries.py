@@ -25,7 +25,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.joined(table(spark, sf_dir, "documents"))
+    return jaccard_join.joined(table(spark, sf_dir, "documents"), width=4, least=85)
 
 
 def op5_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

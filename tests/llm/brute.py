@@ -57,6 +57,21 @@ def jaccard(rows):
     return [(d, len(s), None if d is None else root(d)) for d, s in sets]
 
 
+def near_copies(rows, width, least):
+    """(doc_id, n_shingles, component_id) as by jaccard(), for shingles of ``width`` words and ``least`` hundredths of similarity."""
+    sets = []
+    for d, text in rows:
+        w = BLANK_WORDS.findall((text or "").translate(LOWER))
+        sets.append((d, frozenset([tuple(w)] if 0 < len(w) < width else zip(*[w[k:] for k in range(width)]))))
+    name = {d: d for d, _ in sets if d is not None}
+    for i, (a, s) in enumerate(sets):
+        for b, t in sets[:i]:
+            if a is not None and b is not None and s and 100 * len(s & t) >= least * len(s | t):
+                x, y = sorted((name[a], name[b]))
+                name = {d: x if c == y else c for d, c in name.items()}
+    return [(d, len(s), None if d is None else name[d]) for d, s in sets]
+
+
 def repeated(rows):
     """(doc_id, n_bytes, n_removed, n_spans, kept) of each (doc_id, text)."""
     first = {}
