@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salesloom.llm import (
-    bpe_trie, decontaminate, jaccard_join, language_ppm, quality_trees, rule_forest, suffix_dedup, token_counts, token_files, toxicity)
+    bpe_trie, decontaminate, importance, jaccard_join, language_ppm, packing, product_codes, quality_trees, rule_forest, suffix_dedup, token_counts,
+    token_files, toxicity)
 from salesloom.llm.common import table
 from salesloom.llm.sql import SQL  # noqa: F401  the entry reads it here
 
@@ -52,6 +53,18 @@ def op10_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_pivot_product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_codes.digests(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_trees": op1_quality_trees,
     "op2_fm_index_decontamination": op2_fm_index_decontamination,
@@ -63,4 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packed_token_files": op8_packed_token_files,
     "op9_rule_forest": op9_rule_forest,
     "op10_counterfactual_toxicity": op10_counterfactual_toxicity,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_pivot_product_codes": op13_pivot_product_codes,
 }
