@@ -12,6 +12,10 @@ LINE_RATE = pct("count(*) FILTER (WHERE is_return)", "count(*)")
 BINS = """CASE WHEN discount > -1 AND discount <= 0 THEN '0%' WHEN discount > 0 AND discount <= 10 THEN '1-10%'
                WHEN discount > 10 AND discount <= 20 THEN '11-20%' WHEN discount > 20 AND discount <= 30 THEN '21-30%'
                WHEN discount > 30 AND discount <= 100 THEN '30%+' END"""
+SQL_BAND = """CASE WHEN discount = 0 THEN '0%' WHEN discount BETWEEN 1 AND 10 THEN '1-10%' WHEN discount BETWEEN 11 AND 20 THEN '11-20%'
+               WHEN discount BETWEEN 21 AND 30 THEN '21-30%' ELSE '30%+' END"""
+BI_BAND = """CASE WHEN discount = 0 THEN 'No Discount' WHEN discount <= 10 THEN '1-10%' WHEN discount <= 20 THEN '11-20%'
+               WHEN discount <= 30 THEN '21-30%' ELSE '30%+' END"""
 BAND_NO = "CASE disc_band WHEN '0%' THEN 0::BIGINT WHEN '1-10%' THEN 1 WHEN '11-20%' THEN 2 WHEN '21-30%' THEN 3 ELSE 4 END"
 
 BY_CATEGORY = f"""SELECT category, {REV} AS revenue, {PRO} AS profit, {ORDERS}, {FLAGGED} AS returns,
@@ -155,10 +159,7 @@ SQL: dict[str, str] = {
     })),
     "m10_m12_band_flavours": sql(f"""SELECT discount, count(*) AS line_count, sql_band, bin_band, bi_band FROM (
         SELECT CAST(discount AS DOUBLE) AS discount,
-          CASE WHEN discount = 0 THEN '0%' WHEN discount BETWEEN 1 AND 10 THEN '1-10%' WHEN discount BETWEEN 11 AND 20 THEN '11-20%'
-               WHEN discount BETWEEN 21 AND 30 THEN '21-30%' ELSE '30%+' END AS sql_band, {BINS} AS bin_band,
-          CASE WHEN discount = 0 THEN 'No Discount' WHEN discount <= 10 THEN '1-10%' WHEN discount <= 20 THEN '11-20%'
-               WHEN discount <= 30 THEN '21-30%' ELSE '30%+' END AS bi_band FROM fact_raw) GROUP BY ALL"""),
+          {SQL_BAND} AS sql_band, {BINS} AS bin_band, {BI_BAND} AS bi_band FROM fact_raw) GROUP BY ALL"""),
     # summaries
     "a1_overview": sql(f"""SELECT {REV} AS revenue, {PRO} AS profit, {pct('sum(profit)', 'sum(revenue)')} AS margin_pct, {ORDERS},
         count(DISTINCT customer_id) AS customers, {per('sum(revenue)', 'count(DISTINCT order_id)')} AS aov,

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 
 from salesloom.functions.dates import parse_date
 from salesloom.schemas import PRICE
+from salesloom.sources.raw_csv import POSITION
 
 # Fill-in texts, the loss-leader repair factor and the limits of quantity and discount.
 UNKNOWN = "Unknown"
@@ -24,12 +25,14 @@ DISCOUNT_RANGE = (0, 100)
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the first in a total order.
 
-    The order defaults to all remaining columns, ascending with NULLs last. Spark keeps only the first row
-    per key on the map side already (WindowGroupLimit), so a hot key never travels as a whole.
+    The order defaults to the place in the files, where the rows carry it (read_raw(ordered=True)), which is then dropped; else to all remaining
+    columns, ascending with NULLs last. Spark keeps only the first row per key on the map side already (WindowGroupLimit), so a hot
+    key never travels as a whole.
     """
-    order_by = list(order_by) if order_by else [c for c in df.columns if c not in set(keys)]
+    placed = not order_by and POSITION in df.columns
+    order_by = list(order_by) if order_by else [POSITION] if placed else [c for c in df.columns if c not in set(keys)]
     window = W.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
-    return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
+    return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn", *[POSITION] * placed)
 
 
 def at_least(c: Column | str, low) -> Column:

@@ -12,6 +12,7 @@ Windows and row numbers run over calendar days, whose number does not grow with
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,11 +139,15 @@ def _series_models(days: DataFrame, key: str, window: int, share: float) -> Data
 METHODS = ("weekday", "moving_average", "drift")
 
 
+def _slope() -> Column:
+    """Change a day of the drift forecast."""
+    return F.coalesce(div(F.col("y1") - F.col("y0"), F.col("n_train") - 1), F.lit(0.0))
+
+
 def _predicted(method: str, pos: Column) -> Column:
     """Forecast of a method for the day at ``pos``, from a row of _series_models(), floored at 0."""
-    slope = F.coalesce(div(F.col("y1") - F.col("y0"), F.col("n_train") - 1), F.lit(0.0))
     value = {"weekday": F.col("weekday")[(F.col("first_dow") + pos) % 7], "moving_average": F.col("recent"),
-             "drift": F.col("y1") + slope * (pos - F.col("n_train") + 1)}[method]
+             "drift": F.col("y1") + _slope() * (pos - F.col("n_train") + 1)}[method]
     return F.greatest(F.coalesce(value, F.lit(0.0)), F.lit(0.0))
 
 
@@ -160,22 +165,58 @@ def series_baselines(fact: DataFrame, key: str, window: int = 28, share: float =
         key, "ds", "actual", "m.method", "m.predicted")
 
 
+def _unsold_weekday(d: int) -> Column:
+    """Test days with weekday ``d`` on which a series sold nothing: those of the calendar, by division, less those in ``sold``."""
+    at = F.pmod(F.lit(d) - F.col("first_dow"), F.lit(7))
+    upto = lambda days: F.floor((days - 1 - at) / 7)
+    sold = F.size(F.filter("sold", lambda s: (F.col("first_dow") + s["pos"]) % 7 == d))
+    return upto(F.col("n")) - upto(F.col("n_train")) - sold
+
+
+def _unsold_sums(method: str) -> tuple[Column, Column]:
+    """Sum and sum of squares of a method's forecasts over the test days without sales, in closed form."""
+    h = F.col("n") - F.col("n_train")
+    if method == "moving_average":
+        p, days = F.greatest("recent", F.lit(0.0)), h - F.size("sold")
+        return p * days, p * p * days
+    if method == "weekday":
+        p = [F.greatest(F.coalesce(F.col("weekday")[d], F.lit(0.0)), F.lit(0.0)) for d in range(7)]
+        return (reduce(Column.__add__, [x * F.col("unsold")[d] for d, x in enumerate(p)]),
+                reduce(Column.__add__, [x * x * F.col("unsold")[d] for d, x in enumerate(p)]))
+    # drift: y1 + slope k on the k-th test day, above 0 from the day ``low`` to the day ``high``
+    y, slope = F.col("y1"), _slope()
+    low = F.when((y < 0) & (slope > 0), F.floor(div(-y, slope)) + 1).otherwise(1).cast("double")
+    high = F.when(slope < 0, F.least(h, F.floor(div(y, -slope)))).when((y < 0) & (slope == 0), 0).otherwise(h).cast("double")
+    before = F.greatest(low - 1, F.lit(0.0))
+    high = F.greatest(high, before)
+    sold = F.filter(F.transform("sold", lambda s: (s["pos"] - F.col("n_train") + 1).cast("double")), lambda k: (k >= low) & (k <= high))
+    total = lambda power: F.aggregate(sold, F.lit(0.0), lambda t, k: t + reduce(Column.__mul__, [k] * power, F.lit(1.0)))
+    upto = [lambda m: m, lambda m: m * (m + 1) / 2, lambda m: m * (m + 1) * (2 * m + 1) / 6]  # sums of k^0, k^1, k^2
+    k0, k1, k2 = (f(high) - f(before) - total(power) for power, f in enumerate(upto))
+    return y * k0 + slope * k1, y * y * k0 + 2 * y * slope * k1 + slope * slope * k2
+
+
 def series_errors(fact: DataFrame, key: str, window: int = 28, share: float = TRAIN_SHARE) -> DataFrame:
-    """F5 with F6: errors per series and method, summed within the one row of each series."""
+    """F5 with F6: errors per series and method, from the one row of each series.
+
+    Days with sales are summed one by one. On the others the error is the forecast itself, so they need only sums of forecasts and of their
+    squares, which counts of weekdays and sums of arithmetic rows give; no day without sales is ever made.
+    """
     models = _series_models(_series_days(fact, key), key, window, share).filter("n_train < n")
-    models = models.withColumn("unsold", F.array_except(
-        F.sequence(F.col("n_train").cast("int"), F.col("n").cast("int") - 1), F.transform("sold", lambda s: s["pos"])))
+    models = models.withColumn("unsold", F.array(*[_unsold_weekday(d) for d in range(7)]))
 
     def sums(method: str) -> Column:
-        def add(total: Column, actual: Column, pos: Column) -> Column:
-            e = actual - _predicted(method, pos)
-            return F.struct((total["a"] + F.abs(e)).alias("a"), (total["s"] + e * e).alias("s"), (total["p"] + F.abs(e / (actual + EPSILON))).alias("p"))
-        zero = F.struct(*[F.lit(0.0).alias(c) for c in "asp"])
-        sold = F.aggregate("sold", zero, lambda t, d: add(t, d["y"], d["pos"]))
-        return F.struct(F.lit(method).alias("method"), F.aggregate("unsold", sold, lambda t, p: add(t, F.lit(0.0), p)).alias("e"))
+        def add(total: Column, day: Column) -> Column:
+            e = day["y"] - _predicted(method, day["pos"])
+            return F.struct((total["a"] + F.abs(e)).alias("a"), (total["s"] + e * e).alias("s"), (total["p"] + F.abs(e / (day["y"] + EPSILON))).alias("p"))
+        sold = F.aggregate("sold", F.struct(*[F.lit(0.0).alias(c) for c in "asp"]), add)
+        first, second = _unsold_sums(method)
+        return F.struct(F.lit(method).alias("method"), sold.alias("sold"), first.alias("first"), second.alias("second"))
 
     n = (F.col("n") - F.col("n_train")).cast("long")
     rows = models.select(key, n.alias("days"), F.explode(F.array(*[sums(m) for m in METHODS])).alias("m"))
-    e = F.col("m.e")
-    return rows.select(key, "m.method", "days", round_half_up(e["a"] / F.col("days")).alias("mae"),
-                       round_half_up(F.sqrt(e["s"] / F.col("days"))).alias("rmse"), round_half_up(e["p"] / F.col("days") * 100).alias("mape_pct"))
+    mean = lambda part, more: (F.col(f"m.sold.{part}") + more) / F.col("days")
+    first = F.col("m.first")
+    return rows.select(key, "m.method", "days", round_half_up(mean("a", first)).alias("mae"),
+                       round_half_up(F.sqrt(mean("s", F.greatest("m.second", F.lit(0.0))))).alias("rmse"),
+                       round_half_up(mean("p", first / EPSILON) * 100).alias("mape_pct"))

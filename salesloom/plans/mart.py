@@ -21,6 +21,7 @@ from salesloom import session
 from salesloom.operators import cleaning, star
 from salesloom.plans.layout import MONTH, with_month, write_parquet
 from salesloom.sources.driver import FILE_ORDER, read_driver
+from salesloom.sources.raw_csv import POSITION
 from salesloom.sources.tables import RawTables
 
 # Fixed value: "today" of the driver tables, so that results never depend on the clock.
@@ -31,15 +32,16 @@ class Mart:
     """Star of any raw tables, such as read_raw() of a user's CSV files.
 
     ``name`` keeps its published tables apart from those of other marts; ``file_order`` names the line columns that tell which of several equal
-    (order, product) lines comes first, ``keep`` further line columns that the raw fact carries. A mart does not notice when its
+    (order, product) lines comes first (by default their place in the files, if they carry it, else their values), ``keep`` further line columns that the raw fact carries. A mart does not notice when its
     source changes: make another one, under another name.
     """
 
     def __init__(self, spark: SparkSession, source: RawTables, name: str, as_of: dt.date,
-                 file_order: Sequence[str] = ("quantity", "selling_price", "discount"), keep: Sequence[str] = ()):
+                 file_order: Sequence[str] | None = None, keep: Sequence[str] = ()):
         session.configure(spark)
         self.spark, self.source, self.name, self.as_of = spark, source, name, as_of
-        self.file_order, self.keep = list(file_order), list(keep)
+        placed = POSITION in source.order_items.columns
+        self.file_order, self.keep = list(file_order or ([POSITION] if placed else ["quantity", "selling_price", "discount"])), list(keep)
         self._made: dict[str, object] = {}
 
     def path(self, table: str) -> str:

@@ -24,9 +24,11 @@ from salesloom.operators import summaries as S
 from salesloom.operators import visuals as V
 from salesloom.plans.layout import MONTH
 from salesloom.plans.mart import Mart, mart
+from salesloom.sources import quarantine as QT
 from salesloom.sources import sinks
+from salesloom.sources.dirty import write_dirty_csv
 from salesloom.sources.driver import DRIVER_COORDS, FILE_ORDER
-from salesloom.sources.raw_csv import corrupt_rows, read_raw
+from salesloom.sources.raw_csv import POSITION, corrupt_rows, read_raw
 from salesloom.sources.tables import RawTables
 from salesloom.streaming.refresh import refresh_from_stream
 
@@ -104,6 +106,13 @@ CLEANING: dict[str, Query] = {
     "clean_returns": lambda m: m.returns,
 }
 
+def _bands(fact: DataFrame) -> DataFrame:
+    """The three band flavours of every discount that occurs."""
+    return fact.groupBy("discount").agg(F.count(F.lit(1)).alias("line_count")).withColumns({
+        "sql_band": bands.discount_band_sql(F.col("discount")), "bin_band": bands.discount_band_bins(F.col("discount")),
+        "bi_band": bands.discount_band_bi(F.col("discount"))})
+
+
 FACTS: dict[str, Query] = {
     "fact_raw": lambda m: m.fact_raw,
     "fact_clean": lambda m: m.fact_clean,
@@ -111,9 +120,7 @@ FACTS: dict[str, Query] = {
         "order_id", "product_id", "line_no", "supp_no", "region", "category", "revenue", "is_return"),
     "p01_p10_line_filters": lambda m: S.filter_profile(m.fact_raw, S.line_filters()),
     "p02_p07_p11_segment_filters": lambda m: S.filter_profile(m.fact_raw, S.segment_filters("ECONOMY", "ASIA", [1996, 1997])),
-    "m10_m12_band_flavours": lambda m: m.fact_raw.groupBy("discount").agg(F.count(F.lit(1)).alias("line_count")).withColumns({
-        "sql_band": bands.discount_band_sql(F.col("discount")), "bin_band": bands.discount_band_bins(F.col("discount")),
-        "bi_band": bands.discount_band_bi(F.col("discount"))}),
+    "m10_m12_band_flavours": lambda m: _bands(m.fact_raw),
 }
 
 SUMMARIES: dict[str, Query] = {
@@ -402,6 +409,55 @@ SINKS: dict[str, Query] = {
 }
 
 
+def _dirty(m: Mart) -> Mart:
+    """A mart over CSV files that break the rules, read in file order."""
+    return m.once("dirty-mart", lambda: Mart(
+        m.spark, read_raw(m.spark, write_dirty_csv(m.spark, m.raw, m.path("dirty-csv")), ordered=True), m.name + " dirty", m.as_of))
+
+
+def _quarantined(m: Mart) -> dict[str, QT.Quarantined]:
+    return m.once("quarantine", lambda: QT.quarantine(_dirty(m).raw, m.as_of, m.path("quarantine")))
+
+
+def _first_in_file(m: Mart) -> DataFrame:
+    """The rows that C1 keeps of each dirty table, by their keys and one value."""
+    raw, none = _dirty(m).raw, F.lit(None).cast("long")
+    kept = {"customers": (["customer_id"], "name"), "products": (["product_id"], "brand"), "orders": (["order_id"], "payment_mode"),
+            "order_items": (["order_id", "product_id"], "quantity"), "returns": (["order_id", "product_id"], "return_reason")}
+    return reduce(DataFrame.unionByName, [
+        K.keep_first(getattr(raw, t), keys).select(F.lit(t).alias("table_name"), F.col(keys[0]).alias("key_1"), (F.col(keys[1]) if len(keys) > 1 else none).alias("key_2"),
+                                                   F.col(value).cast("string").alias("kept_value")) for t, (keys, value) in kept.items()])
+
+
+_LINE = ["order_id", "product_id", "quantity", "selling_price", "discount", "customer_id", "order_date", "shipping_date", "region", "payment_mode", "cost_price",
+         "category", "sub_category", "brand", "revenue", "cost_total", "profit", "discount_impact", "is_return"]
+
+DIRTY: dict[str, Query] = {
+    "c01_csv_first_in_file": _first_in_file,
+    "c02_c05_dirty_customers": lambda m: _dirty(m).customers,
+    "c06_dirty_clip": lambda m: K.clean_order_items(_dirty(m).raw.order_items).drop(POSITION),
+    "c06_c08_dirty_prices": lambda m: _dirty(m).products.select("product_id", "cost_price", "selling_price"),
+    "c09_dirty_shipping": lambda m: _dirty(m).orders,
+    "c15_dirty_foreign_keys": lambda m: QU.foreign_key_violations([
+        ("orders.customer_id", _dirty(m).raw.orders, ["customer_id"], _dirty(m).raw.customers),
+        ("order_items.order_id", _dirty(m).raw.order_items, ["order_id"], _dirty(m).raw.orders),
+        ("order_items.product_id", _dirty(m).raw.order_items, ["product_id"], _dirty(m).raw.products),
+        ("returns.line", _dirty(m).raw.returns, ["order_id", "product_id"], _dirty(m).raw.order_items),
+    ]),
+    "c15_quarantine_counts": lambda m: QT.rule_counts(m.spark, _quarantined(m)),
+    "c15_quarantined_lines": lambda m: _quarantined(m)["order_items"].rejected.select(
+        "order_id", "product_id", "quantity", F.array_join(QT.BROKEN, "; ").alias("rules")),
+    "c16_dirty_keys": lambda m: QU.key_violations([
+        (t, getattr(_dirty(m).raw, t), k) for t, k in (("customers", ["customer_id"]), ("products", ["product_id"]), ("orders", ["order_id"]),
+                                                       ("order_items", star.LINE_KEY), ("returns", star.LINE_KEY))]),
+    "c17_dirty_quotes": lambda m: K.strip_quotes(K.keep_first(_dirty(m).raw.customers, ["customer_id"]), "name").select("customer_id", "name"),
+    "fact_clean_dirty": lambda m: _dirty(m).fact_clean.select(*_LINE, "name", "gender", "age", "city", "customer_region", "has_customer", "has_product"),
+    "fact_raw_dirty": lambda m: _dirty(m).fact_raw.select(*_LINE),
+    "j04_dirty_inner": lambda m: star.build_raw_fact(_dirty(m).raw, how="inner").select("order_id", "product_id", "quantity", "revenue", "profit"),
+    "m10_m12_dirty_bands": lambda m: _bands(_dirty(m).fact_raw),
+}
+
+
 def _parsed(m: Mart) -> dict[str, DataFrame]:
     """Raw tables with their date texts parsed."""
     return {
@@ -411,7 +467,7 @@ def _parsed(m: Mart) -> dict[str, DataFrame]:
     }
 
 
-QUERIES: dict[str, Query] = {**CATALOG, **CLEANING, **FACTS, **SUMMARIES, **MEASURES, **INSIGHTS, **MODELS, **SINKS}
+QUERIES: dict[str, Query] = {**CATALOG, **CLEANING, **FACTS, **SUMMARIES, **MEASURES, **INSIGHTS, **MODELS, **SINKS, **DIRTY}
 
 
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from salesloom import schemas
 from salesloom.operators import star, summaries
 from salesloom.plans.layout import MONTH, replace_partitions, with_month, write_parquet
-from salesloom.sources.raw_csv import read_csv, write_csv
+from salesloom.sources.raw_csv import POSITION, read_csv, write_csv
 from salesloom.sources.tables import RawTables
 
 BATCH_ROWS = 500  # fixed value: rows per INSERT batch of the warehouse load
@@ -38,7 +38,7 @@ def write_bi_star(raw: RawTables, fact: DataFrame, folder: str) -> dict[str, Dat
         "dim_customers": summaries.bi_customers(raw.customers),
         "dim_products": summaries.bi_products(raw.products),
         "fact_sales": summaries.bi_fact(fact),
-        "returns": raw.returns,
+        "returns": raw.returns.drop(POSITION),
     }
     for name, df in files.items():
         write_csv(df, f"{folder}/{name}")

@@ -124,3 +124,23 @@ def test_concentration_and_fraction(spark):
     got = {r["cutoff"]: (r["customers"], r["share_pct"]) for r in I.concentration(fact, [0.2, 0.5], [0.4]).collect()}
     assert got == {"top 0.2": (1, 50.0), "top 0.5": (2, 80.0), "bottom 0.4": (2, 10.0)}
     assert I.fraction_reaching(fact).first()["fraction"] == 0.2
+
+
+def test_series_errors_equal_those_of_dense_rows(spark):
+    """Closed form against every test day made: dense, sparse, rising, falling and negative series, and one without test sales."""
+    start, rnd = dt.date(2024, 1, 3), random.Random(8)
+    series = {
+        "dense": {d: rnd.randint(1, 900) for d in range(80)}, "sparse": {d: rnd.randint(1, 900) for d in rnd.sample(range(80), 15)},
+        "falling": {0: 500, 67: 30, 70: 20, 79: 1}, "steep": {0: 900, 67: 2, 75: 9}, "rising": {0: 10, 67: 700, 71: 3}, "flat": {0: 5, 67: 5},
+        "under": {0: -900, 67: -20, 72: -4, 78: 6}, "below": {0: -5, 67: -90, 70: 1}, "none late": {3: 40, 12: 8},
+    }
+    rows = [(name, start + dt.timedelta(days=d), Decimal(y)) for name, days in series.items() for d, y in days.items()]
+    fact = spark.createDataFrame([*rows, (None, start, Decimal(1)), ("dense", None, Decimal(1))], "category string, order_date date, revenue decimal(18,4)")
+    dense = P.series_baselines(fact, "category", window=9)
+    want = {(r["category"], r["method"]): r for r in P.errors(dense, ["category", "method"]).collect()}
+    got = P.series_errors(fact, "category", window=9).collect()
+    assert len(got) == len(want) == 27
+    for r in got:
+        w = want[r["category"], r["method"]]
+        assert r["days"] == w["days"] and r["mae"] == pytest.approx(w["mae"], abs=0.011) and r["rmse"] == pytest.approx(w["rmse"], abs=0.011)
+        assert r["mape_pct"] == pytest.approx(w["mape_pct"], rel=1e-9, abs=0.02)
