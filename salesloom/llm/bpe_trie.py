@@ -42,20 +42,49 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class TrieBpe:
+class WordSplitter:
+    """Normalises and splits text the way a vocabulary file of this kind says."""
+
+    #: Marks that the pattern takes as a word of their own after letters.
+    MARKS = frozenset(".,;:!?)")
+
+    def __init__(self, told: dict):
+        self.special = {t["content"]: t["id"] for t in told["added_tokens"]}
+        self.words = regex.compile(told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
+        self.letters = byte_letters()
+
+    def words_of(self, chunk: str) -> list[str]:
+        """Words of a piece of text without blanks, in byte letters."""
+        if chunk.isascii():
+            if chunk.isalpha():
+                return [chunk.lower()]
+            if chunk[-1] in self.MARKS and chunk[:-1].isalpha():
+                return [chunk[:-1].lower(), chunk[-1]]
+        chunk = unicodedata.normalize("NFC", chunk)
+        low = "".join(c.lower() for c in chunk) if "Σ" in chunk else chunk.lower()
+        letters = self.letters
+        return [w if w.isascii() and w.isprintable() else "".join([letters[b] for b in w.encode()]) for w in self.words.findall(low)]
+
+    def parts(self, text: str | None) -> list[list[str] | int]:
+        """Runs of chunks between special tokens, and the ids of those."""
+        if not text:
+            return []
+        cut = self.split_special.split(text) if any(s in text for s in self.special) else [text]
+        return [self.special[p] if p in self.special else [c for c in _BLANKS.split(p) if c] if any(c in p for c in _CONTROLS) else p.split() for p in cut]
+
+
+class TrieBpe(WordSplitter):
     """Encoder and decoder of one vocabulary file; about ``limit`` recent chunks are remembered."""
 
     def __init__(self, path: str, limit: int = 250_000):
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
+        super().__init__(told)
         model = told["model"]
         self.end, self.vocab = model["end_of_word_suffix"], model["vocab"]
         self.rank = {tuple(pair): k for k, pair in enumerate(model["merges"])}
-        self.special = {t["content"]: t["id"] for t in told["added_tokens"]}
         self.text_of = {i: t for t, i in (self.vocab | self.special).items()}
-        self.words = regex.compile(told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.letters = byte_letters()
         self.inner = {t: i for t, i in self.vocab.items() if not t.endswith(self.end)}
         self.final = {t.removesuffix(self.end): i for t, i in self.vocab.items() if t.endswith(self.end)}
         # longest token with these last two letters, within a word and at its end
@@ -134,36 +163,23 @@ class TrieBpe:
             out[word] = ids
         return out
 
-    def _words_of(self, chunk: str) -> list[str]:
-        """Words of a piece of text without blanks, in byte letters."""
-        if chunk.isascii() and chunk.isalpha():
-            return [chunk.lower()]
-        chunk = unicodedata.normalize("NFC", chunk)
-        low = "".join(c.lower() for c in chunk) if "Σ" in chunk else chunk.lower()
-        letters = self.letters
-        return [w if w.isascii() and w.isprintable() else "".join(letters[b] for b in w.encode()) for w in self.words.findall(low)]
-
-    def learn(self, chunks: set[str]) -> None:
-        """Remember the ids of all ``chunks``."""
+    def learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of all ``chunks``; the short ones are remembered."""
         if len(self.fits) > 2 * self.limit:
             self.fits.clear()
-        new = {c: self._words_of(c) for c in self.known.missing(chunks)}
-        words = {w for ws in new.values() for w in ws}
-        ids, known = self.encode_words(words), self.known.young
-        for c, ws in new.items():
-            known[c] = _packed(ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]])
+        known = self.known.of(chunks)
+        new = {c: self.words_of(c) for c in chunks if c not in known}
+        ids = self.encode_words({w for ws in new.values() for w in ws})
+        made = {c: _packed(ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]]) for c, ws in new.items()}
+        self.known.keep(made)
+        known.update(made)
+        return known
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        cut = []
-        for t in texts:
-            parts = [t or ""] if not t or "<|" not in t else self.split_special.split(t)
-            cut.append([(self.special[p],) if p in self.special else _BLANKS.split(p) if any(c in p for c in _CONTROLS) else p.split() for p in parts])
-        self.learn({c for parts in cut for p in parts if type(p) is list for c in p if c})
-        known, out = self.known.young, []
-        for parts in cut:
-            out.append(b"".join(b"".join([known[c] for c in p if c]) if type(p) is list else _packed(p) for p in parts))
-        return out
+        cut = [self.parts(t) for t in texts]
+        known = self.learn({c for parts in cut for p in parts if type(p) is list for c in p})
+        return [b"".join([b"".join([known[c] for c in p]) if type(p) is list else _packed([p]) for p in parts]) for parts in cut]
 
     def decode(self, ids: np.ndarray) -> str:
         """Texts of the tokens joined by a blank, as the vocabulary names no decoder; special tokens included, unknown ids left out."""

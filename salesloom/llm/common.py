@@ -165,24 +165,32 @@ def chained(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 class Recent:
-    """Values by key, at most about twice ``limit``: when the young ones are too many, those not asked for since the last time are forgotten."""
+    """Values of short keys, at most about twice ``limit``: when the young ones are too many, those not asked for since the last time are forgotten.
 
-    def __init__(self, limit: int):
-        self.limit, self.young, self.old = limit, {}, {}
+    Keys of more than ``longest`` characters are never kept, so with values in proportion to their keys the bytes are bounded too.
+    """
+
+    def __init__(self, limit: int, longest: int = 48):
+        self.limit, self.longest, self.young, self.old = limit, longest, {}, {}
 
-    def missing(self, keys: set) -> list:
-        """Those of ``keys`` that have no value; the others are young from now on."""
+    def of(self, keys: set) -> dict:
+        """Those of ``keys`` that are known, with their values; they are young from now on."""
         if len(self.young) > self.limit:
             self.young, self.old = {}, self.young
-        young, old, out = self.young, self.old, []
-        for k in keys - young.keys():
-            v = old.get(k)
+        young, old, out = self.young, self.old, {}
+        for k in keys:
+            v = young.get(k)
             if v is None:
-                out.append(k)
-            else:
+                v = old.get(k)
+                if v is None:
+                    continue
                 young[k] = v
+            out[k] = v
         return out
 
+    def keep(self, new: dict) -> None:
+        self.young.update({k: v for k, v in new.items() if len(k) <= self.longest})
+
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))

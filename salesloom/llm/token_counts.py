@@ -11,9 +11,6 @@ goes to one of them by the rule. Repeated rows are counted each. Unlisted docume
 
 from __future__ import annotations
 
-import base64
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
@@ -21,32 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm import common as K
+from salesloom.llm.byte_bpe import ByteBpe, encoder
 
 RANKS = "byte_bpe_50k.tiktoken"
 RULES = ("largest", "first", "split")
 
 
-class Encoder:
-    """A rank file's encoder with the number of bytes of each token."""
-
-    def __init__(self, path: str):
-        import tiktoken
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.bytes = np.zeros(max(ranks.values()) + 1, np.int64)
-        for token, k in ranks.items():
-            self.bytes[k] = len(token)
-
-
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
-def token_spans(text: str, code: Encoder) -> tuple[np.ndarray, np.ndarray]:
+def token_spans(text: str, code: ByteBpe) -> tuple[np.ndarray, np.ndarray]:
     """First character and last character + 1 of each token of the whole text."""
-    end = np.cumsum(code.bytes[code.encode(text)])
+    end = np.cumsum(code.bytes[np.array(code.encode(text), np.int64)])
     start = np.r_[0, end[:-1]] if len(end) else end
     if text.isascii():
         return start, end

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import json
 import uuid
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesloom.llm import common as K
-from salesloom.llm.bpe_trie import portions
+from salesloom.llm.bpe_trie import WordSplitter, portions
 from salesloom.session import run_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -38,7 +37,7 @@ BLOCKS = ("shard int, block long, start long, n_tokens long, bits int, payload b
 _DOC = pa.struct([(n, pa.int64()) for n in ("position", "doc_id", "start", "n_tokens")])
 SCHEMA = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("bits", pa.int32()),
                     ("payload", pa.binary()), ("docs", pa.list_(_DOC))])
-PIECES = pa.schema([("shard", pa.int32()), *[(n, pa.int64()) for n in ("position", "doc_id", "start", "n_tokens")], ("ids", pa.binary()),
+PIECES = pa.schema([("shard", pa.int32()), *[(n, pa.int64()) for n in ("before", "position", "doc_id", "start", "n_tokens")], ("ids", pa.binary()),
                     ("block", pa.int64()), ("whole", pa.bool_())])
 
 
@@ -67,48 +66,41 @@ def unpack_bits(payload: bytes, bits: int, n: int) -> np.ndarray:
     return (planes.astype(np.uint32) << np.arange(bits, dtype=np.uint32)).sum(1, dtype=np.uint32)
 
 
-class Encoder:
-    """The library's encoder, asked for runs of characters without a blank, many at once and again only when they were forgotten."""
-
-    #: Stands alone between runs, which don't hold it; one id of the vocabulary.
-    BETWEEN = "\x01"
+class Encoder(WordSplitter):
+    """The library's model, asked for each word once until it is forgotten; texts are split into words beside it."""
 
     def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known = K.Recent(limit)
-        ids = self.tokenizer.encode(self.BETWEEN, add_special_tokens=False).ids
-        self.between = ids[0] if len(ids) == 1 else None
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def runs(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each chunk, from one text of all of them."""
-        if self.between is None or any(self.BETWEEN in c for c in chunks):
-            return self.whole(chunks)
-        text = f"\n{self.BETWEEN}\n".join(chunks)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        cut = np.flatnonzero(ids == self.between)
-        return [ids[a:b].tobytes() for a, b in zip([0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)])]
+        with open(path, encoding="utf-8") as f:
+            super().__init__(json.load(f))
+        self.model = Tokenizer.from_file(path).model
+        self.chunks, self.known = K.Recent(limit), K.Recent(limit)
+
+    def word(self, word: str) -> bytes:
+        return np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
+
+    def learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of all ``chunks``, pieces of text without blanks."""
+        ids = self.chunks.of(chunks)
+        new = {c: self.words_of(c) for c in chunks if c not in ids}
+        words = {w for ws in new.values() for w in ws}
+        known = self.known.of(words)
+        made = {w: self.word(w) for w in words if w not in known}
+        self.known.keep(made)
+        known.update(made)
+        found = {c: b"".join([known[w] for w in ws]) for c, ws in new.items()}
+        self.chunks.keep(found)
+        ids.update(found)
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers.
 
-        The vocabulary drops blanks and merges within words only, so chunks encode apart; texts with special tokens or with
-        controls that Python counts as blanks go to the library whole.
+        The vocabulary drops blanks and merges within words only, so words encode apart.
         """
-        odd = [t is not None and (any(c in t for c in "\x1c\x1d\x1e\x1f") or any(s in t for s in self.special)) for t in texts]
-        chunks = [[] if o or not t else t.split() for t, o in zip(texts, odd)]
-        new = sorted(self.known.missing({c for cs in chunks for c in cs}))
-        known = self.known.young
-        for k in range(0, len(new), 512):  # the library's results are large until only the ids are kept
-            part = new[k: k + 512]
-            known.update(zip(part, self.runs(part), strict=True))
-        return [self.whole([t])[0] if o else b"".join([known[c] for c in cs]) for t, o, cs in zip(texts, odd, chunks)]
+        cut = [self.parts(t) for t in texts]
+        ids = self.learn({c for parts in cut for p in parts if type(p) is list for c in p})
+        return [b"".join([b"".join([ids[c] for c in p]) if type(p) is list else np.array([p], "<u4").tobytes() for p in parts]) for parts in cut]
 
 
 def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, block: int = BLOCK) -> None:
@@ -154,7 +146,8 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, block:
         yield blocks(True)
 
     first = F.col("doc_id").asc_nulls_first()
-    ordered = docs.select("doc_id", "text").repartitionByRange(n, first).sortWithinPartitions(first)
+    then = F.xxhash64("text")  # cuts the rows of one id, or of none, into several shards
+    ordered = docs.select("doc_id", "text").repartitionByRange(n, first, then).sortWithinPartitions(first, then)
     ordered.mapInArrow(run, BLOCKS).write.parquet(f"{folder}/blocks")
 
 
@@ -172,7 +165,8 @@ def read(spark: SparkSession, folder: str, doc_ids: DataFrame | None = None) ->
     """Documents of a file set: doc_id, start (over all shards), n_tokens, ids (binary, little-endian unsigned 32-bit).
 
     With ``doc_ids`` (a frame with that column) only their blocks are read and unpacked. A document within one block comes from the scan;
-    the pieces of one that lies in several blocks meet in a shuffle. The totals before each shard are one row a shard.
+    the pieces of one that lies in several blocks meet in a shuffle, which is all that is shuffled. What lies before each shard joins the blocks before
+    they are unpacked: one row of 12 bytes a shard, of which there are as many as shuffle partitions, so it is broadcast.
     """
     K.small_batches(spark)
     blocks = blocks_of(spark, folder)
@@ -185,6 +179,8 @@ def read(spark: SparkSession, folder: str, doc_ids: DataFrame | None = None) ->
             F.floor(F.col("start") / size), F.floor((F.col("start") + F.col("n_tokens") - 1) / size))).alias("block"))
         blocks = blocks.join(touched.distinct(), ["shard", "block"], "left_semi")
 
+    blocks = blocks.join(F.broadcast(before), "shard")
+
     def cut(batches):
         for b in batches:
             for row in b.to_pylist():
@@ -192,15 +188,15 @@ def read(spark: SparkSession, folder: str, doc_ids: DataFrame | None = None) ->
                 begin, end = row["start"], row["start"] + row["n_tokens"]
                 yield pa.RecordBatch.from_pylist([d | {
                     "shard": row["shard"], "block": row["block"], "whole": begin <= d["start"] and d["start"] + d["n_tokens"] <= end,
-                    "ids": ids[max(0, d["start"] - begin): d["start"] + d["n_tokens"] - begin].tobytes()} for d in row["docs"]], schema=PIECES)
+                    "before": row["before"], "ids": ids[max(0, d["start"] - begin): d["start"] + d["n_tokens"] - begin].tobytes()} for d in row["docs"]], schema=PIECES)
 
     def join(batches):
         for b in batches:
             ids = [b"".join(p["ids"] for p in ps) for ps in b["pieces"].to_pylist()]
             yield pa.RecordBatch.from_arrays([*[b[c] for c in names], pa.array(ids, pa.binary())], [*names, "ids"])
 
-    names = ["shard", "position", "doc_id", "start", "n_tokens"]
-    kinds = "shard int, position long, doc_id long, start long, n_tokens long, ids binary"
+    names = ["shard", "before", "position", "doc_id", "start", "n_tokens"]
+    kinds = "shard int, before long, position long, doc_id long, start long, n_tokens long, ids binary"
     pieces = blocks.mapInArrow(cut, kinds + ", block long, whole boolean")
     torn = blocks.withColumn("docs", F.filter("docs", lambda d: (d["start"] < F.col("start")) | (
         d["start"] + d["n_tokens"] > F.col("start") + F.col("n_tokens")))).where(F.size("docs") > 0).mapInArrow(cut, kinds + ", block long, whole boolean")
@@ -208,7 +204,7 @@ def read(spark: SparkSession, folder: str, doc_ids: DataFrame | None = None) ->
     found = pieces.where("whole").select(*names, "ids").unionByName(met)
     if doc_ids is not None:
         found = found.join(wanted.select("shard", "position"), ["shard", "position"], "left_semi")
-    return found.join(before, "shard").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids")
+    return found.select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids")
 
 
 def stored_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -217,9 +213,4 @@ def stored_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
     folder = run_dir(spark, f"tokens-{uuid.uuid4().hex}")
     write(docs, folder, path or public_tokenizers.path(VOCABULARY))
 
-    def run(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*[b[c] for c in ("doc_id", "start", "n_tokens")], pa.array(
-                [zlib.crc32(x) for x in b["ids"].to_pylist()], pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return read(spark, folder).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
