@@ -14,6 +14,8 @@ import hashlib
 import json
 import struct
 import unicodedata
+from copy import copy
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +44,21 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class WordSplitter:
-    """Normalises and splits text the way a vocabulary file of this kind says."""
+class ChunkEncoder:
+    """Encoder that splits texts the way a vocabulary file of this kind says and remembers the ids of recent chunks, pieces of text without blanks.
+
+    At most about twice ``limit`` chunks are remembered, none of more than LONGEST characters, so their bytes are bounded too. Subclasses say how
+    chunks are learned.
+    """
 
     #: Marks that the pattern takes as a word of their own after letters.
     MARKS = frozenset(".,;:!?)")
+    LONGEST = 48
 
-    def __init__(self, told: dict):
+    def __init__(self, told: dict, limit: int):
+        self.limit = limit
+        self.chunks: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.special = {t["content"]: t["id"] for t in told["added_tokens"]}
         self.words = regex.compile(told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
@@ -74,13 +84,43 @@ class WordSplitter:
         return [self.special[p] if p in self.special else [c for c in _BLANKS.split(p) if c] if any(c in p for c in _CONTROLS) else p.split() for p in cut]
 
 
-class TrieBpe(WordSplitter):
+    def learn(self, chunks: list[str]) -> None:
+        """Put the ids of new ``chunks`` into ``self.chunks``."""
+        raise NotImplementedError
+
+    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        cut = [self.parts(t) for t in texts]
+        asked: set[str] = set()
+        for parts in cut:
+            for p in parts:
+                if type(p) is list:
+                    asked.update(p)
+        if len(self.chunks) > self.limit:
+            self.chunks, self.before = {}, self.chunks  # what is asked for again comes back from there
+        now, new = self.chunks, []
+        for c in asked - now.keys():
+            ids = self.before.get(c)
+            if ids is None:
+                new.append(c)
+            else:
+                now[c] = ids
+        self.learn(new)
+        ids_of = now.__getitem__
+        out = [b"".join([b"".join(map(ids_of, p)) if type(p) is list else _packed([p]) for p in parts]) for parts in cut]
+        for c in new:
+            if len(c) > self.LONGEST:
+                del now[c]
+        return out
+
+
+class TrieBpe(ChunkEncoder):
     """Encoder and decoder of one vocabulary file; about ``limit`` recent chunks are remembered."""
 
     def __init__(self, path: str, limit: int = 250_000):
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
-        super().__init__(told)
+        super().__init__(told, limit)
         model = told["model"]
         self.end, self.vocab = model["end_of_word_suffix"], model["vocab"]
         self.rank = {tuple(pair): k for k, pair in enumerate(model["merges"])}
@@ -90,7 +130,6 @@ class TrieBpe(WordSplitter):
         # longest token with these last two letters, within a word and at its end
         self.inner_reach, self.final_reach = ({t[-2:]: len(t) for t in sorted(d, key=len)} for d in (self.inner, self.final))
         self.size = {i: len(t) for d in (self.inner, self.final) for t, i in d.items()}
-        self.limit, self.known = limit, K.Recent(limit)
         self.fits: dict[int, bool] = {}
 
     def _symbols(self, text: str) -> list[str]:
@@ -163,23 +202,13 @@ class TrieBpe(WordSplitter):
             out[word] = ids
         return out
 
-    def learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of all ``chunks``; the short ones are remembered."""
+    def learn(self, chunks: list[str]) -> None:
         if len(self.fits) > 2 * self.limit:
             self.fits.clear()
-        known = self.known.of(chunks)
-        new = {c: self.words_of(c) for c in chunks if c not in known}
+        new = {c: self.words_of(c) for c in chunks}
         ids = self.encode_words({w for ws in new.values() for w in ws})
-        made = {c: _packed(ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]]) for c, ws in new.items()}
-        self.known.keep(made)
-        known.update(made)
-        return known
-
-    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        cut = [self.parts(t) for t in texts]
-        known = self.learn({c for parts in cut for p in parts if type(p) is list for c in p})
-        return [b"".join([b"".join([known[c] for c in p]) if type(p) is list else _packed([p]) for p in parts]) for parts in cut]
+        for c, ws in new.items():
+            self.chunks[c] = _packed(ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]])
 
     def decode(self, ids: np.ndarray) -> str:
         """Texts of the tokens joined by a blank, as the vocabulary names no decoder; special tokens included, unknown ids left out."""
@@ -187,6 +216,18 @@ class TrieBpe(WordSplitter):
         return " ".join([text[i] for i in ids.tolist() if i in text])
 
 
+@lru_cache(maxsize=2)
+def _vocabulary(path: str) -> TrieBpe:
+    return TrieBpe(path)
+
+
+def fresh(encoder: ChunkEncoder) -> ChunkEncoder:
+    """An encoder with a memory of its own beside what ``encoder`` read from its file, which a worker process keeps between tasks."""
+    out = copy(encoder)
+    out.chunks, out.before = {}, {}
+    return out
+
+
 def portions(texts: list, size: int = 4 << 20):
     """Runs of whole texts of about ``size`` characters."""
     run, held = [], 0
@@ -207,7 +248,7 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     names = [f.name for f in own]
 
     def run(batches):
-        bpe = TrieBpe(path)  # a task's own: a worker process outlives the task and should not keep its memory
+        bpe = fresh(_vocabulary(path))  # a worker process outlives the task and should not keep its memory
         for b in batches:
             ids = [x for part in portions(b["text"].to_pylist()) for x in bpe.encode_batch(part)]
             texts = [bpe.decode(np.frombuffer(x, "<u4")) for x in ids]
@@ -222,7 +263,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     K.small_batches(docs.sparkSession)
 
     def run(batches):
-        bpe = TrieBpe(path)
+        bpe = fresh(_vocabulary(path))
         for b in batches:
             ids = [x for part in portions(b["text"].to_pylist()) for x in bpe.encode_batch(part)]
             yield pa.RecordBatch.from_arrays([

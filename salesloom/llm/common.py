@@ -100,7 +100,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
         F.min(label).cast("double").alias("label"))
     n = known.count()
     if n > rows:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(rows / n * (1 << 20)))
+        known = known.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 1) < int(rows / n * (1 << 63)))
     return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "label")
 
 
@@ -164,33 +164,5 @@ def chained(hashes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-class Recent:
-    """Values of short keys, at most about twice ``limit``: when the young ones are too many, those not asked for since the last time are forgotten.
-
-    Keys of more than ``longest`` characters are never kept, so with values in proportion to their keys the bytes are bounded too.
-    """
-
-    def __init__(self, limit: int, longest: int = 48):
-        self.limit, self.longest, self.young, self.old = limit, longest, {}, {}
-
-    def of(self, keys: set) -> dict:
-        """Those of ``keys`` that are known, with their values; they are young from now on."""
-        if len(self.young) > self.limit:
-            self.young, self.old = {}, self.young
-        young, old, out = self.young, self.old, {}
-        for k in keys:
-            v = young.get(k)
-            if v is None:
-                v = old.get(k)
-                if v is None:
-                    continue
-                young[k] = v
-            out[k] = v
-        return out
-
-    def keep(self, new: dict) -> None:
-        self.young.update({k: v for k, v in new.items() if len(k) <= self.longest})
-
-
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))

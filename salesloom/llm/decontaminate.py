@@ -4,8 +4,9 @@ A shard is a run of whole documents in a task. Its words that occur in the bench
 text of the index; other words can't be part of an occurrence. Ranks over the Burrows-Wheeler transform come from a wavelet matrix, all
 windows are searched at once, and occurrences are located by walking to the next sampled suffix position. Hit words are merged into spans.
 
-Null texts have no words. Items without words have no window. Null items are left out. Repeated rows get the same answer.
-The benchmark reaches the tasks in slices of bounded size, one pass over the rows for each, within one chain without a shuffle.
+Null texts have no words. Items without words have no window. Items with a null id are searched like the others, but no list of items has them. Repeated
+rows get the same answer. The windows of the benchmark are a table of its own, written once and cut by a hash of window and item into slices
+of bounded size; the driver holds one of them at a time. A slice is one pass over the rows, within one chain without a shuffle.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm import common as K
+from salesloom.llm.components import stored
 from salesloom.llm.suffix_dedup import merged
 
 WINDOW = 13
-#: Bytes of benchmark text that one pass searches for.
-SLICE_BYTES = 4 << 20
+#: Bytes of windows and item names that one pass searches for.
+SLICE_BYTES = 32 << 20
 #: Every so many text positions the position of a suffix is kept.
 SAMPLE = 16
 
@@ -51,7 +53,7 @@ class Windows:
         return min(map(len, self.patterns), default=0)
 
 
-def windows_of(items: list[tuple[str, str | None]], width: int = WINDOW) -> Windows:
+def windows_of(items: list[tuple[str | None, str | None]], width: int = WINDOW) -> Windows:
     """All windows of ``width`` words of each item, or the whole item if it has fewer."""
     hashes, item, _, _ = words_of(pa.array([t for _, t in items], pa.string()))
     words = np.unique(hashes)
@@ -60,7 +62,7 @@ def windows_of(items: list[tuple[str, str | None]], width: int = WINDOW) -> Wind
     for k, (name, _) in enumerate(items):
         own = numbers[np.searchsorted(item, k, "left"): np.searchsorted(item, k, "right")]
         for i in range(max(1, len(own) - width + 1) if len(own) else 0):
-            found.setdefault(own[i: i + width].tobytes(), set()).add(name)
+            found.setdefault(own[i: i + width].tobytes(), set()).update([] if name is None else [name])
     order = sorted(found)
     return Windows(words, [np.frombuffer(b, np.int64) for b in order], [sorted(found[b]) for b in order])
 
@@ -192,16 +194,34 @@ def _joined(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
     return out
 
 
+def window_table(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
+    """(window, item) of all distinct windows, words joined by a blank, written once."""
+    K.small_batches(benchmark.sparkSession)
+
+    def cut(batches):
+        for b in batches:
+            texts = [bytes(K.LOWER[np.frombuffer((t or "").encode(), np.uint8)]) for t in b["text"].to_pylist()]
+            _, item, start, end = words_of(b["text"])
+            for k, name in enumerate(b["item"].to_pylist()):
+                own = range(int(np.searchsorted(item, k, "left")), int(np.searchsorted(item, k, "right")))
+                words = [texts[k][start[i]: end[i]].decode() for i in own]
+                windows = {" ".join(words[i: i + width]) for i in range(max(1, len(words) - width + 1) if words else 0)}
+                yield pa.RecordBatch.from_arrays([pa.array(sorted(windows), pa.string()), pa.array([name] * len(windows), pa.string())], ["window", "item"])
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
+    return stored(items.mapInArrow(cut, "window string, item string").distinct(), "windows")
+
+
 def found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with n_words, hit_spans (words and bytes) and hit_items (sorted texts), in place of columns of these names."""
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item"), "text")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    table = window_table(benchmark)
+    total = table.agg(F.sum(F.octet_length("window") + F.coalesce(F.octet_length("item"), F.lit(0)))).first()[0] or 0
     slices = int(total // SLICE_BYTES) + 1
     span = pa.list_(pa.struct([(n, pa.int64()) for n in SPAN]))
     out = docs
     for k in range(slices):
-        part = items.where(F.pmod(F.xxhash64("item"), F.lit(slices)) == k).collect()
-        windows = windows_of(sorted((r["item"], r["text"]) for r in part))
+        part = table.where(F.pmod(F.xxhash64("window", "item"), F.lit(slices)) == k).collect()
+        windows = windows_of(sorted(((r["item"], r["window"]) for r in part), key=lambda r: r[1]))
 
         def make(b: pa.RecordBatch, windows: Windows = windows, later: bool = k > 0) -> list[pa.Array]:
             n, spans, names = hits(b["text"], windows)

@@ -8,8 +8,9 @@ order, and are then verified on the whole sets.
 
 Within the documents of a prefix token not all pairs are candidates. Where they are many, all meet the one with the fewest unshared tokens, the
 centre. What a document shares with the centre bounds what it shares with any other: documents that no other can be similar to leave, and
-so do tokens whose documents are in one component; the rest meet where components differ and the bound allows a link. So a
-group of copies takes as many comparisons as it has members, and no link between components is missed.
+so do tokens whose documents are in one component. Of the rest, each token takes a new centre, of the largest component, and so on until there are
+few pairs left, which meet where components differ and the bound allows a link. So a group of copies takes as many comparisons a
+round as it has members, and no link between components is missed.
 
 Null texts and texts without words have an empty set and no link. Rows with a null doc_id have no component. Rows of the same
 doc_id are one node. An empty table gives no rows.
@@ -32,6 +33,8 @@ SHINGLE, LEAST = 4, 85
 PART = 100
 #: The documents of a prefix token compare all pairs if they are at most so many.
 FEW = 12
+#: Further rounds of centres at most, and the pairs an open entry at which the rest meets directly.
+ROUNDS, SPARSE = 8, 4
 #: Tokens in a slab of the second exchange.
 SLAB_TOKENS = 500_000
 ORDERS = 3
@@ -203,14 +206,51 @@ def links(held: DataFrame, least: int = LEAST) -> DataFrame:
     open_ = _open(near)
     bound = F.col("near") + F.least("far", "most_far")
     left = stored(_open(open_.where(_similar(F.col("n"), F.greatest("least_n", bound), bound, least)).drop("most_far", "least_n")), "open")
-    bound = F.least("near_a", "near_b") + F.least("far_a", "far_b")
+    for _ in range(ROUNDS):
+        size = F.col("size").cast("double")
+        rows, pairs = left.groupBy("token").agg(F.count("*").alias("size")).agg(F.sum(size), F.sum(size * (size - 1) / 2)).first()
+        if not rows:
+            return found
+        if pairs <= SPARSE * rows:
+            break
+        left, new = _next_centres(left, held, least)
+        found = found.union(new)
     again = side(left, "a", "near", "far", "component").join(side(left, "b", "near", "far", "component"), "token").where(
         (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b"))
-        & _similar(F.col("n_a"), F.col("n_b"), most, least) & _similar(F.col("n_a"), F.col("n_b"), bound, least))
+        & _similar(F.col("n_a"), F.col("n_b"), most, least) & _may_be_similar("a", "b", least))
     late = _overlaps(again.select("a", "b", F.lit(False).alias("centre")), held, least)
     return found.union(late.where(_similar(F.col("n_a"), F.col("n_b"), F.col("both"), least)).select("a", "b"))
 
 
+def _may_be_similar(a: str, b: str, least: int):
+    """Whether what two entries share with the centre of their token's first round allows them to be similar."""
+    bound = F.least(f"near_{a}", f"near_{b}") + F.least(f"far_{a}", f"far_{b}")
+    return _similar(F.col(f"n_{a}"), F.col(f"n_{b}"), bound, least)
+
+
+def _next_centres(left: DataFrame, held: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """What stays open after each token's documents met one more of them, and the links found.
+
+    The centre is of the component with the most open documents, so that the others join that one. All that could link it is known then, so it
+    leaves, and tokens whose documents have come into one component leave as a whole. Components are told by their labels of before, joined anew.
+    """
+    members = left.select("a", "component").distinct().groupBy("component").agg(F.count("*").alias("members"))
+    columns = ["a", "component", "n", "m", "near", "far"]
+    centres = left.join(members, "component").groupBy("token").agg(F.max(F.struct("members", F.col("near").alias("most"), *columns)).alias("c")).select(
+        "token", *[F.col(f"c.{c}").alias(f"{c}_c") for c in columns])
+    met = left.withColumnsRenamed({c: f"{c}_o" for c in columns}).join(centres, "token")
+    pairs = met.where((F.col("component_o") != F.col("component_c")) & _similar(F.col("n_o"), F.col("n_c"), F.least("m_o", "m_c"), least) & _may_be_similar("o", "c", least))
+    both = _overlaps(pairs.select(F.least("a_o", "a_c").alias("a"), F.greatest("a_o", "a_c").alias("b"), F.lit(False).alias("centre")), held, least)
+    new = stored(both.where(_similar(F.col("n_a"), F.col("n_b"), F.col("both"), least)).select("a", "b"), "links")
+    name = stored(left.select("a", "component").distinct(), "names")
+    of = lambda c: name.select(F.col("a").alias(c), F.col("component").alias(f"of_{c}"))
+    joined_ = components(new.join(of("a"), "a").join(of("b"), "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    rest = met.where("a_o <> a_c").select("token", *[F.col(f"{c}_o").alias(c) for c in columns])
+    rest = rest.join(joined_.select(F.col("node").alias("component"), F.col("component").alias("now")), "component", "left").select(
+        "token", *[c for c in columns if c != "component"], F.coalesce("now", "component").alias("component"))
+    return stored(_open(rest).drop("most_far", "least_n"), "open"), new
+
+
 def _open(entries: DataFrame) -> DataFrame:
     """Entries of tokens whose documents are in several components, with the largest ``far`` and the least ``n`` of the token."""
     busy = entries.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("far").alias("most_far"), F.min("n").alias("least_n"))

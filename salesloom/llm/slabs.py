@@ -1,6 +1,6 @@
 """Documents in slabs, and a packed exchange that tells every slab which of its keys others hold too.
 
-A slab is a few hundred rows that stay together. The table is bucketed by slab, so later passes meet the answers for a slab
+A slab is a few hundred rows, or one long one, that stay together. The table is bucketed by slab, so later passes meet the answers for a slab
 without shuffling a text again. Keys travel as sorted 32-bit arrays, one for each slab and key bucket and each key twice at most, so
 a key that a third of all documents hold costs a bucket no more than two numbers a slab.
 """
@@ -32,10 +32,10 @@ def discard(spark: SparkSession, name: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def slab_table(docs: DataFrame, name: str, rows: int = 512) -> DataFrame:
+def slab_table(docs: DataFrame, name: str, rows: int = 512, alone: int = 1 << 16) -> DataFrame:
     """Write ``docs`` with ``slab`` and ``rid``, an id of each row that also tells repeated rows apart.
 
-    Written to the shared folder, as ids of rows must not change if a task runs again.
+    A text of more than ``alone`` bytes is a slab of its own, so a slab has ``rows`` x ``alone`` bytes or one text at most. Written to the shared folder, as ids of rows must not change if a task runs again.
     """
     spark = docs.sparkSession
     K.small_batches(spark)
@@ -43,7 +43,8 @@ def slab_table(docs: DataFrame, name: str, rows: int = 512) -> DataFrame:
     numbered = docs.withColumn("rid", F.monotonically_increasing_id())
     mask = (1 << 33) - 1
     slab = F.shiftright("rid", 33) * F.lit(1 << 24) + F.floor(F.col("rid").bitwiseAND(F.lit(mask)) / rows)
-    (numbered.withColumn("slab", slab.cast("long")).withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    long = F.col("n_bytes") > alone
+    (numbered.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).withColumn("slab", F.when(long, -1 - F.col("rid")).otherwise(slab.cast("long")))
      .write.bucketBy(n, "slab").sortBy("slab").option("path", run_dir(spark, name)).saveAsTable(name))
     return spark.table(name)
 

@@ -16,7 +16,7 @@ _BLANK = r"[^\x20\x09-\x0D]+"
 
 DECONTAMINATION = f"""
 WITH d AS (SELECT doc_id, {_words('text', _PLAIN)} AS w FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words('text', _PLAIN)} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words('text', _PLAIN)} AS w FROM benchmark),
 win AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS k
         FROM (SELECT item, w, least(len(w), 13) AS n, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)),
 dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS k
@@ -25,7 +25,7 @@ occ AS (SELECT doc_id, i, dw.n AS n, item FROM dw JOIN win ON dw.k = win.k AND d
 hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit
         FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS j FROM (SELECT DISTINCT doc_id, i, n FROM occ)) GROUP BY doc_id),
 found AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
-          FROM (SELECT DISTINCT doc_id, item FROM occ) GROUP BY doc_id)
+          FROM (SELECT DISTINCT doc_id, item FROM occ WHERE item IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        coalesce(digest, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN found ON d.doc_id = found.doc_id"""

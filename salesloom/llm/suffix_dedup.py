@@ -2,7 +2,8 @@
 
 Every window of 50 bytes has an anchor, its least 16-byte gram by a hash (the leftmost of equal ones); the windows of one anchor lie in
 a row and make its segment. Equal windows have equal anchor grams, so only segments whose gram another document holds too matter, and
-segments of the same bytes count once, for their smallest document. What is left is compared in buckets of grams with a suffix
+segments of the same bytes count once, for their smallest document. Of different segments of a gram, two that share a window share the 17 bytes
+before the gram or the 18 after it, so only those go on of which another has a flank too. They are compared in buckets of grams with a suffix
 array over blocks of bytes aligned at the gram, built by linear grouping; neighbours that share enough bytes share windows.
 
 A gram that thousands of slabs hold would bring an unbounded number of segments into one bucket. The windows of its segments become rows
@@ -205,19 +206,46 @@ def _joined(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, list[int]]:
 
 
 OWNER, LATER, CONTESTED = 0, 1, 2
+#: A window has this many bytes before its gram, or else at least one more after it; so segments that share a window share one of these flanks.
+FLANK = (WINDOW - GRAM) // 2
+_FACTORS = K.mix(np.arange(1, GRAM + FLANK + 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def _flanks(buf: np.ndarray, at: np.ndarray, lead: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """32-bit hashes of the FLANK bytes before the gram and of the FLANK + 1 after it, 0 where a segment has fewer; ``at``: first byte of the gram."""
+    out = []
+    for there, begin, n in ((lead >= FLANK, at - FLANK, FLANK), (length - lead - GRAM > FLANK, at + GRAM, FLANK + 1)):
+        h = np.zeros(len(at), np.uint32)
+        total = np.zeros(int(there.sum()), np.uint64)
+        for k in range(n):
+            total += (buf[begin[there] + k].astype(np.uint64) + np.uint64(1)) * _FACTORS[k]
+        h[there] = (K.mix(total) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+        out.append(h)
+    return out[0], out[1]
+
+
+def _twice(gram: np.ndarray, flank: np.ndarray) -> np.ndarray:
+    """Whether another segment of the same gram has the same flank."""
+    order = np.lexsort((flank, gram))
+    same = (gram[order][1:] == gram[order][:-1]) & (flank[order][1:] == flank[order][:-1])
+    out = np.empty(len(order), bool)
+    out[order] = np.r_[False, same] | np.r_[same, False] if len(order) else False
+    return out & (flank != 0)
 
 
 def _owners(rows: pa.Table) -> pa.Table:
-    """For each (gram, segment) of each slab: whether a smaller document has the same segment, else whether others share its gram."""
+    """For each (gram, segment) of each slab: whether a smaller document has the same segment, else whether another segment of its gram has the
+    same flank and may share a window with it."""
     gram, sizes = _joined(rows["gram"], np.uint64)
     segment, first = _joined(rows["segment"], np.uint64)[0], _joined(rows["first"], np.int64)[0]
+    left, right = _joined(rows["left"], np.uint32)[0], _joined(rows["right"], np.uint32)[0]
     order = np.lexsort((first, segment, gram))
     g, s, f = gram[order], segment[order], first[order]
     new_g = np.r_[True, g[1:] != g[:-1]]
     new_s = new_g | np.r_[True, s[1:] != s[:-1]]
     of = np.cumsum(new_s) - 1
-    distinct = np.bincount((np.cumsum(new_g) - 1)[new_s])
-    answer = np.where(f > f[new_s][of], LATER, np.where(distinct[np.cumsum(new_g) - 1] > 1, CONTESTED, OWNER)).astype(np.uint8)
+    shared = _twice(g[new_s], left[order][new_s]) | _twice(g[new_s], right[order][new_s])
+    answer = np.where(f > f[new_s][of], LATER, np.where(shared[of], CONTESTED, OWNER)).astype(np.uint8)
     out = np.empty(len(order), np.uint8)
     out[order] = answer
     return pa.table({"slab": rows["slab"], "bucket": rows["bucket"], "kind": pa.array(np.ones(len(rows), np.int32)),
@@ -337,7 +365,7 @@ def _compare(rows: pa.Table) -> pa.Table:
     return _span_rows(slab[spot], rid[spot], at, at + WINDOW)
 
 
-PACKED = "slab long, bucket long, gram binary, segment binary, first binary"
+PACKED = "slab long, bucket long, gram binary, segment binary, first binary, left binary, right binary"
 CANDIDATES = "slab long, rid long, spans binary, bucket long, gram binary, segment binary, first binary, start binary, lead binary, length binary, bytes binary, first_rid binary"
 
 
@@ -387,8 +415,10 @@ def removal_spans(slabs: DataFrame, crowded: int = CROWDED) -> DataFrame:
         slab = rows["slab"][0].as_py() if len(rows) else 0
         rows, a, doc, one, first, _, _ = local(rows, told)
         order, used, at = _by_bucket(a["gram"][one], few)
-        return pa.table({"slab": pa.array(np.full(len(used), slab, np.int64)), "bucket": pa.array(used), **{
-            n: _cut(v[order], at) for n, v in (("gram", a["gram"][one]), ("segment", a["segment"][one]), ("first", first))}})
+        buf, off = K.text_buffer(rows["text"])
+        left, right = _flanks(buf, off[a["row"][one]] + a["start"][one] + a["lead"][one], a["lead"][one], a["length"][one])
+        return pa.table({"slab": pa.array(np.full(len(used), slab, np.int64)), "bucket": pa.array(used), **{n: _cut(v[order], at) for n, v in (
+            ("gram", a["gram"][one]), ("segment", a["segment"][one]), ("first", first), ("left", left), ("right", right))}})
 
     def decide(rows: pa.Table, told: pa.Table) -> pa.Table:
         slab = rows["slab"][0].as_py() if len(rows) else 0

@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import json
 import uuid
+from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesloom.llm import common as K
-from salesloom.llm.bpe_trie import WordSplitter, portions
+from salesloom.llm.bpe_trie import ChunkEncoder, fresh, portions
 from salesloom.session import run_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -66,41 +68,35 @@ def unpack_bits(payload: bytes, bits: int, n: int) -> np.ndarray:
     return (planes.astype(np.uint32) << np.arange(bits, dtype=np.uint32)).sum(1, dtype=np.uint32)
 
 
-class Encoder(WordSplitter):
-    """The library's model, asked for each word once until it is forgotten; texts are split into words beside it."""
+class Encoder(ChunkEncoder):
+    """The library's model, asked for each word once until it is forgotten; texts are split into words beside it, as merges stay within words."""
 
     def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as f:
-            super().__init__(json.load(f))
+            super().__init__(json.load(f), limit)
         self.model = Tokenizer.from_file(path).model
-        self.chunks, self.known = K.Recent(limit), K.Recent(limit)
+        self.known: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
-
-    def learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of all ``chunks``, pieces of text without blanks."""
-        ids = self.chunks.of(chunks)
-        new = {c: self.words_of(c) for c in chunks if c not in ids}
-        words = {w for ws in new.values() for w in ws}
-        known = self.known.of(words)
-        made = {w: self.word(w) for w in words if w not in known}
-        self.known.keep(made)
-        known.update(made)
-        found = {c: b"".join([known[w] for w in ws]) for c, ws in new.items()}
-        self.chunks.keep(found)
-        ids.update(found)
+        ids = self.known.get(word)
+        if ids is None:
+            ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+            if len(word) <= self.LONGEST:
+                self.known[word] = ids
         return ids
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers.
+    def learn(self, chunks: list[str]) -> None:
+        if len(self.known) > self.limit:
+            self.known.clear()
+        now, word, words_of = self.chunks, self.word, self.words_of
+        for c in chunks:
+            now[c] = word(c.lower()) if c.isascii() and c.isalpha() else b"".join([word(w) for w in words_of(c)])
 
-        The vocabulary drops blanks and merges within words only, so words encode apart.
-        """
-        cut = [self.parts(t) for t in texts]
-        ids = self.learn({c for parts in cut for p in parts if type(p) is list for c in p})
-        return [b"".join([b"".join([ids[c] for c in p]) if type(p) is list else np.array([p], "<u4").tobytes() for p in parts]) for parts in cut]
+
+@lru_cache(maxsize=2)
+def _vocabulary(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, block: int = BLOCK) -> None:
@@ -114,7 +110,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, block:
 
     def run(batches):
         shard = TaskContext.get().partitionId()
-        code, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+        code, end = fresh(_vocabulary(path)), np.array([end_id], "<u4").tobytes()
         raw, made, tokens, position, open_docs = b"", 0, 0, 0, []
 
         def blocks(last: bool):
@@ -136,7 +132,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, block:
         for b in batches:
             doc_ids = iter(b["doc_id"].cast(pa.int64()).to_pylist())
             for part in portions(b["text"].to_pylist()):
-                new = [x + end for x in code.encode(part)]
+                new = [x + end for x in code.encode_batch(part)]
                 for x in new:
                     open_docs.append({"position": position, "doc_id": next(doc_ids), "start": tokens, "n_tokens": len(x) // 4})
                     position += 1

@@ -2,7 +2,8 @@
 
 Features say whether a text has a word, or a word with a given beginning, lower-cased A-Z. The features, weights and counterfactual
 sentences come from a bounded labelled sample: for each sentence with an identity term, the same sentence with each
-other term of its group is made, and the squared change of the linear score is part of the loss.
+other term of its group is made, and the squared change of the linear score is part of the loss. All counterfactuals of the sample count: tasks
+sum the outer products of their feature changes, so the loss needs a matrix of the features' size, however many there are.
 
 Null and empty texts have no feature and get the base score. Repeated rows are scored alike. Without labels of both classes the model
 has no features and scores the smoothed share of label 1.
@@ -94,23 +95,22 @@ def swapped(text: str, groups: tuple[tuple[str, ...], ...] = IDENTITY_GROUPS) ->
                     yield sentence, re.sub(rf"\b{re.escape(t)}\b", other, sentence)
 
 
-def fit(x: np.ndarray, y: np.ndarray, changes: np.ndarray, times: np.ndarray, ridge: float = 0.1, fairness: float = 10.0,
-        steps: int = 600) -> tuple[np.ndarray, float]:
+def fit(x: np.ndarray, y: np.ndarray, swaps: np.ndarray, ridge: float = 0.1, fairness: float = 10.0, steps: int = 600) -> tuple[np.ndarray, float]:
     """Weights and base of the least logistic loss + ridge + fairness x mean squared change of the counterfactuals.
 
-    ``changes``: rows of feature differences, ``times``: how often each occurs. A rare class 1 weighs more, by the root of
-    how rare it is, so that it is found where a text has little of it. Accelerated gradient steps of a safe length.
+    ``swaps``: mean over all counterfactuals of the outer product of the feature differences d, as the mean of (d w)^2 is w swaps w.
+    A rare class 1 weighs more, by the root of how rare it is, so that it is found where a text has little of it. Accelerated
+    gradient steps of a safe length.
     """
     n, width = x.shape
-    x, changes = x.astype(np.float32), changes.astype(np.float32)
-    share = times / max(times.sum(), 1)
+    x = x.astype(np.float32)
     weight = np.where(y == 1, np.sqrt((n - y.sum()) / max(y.sum(), 1)), 1.0)
     top = 0.0
     v = np.ones(width + 1) / np.sqrt(width + 1)
     for _ in range(20):  # largest curvature
         z = weight * (x @ v[:-1].astype(np.float32) + v[-1])
         u = np.r_[x.T @ z.astype(np.float32), z.sum()] / 4 + ridge * np.r_[v[:-1], 0]
-        u[:-1] += n * fairness * (changes.T @ (share * (changes @ v[:-1])))
+        u[:-1] += n * fairness * (swaps @ v[:-1])
         top = np.linalg.norm(u)
         v = u / max(top, 1e-12)
     step = 0.9 / max(top, 1e-9)
@@ -118,7 +118,7 @@ def fit(x: np.ndarray, y: np.ndarray, changes: np.ndarray, times: np.ndarray, ri
     t = 1.0
     for _ in range(steps):
         r = weight * (K.sigmoid(x @ ahead[:-1].astype(np.float32) + ahead[-1]) - y)
-        g = np.r_[x.T @ r.astype(np.float32) + ridge * ahead[:-1] + n * fairness * (changes.T @ (share * (changes @ ahead[:-1]))), r.sum()]
+        g = np.r_[x.T @ r.astype(np.float32) + ridge * ahead[:-1] + n * fairness * (swaps @ ahead[:-1]), r.sum()]
         new = ahead - step * g
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead = new + (t - 1) / t2 * (new - w)
@@ -166,27 +166,35 @@ def fit_on(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxi
             yield pa.RecordBatch.from_arrays([pa.array([h.tobytes() for h in held], pa.binary()), b["label"]], ["x", "label"])
 
     def pairs(batches):
+        total, n, size = np.zeros((len(features), len(features))), 0, len(features)
         for b in batches:
             both = [p for t in b["text"].to_pylist() if t for p in swapped(t, groups)]
-            found: list[list[list[int]]] = [[[] for _ in both] for _ in range(2)]
+            found = [np.zeros((2, 0), np.int64)] * 2
             for side in range(2):
-                for doc, f in present(pa.array([p[side] for p in both], pa.string()), features):
-                    for d, k in zip(doc.tolist(), f.tolist()):
-                        found[side][d].append(k)
-            gone = [sorted(set(x) - set(y)) for x, y in zip(*found)]
-            come = [sorted(set(y) - set(x)) for x, y in zip(*found)]
-            yield pa.RecordBatch.from_arrays([pa.array(gone, pa.list_(pa.int32())), pa.array(come, pa.list_(pa.int32()))], ["gone", "come"])
+                found[side] = np.concatenate([np.zeros((2, 0), np.int64), *[np.stack(r) for r in present(pa.array([p[side] for p in both], pa.string()), features)]], 1)
+            before, after = (f[0] * size + f[1] for f in found)
+            gone, come = np.setdiff1d(before, after), np.setdiff1d(after, before)
+            d, k = np.divmod(np.r_[gone, come], size)
+            sign = np.r_[np.ones(len(gone)), -np.ones(len(come))]
+            order = np.argsort(d, kind="stable")
+            d, k, sign = d[order], k[order], sign[order]
+            for own in np.split(np.arange(len(d)), np.flatnonzero(d[1:] != d[:-1]) + 1) if len(d) else ():
+                total[np.ix_(k[own], k[own])] += np.outer(sign[own], sign[own])
+                n += 1
+        i, j = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[i, -1]), pa.array(np.r_[j, -1]), pa.array(np.r_[total[i, j], n])], ["i", "j", "v"])
 
     got = sorted(((bytes(r["x"]), r["label"]) for r in sample.mapInArrow(rows, "x binary, label double").collect()))
     x = np.zeros((len(got), len(features)), np.float32)
     for i, (held, _) in enumerate(got):
         x[i, np.frombuffer(held, np.int32)] = 1
-    swaps = sample.mapInArrow(pairs, "gone array<int>, come array<int>").groupBy("gone", "come").count().where(
-        "size(gone) + size(come) > 0").orderBy(F.desc("count"), "gone", "come").limit(4 * width).collect()
-    changes = np.zeros((len(swaps), len(features)), np.float32)
-    for i, r in enumerate(swaps):
-        changes[i, r["gone"]], changes[i, r["come"]] = 1, -1
-    weights, base = fit(x, np.array([y for _, y in got]), changes, np.array([r["count"] for r in swaps], float))
+    swaps, n = np.zeros((len(features), len(features))), 0.0
+    for i, j, v in sample.mapInArrow(pairs, "i long, j long, v double").groupBy("i", "j").agg(F.sum("v")).collect():  # at most a row for each two features
+        if i < 0:
+            n = v
+        else:
+            swaps[i, j] = v
+    weights, base = fit(x, np.array([y for _, y in got]), swaps / max(n, 1))
     return Model(features, weights, base)
 
 

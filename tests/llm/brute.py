@@ -13,11 +13,9 @@ def decontamination(rows, items):
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of each (doc_id, text)."""
     windows = collections.defaultdict(set)
     for name, text in items:
-        if name is None:
-            continue
         w = PLAIN_WORDS.findall((text or "").translate(LOWER))
         for k in range(max(1, len(w) - 12) if w else 0):
-            windows[tuple(w[k:k + 13])].add(str(name))
+            windows[tuple(w[k:k + 13])].update([] if name is None else [str(name)])
     out = []
     for doc, text in rows:
         w = PLAIN_WORDS.findall((text or "").translate(LOWER))
@@ -25,7 +23,7 @@ def decontamination(rows, items):
         for n in {len(k) for k in windows}:
             for k in range(len(w) - n + 1):
                 names = windows.get(tuple(w[k:k + n]))
-                if names:
+                if names is not None:
                     found |= names
                     hit[k:k + n] = [True] * n
         n = sum(hit)

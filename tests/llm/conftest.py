@@ -71,4 +71,5 @@ def tables(spark, tmp_path_factory, odd, labels, benchmark):
     odd.write.parquet(f"{folder}/documents.parquet")
     labels.write.parquet(f"{folder}/labels.parquet")
     benchmark.write.parquet(f"{folder}/benchmark.parquet")
+    spark.read.parquet(f"{SMALL}/embeddings.parquet").write.parquet(f"{folder}/embeddings.parquet")
     return folder

@@ -14,8 +14,9 @@ from conftest import SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from salesloom.llm import bpe_trie, decontaminate, jaccard_join, rule_forest, suffix_dedup, token_counts, token_files
+from salesloom.llm import bpe_trie, decontaminate, jaccard_join, rule_forest, slabs, suffix_dedup, token_counts, token_files
 from salesloom.llm.components import components
 from salesloom.llm.queries import QUERIES
 
@@ -51,7 +52,7 @@ def test_decontamination(odd, benchmark, small_docs, spark):
 
 def test_decontamination_in_several_passes(odd, benchmark, monkeypatch):
     want = sorted(map(tuple, decontaminate.digest(odd, benchmark).collect()), key=key)
-    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 60)
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 1000)
     same(decontaminate.digest(odd, benchmark), want)
 
 
@@ -193,7 +194,7 @@ def test_bpe_of_random_texts(library):
     packed = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"), limit=50)
     for part in bpe_trie.portions(texts, 2000):
         want = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(part, add_special_tokens=False)]
-        assert mine.encode_batch(part) == want == packed.encode(part)
+        assert mine.encode_batch(part) == want == packed.encode_batch(part)
 
 
 @pytest.mark.parametrize("bits", [1, 3, 8, 13, 16, 17, 32])
@@ -300,9 +301,79 @@ def test_rule_counts(odd, labels, empty):
 
 
 def test_queries_are_registered(tables, spark):
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 14))
     for name, query in QUERIES.items():
         rows = query(spark, tables)
         assert rows.count() >= 33, name
-        if name != "op3_token_counts":
+        if name not in ("op3_token_counts", "op12_best_fit_packing", "op13_pivot_product_codes"):
             assert rows.count() == 33 and rows.where(F.col("doc_id").isNull()).count() == 2
+
+
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_groups_around_the_threshold(spark, rounds, monkeypatch):
+    """Many copies of one text whose similarities lie on both sides of the threshold: no link between components may be missed."""
+    monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard_join, "SPARSE", 0)
+    rng, vocabulary = random.Random(11), [f"w{i}" for i in range(3000)]
+    rows = []
+    for group, edits in enumerate((1, 2, 3, 4)):
+        base = rng.choices(vocabulary, k=110)
+        for _ in range(70):
+            w = list(base)
+            for _ in range(edits):
+                w[rng.randrange(len(w))] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.joined(df, 5, 80).collect()}
+    assert got == {d: c for d, _, c in brute.near_copies(rows, 5, 80)}
+
+
+def test_token_counts_of_long_runs(spark):
+    """Millions of blanks, and texts of a megabyte without one."""
+    texts = ["a" + " " * 5_000_000 + "b", "漢" * 400_000, "x" * 1_000_000, " " * 20_000 + "\n" + " " * 20_000 + "end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = token_counts.counts(df).groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert {r["doc_id"]: r["n"] for r in got} == {d: len(library.encode(t, add_special_tokens=False).ids) for d, t in enumerate(texts)}
+
+
+def test_chunk_memory_is_bounded(spark):
+    """Chunks beyond a length are encoded right and not kept; the others are forgotten in time."""
+    library = Tokenizer.from_file(public_tokenizers.path(bpe_trie.VOCABULARY))
+    for code in (bpe_trie.TrieBpe(public_tokenizers.path(bpe_trie.VOCABULARY), limit=20), token_files.Encoder(public_tokenizers.path(bpe_trie.VOCABULARY), limit=20)):
+        for k in range(12):
+            texts = [f"word{k}{j} " + "abcé" * 30 + f"{j} tail" for j in range(10)]
+            assert code.encode_batch(texts) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert len(code.chunks) + len(code.before) <= 2 * (20 + 30) and max(map(len, [*code.chunks, *code.before])) <= code.LONGEST
+
+
+def test_rows_of_one_id_fall_into_several_shards(spark, tmp_path):
+    df = spark.createDataFrame([(5 if k % 3 else None, f"text {k}") for k in range(300)], "doc_id long, text string")
+    token_files.write(df, str(tmp_path / "t"), public_tokenizers.path(token_files.VOCABULARY))
+    index = token_files.index_of(spark, str(tmp_path / "t"))
+    assert index.groupBy("shard").count().count() >= 4
+    back = token_files.read(spark, str(tmp_path / "t"))
+    assert back.count() == 300 and back.select("start").distinct().count() == 300
+
+
+def test_long_texts_are_slabs_of_their_own(spark):
+    df = spark.createDataFrame([(k, "word " * (40_000 if k % 4 == 0 else 3)) for k in range(40)], "doc_id long, text string").coalesce(1)
+    name = slabs.new_name()
+    sizes = [r["n"] for r in slabs.slab_table(df, name).groupBy("slab").agg(F.sum("n_bytes").alias("n")).collect()]
+    slabs.discard(spark, name)
+    assert sorted(sizes)[-10:] == [200_000] * 10 and len(sizes) == 11
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 1 << 30), st.integers(0, 17))
+def test_flanks_tell_shared_windows(seed, offset):
+    """Two segments that share a window share a flank of their gram."""
+    rng = np.random.default_rng(seed)
+    window = rng.integers(97, 101, 50)
+    texts = [np.r_[rng.integers(97, 101, int(rng.integers(0, 35 - offset if k else 20))), window, rng.integers(97, 101, int(rng.integers(0, 20)))].astype(np.uint8) for k in range(2)]
+    flanks = []
+    for t in texts:
+        at = int(np.flatnonzero((np.lib.stride_tricks.sliding_window_view(t, 50) == window).all(1))[0]) + offset
+        begin, end = max(0, at - 34), min(len(t), at + 50)
+        flanks.append(suffix_dedup._flanks(t, np.array([at]), np.array([at - begin]), np.array([end - begin])))
+    assert any(flanks[0][k][0] == flanks[1][k][0] != 0 for k in range(2))

@@ -1,5 +1,7 @@
 """Fitted operators: held-out accuracy on the given tables, odd rows, tables without anything to learn from."""
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -62,7 +64,47 @@ def test_toxicity_on_held_out_rows(docs, marks):
     got = toxicity.toxicity(docs, marks).join(marks, "doc_id").collect()
     clean = [r for r in got if r["toxic"] == 0]
     assert np.mean([r["predicted"] for r in clean]) < 0.01
-    assert np.mean([r["predicted"] for r in got if r["toxic"] == 1 and not r["held_out"]]) > 0.8
+    assert np.mean([r["predicted"] for r in got if r["toxic"] == 1 and not r["held_out"]]) > 0.8  # rows learned from; the test below has others
+
+
+def test_toxicity_recall_on_held_out_rows(spark):
+    """On the larger tables, whose held-out rows include some hundred toxic ones."""
+    docs, marks = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = toxicity.toxicity(docs, marks).join(marks, "doc_id").where("held_out").collect()
+    toxic = [r["predicted"] for r in got if r["toxic"] == 1]
+    assert len(toxic) > 80 and np.mean(toxic) >= 0.9
+    assert np.mean([r["predicted"] for r in got if r["toxic"] == 0]) < 0.01
+
+
+def test_toxicity_features_and_loss_against_plain_versions(spark):
+    """Word features by sets of words; the fitted weights have the least loss, with every counterfactual written out."""
+    texts = ["The muslim idiot, gone.", "A christian neighbour came. The muslim sleeps", "", "Bread IDIOTS", None]
+
+    def plain(text):
+        words = set(re.findall(r"[a-z0-9\x80-\uffff]+", (text or "").lower()))
+        return {toxicity.word_hash(w) for w in words} | {K.mix(toxicity.word_hash(w[:n]) + K.U64(n)) for w in words for n in toxicity.BEGINNINGS if len(w) > n}
+
+    features = np.unique(np.array([h for t in texts for h in plain(t)], np.uint64))
+    got = {(d, features[k]) for doc, f in toxicity.present(pa.array(texts), features) for d, k in zip(doc.tolist(), f.tolist())}
+    assert got == {(d, h) for d, t in enumerate(texts) for h in plain(t)}
+
+    docs = spark.createDataFrame([(k, texts[k % 5] if k % 7 else f"the muslim {k % 3} idiot and the christian") for k in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int("idiot" in (texts[k % 5] or "").lower() if k % 7 else k % 2 == 0)) for k in range(200)], "doc_id long, toxic int")
+    model = toxicity.fit_on(docs, labels, F.lit(True))
+    rows = docs.join(labels, "doc_id").collect()
+    x = np.array([[h in plain(r["text"]) for h in model.features] for r in rows], float)
+    y = np.array([r["toxic"] for r in rows], float)
+    d = np.array([[(h in plain(a)) - float(h in plain(b)) for h in model.features] for r in rows for a, b in (toxicity.swapped(r["text"]) if r["text"] else ())])
+    weight = np.where(y == 1, np.sqrt((len(y) - y.sum()) / y.sum()), 1.0)
+
+    def loss(w, base):
+        z = x @ w + base
+        return (weight * (np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0) - y * z)).sum() + 0.05 * w @ w + 5.0 * len(y) * ((d @ w) ** 2).mean()
+
+    best, rng = loss(model.weights, model.base), np.random.default_rng(3)
+    for size in (1e-3, 1e-2, 0.1, 1.0):
+        for _ in range(20):
+            assert loss(model.weights + size * rng.normal(size=len(model.weights)), model.base + size * rng.normal()) > best - 1e-3
 
 
 def test_identity_terms_do_not_change_scores(spark):
