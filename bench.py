@@ -30,10 +30,12 @@ HEADLINE = [
     "a5_customer_profiles", "a6_region_category", "a7_monthly", "k05_w07_pareto_curve", "b13_b16_previous_periods",
     "b17_b20_period_to_date", "b21_b22_product_ranks", "b23_customer_ranks", "v11_category_matrix",
     "x1_k12_correlations", "i13_kpi_targets", "i20_repeat_returns", "r1_rfm", "f4_seasonal_naive_compat",
-    "f5_series_errors_category", "f5_series_errors_product", "f7_horizon_total", "s04_s14_warehouse",
+    "f5_series_errors_category", "f5_series_errors_product", "f7_horizon_total",
 ]
-# Each makes something once per mart, so it is timed on its first run: 50 K-means fits, a stream over the whole fact, the daily series.
-ONCE = ["r2_r3_cluster_scores", "s13_daily_sales_stream", "f2_filled_days"]
+# Each makes something once per mart, so it is timed on its first run: 50 K-means starts, a stream over the whole fact, the daily series, the warehouse.
+ONCE = ["r2_r3_cluster_scores", "s13_daily_sales_stream", "f2_filled_days", "s04_s14_warehouse"]
+# Each publishes an index or ranks on its first run and then reads it; the first run is timed beside.
+PUBLISHED = ["w05_w06_customer_journey", "k05_w07_pareto_curve", "b21_b22_product_ranks", "b23_customer_ranks"]
 
 
 def run(df) -> None:
@@ -62,7 +64,9 @@ def main() -> None:
         print(f"{name:36s} {seconds[name]:7.3f}", file=sys.stderr, flush=True)
     for name in HEADLINE:
         query = queries[name]
-        run(query(spark, SF_DIR))
+        first = timed(lambda: run(query(spark, SF_DIR)))
+        if name in PUBLISHED:
+            seconds[f"{name}_first"] = first
         seconds[name] = statistics.median(timed(lambda: run(query(spark, SF_DIR))) for _ in range(RUNS))
         print(f"{name:36s} {seconds[name]:7.3f}", file=sys.stderr, flush=True)
     print(json.dumps({

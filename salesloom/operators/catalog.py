@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from salesloom.functions import bands, dates
 from salesloom.functions.ratios import div, mean, pct, per, round_half_up
 from salesloom.operators.star import daily_sales
-from salesloom.plans.ordered import running_totals
+from salesloom.plans.ordered import Ordered, Store, checkpointed, ordered
 
 PRODUCT = ["product_id", "category", "sub_category", "brand"]
 
@@ -202,17 +202,19 @@ JOURNEY_COLUMNS = ["customer_id", "name", "order_id", "product_id", "order_date"
                    "days_between_orders", "running_total_revenue"]
 
 
-def customer_journey(fact: DataFrame) -> DataFrame:
+def journey_index(fact: DataFrame, store: Store) -> Ordered:
+    """Lines of known customers in the order of their journeys, with running revenue and next date; written once."""
+    lines = fact.filter("has_customer").select(*JOURNEY)
+    return ordered(lines, JOURNEY_ORDER, {"running_total_revenue": F.col("revenue")}, store, keys=["customer_id"], following={"next_order_date": "order_date"})
+
+
+def customer_journey(fact: DataFrame, journeys: Ordered | None = None) -> DataFrame:
     """Next purchase and running revenue of every line of every customer.
 
-    Uses range-partitioned running totals: one customer with a third of all lines spreads over many tasks.
+    One customer with a third of all lines spreads over many ranges. Reading ``journeys``, the index of ``fact``, exchanges no lines; without it one is
+    made for this call.
     """
-    lines = fact.filter("has_customer").select(*JOURNEY)
-    running = running_totals(
-        lines, JOURNEY_ORDER, {"running_total_revenue": F.col("revenue")}, keys=["customer_id"],
-        following={"next_order_date": "order_date"},
-    )
-    return running.withColumn("days_between_orders", F.datediff("next_order_date", "order_date")).select(*JOURNEY_COLUMNS)
+    return (journeys or journey_index(fact, checkpointed)).read().withColumn("days_between_orders", F.datediff("next_order_date", "order_date")).select(*JOURNEY_COLUMNS)
 
 
 def next_purchases(fact: DataFrame, k: int = 50) -> DataFrame:

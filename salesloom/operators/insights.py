@@ -40,9 +40,9 @@ def _value(frame: DataFrame, column: str) -> Column:
     return frame.select(column).scalar()
 
 
-def concentration(fact: DataFrame, top: Sequence[float] = (0.2,), bottom: Sequence[float] = ()) -> DataFrame:
-    """Revenue share of the largest (or smallest) floor(fraction x n) customers."""
-    curve = pareto_curve(fact)
+def concentration(fact: DataFrame, top: Sequence[float] = (0.2,), bottom: Sequence[float] = (), curve: DataFrame | None = None) -> DataFrame:
+    """Revenue share of the largest (or smallest) floor(fraction x n) customers; ``curve`` is the Pareto curve, if there is one."""
+    curve = pareto_curve(fact) if curve is None else curve
     n, position = F.col("customers"), F.col("position")
     cuts = [(f"top {f:g}", position <= F.floor(n * f), F.floor(n * f)) for f in top]
     cuts += [(f"bottom {f:g}", position > n - F.floor(n * f), F.floor(n * f)) for f in bottom]
@@ -57,9 +57,9 @@ def concentration(fact: DataFrame, top: Sequence[float] = (0.2,), bottom: Sequen
     )
 
 
-def fraction_reaching(fact: DataFrame, share: float = 0.8) -> DataFrame:
+def fraction_reaching(fact: DataFrame, share: float = 0.8, curve: DataFrame | None = None) -> DataFrame:
     """Fraction of customers passed, from the largest down, before ``share`` of the revenue is reached."""
-    curve = pareto_curve(fact)
+    curve = pareto_curve(fact) if curve is None else curve
     reached = div("cum_revenue", "total_revenue") >= share
     return curve.agg(
         F.min(F.when(reached, F.col("position"))).alias("position"), F.max("customers").alias("customers")
@@ -270,10 +270,10 @@ def initiative_roi(
 
 
 def revenue_at_risk(
-    fact: DataFrame, orders: DataFrame, target: str, benchmark: str, churn: float = CHURN_SHARE
+    fact: DataFrame, orders: DataFrame, target: str, benchmark: str, churn: float = CHURN_SHARE, curve: DataFrame | None = None
 ) -> DataFrame:
     """Exposure by cause."""
-    share = _value(concentration(fact, [0.2]), "share_pct")
+    share = _value(concentration(fact, [0.2], curve=curve), "share_pct")
     one = _scenario_inputs(fact, orders, target, benchmark).withColumn("top_share", share)
     return _labelled(one, {
         "customer churn": F.floor(F.col("revenue") * (F.col("top_share") / 100.0) * churn),

@@ -1,16 +1,17 @@
-"""RFM features and customer segments (R1-R7) with Spark ML.
+"""RFM features and customer segments.
 
-K-means runs on one row per customer. Its rows are written once (``checkpoint``) and cached while the models
-iterate, so a lost executor costs a re-read, not the fact aggregation.
+K-means runs on one row per customer. Its rows are written once (``checkpoint``) and cached while the centres
+move, so a lost executor costs a re-read, not the fact aggregation. All starts for all numbers of clusters share each pass.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -53,7 +54,7 @@ def scaled(customers: DataFrame) -> DataFrame:
 def scaled_columns(customers: DataFrame, digits: int = 6) -> DataFrame:
     """R2 as plain columns, rounded."""
     from pyspark.ml.functions import vector_to_array
-    values = scaled(customers).withColumn("v", vector_to_array("features"))
+    values = scaled(customers.checkpoint()).withColumn("v", vector_to_array("features"))
     return values.select("customer_id", *[F.round(F.col("v")[i], digits).alias(f"{c}_scaled") for i, c in enumerate(FEATURES)])
 
 
@@ -82,34 +83,152 @@ class Segmentation:
         return self.assigned.sparkSession.createDataFrame(rows, schema)
 
 
-def segment(customers: DataFrame, ks: Sequence[int] = range(2, 7), n_init: int = 10, seed: int = 42, parallelism: int = 8) -> Segmentation:
+def _uniform(ids: np.ndarray, salt: int) -> np.ndarray:
+    """A number in (0, 1) for each id that does not depend on how the rows are dealt out."""
+    x = ids.astype(np.uint64) + np.uint64(salt) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return (((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
+
+
+def _matrix(b: pa.RecordBatch, columns: Sequence[str]) -> np.ndarray:
+    return np.column_stack([b[c].to_numpy() for c in columns])
+
+
+def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distance of each row to each centre."""
+    return ((x[:, None] - centres[None]) ** 2).sum(2)
+
+
+class Starts:
+    """K-means from many starts at once: each pass over the customers moves the centres of all starts that still move.
+
+    What a task sends is one row for each start and cluster, so a pass costs the same shuffle whatever the number of customers.
+    """
+
+    def __init__(self, points: DataFrame, ks: Sequence[int], n_init: int, seed: int):
+        self.points, self.ks = points, [k for k in ks for _ in range(n_init)]
+        self.columns = [c for c in points.columns if c.startswith("x")]
+        self.seed = seed
+        self.centres = [np.zeros((0, len(self.columns))) for _ in self.ks]
+        self.costs = np.zeros(len(self.ks))
+
+    def spread(self) -> None:
+        """First centres: each the next with a chance in proportion to its squared distance from those before (k-means++).
+
+        A row's key is ln(u) / distance with a uniform u of its own, and the largest key wins, so a draw is a maximum over all rows.
+        """
+        for step in range(max(self.ks)):
+            open_ = {i: c for i, c in enumerate(self.centres) if len(c) < self.ks[i]}
+            seed, columns = self.seed, self.columns
+
+            def run(batches, open_=open_, step=step):
+                best: dict[int, tuple] = {}
+                for b in batches:
+                    x, ids = _matrix(b, columns), b["customer_id"].to_numpy()
+                    for i, c in open_.items() if len(x) else ():
+                        d = _squared(x, c).min(1) if len(c) else np.ones(len(x))
+                        with np.errstate(divide="ignore"):
+                            key = np.where(d > 0, np.log(_uniform(ids, seed * 100_003 + i * 101 + step)) / d, -np.inf)
+                        at = int(np.argmax(key))
+                        best[i] = max(best.get(i, (-np.inf,)), (float(key[at]), *x[at].tolist()))
+                rows = [(i, *v) for i, v in best.items() if len(v) > 1]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds], names)
+
+            names, kinds = ["start", "key", *self.columns], [pa.int64(), *[pa.float64()] * (len(self.columns) + 1)]
+            drawn = self.points.mapInArrow(run, ", ".join(f"{c} {'long' if c == 'start' else 'double'}" for c in names)).groupBy("start").agg(
+                F.max(F.struct("key", *self.columns)).alias("m")).collect()
+            for r in drawn:
+                self.centres[r["start"]] = np.vstack([self.centres[r["start"]], list(r["m"])[1:]])
+
+    def move(self, moving: set[int]) -> dict[int, np.ndarray]:
+        """New centres of the starts in ``moving``; their costs before the move are kept."""
+        centres, columns = {i: self.centres[i] for i in moving}, self.columns
+
+        def run(batches):
+            total = {i: np.zeros((len(c), len(columns) + 2)) for i, c in centres.items()}
+            for b in batches:
+                x = _matrix(b, columns)
+                for i, c in centres.items() if len(x) else ():
+                    d = _squared(x, c)
+                    near = d.argmin(1)
+                    for j, v in enumerate((*x.T, d.min(1), np.ones(len(x)))):
+                        total[i][:, j] += np.bincount(near, weights=v, minlength=len(c))
+            start = np.repeat(list(total), [len(t) for t in total.values()])
+            cluster = np.concatenate([np.arange(len(t)) for t in total.values()])
+            yield pa.RecordBatch.from_arrays([pa.array(start.astype(np.int64)), pa.array(cluster), *map(pa.array, np.concatenate(list(total.values())).T)], names)
+
+        sums = [*self.columns, "cost", "n"]
+        names = ["start", "cluster", *sums]
+        out = {i: c.copy() for i, c in centres.items()}
+        costs = dict.fromkeys(moving, 0.0)
+        kinds = ", ".join(f"{c} {'long' if c in ('start', 'cluster') else 'double'}" for c in names)
+        for r in self.points.mapInArrow(run, kinds).groupBy("start", "cluster").agg(*[F.sum(c).alias(c) for c in sums]).collect():
+            costs[r["start"]] += r["cost"]
+            if r["n"]:
+                out[r["start"]][r["cluster"]] = [r[c] / r["n"] for c in self.columns]
+        for i, v in costs.items():
+            self.costs[i] = v
+        return out
+
+    def fit(self, tolerance: float = 1e-4, most: int = 100) -> None:
+        """Move until no centre of a start moves by more than ``tolerance``; costs are those of the last centres."""
+        self.spread()
+        moving = set(range(len(self.ks)))
+        for _ in range(most):
+            new = self.move(moving)
+            moving = {i for i in moving if len(new[i]) and np.sqrt(((new[i] - self.centres[i]) ** 2).sum(1)).max() > tolerance}
+            for i, c in new.items():
+                self.centres[i] = c
+            if not moving:
+                break
+        self.move(set(range(len(self.ks))))
+
+    def best(self) -> dict[int, int]:
+        """The cheapest start of each k."""
+        return {k: min((i for i, own in enumerate(self.ks) if own == k), key=lambda i: self.costs[i]) for k in dict.fromkeys(self.ks)}
+
+    def assigned(self, starts: Mapping[int, int]) -> DataFrame:
+        """The points with a column ``s<k>`` for the cluster under each of ``starts``."""
+        centres, columns = {f"s{k}": self.centres[i] for k, i in starts.items()}, self.columns
+
+        def run(batches):
+            for b in batches:
+                x = _matrix(b, columns)
+                yield pa.RecordBatch.from_arrays([*[b[c] for c in b.schema.names], *[pa.array(_squared(x, c).argmin(1).astype(np.float64)) for c in centres.values()]],
+                                                 [*b.schema.names, *centres])
+
+        return self.points.mapInArrow(run, T.StructType([*self.points.schema.fields, *[T.StructField(c, T.DoubleType()) for c in centres]]))
+
+
+def segment(customers: DataFrame, ks: Sequence[int] = range(2, 7), n_init: int = 10, seed: int = 42) -> Segmentation:
     """For each k keep the cheapest of ``n_init`` starts, choose the k with the best silhouette.
 
-    Only a handful of scores reach the driver. Cluster numbers are arbitrary, so segments are numbered from
+    Only centres and scores reach the driver. Cluster numbers are arbitrary, so segments are numbered from
     the highest mean revenue down. The silhouette uses squared Euclidean distance.
     """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
     shared_dir(customers.sparkSession)
-    points = scaled(customers.checkpoint()).persist()
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="segment")
-    points.count()  # fill the cache once, before the fits share it
-
-    def fit(start: tuple[int, int]):
-        return KMeans(k=start[0], seed=seed + start[1], featuresCol="features", predictionCol="segment").fit(points)
-
-    # independent Spark jobs, submitted side by side as CrossValidator does
-    tries = [(k, i) for k in ks for i in range(n_init)]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        fitted = list(zip([k for k, _ in tries], pool.map(fit, tries)))
-        models = {k: min((m for key, m in fitted if key == k), key=lambda m: m.summary.trainingCost) for k in ks}
-        scores = dict(zip(ks, pool.map(lambda k: evaluator.evaluate(models[k].transform(points)), ks)))
-    costs = {k: models[k].summary.trainingCost for k in ks}
+    values = scaled(customers.checkpoint()).withColumn("v", vector_to_array("features"))
+    points = values.select("customer_id", *[F.col(c).cast("double").alias(c) for c in FEATURES],
+                           *[F.col("v")[i].alias(f"x{i}") for i in range(len(FEATURES))]).checkpoint().persist()
+    starts = Starts(points, ks, n_init, seed)
+    starts.fit()
+    chosen = starts.best()
+    costs = {k: float(starts.costs[i]) for k, i in chosen.items()}
+    found = starts.assigned(chosen).withColumn("features", array_to_vector(F.array(*starts.columns))).persist()
+    with ThreadPoolExecutor(max_workers=len(chosen)) as pool:  # independent Spark jobs
+        scores = dict(zip(chosen, pool.map(lambda k: ClusteringEvaluator(featuresCol="features", predictionCol=f"s{k}").evaluate(found), chosen)))
     best = max(scores, key=scores.get)
-    found = models[best].transform(points).drop("features")
+    found_ = found.withColumn("segment", F.col(f"s{best}"))
     order = (
-        found.groupBy("segment").agg(F.avg("monetary").alias("_m"))
+        found_.groupBy("segment").agg(F.avg("monetary").alias("_m"))
         .select("segment", (F.row_number().over(W.orderBy(F.desc("_m"), "segment")) - 1).alias("_no"))
     )
-    assigned = found.join(order, "segment").select("customer_id", *FEATURES, F.col("_no").alias("segment")).checkpoint()
+    kinds = {f.name: f.dataType for f in customers.schema.fields}
+    assigned = found_.join(order, "segment").select(
+        "customer_id", *[F.col(c).cast(kinds[c]).alias(c) for c in FEATURES], F.col("_no").alias("segment")).checkpoint()
+    found.unpersist()
     points.unpersist()
     return Segmentation(best, scores, costs, assigned)
 

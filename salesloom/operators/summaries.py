@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from salesloom.functions import bands, dates, geo
 from salesloom.functions.lines import line_margin_pct, unit_margin_pct
 from salesloom.functions.ratios import div, pct, per
-from salesloom.plans.ordered import running_totals
+from salesloom.plans.ordered import Ordered, Store, checkpointed, ordered
 
 
 def total(column: str) -> Column:
@@ -216,13 +216,14 @@ def customer_revenue(fact: DataFrame) -> DataFrame:
     return fact.filter("customer_id IS NOT NULL").groupBy("customer_id").agg(total("revenue").alias("revenue"))
 
 
-def pareto_curve(fact: DataFrame) -> DataFrame:
-    """Customers from the largest down with their percentile and the cumulative revenue share."""
-    ranked = running_totals(
-        customer_revenue(fact), [F.desc("revenue"), "customer_id"], {"cum_revenue": F.col("revenue")},
-        position="position", overall="_all",
-    )
-    return ranked.select(
+def pareto_index(fact: DataFrame, store: Store) -> Ordered:
+    """Customers from the largest down with running revenue; written once."""
+    return ordered(customer_revenue(fact), [F.desc("revenue"), "customer_id"], {"cum_revenue": F.col("revenue")}, store, position="position", overall="_all")
+
+
+def pareto_curve(fact: DataFrame, customers: Ordered | None = None) -> DataFrame:
+    """Customers from the largest down with their percentile and the cumulative revenue share; ``customers`` is the index of ``fact``, if there is one."""
+    return (customers or pareto_index(fact, checkpointed)).read().select(
         "customer_id", "revenue", "position", "cum_revenue",
         F.col("position_all").alias("customers"), F.col("cum_revenue_all").alias("total_revenue"),
         pct("position", "position_all", 6).alias("customer_pct"), pct("cum_revenue", "cum_revenue_all", 6).alias("revenue_pct"),

@@ -16,10 +16,11 @@ from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesloom import session
 from salesloom.operators import cleaning, star
-from salesloom.plans.layout import MONTH, with_month, write_parquet
+from salesloom.plans.layout import MONTH, spread_over_months, with_month, write_parquet
 from salesloom.sources.driver import FILE_ORDER, read_driver
 from salesloom.sources.raw_csv import POSITION
 from salesloom.sources.tables import RawTables
@@ -57,6 +58,27 @@ class Mart:
         write_parquet(df, self.path(name), partition_by, cluster_by)
         return self.spark.read.schema(df.schema).parquet(self.path(name)).select(*df.columns)  # the schema is known even if no row is
 
+    def publish_fact(self, name: str, fact: DataFrame, cluster_by: Sequence[str]) -> DataFrame:
+        """A fact by month, the lines of an order side by side; dealt out by what its orders and the heaviest of them say."""
+        df = spread_over_months(with_month(fact), self.fact_shape[0], cluster_by, self.fact_shape[1])
+        df.write.mode("overwrite").partitionBy(MONTH).parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name)).select(*df.columns)
+
+    @cached_property
+    def fact_shape(self) -> tuple[dict[dt.date | None, int], list]:
+        """Orders of each month, and the orders that hold more lines than a task should."""
+        months = {r[MONTH]: r["n"] for r in with_month(self.orders).groupBy(MONTH).agg(F.count(F.lit(1)).alias("n")).collect()}
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        lines = self.raw.order_items.where("order_id IS NOT NULL").agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(order_id, {min(parts, 1000)}, 10000)").alias("top")).first()
+        return months, [r["item"] for r in lines["top"] or () if r["count"] * parts > lines["n"]]
+
+    def store(self, table: str) -> Callable[[str, DataFrame], DataFrame]:
+        """A place for the frames of ordered(): written below ``table`` as they come, and read back."""
+        def write(part: str, df: DataFrame) -> DataFrame:
+            df.write.mode("overwrite").parquet(self.path(f"{table}/{part}"))
+            return self.spark.read.schema(df.schema).parquet(self.path(f"{table}/{part}"))
+        return write
+
     def together(self, *names: str) -> None:
         """Build independent tables side by side, so that one's last tasks do not leave the cluster idle."""
         with ThreadPoolExecutor(len(names)) as pool:
@@ -106,12 +128,12 @@ class Mart:
     def fact_clean(self) -> DataFrame:
         self.raw, self.dimensions  # published before the fact that joins them
         fact = star.build_clean_fact(self.raw, self.customers, self.products, self.orders, self.returns, self.file_order)
-        return self.publish("fact_clean", with_month(fact), MONTH, star.LINE_KEY)
+        return self.publish_fact("fact_clean", fact, star.LINE_KEY)
 
     @cached_property
     def fact_raw(self) -> DataFrame:
         fact = star.build_raw_fact(self.raw, keep=self.keep)
-        return self.publish("fact_raw", with_month(fact), MONTH, [*star.LINE_KEY, *self.keep[:1]])
+        return self.publish_fact("fact_raw", fact, [*star.LINE_KEY, *self.keep[:1]])
 
     @cached_property
     def dim_date(self) -> DataFrame:

@@ -24,6 +24,7 @@ from salesloom.operators import summaries as S
 from salesloom.operators import visuals as V
 from salesloom.plans.layout import MONTH
 from salesloom.plans.mart import Mart, mart
+from salesloom.plans.ordered import Ordered
 from salesloom.sources import quarantine as QT
 from salesloom.sources import sinks
 from salesloom.sources.dirty import write_dirty_csv
@@ -47,6 +48,14 @@ def published(df: DataFrame) -> DataFrame:
     return df.select(*[plain(f) for f in df.schema.fields])
 
 
+def _journeys(m: Mart) -> Ordered:
+    return m.once("journeys", lambda: C.journey_index(m.fact_clean, m.store("journeys")))
+
+
+def _pareto(m: Mart) -> DataFrame:
+    return S.pareto_curve(m.fact_raw, m.once("pareto", lambda: S.pareto_index(m.fact_raw, m.store("pareto"))))
+
+
 CATALOG: dict[str, Query] = {
     "q01_revenue_by_region": lambda m: C.revenue_by_region(m.fact_clean),
     "q02_monthly_trend": lambda m: C.monthly_trend(m.fact_clean, m.dim_date),
@@ -58,7 +67,7 @@ CATALOG: dict[str, Query] = {
     "q07_lowest_margin_products": lambda m: C.lowest_margin_products(m.fact_clean, m.products),
     "q08_cohort_retention": lambda m: C.cohort_retention(m.fact_clean),
     "q09_next_purchases": lambda m: C.next_purchases(m.fact_clean),
-    "w05_w06_customer_journey": lambda m: C.customer_journey(m.fact_clean),
+    "w05_w06_customer_journey": lambda m: C.customer_journey(m.fact_clean, _journeys(m)),
     "q10_discount_bands": lambda m: C.discount_bands(m.fact_clean),
     "q11_payment_modes": lambda m: C.payment_modes(m.fact_clean),
     "q12_worst_products": lambda m: C.worst_products(m.fact_clean, m.products),
@@ -143,7 +152,7 @@ SUMMARIES: dict[str, Query] = {
     "k02_category_chart": lambda m: S.category_chart(m.fact_raw),
     "k03_region_chart": lambda m: S.region_chart(m.fact_raw),
     "k04_discount_chart": lambda m: S.discount_chart(m.fact_raw),
-    "k05_w07_pareto_curve": lambda m: S.pareto_curve(m.fact_raw),
+    "k05_w07_pareto_curve": lambda m: _pareto(m),
     "k06_monthly_peaks": lambda m: S.monthly_peaks(m.fact_raw),
     "k07_return_benchmark": lambda m: S.return_benchmark(m.fact_raw),
     "k09_return_reasons": lambda m: S.return_reasons(m.raw.returns),
@@ -161,8 +170,8 @@ MEASURES: dict[str, Query] = {
         m.fact_raw, ["total_revenue", "profit_margin"], ["region"], B.slicer(years=[1997], quarters=[2])),
     "b13_b16_previous_periods": lambda m: B.previous_periods(m.fact_raw),
     "b17_b20_period_to_date": lambda m: B.period_to_date(m.fact_raw),
-    "b21_b22_product_ranks": lambda m: B.product_ranks(m.fact_raw, m.products),
-    "b23_customer_ranks": lambda m: B.customer_ranks(m.fact_raw, m.customers),
+    "b21_b22_product_ranks": lambda m: m.once("product-ranks", lambda: m.publish("product_ranks", B.product_ranks(m.fact_raw, m.products))),
+    "b23_customer_ranks": lambda m: m.once("customer-ranks", lambda: m.publish("customer_ranks", B.customer_ranks(m.fact_raw, m.customers))),
     "b24_customer_segments": lambda m: B.customer_segments(m.fact_raw),
     "b25_discount_bands": lambda m: B.discount_bands(m.fact_raw),
     "b26_reason_list": lambda m: B.reason_list(m.raw.returns),
@@ -200,7 +209,7 @@ MEASURES: dict[str, Query] = {
 GAP_REGIONS = ("ASIA", "EUROPE")
 
 INSIGHTS: dict[str, Query] = {
-    "i01_pareto_share": lambda m: I.concentration(m.fact_raw),
+    "i01_pareto_share": lambda m: I.concentration(m.fact_raw, curve=_pareto(m)),
     "i02_worst_return_category": lambda m: I.worst_return_category(m.fact_raw),
     "i03_margin_extremes": lambda m: I.margin_extremes(m.fact_raw),
     "i04_deep_discount_margin": lambda m: I.deep_discount_margin(m.fact_raw),
@@ -216,11 +225,11 @@ INSIGHTS: dict[str, Query] = {
     "i14_deep_band_profit": lambda m: I.deep_band_profit(m.fact_raw),
     "i16_initiative_roi": lambda m: I.initiative_roi(m.fact_raw, m.raw.orders, *GAP_REGIONS),
     "i17_product_margin_tiers": lambda m: I.product_margin_tiers(m.fact_raw),
-    "i18_concentration": lambda m: I.concentration(m.fact_raw, [0.1, 0.2], [0.5]),
+    "i18_concentration": lambda m: I.concentration(m.fact_raw, [0.1, 0.2], [0.5], _pareto(m)),
     "i19_thin_margin_products": lambda m: I.thin_margin_products(m.fact_raw, m.products),
     "i20_repeat_returns": lambda m: I.repeat_returns(m.fact_raw),
-    "i21_revenue_at_risk": lambda m: I.revenue_at_risk(m.fact_raw, m.raw.orders, *GAP_REGIONS),
-    "i22_fraction_reaching": lambda m: I.fraction_reaching(m.fact_raw),
+    "i21_revenue_at_risk": lambda m: I.revenue_at_risk(m.fact_raw, m.raw.orders, *GAP_REGIONS, curve=_pareto(m)),
+    "i22_fraction_reaching": lambda m: I.fraction_reaching(m.fact_raw, curve=_pareto(m)),
 }
 
 

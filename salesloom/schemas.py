@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import types as T
 
 KEY = T.LongType()
@@ -78,7 +80,22 @@ WAREHOUSE = {
 }
 
 
-def create_table_sql(table: str, schema: T.StructType, location: str) -> str:
+#: Keys of the warehouse tables: rows of a key that is there already are not inserted again.
+KEYS = {
+    "dim_customers": ["customer_id"], "dim_products": ["product_id"], "dim_date": ["date_key"], "dim_region": ["region", "city"],
+    "fact_sales": ["order_id", "product_id"],
+}
+#: Partition column and buckets of the tables that grow. Buckets are of the whole key, so one huge order is spread over all.
+PARTITIONS = {"fact_sales": T.StructField("order_month", T.DateType())}
+BUCKETS = {"fact_sales": 8}
+
+
+def create_table_sql(table: str, schema: T.StructType, location: str, partition_by: T.StructField | None = None,
+                     bucket_by: Sequence[str] = (), buckets: int = 0) -> str:
     """``CREATE TABLE`` text for a schema: parquet files at a named place, never in a local default folder."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION '{location}'"
+    fields = [*schema.fields, *([partition_by] if partition_by else [])]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    layout = f" PARTITIONED BY (`{partition_by.name}`)" if partition_by else ""
+    if buckets:
+        layout += f" CLUSTERED BY ({', '.join(f'`{c}`' for c in bucket_by)}) INTO {buckets} BUCKETS"
+    return f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{layout} LOCATION '{location}'"

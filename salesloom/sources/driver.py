@@ -46,9 +46,9 @@ RAW_SQL = {
                CAST(CAST(s.ship AS DATE) AS STRING) AS shipping_date,
                r_name AS region,
                CASE WHEN o_orderkey % 101 = 0 THEN NULL
-                    WHEN o_orderpriority = '5-LOW' THEN 'COD' WHEN o_orderpriority = '1-URGENT' THEN 'Credit Card'
-                    WHEN o_orderpriority = '2-HIGH' THEN 'UPI' WHEN o_orderpriority = '3-MEDIUM' THEN 'Debit Card'
-                    ELSE 'Net Banking' END AS payment_mode
+                    WHEN o_orderpriority = '5-LOW' THEN 'COD' WHEN o_orderpriority = '1-URGENT' THEN 'Voucher'
+                    WHEN o_orderpriority = '2-HIGH' THEN 'Wallet' WHEN o_orderpriority = '3-MEDIUM' THEN 'Invoice'
+                    ELSE 'Direct debit' END AS payment_mode
         FROM {orders} LEFT JOIN {customer} ON o_custkey = c_custkey LEFT JOIN {nation} ON c_nationkey = n_nationkey
              LEFT JOIN {region} ON r_regionkey = (n_regionkey + CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END) % 5
              LEFT JOIN (SELECT l_orderkey AS k, min(l_shipdate) AS ship FROM {lineitem} GROUP BY l_orderkey) s

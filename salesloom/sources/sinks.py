@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,9 @@ from pyspark.sql import types as T
 
 from salesloom import schemas
 from salesloom.operators import star, summaries
-from salesloom.plans.layout import MONTH, replace_partitions, with_month, write_parquet
+from salesloom.plans.layout import MONTH, with_month
+from salesloom.plans.ordered import running_totals
+from salesloom.plans.snapshots import NONE, Snapshots
 from salesloom.sources.raw_csv import POSITION, read_csv, write_csv
 from salesloom.sources.tables import RawTables
 
@@ -75,19 +78,28 @@ def written_profile(spark: SparkSession, folder: str, files: Mapping[str, DataFr
 # ---- warehouse --------------------------------------------------------------------------------------------
 
 
-def dim_region(customers: DataFrame) -> DataFrame:
+def dim_region(customers: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Region and city pairs with a surrogate key over their alphabetical order; state and zone are unknown.
 
-    One row per city is left when the number is given.
+    With ``known``, an earlier result, only pairs that it lacks, numbered on from its last key. Numbers are prefix sums over ranges of places.
     """
-    from pyspark.sql import Window as W
-    places = customers.select("region", "city").distinct()
-    return places.select(
-        F.row_number().over(W.orderBy("region", "city")).cast("long").alias("region_id"), "region", "city",
+    places, last = customers.select("region", "city").distinct(), F.lit(0)
+    if known is not None:
+        places = absent(places, known, ["region", "city"])
+        last = F.coalesce(known.agg(F.max("region_id")).scalar(), F.lit(0))
+    return running_totals(places, ["region", "city"], {}, position="n").select(
+        (F.col("n") + last).cast("long").alias("region_id"), "region", "city",
         F.lit(None).cast("string").alias("state"), F.lit(None).cast("string").alias("zone"),
     )
 
 
+def absent(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` whose key ``known`` doesn't have; missing keys are alike."""
+    there = known.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(there[f"_{k}"]) for k in keys])
+    return rows.join(there, same, "left_anti")
+
+
 def warehouse_rows(customers: DataFrame, products: DataFrame, calendar: DataFrame, fact: DataFrame) -> dict[str, DataFrame]:
     """Rows of the star tables in the column order of their schemas."""
     now = F.current_timestamp().alias("created_at")
@@ -96,20 +108,42 @@ def warehouse_rows(customers: DataFrame, products: DataFrame, calendar: DataFram
         "dim_products": products.select(*schemas.DIM_PRODUCTS.fieldNames()[:-1], now),
         "dim_date": calendar.select(*schemas.DIM_DATE.fieldNames()),
         "dim_region": dim_region(customers),
-        "fact_sales": fact.withColumn("date_key", F.col("order_date")).select(*schemas.FACT_SALES.fieldNames()),
+        "fact_sales": with_month(fact).withColumn("date_key", F.col("order_date")).select(*schemas.FACT_SALES.fieldNames(), MONTH),
     }
 
 
 def load_warehouse(spark: SparkSession, rows: Mapping[str, DataFrame], prefix: str, folder: str) -> dict[str, str]:
-    """Create the tables from their schemas and insert the rows; returns the table names."""
+    """Create the tables from their schemas and insert the rows whose keys are not there yet; returns the table names.
+
+    Loading the same rows again changes nothing, so a load that broke off is simply run again. The fact is partitioned by month and bucketed by its key; a load compares
+    keys within the months that it brings only.
+    """
     names = {}
     for table, df in rows.items():
-        names[table] = f"{prefix}_{table}"
-        spark.sql(schemas.create_table_sql(names[table], schemas.WAREHOUSE[table], f"{folder}/{table}"))
-        df.write.insertInto(names[table], overwrite=True)
+        names[table] = name = f"{prefix}_{table}"
+        keys, partition, buckets = schemas.KEYS[table], schemas.PARTITIONS.get(table), schemas.BUCKETS.get(table, 0)
+        spark.sql(schemas.create_table_sql(name, schemas.WAREHOUSE[table], f"{folder}/{table}", partition, keys, buckets))
+        known = spark.table(name)
+        if table == "dim_region":
+            new = dim_region(df, known)
+        elif partition:
+            months = [r[0] for r in df.select(partition.name).distinct().collect()]  # as many as the calendar has
+            new = absent(df, lines_of_months(known, months), keys)
+            # one file for each month and bucket
+            new = new.repartition(partition.name, F.pmod(F.hash(*keys), F.lit(buckets))).sortWithinPartitions(partition.name)
+        else:
+            new = absent(df, known, keys)
+        new.write.insertInto(name)
+        spark.catalog.refreshTable(name)
     return names
 
 
+def drop_warehouse(spark: SparkSession, names: Mapping[str, str]) -> None:
+    """Take the tables out of the catalog; their files stay."""
+    for name in names.values():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], connections: int) -> None:
     """S4 for an external database: parallel batched inserts over ``connections`` connections.
 
@@ -121,9 +155,21 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
 # ---- daily aggregate --------------------------------------------------------------------------------------
 
 
+DAILY_SCHEMA = schemas.DAILY_SALES
+
+
+def daily_snapshots(spark: SparkSession, path: str) -> Snapshots:
+    return Snapshots(spark, path, MONTH)
+
+
+def _month_names(months: Sequence[dt.date | None]) -> list[str]:
+    return [NONE if m is None else m.isoformat() for m in months]
+
+
 def publish_daily_sales(fact: DataFrame, path: str) -> None:
-    """The daily aggregate as month-partitioned parquet."""
-    write_parquet(with_month(star.daily_sales(fact), "date_key"), path, MONTH)
+    """The daily aggregate, all months of it, as a new version."""
+    store = daily_snapshots(fact.sparkSession, path)
+    store.write(with_month(star.daily_sales(fact), "date_key"), store.months())
 
 
 def lines_of_months(fact: DataFrame, months: Sequence[dt.date | None]) -> DataFrame:
@@ -132,18 +178,43 @@ def lines_of_months(fact: DataFrame, months: Sequence[dt.date | None]) -> DataFr
 
 
 def refresh_daily_sales(fact: DataFrame, path: str, months: DataFrame) -> None:
-    """Recompute the months listed in ``months`` (column ``order_month``) and replace only their partitions.
+    """Recompute the months listed in ``months`` (column ``order_month``) in a new version; the other months stay as they are.
 
     The list of months is at most as long as the calendar; as literals it prunes the fact's partitions.
     """
     touched = [r[0] for r in months.select(MONTH).distinct().collect()]
     if touched:
         daily = star.daily_sales(lines_of_months(fact, touched))
-        replace_partitions(with_month(daily, "date_key"), path, MONTH)
+        daily_snapshots(fact.sparkSession, path).write(with_month(daily, "date_key"), _month_names(touched))
+
+
+def refresh_cells(fact: DataFrame, path: str, lines: DataFrame) -> None:
+    """A new version in which the cells (day and group) of ``lines`` are recomputed from the whole ``fact``.
+
+    Of months that the last version has, only lines of those cells are read on and the other cells are taken over; months that it lacks are made as a whole.
+    """
+    spark, keys = fact.sparkSession, star.DAILY_KEYS
+    cells = lines.select(MONTH, *keys).distinct().persist()
+    touched = [r[0] for r in cells.select(MONTH).distinct().collect()]
+    if touched:
+        store = daily_snapshots(spark, path)
+        known = set(store.months())
+        old = [m for m, name in zip(touched, _month_names(touched)) if name in known]
+        new = [m for m in touched if m not in old]
+        again = lines_of_months(fact, old)
+        some = again.join(cells.select(*[F.col(k).alias(f"_{k}") for k in keys]), reduce(
+            lambda a, b: a & b, [again[k].eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_semi")
+        daily = star.daily_sales(some.unionByName(lines_of_months(fact, new)) if new else some)
+        if old:
+            stored = cells.select(*[F.col(k).alias({"order_date": "date_key", "customer_region": "region"}.get(k, k)) for k in keys])
+            kept = absent(store.read(DAILY_SCHEMA, _month_names(old)), stored, stored.columns)
+            daily = kept.unionByName(daily)
+        store.write(with_month(daily, "date_key"), _month_names(touched))
+    cells.unpersist()
 
 
 def read_daily_sales(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(MONTH)
+    return daily_snapshots(spark, path).read(DAILY_SCHEMA)
 
 
 # ---- nested results ---------------------------------------------------------------------------------------

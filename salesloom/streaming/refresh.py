@@ -1,16 +1,17 @@
 """Incremental refresh of the daily aggregate as new fact files arrive.
 
-The published fact is read as a file stream. A batch only tells which months its files touch; those months are
-recomputed from the whole fact and their partitions replaced, so the result is exact (distinct counts cannot
-be added up) and running a batch twice changes nothing.
+The published fact is read as a file stream. The lines of a batch tell which cells (day and group) changed; those are recomputed from the whole
+fact, as distinct counts cannot be added up, and a new version of the aggregate takes over the rest. So the result is exact, running a batch
+twice changes nothing, and readers see the version before or the one after.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesloom.operators.star import DAILY_KEYS
 from salesloom.plans.layout import MONTH
-from salesloom.sources.sinks import publish_daily_sales, refresh_daily_sales
+from salesloom.sources.sinks import publish_daily_sales, refresh_cells
 
 
 def refresh_from_stream(
@@ -22,10 +23,10 @@ def refresh_from_stream(
 
     def refresh(batch: DataFrame, _: int) -> None:
         fact = spark.read.schema(schema).parquet(fact_path)
-        refresh_daily_sales(fact, out_path, batch.select(MONTH).distinct())
+        refresh_cells(fact, out_path, batch)
 
     query = (
-        stream.select(MONTH).writeStream.foreachBatch(refresh)
+        stream.select(MONTH, *DAILY_KEYS).writeStream.foreachBatch(refresh)
         .option("checkpointLocation", progress_path).trigger(availableNow=True).start()
     )
     query.awaitTermination()

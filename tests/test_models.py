@@ -144,3 +144,27 @@ def test_series_errors_equal_those_of_dense_rows(spark):
         w = want[r["category"], r["method"]]
         assert r["days"] == w["days"] and r["mae"] == pytest.approx(w["mae"], abs=0.011) and r["rmse"] == pytest.approx(w["rmse"], abs=0.011)
         assert r["mape_pct"] == pytest.approx(w["mape_pct"], rel=1e-9, abs=0.02)
+
+
+def test_starts_are_plain_k_means(spark):
+    """All starts end where plain passes from their centres would stay, and their first centres don't depend on how rows are dealt out."""
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.normal(c, 0.6, (80, 3)) for c in ((0, 0, 0), (4, 0, 1), (0, 5, 2), (6, 6, 0))])
+    points = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "customer_id long, x0 double, x1 double, x2 double")
+    first = []
+    for parts in (1, 6):
+        starts = R.Starts(points.repartition(parts), (2, 4), 3, 42)
+        starts.spread()
+        first.append([c.tolist() for c in starts.centres])
+        assert [len(c) for c in starts.centres] == [2, 2, 2, 4, 4, 4]
+    assert first[0] == first[1] and len({str(c) for c in first[0]}) == 6
+    starts.fit()
+    for c, cost in zip(starts.centres, starts.costs):
+        d = ((x[:, None] - c[None]) ** 2).sum(2)
+        near = d.argmin(1)
+        assert cost == pytest.approx(d.min(1).sum())
+        assert all(np.allclose(x[near == k].mean(0), c[k], atol=1e-3) for k in range(len(c)))
+    best = starts.best()
+    assert starts.costs[best[4]] < 4 * 80 * 3 * 0.6 ** 2 * 1.2
+    assigned = starts.assigned(best).toPandas()
+    assert assigned.groupby("s4").size().tolist() == [80] * 4 and assigned["s2"].nunique() == 2

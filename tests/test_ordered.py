@@ -66,3 +66,25 @@ def test_rank_with_one_huge_tie(spark):
     df = spark.createDataFrame(list(enumerate(values)), "id int, v int")
     got = {r["id"]: r["r"] for r in global_rank(df, "v", "r").collect()}
     assert all(got[i] == 1 + sum(1 for w in values if w > v) for i, v in enumerate(values))
+
+
+def test_journeys_are_read_from_the_index(spark, small):
+    """Ten calls leave no more files than one, and no line is exchanged; the second level has two rows a chunk at most."""
+    import glob
+    from salesloom.plans.registry import QUERIES
+    journeys = QUERIES["w05_w06_customer_journey"]
+    first = sorted(map(tuple, journeys(small).collect()))
+    base = small.path("x").rsplit("/", 1)[0].removeprefix("file:")
+    count = lambda: len(glob.glob(f"{base}/**", recursive=True)) + len(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/*/rdd-*"))
+    files = count()
+    for name in 9 * ["w05_w06_customer_journey"] + 2 * ["k05_w07_pareto_curve", "i01_pareto_share", "b23_customer_ranks"]:
+        if name == "k05_w07_pareto_curve" or name == "b23_customer_ranks":
+            QUERIES[name](small).count()
+            files = count()
+        QUERIES[name](small).count()
+        assert count() == files
+    assert sorted(map(tuple, journeys(small).collect())) == first
+    plan = journeys(small)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "rangepartitioning" not in plan and "BroadcastHashJoin" in plan
+    index = small.once("journeys", lambda: None).index
+    assert index.groupBy(CHUNK).count().where("count > 2").isEmpty()

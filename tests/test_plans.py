@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from salesloom import schemas
 from salesloom.operators import catalog, cleaning, measures, star, summaries
 from conftest import SMALL
-from salesloom.plans.layout import MONTH, with_month, write_parquet
+from salesloom.plans.layout import MONTH, spread_over_months, with_month, write_parquet
 from salesloom.plans.registry import callables
 from salesloom.sources.tables import RawTables
 
@@ -127,3 +127,27 @@ def test_a_hot_month_is_written_by_many_tasks(large, hot, tmp_path):
     assert len(files) == 8
     counts = large.read.parquet(str(tmp_path / "fact")).groupBy(F.input_file_name().alias("f")).count().collect()
     assert max(r["count"] for r in counts) < 60000 / 3
+
+
+def test_fact_is_dealt_out_once(large, hot, tmp_path):
+    """No sampling pass over the joins; a hot order and a hot month are written by many tasks, and the lines of any other order by one."""
+    fact = with_month(star.build_raw_fact(hot)).withColumn(MONTH, F.when(F.col("order_id") % 10 == 1, F.lit(dt.date(2024, 2, 1))).when(
+        F.col("order_id") % 10 == 2, F.lit(None)).otherwise(F.col(MONTH)))
+    months = {r[MONTH]: r["count"] for r in fact.groupBy(MONTH).count().collect()}
+    dealt = spread_over_months(fact, months, star.LINE_KEY, heavy=[0])
+    assert "rangepartitioning" not in physical(dealt)
+    dealt.write.partitionBy(MONTH).parquet(str(tmp_path / "f"))
+    back = large.read.parquet(str(tmp_path / "f")).withColumn("file", F.input_file_name())
+    assert back.count() == 60000 and {r[MONTH]: r["count"] for r in back.groupBy(MONTH).count().collect()} == months
+    assert back.where("order_id = 0").select("file").distinct().count() >= 5
+    assert back.where("order_id <> 0").groupBy("order_id").agg(F.count_distinct("file").alias("n")).where("n > 1").isEmpty()
+    assert back.groupBy("file").count().agg(F.max("count")).first()[0] < 60000 / 3
+    unknown = spread_over_months(fact, {dt.date(2024, 1, 1): 5}, star.LINE_KEY, files=3)
+    assert unknown.count() == 60000
+
+
+def test_heavy_orders_are_found(large, hot):
+    from salesloom.plans.mart import Mart
+    mart = Mart(large, hot, "hot orders", dt.date(2025, 1, 1))
+    months, heavy = mart.fact_shape
+    assert heavy == [0] and months == {dt.date(2024, 1, 1): 9001}

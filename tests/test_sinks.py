@@ -64,6 +64,37 @@ def test_warehouse_load_replaces_rows(spark, small, tmp_path):
     assert spark.table(names["dim_customers"]).filter("created_at IS NULL").count() == 0
 
 
+def test_second_load_changes_nothing_and_late_rows_come_in(spark, small, tmp_path):
+    files = lambda: {p: p.stat().st_mtime_ns for p in tmp_path.glob("**/*.parquet")}
+    prefix, cut = f"w_{uuid.uuid4().hex}", dt.date(1998, 1, 15)
+    early = small.fact_clean.filter(F.col("order_date") < cut)
+    some = small.customers.filter("customer_id % 3 = 0 OR city > 'NATION_2'")
+    rows = lambda customers, fact: sinks.warehouse_rows(customers, small.products, small.dim_date, fact)
+    names = sinks.load_warehouse(spark, rows(some, early), prefix, str(tmp_path))
+    regions = {tuple(r)[1:3]: r["region_id"] for r in spark.table(names["dim_region"]).collect()}
+    before = files()
+    sinks.load_warehouse(spark, rows(some, early), prefix, str(tmp_path))
+    assert {p: t for p, t in files().items() if p in before} == before
+    assert spark.table(names["fact_sales"]).count() == early.count()
+    sinks.load_warehouse(spark, rows(small.customers, small.fact_clean), prefix, str(tmp_path))
+    fact = spark.table(names["fact_sales"])
+    assert fact.count() == small.fact_clean.count() == fact.select("order_id", "product_id").distinct().count()
+    after = {tuple(r)[1:3]: r["region_id"] for r in spark.table(names["dim_region"]).collect()}
+    assert regions.items() <= after.items() and sorted(after.values()) == list(range(1, len(after) + 1))
+    plan = fact.filter(F.col(MONTH) == dt.date(1997, 5, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_month" in plan
+    month = fact.filter(F.col(MONTH) == dt.date(1997, 5, 1))
+    assert len(month.inputFiles()) <= 2 * schemas.BUCKETS["fact_sales"] < len(fact.inputFiles())
+    sinks.drop_warehouse(spark, names)
+    assert not spark.catalog.tableExists(names["fact_sales"])
+
+
+def test_rows_without_a_key_are_loaded_once(spark):
+    known = spark.createDataFrame([(1, None), (None, "x")], "k long, v string")
+    rows = spark.createDataFrame([(None, "x"), (None, "y"), (2, "x"), (1, "x"), (1, None)], "k long, v string")
+    assert sorted(map(str, sinks.absent(rows, known, ["k", "v"]).collect())) == sorted(map(str, rows.where("k = 2 OR v = 'y' OR (k = 1 AND v = 'x')").collect()))
+
+
 def test_results_document_is_one_json_object(spark, small, tmp_path):
     forecasting = spark.range(1).select(F.lit(1.5).alias("mae"))
     document = sinks.results_document(small.fact_raw, forecasting)
@@ -77,16 +108,48 @@ def test_results_document_is_one_json_object(spark, small, tmp_path):
 def test_refresh_touches_only_the_named_months(spark, small, tmp_path):
     path = str(tmp_path / "daily")
     sinks.publish_daily_sales(small.fact_clean, path)
-    files = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "daily").glob("*/*.parquet")}
+    store = sinks.daily_snapshots(spark, path)
+    before = store.months()
     month = small.fact_clean.agg(F.min(MONTH).alias(MONTH))
     sinks.refresh_daily_sales(small.fact_clean, path, month)
-    after = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "daily").glob("*/*.parquet")}
-    first = str(month.first()[0])
-    untouched = {p.name for p in (tmp_path / "daily").glob("*/*.parquet") if first not in str(p)}
-    assert untouched <= set(files) and all(files[n] == after[n] for n in untouched)
+    first, after = month.first()[0].isoformat(), store.months()
+    assert {m for m in after if after[m] != before[m]} == {first} and after.keys() == before.keys()
     assert sinks.read_daily_sales(spark, path).exceptAll(star.daily_sales(small.fact_clean)).count() == 0
 
 
+def test_a_refresh_that_breaks_off_leaves_the_old_version(spark, small, tmp_path):
+    path = str(tmp_path / "daily")
+    fact = small.fact_clean.filter(F.col(MONTH) >= dt.date(1998, 1, 1))
+    sinks.publish_daily_sales(fact, path)
+    want = sorted(map(str, sinks.read_daily_sales(spark, path).collect()))
+    broken = fact.withColumn("quantity", F.when(F.col(MONTH) == dt.date(1998, 5, 1), F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("quantity") + 1))
+    with pytest.raises(Exception, match="lost"):
+        sinks.refresh_daily_sales(broken, path, fact.select(MONTH).distinct())
+    store = sinks.daily_snapshots(spark, path)
+    assert store.versions() == [1] and sorted(map(str, sinks.read_daily_sales(spark, path).collect())) == want
+    with pytest.raises(RuntimeError):
+        store._publish(1, {})
+    sinks.refresh_daily_sales(fact, path, fact.select(MONTH).distinct())
+    store.prune(keep=1)
+    assert store.versions() == [2] and len(list((tmp_path / "daily" / "data").iterdir())) == 1
+    assert sorted(map(str, sinks.read_daily_sales(spark, path).collect())) == want
+    assert sinks.daily_snapshots(spark, str(tmp_path / "none")).read(schemas.DAILY_SALES).count() == 0
+
+
+def test_only_touched_cells_are_made_anew(spark, small, tmp_path):
+    """Cells of other groups keep the rows of the version before, even if the fact has changed behind their back."""
+    path, day = str(tmp_path / "daily"), dt.date(1998, 3, 1)
+    fact = small.fact_clean.filter((F.col(MONTH) == day) | F.col(MONTH).isNull())
+    sinks.publish_daily_sales(fact, path)
+    one = fact.filter("has_product AND has_customer AND order_date IS NOT NULL").orderBy("order_date", "order_id", "product_id").limit(1)
+    cell = one.select(*star.DAILY_KEYS).first()
+    changed = fact.withColumn("quantity", F.col("quantity") + 1000)
+    sinks.refresh_cells(changed, path, one)
+    old = {tuple(r)[:5]: r["units_sold"] for r in star.daily_sales(fact).collect()}
+    new = {tuple(r)[:5]: r["units_sold"] for r in sinks.read_daily_sales(spark, path).collect()}
+    assert old.keys() == new.keys() and {k for k in old if old[k] != new[k]} == {tuple(cell)}
+
+
 def test_refresh_reads_only_the_named_months(spark, small):
     months = [r[0] for r in small.fact_clean.select(MONTH).distinct().limit(2).collect()]
     scan = sinks.lines_of_months(small.fact_clean, months)
