@@ -62,19 +62,23 @@ class ChunkEncoder:
         self.special = {t["content"]: t["id"] for t in told["added_tokens"]}
         self.words = regex.compile(told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.letters = byte_letters()
+        self.letters = dict(enumerate(byte_letters()))
 
     def words_of(self, chunk: str) -> list[str]:
         """Words of a piece of text without blanks, in byte letters."""
-        if chunk.isascii():
-            if chunk.isalpha():
-                return [chunk.lower()]
-            if chunk[-1] in self.MARKS and chunk[:-1].isalpha():
-                return [chunk[:-1].lower(), chunk[-1]]
-        chunk = unicodedata.normalize("NFC", chunk)
-        low = "".join(c.lower() for c in chunk) if "Σ" in chunk else chunk.lower()
-        letters = self.letters
-        return [w if w.isascii() and w.isprintable() else "".join([letters[b] for b in w.encode()]) for w in self.words.findall(low)]
+        if not chunk.isascii():
+            chunk = unicodedata.normalize("NFC", chunk)
+        low = "".join([c.lower() for c in chunk]) if "Σ" in chunk else chunk.lower()
+        if low.isalpha():
+            words = [low]
+        elif low[-1] in self.MARKS and low[:-1].isalpha():
+            words = [low[:-1], low[-1]]
+        else:
+            words = self.words.findall(low)
+        if low.isascii() and low.isprintable():
+            return words
+        table = self.letters
+        return [w.encode().decode("latin-1").translate(table) for w in words]
 
     def parts(self, text: str | None) -> list[list[str] | int]:
         """Runs of chunks between special tokens, and the ids of those."""

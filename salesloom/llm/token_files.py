@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import uuid
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -68,6 +69,22 @@ def unpack_bits(payload: bytes, bits: int, n: int) -> np.ndarray:
     return (planes.astype(np.uint32) << np.arange(bits, dtype=np.uint32)).sum(1, dtype=np.uint32)
 
 
+class _Chunks(dict):
+    """Ids of chunks, made when they are asked for first; what ``before`` has comes back from there."""
+
+    def __init__(self, make: Callable[[str], bytes], longest: int, before: dict[str, bytes]):
+        super().__init__()
+        self.make, self.longest, self.before = make, longest, before
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.before.get(chunk)
+        if ids is None:
+            ids = self.make(chunk)
+        if len(chunk) <= self.longest:
+            self[chunk] = ids
+        return ids
+
+
 class Encoder(ChunkEncoder):
     """The library's model, asked for each word once until it is forgotten; texts are split into words beside it, as merges stay within words."""
 
@@ -76,22 +93,30 @@ class Encoder(ChunkEncoder):
         with open(path, encoding="utf-8") as f:
             super().__init__(json.load(f), limit)
         self.model = Tokenizer.from_file(path).model
-        self.known: dict[str, bytes] = {}
-
-    def word(self, word: str) -> bytes:
-        ids = self.known.get(word)
-        if ids is None:
-            ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-            if len(word) <= self.LONGEST:
-                self.known[word] = ids
-        return ids
-
-    def learn(self, chunks: list[str]) -> None:
-        if len(self.known) > self.limit:
+        self.known: dict[str, bytes] = {}  # words; kept between tasks
+
+    def _chunk(self, chunk: str) -> bytes:
+        known, out = self.known, []
+        for w in (chunk.lower(),) if chunk.isascii() and chunk.isalpha() else self.words_of(chunk):
+            ids = known.get(w)
+            if ids is None:
+                ids = array("I", [t.id for t in self.model.tokenize(w)]).tobytes()
+                if len(w) <= self.LONGEST:
+                    known[w] = ids
+            out.append(ids)
+        return out[0] if len(out) == 1 else b"".join(out)
+
+    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        if not isinstance(self.chunks, _Chunks) or len(self.chunks) > self.limit:
+            before = self.chunks
+            if isinstance(before, _Chunks):
+                before.before = {}  # older ones are forgotten
+            self.chunks = _Chunks(self._chunk, self.LONGEST, before)
+        if len(self.known) > 2 * self.limit:
             self.known.clear()
-        now, word, words_of = self.chunks, self.word, self.words_of
-        for c in chunks:
-            now[c] = word(c.lower()) if c.isascii() and c.isalpha() else b"".join([word(w) for w in words_of(c)])
+        ids = self.chunks.__getitem__
+        return [b"".join([b"".join(map(ids, p)) if type(p) is list else array("I", [p]).tobytes() for p in self.parts(t)]) for t in texts]
 
 
 @lru_cache(maxsize=2)

@@ -19,7 +19,7 @@ def check(spark, folder):
     items = [(r["item_id"], r["text"]) for r in K.table(spark, folder, "benchmark").collect()]
     forest = quality_trees.fit_on(docs, K.table(spark, folder, "labels"), K.fold(4) != 2)
     rows = [(r["doc_id"], r["text"]) for r in quality_trees.accepted(docs, forest).select("doc_id", "text").collect()]
-    rows = [(d, t) for (d, t), (_, _, least) in zip(rows, brute.jaccard(rows)) if d == least]
+    rows = [(d, t) for (d, t), (_, _, least) in zip(rows, brute.near_copies(rows, 5, 80)) if d == least]
     rows = [(d, None if t is None else kept.decode("utf-8", "ignore")) for (d, t), (*_, kept) in zip(rows, brute.repeated(rows))]
     rows = [(d, t) for (d, t), (*_, bad) in zip(rows, brute.decontamination(rows, items)) if not bad]
     want = []
@@ -52,6 +52,13 @@ def block_edits():
     return rows + [(900, "one two three four"), (901, "One two three four"), (902, "one two three four five"), (None, rows[0][1]), (903, None)]
 
 
+def test_run_where_four_words_and_less_similarity_would_differ(spark, labels, benchmark, tmp_path):
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in block_edits()], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, df in (("documents", docs), ("labels", labels), ("benchmark", benchmark)):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    check(spark, str(tmp_path))
+
+
 def test_near_duplicates_are_of_five_words_and_four_fifths(spark, odd, tables):
     edits = spark.createDataFrame(block_edits(), "doc_id long, text string")
     for docs in (edits, K.table(spark, SMALL, "documents"), odd):
