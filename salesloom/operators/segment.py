@@ -85,7 +85,7 @@ class Segmentation:
 
 def _uniform(ids: np.ndarray, salt: int) -> np.ndarray:
     """A number in (0, 1) for each id that does not depend on how the rows are dealt out."""
-    x = ids.astype(np.uint64) + np.uint64(salt) * np.uint64(0x9E3779B97F4A7C15)
+    x = ids.astype(np.uint64) + np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
     return (((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
