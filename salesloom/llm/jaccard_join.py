@@ -8,8 +8,8 @@ order, and are then verified on the whole sets.
 
 Within the documents of a prefix token not all pairs are candidates. Where they are many, all meet the one with the fewest unshared tokens, the
 centre. What a document shares with the centre bounds what it shares with any other: documents that no other can be similar to leave, and
-so do tokens whose documents are in one component. Of the rest, each token takes a new centre, of the largest component, and so on until there are
-few pairs left, which meet where components differ and the bound allows a link. So a group of copies takes as many comparisons a
+so do tokens whose documents are in one component. Of the rest, each token takes a new centre, of the largest component, a few times, and what is left
+meets where components differ and the bound allows a link. For that, a bitmap tells which of the centre's tokens each document lacks. So a group of copies takes as many comparisons a
 round as it has members, and no link between components is missed.
 
 Null texts and texts without words have an empty set and no link. Rows with a null doc_id have no component. Rows of the same
@@ -18,9 +18,11 @@ doc_id are one node. An empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm import common as K
@@ -34,7 +36,10 @@ PART = 100
 #: The documents of a prefix token compare all pairs if they are at most so many.
 FEW = 12
 #: Further rounds of centres at most, and the pairs an open entry at which the rest meets directly.
-ROUNDS, SPARSE = 8, 4
+ROUNDS, SPARSE = 2, 4
+#: Words of a bitmap that says which of its centre's tokens a document lacks; tokens beyond its bits share them.
+WORDS = 8
+LACKS = [f"lack_{k}" for k in range(WORDS)]
 #: Tokens in a slab of the second exchange.
 SLAB_TOKENS = 500_000
 ORDERS = 3
@@ -159,7 +164,10 @@ def _similar(n_a, n_b, both, least):
 
 
 def _overlaps(pairs: DataFrame, held: DataFrame, least: int) -> DataFrame:
-    """(a, b, both): common tokens of each of ``pairs`` (a, b); 0 for pairs that don't share a token in the prefixes of every order."""
+    """(a, b, both): common tokens of each of ``pairs`` (a, b); 0 for pairs that don't share a token in the prefixes of every order.
+
+    For pairs with a centre b also the bitmap of what a lacks of it.
+    """
     one = held.select(*[F.col(c).alias(f"{c}_a") for c in ("n", "tokens", "classes")], F.col("doc_id").alias("a"))
     two = held.select(*[F.col(c).alias(f"{c}_b") for c in ("n", "tokens", "classes")], F.col("doc_id").alias("b"))
 
@@ -173,14 +181,23 @@ def _overlaps(pairs: DataFrame, held: DataFrame, least: int) -> DataFrame:
                     return 0
         return len(np.intersect1d(x, y, assume_unique=True))
 
+    def lacking(ta: bytes, tb: bytes) -> np.ndarray:
+        bits = np.zeros(64 * WORDS, np.uint8)
+        bits[np.flatnonzero(np.isin(np.frombuffer(tb, np.uint64), np.frombuffer(ta, np.uint64), assume_unique=True, invert=True)) % len(bits)] = 1
+        return np.packbits(bits).view(np.int64)
+
     def run(batches):
         for batch in batches:
             d = batch.to_pydict()
             both = [common(*r) for r in zip(*[d[c] for c in ("centre", "tokens_a", "classes_a", "n_a", "tokens_b", "classes_b", "n_b")])]
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in ("a", "b", "n_a", "n_b")], pa.array(both, pa.int64())], ["a", "b", "n_a", "n_b", "both"])
+            lacks = np.zeros((batch.num_rows, WORDS), np.int64)
+            for i in np.flatnonzero(d["centre"]):
+                lacks[i] = lacking(d["tokens_a"][i], d["tokens_b"][i])
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in ("a", "b", "n_a", "n_b")], pa.array(both, pa.int64()), *map(pa.array, np.ascontiguousarray(lacks.T))],
+                                             ["a", "b", "n_a", "n_b", "both", *LACKS])
 
     out = pairs.groupBy("a", "b").agg(F.max("centre").alias("centre")).join(one, "a").join(two, "b").mapInArrow(
-        run, "a long, b long, n_a long, n_b long, both long")
+        run, ", ".join(f"{c} long" for c in ("a", "b", "n_a", "n_b", "both", *LACKS)))
     return stored(out, "overlaps")
 
 
@@ -199,10 +216,10 @@ def links(held: DataFrame, least: int = LEAST) -> DataFrame:
     found = met.where(_similar(F.col("n_a"), F.col("n_b"), F.col("both"), least)).select("a", "b")
 
     named = components(found)
-    near = many.join(met.select("a", F.col("b").alias("centre"), "both"), ["a", "centre"], "left").withColumn(
+    near = many.join(met.select("a", F.col("b").alias("centre"), "both", *LACKS), ["a", "centre"], "left").withColumn(
         "near", F.coalesce("both", F.when(F.col("a") == F.col("centre"), F.col("m")), F.lit(0))).withColumn("far", F.col("m") - F.col("near"))
     near = near.join(named.select(F.col("node").alias("a"), F.col("component").alias("named")), "a", "left").select(
-        "token", "a", "n", "m", "near", "far", F.coalesce("named", "a").alias("component"))
+        "token", "a", "n", "m", "near", "far", F.coalesce("named", "a").alias("component"), "centre_m", *[F.coalesce(c, F.lit(0)).alias(c) for c in LACKS])
     open_ = _open(near)
     bound = F.col("near") + F.least("far", "most_far")
     left = stored(_open(open_.where(_similar(F.col("n"), F.greatest("least_n", bound), bound, least)).drop("most_far", "least_n")), "open")
@@ -215,7 +232,8 @@ def links(held: DataFrame, least: int = LEAST) -> DataFrame:
             break
         left, new = _next_centres(left, held, least)
         found = found.union(new)
-    again = side(left, "a", "near", "far", "component").join(side(left, "b", "near", "far", "component"), "token").where(
+    told = ("near", "far", "component", "centre_m", *LACKS)
+    again = side(left, "a", *told).join(side(left, "b", *told), "token").where(
         (F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b"))
         & _similar(F.col("n_a"), F.col("n_b"), most, least) & _may_be_similar("a", "b", least))
     late = _overlaps(again.select("a", "b", F.lit(False).alias("centre")), held, least)
@@ -223,8 +241,12 @@ def links(held: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def _may_be_similar(a: str, b: str, least: int):
-    """Whether what two entries share with the centre of their token's first round allows them to be similar."""
-    bound = F.least(f"near_{a}", f"near_{b}") + F.least(f"far_{a}", f"far_{b}")
+    """Whether what two entries share with the centre of their token's first round allows them to be similar.
+
+    Of the centre's tokens both have at most those that neither lacks; beside the centre's, both have at most what the one has that has fewer.
+    """
+    lacked = reduce(Column.__add__, [F.bit_count(F.col(f"{c}_{a}").bitwiseOR(F.col(f"{c}_{b}"))) for c in LACKS])
+    bound = F.least(F.col(f"near_{a}"), F.col(f"near_{b}"), F.col(f"centre_m_{a}") - lacked) + F.least(f"far_{a}", f"far_{b}")
     return _similar(F.col(f"n_{a}"), F.col(f"n_{b}"), bound, least)
 
 
@@ -235,7 +257,7 @@ def _next_centres(left: DataFrame, held: DataFrame, least: int) -> tuple[DataFra
     leaves, and tokens whose documents have come into one component leave as a whole. Components are told by their labels of before, joined anew.
     """
     members = left.select("a", "component").distinct().groupBy("component").agg(F.count("*").alias("members"))
-    columns = ["a", "component", "n", "m", "near", "far"]
+    columns = ["a", "component", "n", "m", "near", "far", "centre_m", *LACKS]
     centres = left.join(members, "component").groupBy("token").agg(F.max(F.struct("members", F.col("near").alias("most"), *columns)).alias("c")).select(
         "token", *[F.col(f"c.{c}").alias(f"{c}_c") for c in columns])
     met = left.withColumnsRenamed({c: f"{c}_o" for c in columns}).join(centres, "token")

@@ -309,7 +309,7 @@ def test_queries_are_registered(tables, spark):
             assert rows.count() == 33 and rows.where(F.col("doc_id").isNull()).count() == 2
 
 
-@pytest.mark.parametrize("rounds", [0, 3])
+@pytest.mark.parametrize("rounds", [0, 2])
 def test_groups_around_the_threshold(spark, rounds, monkeypatch):
     """Many copies of one text whose similarities lie on both sides of the threshold: no link between components may be missed."""
     monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
