@@ -171,7 +171,7 @@ class Starts:
             self.costs[i] = v
         return out
 
-    def fit(self, tolerance: float = 1e-4, most: int = 100) -> None:
+    def fit(self, tolerance: float = 1e-4, most: int = 20) -> None:
         """Move until no centre of a start moves by more than ``tolerance``; costs are those of the last centres."""
         self.spread()
         moving = set(range(len(self.ks)))

@@ -67,7 +67,7 @@ class Mart:
     @cached_property
     def fact_shape(self) -> tuple[dict[dt.date | None, int], list]:
         """Orders of each month, and the orders that hold more lines than a task should."""
-        months = {r[MONTH]: r["n"] for r in with_month(self.orders).groupBy(MONTH).agg(F.count(F.lit(1)).alias("n")).collect()}
+        months = {r[MONTH]: r["n"] for r in with_month(star.parse_order_dates(self.raw.orders)).groupBy(MONTH).agg(F.count(F.lit(1)).alias("n")).collect()}
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         lines = self.raw.order_items.where("order_id IS NOT NULL").agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(order_id, {min(parts, 1000)}, 10000)").alias("top")).first()
         return months, [r["item"] for r in lines["top"] or () if r["count"] * parts > lines["n"]]
