@@ -89,15 +89,18 @@ def held_out(m: int, rest: int) -> Column:
     return F.coalesce(fold(m) == rest, F.lit(False))
 
 
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of every labelled id. Ids with several label rows take the smallest label; null ids and null labels are left out."""
+    return labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).cast("double").alias("label"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int) -> DataFrame:
     """(text, label) of labelled documents, about ``rows`` of them at most, chosen by a hash of doc_id.
 
-    ``rows`` is the documented bound of every sample that a model is fitted on. Ids with several label rows
-    take the smallest label; null ids and null labels are left out. The chosen ids are at most 1.1 x ``rows`` + 1,000
+    ``rows`` is the documented bound of every sample that a model is fitted on. The labels are those of known_labels(). The chosen ids are at most 1.1 x ``rows`` + 1,000
     rows of 12 bytes, which is the proven bound of what is broadcast here.
     """
-    known = labels.where(learn & F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.min(label).cast("double").alias("label"))
+    known = known_labels(labels.where(learn), label)
     n = known.count()
     if n > rows:
         known = known.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 1) < int(rows / n * (1 << 63)))

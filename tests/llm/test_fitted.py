@@ -237,6 +237,45 @@ def test_isolation_paths():
     assert rule_forest.calibrated(rule_forest.grow(x), x, np.zeros(len(x), bool)) == 2.0
 
 
+def test_rule_forest_grows_from_every_row(docs, spark):
+    def counted(batches):
+        for b in batches:
+            c = rule_forest.rule_counts(b["text"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], *map(pa.array, c.T)], ["doc_id", *rule_forest.COUNTS])
+
+    rows = docs.select("doc_id", "text").mapInArrow(counted, ", ".join(f"{c} long" for c in ("doc_id", *rule_forest.COUNTS))).localCheckpoint()
+    keyed = rows.select("*", F.xxhash64("doc_id", *rule_forest.COUNTS).alias("key")).toPandas()
+    x, keys = rule_forest.features(keyed[rule_forest.COUNTS].to_numpy()), keyed["key"].to_numpy().view(np.uint64)
+    got, want = rule_forest.grown(rows.repartition(5)), rule_forest.grow(x, keys=keys)
+    assert (got.feature == want.feature).all() and (got.limit == want.limit).all() and (got.length == want.length).all()
+    for n in (1, 2, 300, 25_600, 60_000):
+        growth = rule_forest.Growth(n)
+        row, tree = growth.dealt(np.arange(n, dtype=np.uint64))
+        assert (np.bincount(row, minlength=n) == growth.shares).all() and len(set(zip(row, tree))) == len(row)
+        assert np.bincount(tree, minlength=100).min() >= min(n, 190)
+
+
+def test_rule_forest_threshold_counts_every_labelled_row(spark):
+    n = 24_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(
+        F.expr("array_join(transform(sequence(1, 60), i -> concat('w', i)), ' ')"), F.expr("repeat('#', 20 + pmod(xxhash64(id), 1000))"),
+        F.expr("repeat('A', pmod(xxhash64(id, 1), 1000))")).alias("text"))
+    marks = docs.select("doc_id", F.when(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(20)) == 0, 0).otherwise(1).alias("quality"))
+    got = rule_forest.judged(docs, marks).join(marks, "doc_id").toPandas()
+    assert len(got) == n and not got.base_failed.any()
+
+    class Same:
+        score = staticmethod(lambda s: s)
+
+    anomaly, good = got.anomaly.to_numpy(), got.quality.to_numpy() == 1
+    most = rule_forest.calibrated(Same, anomaly, good)
+    assert most < 2 and (got.kept.to_numpy() == (anomaly <= most)).all()
+    scores = spark.createDataFrame(list(zip(anomaly[:500].tolist(), good[:500].astype(float).tolist())), "anomaly double, label double")
+    for lose in (0.0, 0.02, 0.5, 1.0):
+        assert rule_forest.threshold(scores, lose) == rule_forest.calibrated(Same, anomaly[:500], good[:500], lose)
+    assert rule_forest.threshold(scores.where("label = 1")) == rule_forest.threshold(scores.limit(0)) == 2.0
+
+
 def test_odd_rows(odd, labels, no_labels, empty):
     n = odd.count()
     for marks_ in (labels, no_labels):
