@@ -16,6 +16,8 @@ made of them drop the broken bytes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -460,9 +462,13 @@ def _candidates(spans: pa.Table, rest: pa.Table) -> pa.Table:
     return pa.concat_tables([wide(spans), wide(rest)])
 
 
-def kept_bytes(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
-    """Columns of ``docs`` but doc_id and text as ``own_<number>``, doc_id, ``kept`` (binary, null for a null text), n_bytes, n_removed, n_spans."""
-    slabs = S.slab_table(docs.select(*[K.quoted(c).alias(c if c in ("doc_id", "text") else f"own_{i}") for i, c in enumerate(docs.columns)]), S.new_name())
+def _slabs_cut(docs: DataFrame, finish: Callable[[pa.Table], pa.Table], schema: Callable[[list[T.StructField]], T.StructType],
+                crowded: int = CROWDED) -> DataFrame:
+    """What ``finish`` makes of each slab's rows, in the same task: doc_id, ``kept``, n_bytes, n_removed, n_spans and the other columns as ``own_<number>``.
+
+    ``schema`` gives its columns from the fields of doc_id and of the other columns. One Python worker a task does both: a second pass would hold another.
+    """
+    slabs = S.slab_table(docs.select(*[K.quoted(c).alias(n) for c, n in zip(docs.columns, _plain(docs))]), S.new_name())
     fields = [f for f in slabs.schema.fields if f.name not in ("slab", "rid", "n_bytes", "text")]
     others = [f.name for f in fields]
     spans = removal_spans(slabs, crowded)
@@ -482,10 +488,21 @@ def kept_bytes(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
             removed.append(int((e - s).sum())), runs.append(len(s))
         out = rows.select(others).append_column("kept", pa.array(kept, pa.binary()))
         out = out.append_column("n_bytes", pa.array(np.diff(off), pa.int64()))
-        return out.append_column("n_removed", pa.array(removed, pa.int64())).append_column("n_spans", pa.array(runs, pa.int64()))
+        out = out.append_column("n_removed", pa.array(removed, pa.int64())).append_column("n_spans", pa.array(runs, pa.int64()))
+        return finish(out)
+
+    return slabs.drop("n_bytes").groupBy("slab").cogroup(spans.groupBy("slab")).applyInArrow(cut, schema(fields))
+
 
-    schema = T.StructType([*fields, *T.StructType.fromDDL("kept binary, n_bytes long, n_removed long, n_spans long").fields])
-    return slabs.drop("n_bytes").groupBy("slab").cogroup(spans.groupBy("slab")).applyInArrow(cut, schema)
+def _plain(docs: DataFrame) -> list[str]:
+    """Names under which the columns of ``docs`` travel."""
+    return [c if c in ("doc_id", "text") else f"own_{i}" for i, c in enumerate(docs.columns)]
+
+
+def kept_bytes(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """Columns of ``docs`` but doc_id and text as ``own_<number>``, doc_id, ``kept`` (binary, null for a null text), n_bytes, n_removed, n_spans."""
+    added = T.StructType.fromDDL("kept binary, n_bytes long, n_removed long, n_spans long").fields
+    return _slabs_cut(docs, lambda rows: rows, lambda fields: T.StructType([*fields, *added]), crowded)
 
 
 def dedup(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
@@ -496,14 +513,15 @@ def dedup(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the cut texts; bytes of characters cut in two are dropped, n_chars follows where it is a whole number."""
-    names = docs.columns
-
-    def run(batches):
-        for b in batches:
-            texts = [None if x is None else x.decode("utf-8", "ignore") for x in b["kept"].to_pylist()]
-            columns = [pa.array(texts, pa.string()) if c == "text" else b[c if c == "doc_id" else f"own_{i}"] for i, c in enumerate(names)]
-            if "n_chars" in names and pa.types.is_integer(columns[names.index("n_chars")].type):
-                k = names.index("n_chars")
-                columns[k] = pa.array([None if x is None else len(x) for x in texts], columns[k].type)
-            yield pa.RecordBatch.from_arrays(columns, names)
-    return K.map_rows(kept_bytes(docs), run, docs.schema)
+    names, plain = docs.columns, _plain(docs)
+
+    def finish(rows: pa.Table) -> pa.Table:
+        texts = [None if x is None else x.decode("utf-8", "ignore") for x in rows["kept"].to_pylist()]
+        columns = [pa.array(texts, pa.string()) if n == "text" else rows[n] for n in plain]
+        if "n_chars" in names and pa.types.is_integer(columns[names.index("n_chars")].type):
+            k = names.index("n_chars")
+            columns[k] = pa.array([None if x is None else len(x) for x in texts], columns[k].type)
+        return pa.table(columns, names=plain)
+
+    out = _slabs_cut(docs, finish, lambda _: T.StructType([T.StructField(n, f.dataType) for n, f in zip(plain, docs.schema.fields)]))
+    return out.select(*[F.col(n).alias(c) for n, c in zip(plain, names)])

@@ -166,6 +166,17 @@ def test_cut_documents_keep_their_columns(odd):
     assert text[8] == "" and text[1] is None and text[16] is not None
 
 
+def test_documents_are_cut_in_one_python_pass(odd):
+    out = suffix_dedup.without_repeats(odd)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow" not in plan  # a second pass keeps a second worker for each task
+    key = lambda r: tuple((v is not None, str(v)) for v in r)
+    want = [(r["doc_id"], None if r["kept"] is None else r["kept"].decode("utf-8", "ignore")) for r in suffix_dedup.kept_bytes(odd.select("doc_id", "text")).collect()]
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in out.collect())
+
+
 # --- BPE and token files
 
 @pytest.fixture(scope="module")
