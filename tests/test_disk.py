@@ -3,6 +3,7 @@
 import datetime as dt
 import time
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from salesloom import schemas
 from salesloom.operators import cleaning, star
 from salesloom.plans import mart as M
+from salesloom.plans import registry
 from salesloom.plans.layout import MONTH
 from salesloom.sources.tables import RawTables
 
@@ -83,3 +85,17 @@ def test_published_star_leaves_no_shuffle_files(spark, raw):
     assert mart.fact_clean is not None
     mart.store("index")("rows", mart.fact_clean.groupBy("customer_id").count())
     assert not settled(spark, before)
+
+
+def test_star_csv_comes_from_the_slices(spark, raw, monkeypatch):
+    """s03_dim_orders: the whole star is written, its fact packed and without a published copy beside it."""
+    monkeypatch.setattr(M, "SLICE_LINES", 500)
+    mart = M.Mart(spark, raw, "star as CSV", AS_OF)
+    orders, fact = (registry._star_csv(mart, name) for name in ("dim_orders", "fact_sales"))
+    assert "fact_clean" not in mart.__dict__ and len(mart.slices()) > 3
+    assert multiset(orders) == multiset(mart.orders)
+    folder = Path(mart.path("star-csv"))
+    assert {p.name for p in folder.iterdir()} == {"dim_customers", "dim_products", "dim_orders", "dim_returns", "fact_sales"}
+    assert all(p.name.endswith(".csv.gz") for p in folder.glob("*/part-*"))
+    assert multiset(fact) == multiset(mart.fact_clean) and fact.columns == mart.fact_clean.columns
+    assert len(mart.clean_pieces) == 1  # from now on there is a published one
