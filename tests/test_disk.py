@@ -1,6 +1,7 @@
 """What a build leaves on disk, and that a build in slices gives the rows of one in one piece."""
 
 import datetime as dt
+import re
 import time
 from decimal import Decimal
 from pathlib import Path
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesloom import schemas
-from salesloom.operators import cleaning, star
+from salesloom.operators import cleaning, star, summaries
 from salesloom.plans import mart as M
 from salesloom.plans import registry
 from salesloom.plans.layout import MONTH
@@ -99,3 +100,34 @@ def test_star_csv_comes_from_the_slices(spark, raw, monkeypatch):
     assert all(p.name.endswith(".csv.gz") for p in folder.glob("*/part-*"))
     assert multiset(fact) == multiset(mart.fact_clean) and fact.columns == mart.fact_clean.columns
     assert len(mart.clean_pieces) == 1  # from now on there is a published one
+
+
+def test_dashboard_is_whole_and_packed(spark, raw):
+    """s08_dashboard_regional: all four files, and what is shuffled by order is nothing but keys."""
+    mart = M.Mart(spark, raw, "dashboard", AS_OF)
+    files = registry._dashboard(mart)
+    folder = Path(mart.path("dashboard"))
+    assert {p.name for p in folder.iterdir()} == set(files) == {"sales", "customers", "regional", "trend"}
+    assert all(p.name.endswith(".csv.gz") for p in folder.glob("*/part-*"))
+    for name, df in files.items():
+        assert multiset(registry._back(mart, "dashboard", files, name)) == multiset(df)
+    plan = files["regional"]._jdf.queryExecution().executedPlan().toString()
+    by_order = re.findall(r"HashAggregate\(keys=\[[^\]]*order_id[^\]]*\], functions=\[(.*?)\]", plan)
+    assert by_order and not any(by_order)
+
+
+def test_orders_and_customers_against_plain_counts(spark):
+    """An order under two customers, missing orders, customers and groups, an empty table."""
+    rows = [("a", 1, 1, 5), ("a", 1, 2, 6), ("a", 2, 1, None), ("a", None, 1, 7), ("a", 3, None, 1), (None, 1, 1, 2), ("b", 9, 4, None), ("b", 9, 4, 3), ("b", None, None, 1)]
+    fact = spark.createDataFrame(rows, "g string, order_id long, customer_id long, v long")
+    sums = {"total": F.sum("v"), "lines": F.count(F.lit(1))}
+
+    def plain(some):
+        own = {c: len({o for _, o, k, _ in some if k == c and o is not None}) for c in {r[2] for r in some} - {None}}
+        values = [v for *_, v in some if v is not None]
+        return (sum(values) if values else None, len(some), len({r[1] for r in some} - {None}), len(own), sum(n > 1 for n in own.values()))
+
+    got = {r[0]: tuple(r)[1:] for r in summaries.orders_and_customers(fact, ["g"], sums).collect()}
+    assert got == {g: plain([r for r in rows if r[0] == g]) for g in ("a", "b", None)}
+    assert tuple(summaries.orders_and_customers(fact, [], sums).first()) == plain(rows)
+    assert tuple(summaries.orders_and_customers(fact.limit(0), [], sums).first()) == (None, None, 0, 0, 0)
