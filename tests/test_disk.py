@@ -14,6 +14,7 @@ from salesloom.operators import cleaning, star, summaries
 from salesloom.plans import mart as M
 from salesloom.plans import registry
 from salesloom.plans.layout import MONTH
+from salesloom.sources import sinks
 from salesloom.sources.tables import RawTables
 
 AS_OF = dt.date(2025, 1, 1)
@@ -131,3 +132,40 @@ def test_orders_and_customers_against_plain_counts(spark):
     assert got == {g: plain([r for r in rows if r[0] == g]) for g in ("a", "b", None)}
     assert tuple(summaries.orders_and_customers(fact, [], sums).first()) == plain(rows)
     assert tuple(summaries.orders_and_customers(fact.limit(0), [], sums).first()) == (None, None, 0, 0, 0)
+
+
+def test_months_are_loaded_in_batches(monkeypatch):
+    months = {dt.date(2024, m, 1): 10 for m in range(1, 11)} | {None: 3, dt.date(2024, 11, 1): 500}
+    monkeypatch.setattr(sinks, "BATCH_LINES", 20)
+    batches = sinks.month_batches(months)
+    assert [m for b in batches for m in b] == [None, *sorted(m for m in months if m)]
+    assert len(batches) <= 2 * sinks.MAX_BATCHES and batches[-1] == [dt.date(2024, 11, 1)] and len(batches[0]) < 6
+    monkeypatch.setattr(sinks, "BATCH_LINES", 10_000)
+    assert len(sinks.month_batches(months)) == 1 and sinks.month_batches({}) == []
+
+
+def test_warehouse_in_batches_is_whole(spark, raw, monkeypatch):
+    """s04_s14_warehouse: batches of months and joins by slices bring every row once, into an empty and a part-filled table."""
+    monkeypatch.setattr(M, "SLICE_LINES", 500)
+    monkeypatch.setattr(sinks, "BATCH_LINES", 100)
+    loads, insert = [], sinks._insert
+    monkeypatch.setattr(sinks, "_insert", lambda s, rows, table: (loads.append(table), insert(s, rows, table)))
+    mart = M.Mart(spark, raw, "warehouse in batches", AS_OF)
+    names, joined = registry._warehouse(mart), registry._warehouse_join(mart)
+    assert sum(t == names["fact_sales"] for t in loads) > 3 and len(mart.slices(2)) > 2
+    fact = mart.fact_clean
+    want = (fact.join(mart.customers.select("customer_id", F.col("name").alias("n")), "customer_id").join(mart.products.select("product_id", F.col("category").alias("c")), "product_id")
+            .join(mart.dim_date.select(F.col("date_key").alias("order_date"), "day_name"), "order_date")
+            .select("order_id", "product_id", F.col("n").alias("name"), F.col("c").alias("category"), "day_name", "revenue", "profit", "discount_impact"))
+    assert want.count() > 300 and multiset(joined) == multiset(want)
+    columns = schemas.FACT_SALES.fieldNames()
+    lines = multiset(fact.withColumn("date_key", F.col("order_date")).select(*columns))
+    assert multiset(spark.table(names["fact_sales"]).select(*columns)) == lines
+    rows = sinks.warehouse_rows(mart.customers, mart.products, mart.dim_date, fact)
+    few = {**rows, "fact_sales": rows["fact_sales"].where("order_id % 3000 = 0 OR order_id IS NULL")}
+    folder = mart.path("warehouse-2")
+    for some in (few, rows, rows):
+        names = sinks.load_warehouse(spark, some, "batches", folder)
+    assert multiset(spark.table(names["fact_sales"]).select(*columns)) == lines
+    assert not [p.name for p in Path(folder).iterdir() if "-before-" in p.name]
+    sinks.drop_warehouse(spark, names)
